@@ -89,11 +89,7 @@ def _typed(col: Column, source: T.DataType, kind, target: T.DataType) -> Column:
             fields.append(made.alias(f.name))
         return F.struct(*fields)
 
-    return F.when(col.isNotNull(), F.array(build(col)) if one else build_all(col, build))
-
-
-def build_all(col: Column, build) -> Column:
-    return F.transform(col, build)
+    return F.when(col.isNotNull(), F.array(build(col)) if one else F.transform(col, build))
 
 
 def load_records(raw: DataFrame, declared: Declaration) -> DataFrame:
@@ -113,25 +109,51 @@ def load_records(raw: DataFrame, declared: Declaration) -> DataFrame:
     return raw.select(*columns, *extra)
 
 
-def _failed(df: DataFrame, declared: Declaration, name: str) -> Column:
-    kind, target = declared[name], struct_type({name: declared[name]})[name].dataType
-    col = F.col(f"`{name}`")
+def _losses(source: T.DataType, kind, target: T.DataType, path: str) -> list:
+    """``(path, test)`` per leaf: whether a value is present and its cast is not."""
     if isinstance(kind, dict):
-        return F.lit(0).cast("long")
-    source = df.schema[name].dataType
-    made = _cast(col, source, kind, target)
-    if isinstance(made, Column) and isinstance(source, T.ArrayType) and not isinstance(target, T.ArrayType):
-        lost = F.size(F.filter(col, lambda v: v.isNotNull())) != F.size(F.filter(made, lambda v: v.isNotNull()))
-        return F.count_if(col.isNotNull() & lost)
-    return F.count_if(col.isNotNull() & made.isNull())
+        one = isinstance(source, T.StructType)
+        inner, out = (source if one else source.elementType), []
+        for f in target.elementType.fields:
+            if f.name not in inner.fieldNames():
+                continue
+            for leaf, test in _losses(inner[f.name].dataType, kind[f.name], f.dataType, f"{path}.{f.name}"):
+                out.append((leaf, _in_elements(one, f.name, test)))
+        return out
+    if isinstance(source, T.ArrayType) and not isinstance(target, T.ArrayType):
+        return [(path, lambda col: F.exists(col, lambda v: _lost(v, source.elementType, kind, target)))]
+    return [(path, lambda col: _lost(col, source, kind, target))]
+
+
+def _lost(value: Column, source: T.DataType, kind: str, target: T.DataType) -> Column:
+    return value.isNotNull() & _cast(value, source, kind, target).isNull()
+
+
+def _in_elements(one: bool, name: str, test):
+    if one:
+        return lambda col: col.isNotNull() & test(col[name])
+    return lambda col: F.exists(col, lambda e: test(e[name]))
+
+
+def _failing(df: DataFrame, declared: Declaration) -> dict[str, Column]:
+    """Count of rows per leaf whose value does not convert."""
+    out = {}
+    for name in declared:
+        if name in df.columns:
+            target = struct_type({name: declared[name]})[name].dataType
+            for path, test in _losses(df.schema[name].dataType, declared[name], target, name):
+                out[path] = F.count_if(test(F.col(f"`{name}`")))
+    return out
+
+
+def _as_rows(df: DataFrame, rows: list[Column]) -> DataFrame:
+    return df.agg(F.array(*rows).alias("rows")).select(F.explode("rows").alias("r")).select("r.*")
 
 
 def rejected_values(raw: DataFrame, declared: Declaration) -> DataFrame:
     """``(column, rejected)``: rows per column whose value does not convert, in one pass."""
-    names = [n for n in declared if n in raw.columns]
-    counts = raw.agg(*[_failed(raw, declared, n).alias(n) for n in names])
-    pairs = F.array(*[F.struct(F.lit(n).alias("column"), F.col(f"`{n}`").alias("rejected")) for n in names])
-    return counts.select(F.explode(pairs).alias("p")).select("p.column", "p.rejected")
+    failing = _failing(raw, declared)
+    return _as_rows(raw, [F.struct(F.lit(p).alias("column"), n.alias("rejected")) for p, n in failing.items()])
 
 
 def drift(df: DataFrame, declared: Declaration) -> DataFrame:
@@ -140,29 +162,32 @@ def drift(df: DataFrame, declared: Declaration) -> DataFrame:
     ``status`` is same, missing, extra or retyped; ``failing`` counts values the cast would lose.
     """
     target = struct_type(declared)
-    rejected = {n: _failed(df, declared, n) for n in target.fieldNames() if n in df.columns}
+    failing = _failing(df, declared)
     rows = []
+
+    def add(name, status, found, wanted, count=None):
+        rows.append(
+            F.struct(
+                F.lit(name).alias("column"),
+                F.lit(status).alias("status"),
+                F.lit(found).cast("string").alias("found"),
+                F.lit(wanted).cast("string").alias("declared"),
+                (F.lit(0).cast("long") if count is None else count).alias("failing"),
+            )
+        )
+
     for f in target.fields:
         if f.name not in df.columns:
-            rows.append((f.name, "missing", None, f.dataType.simpleString(), F.lit(0).cast("long")))
+            add(f.name, "missing", None, f.dataType.simpleString())
             continue
         found = df.schema[f.name].dataType
+        counts = [n for path, n in failing.items() if path == f.name or path.startswith(f.name + ".")]
         status = "same" if found == f.dataType else "retyped"
-        rows.append((f.name, status, found.simpleString(), f.dataType.simpleString(), rejected[f.name]))
+        add(f.name, status, found.simpleString(), f.dataType.simpleString(), reduce(lambda a, b: a + b, counts))
     for f in df.schema.fields:
         if f.name not in target.fieldNames():
-            rows.append((f.name, "extra", f.dataType.simpleString(), None, F.lit(0).cast("long")))
-    structs = [
-        F.struct(
-            F.lit(name).alias("column"),
-            F.lit(status).alias("status"),
-            F.lit(found).cast("string").alias("found"),
-            F.lit(wanted).cast("string").alias("declared"),
-            F.coalesce(failing, F.lit(0)).alias("failing"),
-        )
-        for name, status, found, wanted, failing in rows
-    ]
-    return df.agg(F.array(*structs).alias("rows")).select(F.explode("rows").alias("r")).select("r.*")
+            add(f.name, "extra", f.dataType.simpleString(), None)
+    return _as_rows(df, rows)
 
 
 def union_open(frames: list[DataFrame]) -> DataFrame:
