@@ -15,6 +15,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tablelens.functions.porter import stem
+from tablelens.plans.runtime import ship_package
 
 WORD = r"[\p{L}\p{N}]+"
 
@@ -121,6 +122,7 @@ class Analyzer:
         return self._stemming_udf("array<array<string>>")(F.transform(cols, self.words))
 
     def _stemming_udf(self, returns: str):
+        ship_package()
         stop, stemmed, folded = self.stop, self.stemmed, self.folded
         nested = returns.startswith("array<array")
 

@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tablelens.plans.runtime import ship_package
+
 METRICS = ("cosine", "dot_product", "l2_norm")
 
 
@@ -61,6 +63,7 @@ def signature(col: Column, dim: int, bits: int = 62, seed: int = 7) -> Column:
     """Side of each random hyperplane, one bit per plane (Charikar 2002)."""
     if not 0 < bits < 64:
         raise ValueError("bits must be between 1 and 63")
+    ship_package()
     weights = (1 << np.arange(bits)).astype(np.int64)
 
     @F.arrow_udf("long")

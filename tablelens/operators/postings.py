@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from tablelens.functions.scoring import bm25, idf
 from tablelens.functions.text import STANDARD, Analyzer
 from tablelens.operators.batch_text import best_per_query, query_terms
-from tablelens.plans.runtime import fits_broadcast, join_sized, written
+from tablelens.plans.runtime import fits_broadcast, join_sized, ship_package, written
 from tablelens.plans.scope import field_type
 
 # Empty positions between the elements of a multi-valued text, so phrases do not span two of them.
@@ -75,6 +75,7 @@ def _group_positions(batches):
 
 def postings(df: DataFrame, row_id: str, fields: dict[str, Analyzer]) -> DataFrame:
     """``(field, term, id, length, tf, positions)`` of every text field in one pass, without a shuffle."""
+    ship_package()
     schema = df.schema
     tagged = F.array(
         *[

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablelens.functions import vectors as V
+from tablelens.plans.runtime import ship_package
 
 
 def _best(df: DataFrame, row_id: str, k: int) -> DataFrame:
@@ -90,6 +91,7 @@ def nearest_for_each(
     """
     if metric not in V.METRICS:
         raise ValueError(f"unknown metric: {metric}")
+    ship_package()
     if query_id == row_id:
         raise ValueError("the query id needs a name of its own")
     vectors = df.filter(F.col(field).isNotNull()).select(F.col(row_id).alias("id"), F.col(field).cast("array<float>").alias("v"))

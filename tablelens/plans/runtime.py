@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +14,29 @@ CHECKPOINT_SETTING = "spark.checkpoint.dir"
 BROADCAST_BYTES = 32 << 20
 
 
+_shipped: set[str] = set()
+
+
+def ship_package() -> None:
+    """Send this package to the Python workers, once per application.
+
+    Spark's own file distribution carries the archive; executors never read the driver's folder.
+    """
+    session = SparkSession.getActiveSession()
+    if session is None or session.sparkContext.applicationId in _shipped:
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    archive = os.path.join(tempfile.mkdtemp(prefix="tablelens-package-"), "tablelens.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for folder, _, files in os.walk(root):
+            for name in files:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.relpath(path, os.path.dirname(root)))
+    session.sparkContext.addPyFile(archive)
+    _shipped.add(session.sparkContext.applicationId)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's shared folder; only a local session without one gets a folder of its own."""
     folder = spark.conf.get(CHECKPOINT_SETTING, None)
