@@ -84,14 +84,27 @@ def _all(columns) -> Column:
     return reduce(lambda a, b: a & b, columns)
 
 
+def bind(value: Column, body) -> Column:
+    """``body`` of a value that is computed once.
+
+    A column used inside a lambda may be inlined there and computed again per element; a lambda
+    variable is not.
+    """
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def phrase_count(tokens: Column, parts: list[tuple[int, object]]) -> Column:
     """Occurrences of the parts at exactly these distances from each other."""
     span = parts[-1][0] + 1
-    starts = F.filter(
-        F.sequence(F.lit(1), F.size(tokens) - span + 1),
-        lambda at: _all([part.accepts(F.get(tokens, at - 1 + gap)) for gap, part in parts]),
-    )
-    return F.when(F.size(tokens) >= span, F.size(starts)).otherwise(0)
+
+    def count(t: Column) -> Column:
+        starts = F.filter(
+            F.sequence(F.lit(1), F.size(t) - span + 1),
+            lambda at: _all([part.accepts(F.get(t, at - 1 + gap)) for gap, part in parts]),
+        )
+        return F.when(F.size(t) >= span, F.size(starts)).otherwise(0)
+
+    return bind(tokens, count)
 
 
 def phrase_present(tokens: Column, parts: list[tuple[int, object]]) -> Column:
@@ -121,30 +134,33 @@ def sloppy_phrase(tokens: Column, parts: list[tuple[int, object]], slop: int) ->
     by_part: dict[object, list[int]] = {}
     for gap, part in parts:
         by_part.setdefault(part, []).append(gap)
-    anchors = F.concat(
-        *[
-            F.transform(_positions(tokens, part), lambda p: p - gap)
-            for part, gaps in by_part.items()
-            for gap in gaps
+    found = {part: f"p{i}" for i, part in enumerate(by_part)}
+    positions = bind(tokens, lambda t: F.struct(*[_positions(t, part).alias(n) for part, n in found.items()]))
+
+    def present(p: Column) -> Column:
+        anchors = [
+            F.transform(p[found[part]], lambda at: at - gap) for part, gaps in by_part.items() for gap in gaps
         ]
-    )
-
-    def fits(low: Column) -> Column:
-        tests = []
-        for part, gaps in by_part.items():
-            found = _positions(tokens, part)
-            if len(gaps) == 1:
-                tests.append(F.exists(found, lambda p: (p - gaps[0]).between(low, low + slop)))
-                continue
-            wanted = F.array(*[F.lit(g) for g in gaps])
-            placed = F.aggregate(
-                found,
-                F.lit(0),
-                lambda n, p: F.when(
-                    (n < len(gaps)) & (p - F.get(wanted, n)).between(low, low + slop), n + 1
-                ).otherwise(n),
-            )
-            tests.append(placed == len(gaps))
-        return _all(tests)
-
-    return F.exists(F.array_distinct(anchors), fits)
+
+        def fits(low: Column) -> Column:
+            tests = []
+            for part, gaps in by_part.items():
+                if len(gaps) == 1:
+                    near = F.exists(p[found[part]], lambda at: (at - gaps[0]).between(low, low + slop))
+                    tests.append(near)
+                    continue
+                wanted = F.array(*[F.lit(g) for g in gaps])
+                placed = F.aggregate(
+                    p[found[part]],
+                    F.lit(0),
+                    lambda n, at: F.when(
+                        (n < len(gaps)) & (at - F.get(wanted, n)).between(low, low + slop), n + 1
+                    ).otherwise(n),
+                )
+                tests.append(placed == len(gaps))
+            return _all(tests)
+
+        everywhere = _all([F.size(p[n]) >= len(by_part[part]) for part, n in found.items()])
+        return everywhere & F.exists(F.array_distinct(F.concat(*anchors)), fits)
+
+    return bind(positions, present)

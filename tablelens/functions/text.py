@@ -67,8 +67,8 @@ def strip_chars(col: Column, chars: str) -> Column:
 
 
 def word_tokens(col: Column) -> Column:
-    """Lower-cased runs of letters and digits, in order."""
-    return F.regexp_extract_all(F.lower(col), F.lit(WORD), 0)
+    """Lower-cased runs of letters and digits, in order (splitting is faster than extracting)."""
+    return F.array_remove(F.split(F.lower(col), r"[^\p{L}\p{N}]+"), "")
 
 
 def _finish(token: str, stop: frozenset[str], stemmed: bool, folded: bool) -> str:

@@ -1,61 +1,65 @@
-"""Many text queries over all documents at once: search, similar documents, hashed tf-idf."""
+"""Many text queries over all documents at once: search, similar documents, hashed tf-idf.
+
+Each operator reads the texts once.  The term counts it needs are written to the shared folder and
+everything after that (document frequencies, collection statistics, scores) reads those rows.
+Scores are summed with the rows of a document in one task, so the many (query, document) pairs are
+never shuffled; only the k best per query and task are.
+"""
 
 from __future__ import annotations
 
+import hashlib
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablelens.functions.scoring import bm25, idf
-from tablelens.functions.text import STANDARD, Analyzer, token_count
-from tablelens.plans.runtime import fits_broadcast, join_sized
+from tablelens.functions.text import STANDARD, Analyzer
+from tablelens.operators.grouping import term_counts
+from tablelens.plans.runtime import fits_broadcast, join_sized, written
 
+MARKER = ""
 
-def analyzed(df: DataFrame, row_id: str, field: str, analyzer: Analyzer) -> DataFrame:
-    return df.select(row_id, analyzer.tokens(F.col(field)).alias("tokens")).filter(F.col("tokens").isNotNull())
 
+def analyzed(df: DataFrame, row_id: str, field: str, analyzer: Analyzer) -> DataFrame:
+    return df.select(row_id, analyzer.tokens(F.col(field)).alias("tokens"))
 
-def occurrences(tokens: DataFrame, row_id: str) -> DataFrame:
-    """One row per kept token with its document's length."""
-    rows = tokens.select(row_id, token_count(F.col("tokens")).alias("length"), F.explode("tokens").alias("term"))
-    return rows.filter(F.col("term") != "")
 
+def query_terms(queries: DataFrame, query_id: str, text: str, analyzer: Analyzer) -> DataFrame:
+    terms = queries.select(query_id, F.explode(F.array_distinct(analyzer.tokens(F.col(text)))).alias("term"))
+    return terms.filter(F.col("term") != "")
 
-def term_frequencies(tokens: DataFrame, row_id: str, vocabulary: DataFrame | None = None, broadcast: bool = True):
-    """``(id, length, term, tf)``, restricted to a vocabulary before anything is shuffled.
 
-    A document lies in one task, so the map-side combine already yields its final counts.
-    """
-    rows = occurrences(tokens, row_id)
-    if vocabulary is not None:
-        rows = join_sized(rows, vocabulary, "term", broadcast)
-    return rows.groupBy(row_id, "length", "term").agg(F.count("*").alias("tf"))
+def relevant_counts(
+    documents: DataFrame, row_id: str, field: str, analyzer: Analyzer, vocabulary: DataFrame, broadcast: bool
+) -> tuple[DataFrame, Column]:
+    """Written ``(id, length, term, tf)`` rows of the vocabulary's terms, and the collection statistics."""
+    counts = term_counts(analyzed(documents, row_id, field, analyzer), row_id, marker=MARKER)
+    marker = vocabulary.sparkSession.createDataFrame([(MARKER,)], "term string")
+    wanted = vocabulary.select("term").distinct().unionByName(marker)
+    staged = written(join_sized(counts, wanted, "term", broadcast).select(row_id, "length", "term", "tf"), "counts")
+    corpus = (
+        staged.filter(F.col("term") == MARKER)
+        .agg(F.struct(F.count("*").alias("documents"), F.avg("length").alias("average")))
+        .scalar()
+    )
+    return staged.filter(F.col("term") != MARKER), corpus
 
 
-def corpus_statistics(tokens: DataFrame) -> Column:
-    """``(documents, average length)`` as a one-row scalar subquery."""
-    length = token_count(F.col("tokens"))
-    return tokens.agg(
-        F.struct(F.count_if(length > 0).alias("documents"), (F.sum(length) / F.count_if(length > 0)).alias("average"))
-    ).scalar()
+def document_frequencies(counts: DataFrame, term: str = "term") -> DataFrame:
+    return counts.groupBy(term).agg(F.count("*").alias("df"))
 
 
-def query_terms(queries: DataFrame, query_id: str, text: str, analyzer: Analyzer) -> DataFrame:
-    terms = queries.select(query_id, F.explode(F.array_distinct(analyzer.tokens(F.col(text)))).alias("term"))
-    return terms.filter(F.col("term") != "")
+def pairs_by_document(counts: DataFrame, weights: DataFrame, term: str, row_id: str, broadcast: bool) -> DataFrame:
+    """Counts joined with query weights; with a broadcast the pairs stay partitioned by document."""
+    if broadcast:
+        counts = counts.repartition(row_id)
+    return join_sized(counts, weights, term, broadcast)
 
 
-def scored_matches(
-    frequencies: DataFrame, weights: DataFrame, corpus: Column, row_id: str, query_id: str, broadcast: bool
-) -> DataFrame:
-    """``(query, id, _score, matched)`` with BM25 summed over the query's terms."""
-    pairs = join_sized(frequencies, weights, "term", broadcast)
-    pairs = pairs.withColumn("corpus", corpus)
-    part = bm25(F.col("tf").cast("double"), F.col("length"), F.col("corpus.average"), F.col("weight"))
-    return (
-        pairs.select(query_id, row_id, part.alias("part"))
-        .groupBy(query_id, row_id)
-        .agg(F.sum("part").alias("_score"), F.count("*").alias("matched"))
-    )
+def bm25_part(corpus: str = "corpus") -> Column:
+    return bm25(F.col("tf").cast("double"), F.col("length"), F.col(f"{corpus}.average"), F.col("weight"))
 
 
 def best_per_query(scored: DataFrame, row_id: str, query_id: str, k: int, digits: int | None = None) -> DataFrame:
@@ -63,7 +67,8 @@ def best_per_query(scored: DataFrame, row_id: str, query_id: str, k: int, digits
     if digits is not None:
         scored = scored.withColumn("_score", F.round("_score", digits))
     order = Window.partitionBy(query_id).orderBy(F.desc("_score"), F.asc(row_id))
-    return scored.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    ranked = scored.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    return ranked.select(query_id, row_id, "_score", "rank")
 
 
 def batch_search(
@@ -80,17 +85,15 @@ def batch_search(
     """``(query, id, _score, rank)``: the k best documents of every query by BM25."""
     asked = query_terms(queries, query_id, text, analyzer)
     small = fits_broadcast(asked)
-    tokens = analyzed(documents, row_id, field, analyzer)
-    frequencies = term_frequencies(tokens, row_id, asked.select("term").distinct(), small)
-    corpus = corpus_statistics(tokens)
-    found_in = frequencies.groupBy("term").agg(F.count("*").alias("df"))
+    counts, corpus = relevant_counts(documents, row_id, field, analyzer, asked, small)
     weights = (
-        asked.join(found_in, "term")
+        asked.join(document_frequencies(counts), "term")
         .withColumn("corpus", corpus)
         .select(query_id, "term", idf(F.col("corpus.documents"), F.col("df")).alias("weight"))
     )
-    scored = scored_matches(frequencies, weights, corpus, row_id, query_id, small)
-    return best_per_query(scored, row_id, query_id, k, digits).select(query_id, row_id, "_score", "rank")
+    pairs = pairs_by_document(counts, weights, "term", row_id, small).withColumn("corpus", corpus)
+    scored = pairs.groupBy(query_id, row_id).agg(F.sum(bm25_part()).alias("_score"))
+    return best_per_query(scored, row_id, query_id, k, digits)
 
 
 def similar_documents(
@@ -116,61 +119,55 @@ def similar_documents(
     stored = text is None
     if stored:
         ids = seeds.select(F.col(seed_id).alias(row_id)).distinct()
-        small_ids = F.broadcast(ids) if fits_broadcast(ids) else ids
-        seeds = documents.join(small_ids, row_id, "left_semi").select(
+        ids = F.broadcast(ids) if fits_broadcast(ids) else ids
+        seeds = documents.join(ids, row_id, "left_semi").select(
             F.col(row_id).alias(seed_id), F.col(field).alias("__text")
         )
         text = "__text"
-    seed_terms = (
-        occurrences(analyzed(seeds, seed_id, text, analyzer), seed_id)
-        .groupBy(seed_id, "term")
-        .agg(F.count("*").alias("seed_tf"))
-        .filter(F.col("seed_tf") >= min_term_freq)
+    seed_terms = written(
+        term_counts(analyzed(seeds, seed_id, text, analyzer), seed_id)
+        .filter(F.col("tf") >= min_term_freq)
+        .select(seed_id, "term", F.col("tf").alias("seed_tf")),
+        "seeds",
     )
     small = fits_broadcast(seed_terms)
-    tokens = analyzed(documents, row_id, field, analyzer)
-    frequencies = term_frequencies(tokens, row_id, seed_terms.select("term").distinct(), small)
-    corpus = corpus_statistics(tokens)
-    found_in = frequencies.groupBy("term").agg(F.count("*").alias("df")).filter(F.col("df") >= min_doc_freq)
+    counts, corpus = relevant_counts(documents, row_id, field, analyzer, seed_terms, small)
     telling = F.col("seed_tf") * (F.log((F.col("corpus.documents") + 1) / (F.col("df") + 1)) + 1)
     place = F.row_number().over(Window.partitionBy(seed_id).orderBy(F.desc("telling"), F.asc("term")))
     chosen = (
-        seed_terms.join(found_in, "term")
+        seed_terms.join(document_frequencies(counts).filter(F.col("df") >= min_doc_freq), "term")
         .withColumn("corpus", corpus)
         .withColumn("telling", F.round(telling, 9))
         .withColumn("place", place)
         .filter(F.col("place") <= max_query_terms)
-        .withColumn("terms", F.count("*").over(Window.partitionBy(seed_id)))
     )
     weights = chosen.select(
         seed_id,
         "term",
-        "terms",
+        F.count("*").over(Window.partitionBy(seed_id)).alias("terms"),
         idf(F.col("corpus.documents"), F.col("df")).alias("weight"),
     )
-    pairs = join_sized(frequencies, weights, "term", small).withColumn("corpus", corpus)
-    part = bm25(F.col("tf").cast("double"), F.col("length"), F.col("corpus.average"), F.col("weight"))
+    pairs = pairs_by_document(counts, weights, "term", row_id, small).withColumn("corpus", corpus)
     scored = (
-        pairs.select(seed_id, row_id, "terms", part.alias("part"))
-        .groupBy(seed_id, row_id)
-        .agg(F.sum("part").alias("_score"), F.count("*").alias("matched"), F.max("terms").alias("terms"))
+        pairs.groupBy(seed_id, row_id)
+        .agg(F.sum(bm25_part()).alias("_score"), F.count("*").alias("matched"), F.max("terms").alias("terms"))
         .filter(F.col("matched") >= F.greatest(F.floor(F.col("terms") * minimum_match), F.lit(1)))
     )
     if stored:
         scored = scored.filter(F.col(seed_id) != F.col(row_id))
-    return best_per_query(scored, row_id, seed_id, k, digits).select(seed_id, row_id, "_score", "rank")
+    return best_per_query(scored, row_id, seed_id, k, digits)
 
 
 # Semantic search without a model: hashed tf-idf vectors ----------------------
 
 
-def bucket(term: Column, dim: int) -> Column:
-    return F.conv(F.substring(F.md5(term), 1, 8), 16, 10).cast("long") % dim
+def buckets(dim: int):
+    """Terms to vector dimensions, by the leading bits of their MD5."""
 
+    def name(terms: list[str]) -> pa.Array:
+        return pa.array([int(hashlib.md5(t.encode()).hexdigest()[:8], 16) % dim for t in terms], pa.int64())
 
-def hashed_counts(tokens: DataFrame, row_id: str, dim: int) -> DataFrame:
-    rows = occurrences(tokens, row_id).select(row_id, bucket(F.col("term"), dim).alias("bucket"))
-    return rows.groupBy(row_id, "bucket").agg(F.count("*").alias("tf"))
+    return name
 
 
 def semantic_search(
@@ -191,25 +188,25 @@ def semantic_search(
     """
     if dim > 1 << 18:
         raise ValueError("dim is limited to 262144, so that the weights stay broadcastable")
-    tokens = analyzed(documents, row_id, field, analyzer)
-    counts = hashed_counts(tokens, row_id, dim)
-    total = corpus_statistics(tokens)
-    weights = (
-        counts.groupBy("bucket")
-        .agg(F.count("*").alias("df"))
-        .withColumn("corpus", total)
-        .select("bucket", F.log((F.col("corpus.documents") + 1) / (F.col("df") + 1)).alias("idf"))
+    name, marker = buckets(dim), -1
+    counts = written(
+        term_counts(analyzed(documents, row_id, field, analyzer), row_id, name, "bucket long", marker), "vectors"
     )
-    asked_tokens = analyzed(queries, query_id, text, analyzer)
-    asked = hashed_counts(asked_tokens, query_id, dim).join(F.broadcast(weights), "bucket")
-    asked = asked.select(query_id, "bucket", (F.col("tf") * F.col("idf")).alias("qw"))
-    small = fits_broadcast(hashed_counts(asked_tokens, query_id, dim))
+    held = F.col("bucket") != marker
+    total = counts.agg(F.count_if(~held)).scalar()
+    weights = document_frequencies(counts.filter(held), "bucket").withColumn("documents", total)
+    weights = weights.select("bucket", F.log((F.col("documents") + 1) / (F.col("df") + 1)).alias("idf"))
+    asked = term_counts(analyzed(queries, query_id, text, analyzer), query_id, name, "bucket long")
+    small = fits_broadcast(asked)
+    asked = asked.join(F.broadcast(weights), "bucket").select(query_id, "bucket", (F.col("tf") * F.col("idf")).alias("qw"))
     norms = asked.groupBy(query_id).agg(F.sqrt(F.sum(F.col("qw") * F.col("qw"))).alias("qnorm"))
-    asked = asked.join(norms, query_id).withColumn("qw", F.col("qw") / F.col("qnorm")).drop("qnorm")
-    rows = counts.join(F.broadcast(weights), "bucket").withColumn("w", F.col("tf") * F.col("idf"))
+    asked = asked.join(norms, query_id).select(query_id, "bucket", (F.col("qw") / F.col("qnorm")).alias("qw"))
+    # Partitioned by document once; the lengths, the products and their join all keep it.
+    rows = counts.filter(held).repartition(row_id).join(F.broadcast(weights), "bucket")
+    rows = rows.select(row_id, "bucket", (F.col("tf") * F.col("idf")).alias("w"))
     lengths = rows.groupBy(row_id).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
     products = (
-        join_sized(rows.select(row_id, "bucket", "w"), asked, "bucket", small)
+        join_sized(rows, asked, "bucket", small)
         .groupBy(query_id, row_id)
         .agg(F.sum(F.col("w") * F.col("qw")).alias("product"))
     )

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tablelens.functions.atoms import bind
 from tablelens.functions.text import WORD
 
 # Fragments per field, characters per fragment, and the tag of a match.
@@ -43,29 +44,37 @@ def highlight(
     ``analyzed`` and ``words`` are aligned, so a match on a stem tags the word as written.
     ``number_of_fragments = 0`` returns the whole text as one piece.
     """
-    forms = F.array_distinct(
-        F.filter(F.transform(analyzed, lambda t, i: F.when(accepted(t), F.get(words, i))), lambda w: w.isNotNull())
-    )
-    pattern = F.concat(F.lit(f"(?iu){_OPEN}("), F.array_join(forms, "|"), F.lit(f"){_CLOSE}"))
     pieces = F.array(text) if number_of_fragments == 0 else fragments(text, fragment_size)
-    marked = F.transform(
-        pieces,
-        lambda piece, i: F.struct(
-            _mark(piece, pattern, "\u0003", "\u0004").alias("text"), i.alias("at")
-        ),
-    )
-    ranked = F.transform(
-        F.filter(marked, lambda m: m["text"].contains("\u0003")),
-        lambda m: F.struct(
-            (-F.length(F.regexp_replace(m["text"], "[^\u0003]", ""))).alias("matches"),
-            m["at"].alias("at"),
-            m["text"].alias("text"),
-        ),
-    )
-    best = F.array_sort(ranked)
-    if number_of_fragments:
-        best = F.slice(best, 1, number_of_fragments)
-    final = F.transform(
-        best, lambda m: F.replace(F.replace(m["text"], F.lit("\u0003"), F.lit(pre_tag)), F.lit("\u0004"), F.lit(post_tag))
-    )
-    return F.when(F.size(forms) > 0, final).otherwise(F.array().cast("array<string>"))
+
+    def matched_forms(both: Column) -> Column:
+        hits = F.filter(F.arrays_zip(both["analyzed"], both["words"]), lambda w: accepted(w["analyzed"]))
+        return F.array_distinct(F.transform(hits, lambda w: w["words"]))
+
+    def marked(forms: Column) -> Column:
+        either = F.array_join(forms, "|")
+        pattern = F.concat(F.lit(f"(?iu){_OPEN}("), either, F.lit(f"){_CLOSE}"))
+        numbered = F.transform(pieces, lambda piece, i: F.struct(piece.alias("text"), i.alias("at")))
+        # A plain search first, so that words are bracketed only where a form occurs.
+        likely = F.filter(numbered, lambda p: F.rlike(p["text"], F.concat(F.lit("(?iu)"), either)))
+        tagged = F.transform(
+            likely, lambda p: F.struct(_mark(p["text"], pattern, "\u0003", "\u0004").alias("text"), p["at"].alias("at"))
+        )
+        ranked = F.transform(
+            F.filter(tagged, lambda p: p["text"].contains("\u0003")),
+            lambda p: F.struct(
+                (-F.length(F.regexp_replace(p["text"], "[^\u0003]", ""))).alias("matches"),
+                p["at"].alias("at"),
+                p["text"].alias("text"),
+            ),
+        )
+        best = F.array_sort(ranked)
+        if number_of_fragments:
+            best = F.slice(best, 1, number_of_fragments)
+        return F.transform(
+            best,
+            lambda p: F.replace(F.replace(p["text"], F.lit("\u0003"), F.lit(pre_tag)), F.lit("\u0004"), F.lit(post_tag)),
+        )
+
+    forms = bind(F.struct(analyzed.alias("analyzed"), words.alias("words")), matched_forms)
+    none = F.array().cast("array<string>")
+    return bind(forms, lambda f: F.when(F.size(f) > 0, marked(f)).otherwise(none))

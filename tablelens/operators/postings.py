@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from tablelens.functions.scoring import bm25, idf
 from tablelens.functions.text import STANDARD, Analyzer
 from tablelens.operators.batch_text import best_per_query, query_terms
+from tablelens.operators.grouping import TokenGroups
 from tablelens.plans.runtime import fits_broadcast, join_sized, ship_package, written
 from tablelens.plans.scope import field_type
 
@@ -41,34 +42,17 @@ def field_tokens(schema: T.StructType, field: str, analyzer: Analyzer) -> Column
 
 
 def _group_positions(batches):
-    """Group each document's tokens within its batch; a document is never split over batches."""
     for batch in batches:
-        lists = batch.column("tokens")
-        sizes = lists.value_lengths().to_numpy(zero_copy_only=False)
-        codes = lists.flatten().dictionary_encode()
-        terms, code = codes.dictionary, codes.indices.to_numpy(zero_copy_only=False)
-        row = np.repeat(np.arange(len(sizes)), sizes)
-        position = np.arange(len(code)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        kept = np.array([t != "" for t in terms.to_pylist()], dtype=bool)[code] if len(code) else code.astype(bool)
-        row, code, position = row[kept], code[kept], position[kept]
-        length = np.bincount(row, minlength=len(sizes))
-        order = np.lexsort((position, code, row))
-        row, code, position = row[order], code[order], position[order]
-        if not len(row):
-            continue
-        starts = np.flatnonzero(np.r_[True, (row[1:] != row[:-1]) | (code[1:] != code[:-1])])
-        ends = np.r_[starts[1:], len(row)]
-        which = pa.array(row[starts])
+        groups = TokenGroups(batch.column("tokens"))
+        which = pa.array(groups.rows)
         yield pa.record_batch(
             {
                 "field": batch.column("field").take(which),
-                "term": terms.take(pa.array(code[starts])),
+                "term": groups.terms.take(pa.array(groups.codes)),
                 "id": batch.column("id").take(which),
-                "length": pa.array(length[row[starts]].astype(np.int32)),
-                "tf": pa.array((ends - starts).astype(np.int32)),
-                "positions": pa.ListArray.from_arrays(
-                    pa.array(np.r_[starts, len(row)].astype(np.int32)), pa.array(position.astype(np.int32))
-                ),
+                "length": pa.array(groups.lengths[groups.rows].astype(np.int32)),
+                "tf": pa.array(groups.counts.astype(np.int32)),
+                "positions": groups.position_lists(),
             }
         )
 
@@ -184,7 +168,7 @@ class TextIndex:
         weights = weights.select(query_id, "term", idf(F.col("corpus.documents"), F.col("df")).alias("weight"))
         rows = self.postings.filter(F.col("field") == field).select("term", "id", "length", "tf")
         scored = self._scored(rows, weights, field, [query_id], small)
-        return best_per_query(scored, "id", query_id, k, digits).select(query_id, "id", "_score", "rank")
+        return best_per_query(scored, "id", query_id, k, digits)
 
     def near_spellings(self, field: str, word: str, distance: int, prefix_length: int = 0, max_expansions: int | None = None):
         """Vocabulary terms within an edit distance, nearest and most frequent first."""

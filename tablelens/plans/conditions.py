@@ -14,7 +14,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablelens.functions.atoms import Fuzzy, OneOf, Prefix, Word, auto_distance, phrase_count, phrase_present, sloppy_phrase
+from tablelens.functions.atoms import Fuzzy, OneOf, Prefix, Word, auto_distance, bind, phrase_count, phrase_present, sloppy_phrase
 from tablelens.functions.text import phonetic_match
 from tablelens.plans.scope import ElementScope, Scope, field_type
 
@@ -440,13 +440,15 @@ class MoreLikeThis(TextCondition):
         chosen = self._chosen(scope)
         if chosen is None:
             return F.lit(0.0)
-        tokens = scope.scored_tokens(self.field)
 
-        def add(total: Column, c: Column) -> Column:
-            count = F.size(tokens) - F.size(F.array_remove(tokens, c["term"]))
-            return total + scope.relevance(self.field, tokens, count, c["weight"])
+        def total(tokens: Column) -> Column:
+            def add(so_far: Column, c: Column) -> Column:
+                count = F.size(tokens) - F.size(F.array_remove(tokens, c["term"]))
+                return so_far + scope.relevance(self.field, tokens, count, c["weight"])
+
+            return F.aggregate(chosen, F.lit(0.0), add)
 
-        return F.aggregate(chosen, F.lit(0.0), add)
+        return bind(scope.scored_tokens(self.field), total)
 
 
 class Group(Condition):
