@@ -16,22 +16,30 @@ def _labelled(fields: Iterable[str] | Mapping[str, str]) -> dict[str, str]:
     return dict(fields) if isinstance(fields, Mapping) else {f: f for f in fields}
 
 
-def _values(df: DataFrame, field: str) -> Column:
-    """The row's distinct non-null values of a field as strings."""
+def _tagged(df: DataFrame, label: str, field: str) -> tuple[Column | None, Column | None]:
+    """The row's values of a field as ``(facet, key)``: one struct, or an array of distinct ones."""
     kind, col = field_type(df.schema, field), F.col(field)
+    if kind is None:
+        raise ValueError(f"no field {field}")
+
+    def pair(value: Column) -> Column:
+        return F.struct(F.lit(label).alias("facet"), value.cast("string").alias("key"))
+
     if isinstance(kind, T.ArrayType):
-        return F.array_compact(F.array_distinct(F.transform(col, lambda v: v.cast("string"))))
-    return F.array_compact(F.array(col.cast("string")))
+        return None, F.transform(F.array_distinct(col), pair)
+    return pair(col), None
 
 
 def facet_counts(df: DataFrame, fields) -> DataFrame:
     """Rows per ``(facet, key)`` for several fields in one scan."""
-    tagged = [
-        F.transform(_values(df, field), lambda v: F.struct(F.lit(label).alias("facet"), v.alias("key")))
-        for label, field in _labelled(fields).items()
-    ]
-    pairs = df.select(F.explode(F.concat(*tagged)).alias("p")).select("p.facet", "p.key")
-    return pairs.groupBy("facet", "key").agg(F.count("*").alias("count"))
+    tagged = [_tagged(df, label, field) for label, field in _labelled(fields).items()]
+    single = [one for one, _ in tagged if one is not None]
+    many = [array for _, array in tagged if array is not None]
+    pairs = [F.array(*single)] if single else []
+    pairs += [F.coalesce(array, F.array().cast("array<struct<facet:string,key:string>>")) for array in many]
+    rows = df.select(F.explode(F.concat(*pairs) if len(pairs) > 1 else pairs[0]).alias("p"))
+    counts = rows.select("p.facet", "p.key").filter(F.col("key").isNotNull())
+    return counts.groupBy("facet", "key").agg(F.count("*").alias("count"))
 
 
 def facets(df: DataFrame, fields, limit: int = 25) -> DataFrame:
@@ -57,7 +65,9 @@ def facets(df: DataFrame, fields, limit: int = 25) -> DataFrame:
 
 def approximate_facet(df: DataFrame, field: str, limit: int = 25, counters: int = 10_000) -> DataFrame:
     """Most frequent values from a bounded sketch: one small state per task, no shuffle by value."""
-    values = df.select(F.explode(_values(df, field)).alias("key"))
+    one, many = _tagged(df, field, field)
+    pairs = df.select((one if many is None else F.explode(many)).alias("p"))
+    values = pairs.select("p.key").filter(F.col("key").isNotNull())
     top = values.agg(F.expr(f"approx_top_k(key, {int(limit)}, {int(counters)})").alias("top"))
     return top.select(F.explode("top").alias("t")).select(F.col("t.item").alias("key"), F.col("t.count").alias("count"))
 

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from tablelens.functions.atoms import Fuzzy, OneOf, Prefix, Word, auto_distance, bind, phrase_count, phrase_present, sloppy_phrase
 from tablelens.functions.text import phonetic_match
-from tablelens.plans.scope import ElementScope, Scope, field_type
+from tablelens.plans.scope import ElementScope, Scope, field_type, safe_name
 
 def all_of(columns: list[Column]) -> Column:
     return reduce(lambda a, b: a & b, columns) if columns else F.lit(True)
@@ -299,9 +299,8 @@ class Match(TextCondition):
         tokens = scope.scored_tokens(self.field)
         total = F.lit(0.0)
         for part in self.parts(scope):
-            total = total + scope.relevance(
-                self.field, tokens, part.frequency(tokens), scope.idf(self.field, part)
-            )
+            count = scope.counted(self.field, part, tokens)
+            total = total + scope.relevance(self.field, tokens, count, scope.idf(self.field, part))
         return total * float(self.boost)
 
 
@@ -353,6 +352,7 @@ class Phrase(TextCondition):
             count = parts[0][1].frequency(tokens)
         else:
             count = phrase_count(tokens, parts)
+        count = scope.once(f"__phrase_{safe_name(self.field)}_{self.slop}_{parts}", count)
         return scope.relevance(self.field, tokens, count, weight) * float(self.boost)
 
 
@@ -440,15 +440,16 @@ class MoreLikeThis(TextCondition):
         chosen = self._chosen(scope)
         if chosen is None:
             return F.lit(0.0)
+        tokens = scope.scored_tokens(self.field)
 
-        def total(tokens: Column) -> Column:
+        def total(bound: Column) -> Column:
             def add(so_far: Column, c: Column) -> Column:
-                count = F.size(tokens) - F.size(F.array_remove(tokens, c["term"]))
+                count = F.size(bound) - F.size(F.array_remove(bound, c["term"]))
                 return so_far + scope.relevance(self.field, tokens, count, c["weight"])
 
             return F.aggregate(chosen, F.lit(0.0), add)
 
-        return bind(scope.scored_tokens(self.field), total)
+        return bind(tokens, total)
 
 
 class Group(Condition):

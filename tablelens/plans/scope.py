@@ -90,6 +90,7 @@ class Scope:
         self.schema = schema
         self.analyzers = analyzers
         self.prepared: dict[str, Column] = {}
+        self.derived: dict[str, Column] = {}
         self.statistics = Statistics()
 
     # Fields -----------------------------------------------------------------
@@ -151,11 +152,22 @@ class Scope:
         return self.statistics.expansions(self.full(field), part, limit, units, many)
 
     def relevance(self, field: str, tokens: Column, frequency: Column, weight: Column) -> Column:
-        units, many = self._units(field)
+        """BM25 of one part; a frequency of 0 gives 0."""
         name = self.full(field)
+        units, many = self._units(field)
         average = self.statistics.length(name, units, many) / self.statistics.documents(name, units, many)
-        found = bm25(frequency.cast("double"), token_count(tokens), average, weight)
-        return F.when(frequency > 0, found).otherwise(0.0)
+        return F.coalesce(bm25(frequency.cast("double"), self.length(field, tokens), average, weight), F.lit(0.0))
+
+    def once(self, name: str, value: Column) -> Column:
+        """A value derived from prepared columns that several expressions use."""
+        self.derived.setdefault(name, value)
+        return F.col(f"`{name}`")
+
+    def length(self, field: str, tokens: Column) -> Column:
+        return self.once(f"__length_{safe_name(field)}", token_count(tokens))
+
+    def counted(self, field: str, part, tokens: Column) -> Column:
+        return self.once(f"__tf_{safe_name(field)}_{part}", part.frequency(tokens))
 
     def prefilter(self, field: str, words: list[str]) -> list[Column]:
         """Cheap substring tests implied by the presence of the words."""
@@ -229,5 +241,9 @@ class ElementScope(Scope):
     def _units(self, field: str) -> tuple[Column, bool]:
         return F.col(self._token_lists(field)), True
 
+    def once(self, name: str, value: Column) -> Column:
+        # Per element: a lambda has no columns of its own.
+        return value
+
     def prefilter(self, field: str, words: list[str]) -> list[Column]:
         return []

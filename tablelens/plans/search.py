@@ -249,6 +249,8 @@ class Search(Criteria):
             rows = rows.withColumn(Statistics.COLUMN, scope.statistics.table(documents).scalar())
         for test in late:
             rows = rows.filter(test)
+        if scope.derived:
+            rows = rows.withColumns(scope.derived)
         return rows, score
 
     def _scored_rows(self, scored: bool = True) -> DataFrame:
@@ -319,11 +321,12 @@ class Search(Criteria):
             tier = True
         if self._min_score is not None:
             rows = rows.filter(F.col("_score") >= self._min_score)
-        if not keys:
+        if not keys and (self._limit is not None or self._after):
+            # Relevance order only where a limit makes it a top-k; nobody sorts a whole table unasked.
             keys = [paging.SortKey("_score", True)]
             if tier:
                 keys = [paging.SortKey("_tier", True), *keys]
-        return rows, paging.with_tie_break(keys, self.id)
+        return rows, paging.with_tie_break(keys, self.id) if keys else []
 
     def _phase_columns(self, rows: DataFrame) -> DataFrame:
         """Second-query scores of retrieved rows, with statistics of the whole table."""
@@ -337,11 +340,17 @@ class Search(Criteria):
         return rows.join(scores, self.id)
 
     def hits(self) -> DataFrame:
-        """The page of hits: records, ``_score``, inner hits and highlights."""
+        """The page of hits: records, ``_score``, inner hits and highlights.
+
+        Without a limit every match is returned, ordered only if ``sort`` was called.  With explicit
+        sorts the score is computed only where a sort, a cut or a rescore phase uses it.
+        """
         rows, keys = self._all_hits()
         if self._after:
             rows = paging.after(rows, keys, self._after)
-        rows = paging.page(paging.ordered(rows, keys), self._limit, self._page)
+        if keys:
+            rows = paging.ordered(rows, keys)
+        rows = paging.page(rows, self._limit, self._page)
         extras = [c for c in rows.columns if c not in self.df.columns and not c.startswith("__") and c != "_tier"]
         if self._highlight.fields:
             rows, marked = self._highlighted(rows)

@@ -469,7 +469,7 @@ def _tagged(words: str) -> str:
       SELECT doc_id, rank - 1 AS rank, fragment FROM r WHERE rank <= 3""",
 )
 def _(spark, d):
-    hits = search(spark, d).match("text", "thing only").highlight_field("text").sort("doc_id").hits()
+    hits = search(spark, d).match("text", "thing only").highlight_field("text").hits()
     return hits.select("doc_id", F.posexplode("highlight_text").alias("rank", "fragment")).select(
         "doc_id", F.col("rank").cast("long").alias("rank"), "fragment"
     )

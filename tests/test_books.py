@@ -11,7 +11,7 @@ TEXT = {"title": ENGLISH, "premise": ENGLISH, "categories.name": ENGLISH,
 
 @pytest.fixture()
 def search(books):
-    return Search(books, text=TEXT)
+    return Search(books, text=TEXT).limit(10)
 
 
 def ids(s):
@@ -74,7 +74,7 @@ def test_similar_to_text(search):
 def test_sort_and_limit(search):
     rows = search.fields(["id", "price"]).sort("price").limit(2).hits().collect()
     assert [(r["id"], r["price"]) for r in rows] == [("3", 18.99), ("2", 22.99)]
-    assert rows[0].__fields__ == ["id", "price", "_score"]
+    assert rows[0].__fields__ == ["id", "price", "_score"] and rows[0]["_score"] is None
 
 
 def test_page(search):
@@ -151,8 +151,8 @@ def test_min_score_total_and_first(search):
 
 
 def test_random_order_is_reproducible(books):
-    first = [r["id"] for r in Search(books).sort_by_random(seed=5).hits().collect()]
-    assert first == [r["id"] for r in Search(books).sort_by_random(seed=5).hits().collect()]
+    first = [r["id"] for r in Search(books).sort_by_random(seed=5).limit(10).hits().collect()]
+    assert first == [r["id"] for r in Search(books).sort_by_random(seed=5).limit(10).hits().collect()]
     assert sorted(first) == ["1", "2", "3"]
 
 
@@ -164,17 +164,17 @@ def test_fields(search):
 
 def test_fusion(books):
     frame = books.withColumn("v", F.array(F.col("price"), F.lit(20.0)))
-    search = Search(frame, text=TEXT).knn("v", [1.0, 0.5], 2, weight=0.5).match("title", "chamber")
+    search = Search(frame, text=TEXT).limit(10).knn("v", [1.0, 0.5], 2, weight=0.5).match("title", "chamber")
     rows = search.hits().collect()
     assert rows[0]["id"] == "2"
-    search = Search(frame, text=TEXT).rrf("premise", "premise", "alien attack", 1.0)
+    search = Search(frame, text=TEXT).limit(10).rrf("premise", "premise", "alien attack", 1.0)
     assert search.hits().head()["id"] == "3"
-    search = Search(frame, text=TEXT).semantic("premise", "alien attack")
+    search = Search(frame, text=TEXT).limit(10).semantic("premise", "alien attack")
     assert [r["id"] for r in search.hits().collect()] == ["3"]
 
 
 def test_decay_and_factor(books):
-    rows = Search(books).decay_function_score("gauss", "published_at", "1998-06-26", 86400.0 * 365).hits().collect()
+    rows = Search(books).limit(10).decay_function_score("gauss", "published_at", "1998-06-26", 86400.0 * 365).hits().collect()
     assert [r["id"] for r in rows] == ["1", "2", "3"] and rows[0]["_score"] == 1.0
-    rows = Search(books).field_value_factor("price", 2.0).hits().collect()
+    rows = Search(books).limit(10).field_value_factor("price", 2.0).hits().collect()
     assert rows[0]["_score"] == pytest.approx(49.98)
