@@ -87,7 +87,7 @@ def batch_search(
     small = fits_broadcast(asked)
     counts, corpus = relevant_counts(documents, row_id, field, analyzer, asked, small)
     weights = (
-        asked.join(document_frequencies(counts), "term")
+        join_sized(asked, document_frequencies(counts), "term", small)
         .withColumn("corpus", corpus)
         .select(query_id, "term", idf(F.col("corpus.documents"), F.col("df")).alias("weight"))
     )
@@ -135,7 +135,7 @@ def similar_documents(
     telling = F.col("seed_tf") * (F.log((F.col("corpus.documents") + 1) / (F.col("df") + 1)) + 1)
     place = F.row_number().over(Window.partitionBy(seed_id).orderBy(F.desc("telling"), F.asc("term")))
     chosen = (
-        seed_terms.join(document_frequencies(counts).filter(F.col("df") >= min_doc_freq), "term")
+        join_sized(seed_terms, document_frequencies(counts).filter(F.col("df") >= min_doc_freq), "term", small)
         .withColumn("corpus", corpus)
         .withColumn("telling", F.round(telling, 9))
         .withColumn("place", place)

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from tablelens.functions.scoring import bm25, idf
 from tablelens.functions.text import STANDARD, Analyzer
-from tablelens.operators.batch_text import best_per_query, query_terms
+from tablelens.operators.batch_text import MARKER, best_per_query, query_terms
 from tablelens.operators.grouping import TokenGroups
 from tablelens.plans.runtime import fits_broadcast, join_sized, ship_package, written
 from tablelens.plans.scope import field_type
@@ -41,60 +41,66 @@ def field_tokens(schema: T.StructType, field: str, analyzer: Analyzer) -> Column
     return F.flatten(F.transform(analyzer.token_lists(F.col(field)), lambda t: F.concat(t, gap)))
 
 
-def _group_positions(batches):
-    for batch in batches:
-        groups = TokenGroups(batch.column("tokens"))
-        which = pa.array(groups.rows)
-        yield pa.record_batch(
-            {
-                "field": batch.column("field").take(which),
-                "term": groups.terms.take(pa.array(groups.codes)),
-                "id": batch.column("id").take(which),
-                "length": pa.array(groups.lengths[groups.rows].astype(np.int32)),
-                "tf": pa.array(groups.counts.astype(np.int32)),
-                "positions": groups.position_lists(),
-            }
-        )
-
-
-def postings(df: DataFrame, row_id: str, fields: dict[str, Analyzer]) -> DataFrame:
-    """``(field, term, id, length, tf, positions)`` of every text field in one pass, without a shuffle."""
+def _grouped(markers: bool):
+    def group(batches):
+        for batch in batches:
+            groups = TokenGroups(batch.column("tokens"))
+            lengths = groups.lengths.astype(np.int32)
+            which = pa.array(groups.rows)
+            yield pa.record_batch(
+                {
+                    "field": batch.column("field").take(which),
+                    "term": groups.terms.take(pa.array(groups.codes)),
+                    "id": batch.column("id").take(which),
+                    "length": pa.array(lengths[groups.rows]),
+                    "tf": pa.array(groups.counts.astype(np.int32)),
+                    "positions": groups.position_lists(),
+                }
+            )
+            if markers:
+                present = pa.array(np.flatnonzero(lengths))
+                yield pa.record_batch(
+                    {
+                        "field": batch.column("field").take(present),
+                        "term": pa.array([MARKER] * len(present), pa.string()),
+                        "id": batch.column("id").take(present),
+                        "length": pa.array(lengths).take(present),
+                        "tf": pa.array(np.zeros(len(present), dtype=np.int32)),
+                        "positions": pa.array([[]] * len(present), pa.list_(pa.int32())),
+                    }
+                )
+
+    return group
+
+
+def postings(df: DataFrame, row_id: str, fields: dict[str, Analyzer], markers: bool = False) -> DataFrame:
+    """``(field, term, id, length, tf, positions)`` of every text field in one pass, without a shuffle.
+
+    With ``markers``, each non-empty document also yields one row with an empty term and its length.
+    """
     ship_package()
-    schema = df.schema
-    tagged = F.array(
-        *[
-            F.struct(F.lit(f).alias("field"), field_tokens(schema, f, a).alias("tokens"))
-            for f, a in fields.items()
-        ]
+    names = {f: f"__t{i}" for i, f in enumerate(fields)}
+    # A column per field first: analyzers that run in Python cannot enter an array directly.
+    own = df.select(
+        F.col(row_id).alias("id"), *[field_tokens(df.schema, f, a).alias(names[f]) for f, a in fields.items()]
     )
-    # Analyzers that run in Python need a column of their own before they enter the array.
-    if all(a.runs_in_jvm for a in fields.values()):
-        rows = df.select(F.col(row_id).alias("id"), F.explode(tagged).alias("f"))
-    else:
-        names = {f: f"__t{i}" for i, f in enumerate(fields)}
-        own = df.select(
-            F.col(row_id).alias("id"), *[field_tokens(schema, f, a).alias(names[f]) for f, a in fields.items()]
-        )
-        tagged = F.array(*[F.struct(F.lit(f).alias("field"), F.col(n).alias("tokens")) for f, n in names.items()])
-        rows = own.select("id", F.explode(tagged).alias("f"))
-    rows = rows.select("id", "f.field", "f.tokens").filter(F.col("tokens").isNotNull())
+    tagged = F.array(*[F.struct(F.lit(f).alias("field"), F.col(n).alias("tokens")) for f, n in names.items()])
+    rows = own.select("id", F.explode(tagged).alias("f")).select("id", "f.field", "f.tokens")
     id_type = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(
-        _group_positions,
-        f"field string, term string, id {id_type}, length int, tf int, positions array<int>",
+    return rows.filter(F.col("tokens").isNotNull()).mapInArrow(
+        _grouped(markers), f"field string, term string, id {id_type}, length int, tf int, positions array<int>"
     )
 
 
-def term_statistics(posting_rows: DataFrame) -> DataFrame:
-    return posting_rows.groupBy("field", "term").agg(F.count("*").alias("df"), F.sum("tf").alias("cf"))
+def term_statistics(rows: DataFrame) -> DataFrame:
+    found = rows.filter(F.col("term") != MARKER)
+    return found.groupBy("field", "term").agg(F.count("*").alias("df"), F.sum("tf").alias("cf"))
 
 
-def field_statistics(posting_rows: DataFrame) -> DataFrame:
-    # The first position group of a document carries its length once.
-    one_per_document = posting_rows.groupBy("field", "id").agg(F.max("length").alias("length"))
-    return one_per_document.groupBy("field").agg(
-        F.count("*").alias("documents"), F.avg("length").alias("average")
-    )
+def field_statistics(rows: DataFrame) -> DataFrame:
+    """From the marker rows: documents and average length per field."""
+    marked = rows.filter(F.col("term") == MARKER)
+    return marked.groupBy("field").agg(F.count("*").alias("documents"), F.avg("length").alias("average"))
 
 
 class TextIndex:
@@ -110,15 +116,16 @@ class TextIndex:
     @classmethod
     def write(cls, df: DataFrame, row_id: str, fields: dict[str, Analyzer], folder: str, files: int | None = None):
         spark = df.sparkSession
-        rows = written(postings(df, row_id, fields), "postings")
+        rows = written(postings(df, row_id, fields, markers=True), "postings")
         keys = ["field", "term", "id"]
-        ranged = rows.repartitionByRange(files, *keys) if files else rows.repartitionByRange(*keys)
+        held = rows.filter(F.col("term") != MARKER)
+        ranged = held.repartitionByRange(files, *keys) if files else held.repartitionByRange(*keys)
         ranged.sortWithinPartitions(*keys).write.mode("overwrite").parquet(f"{folder}/postings")
         stored = spark.read.parquet(f"{folder}/postings")
         term_statistics(stored).repartitionByRange("field", "term").sortWithinPartitions("field", "term").write.mode(
             "overwrite"
         ).parquet(f"{folder}/terms")
-        field_statistics(stored).write.mode("overwrite").parquet(f"{folder}/fields")
+        field_statistics(rows).write.mode("overwrite").parquet(f"{folder}/fields")
         return cls.open(spark, folder, fields)
 
     @classmethod
@@ -129,6 +136,10 @@ class TextIndex:
         return self.fields.filter(F.col("field") == field).select(F.struct("documents", "average")).scalar()
 
     def _scored(self, rows: DataFrame, weights: DataFrame, field: str, keys: list[str], broadcast: bool) -> DataFrame:
+        if broadcast:
+            # Only the terms asked for are shuffled, once, by document; the pairs then stay in place.
+            wanted = weights.select("term").distinct()
+            rows = rows.join(F.broadcast(wanted), "term", "left_semi").repartition("id")
         pairs = join_sized(rows, weights, "term", broadcast).withColumn("corpus", self._corpus(field))
         part = bm25(F.col("tf").cast("double"), F.col("length"), F.col("corpus.average"), F.col("weight"))
         return pairs.groupBy(*keys, "id").agg(F.sum(part).alias("_score"), F.count("*").alias("matched"))
@@ -164,7 +175,9 @@ class TextIndex:
         asked = query_terms(queries, query_id, text, self.analyzers.get(field, STANDARD))
         small = fits_broadcast(asked)
         known = self.terms.filter(F.col("field") == field).select("term", "df")
-        weights = asked.join(known, "term").withColumn("corpus", self._corpus(field))
+        # The vocabulary may be large; only the terms asked for are joined to the queries.
+        known = join_sized(known, asked.select("term").distinct(), "term", small)
+        weights = join_sized(asked, known, "term", small).withColumn("corpus", self._corpus(field))
         weights = weights.select(query_id, "term", idf(F.col("corpus.documents"), F.col("df")).alias("weight"))
         rows = self.postings.filter(F.col("field") == field).select("term", "id", "length", "tf")
         scored = self._scored(rows, weights, field, [query_id], small)

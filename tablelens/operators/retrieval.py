@@ -104,7 +104,8 @@ def nearest_for_each(
     query_blocks = max(-(-asked.count() // queries_per_block), 1)
 
     def spread(frame: DataFrame, key: str, own: int, other: int, own_name: str, other_name: str) -> DataFrame:
-        mine = F.pmod(F.xxhash64(key), F.lit(own)).cast("int").alias(own_name)
+        # The vector takes part in the hash, so copies under one id are spread too.
+        mine = F.pmod(F.xxhash64(key, "v"), F.lit(own)).cast("int").alias(own_name)
         copies = F.explode(F.sequence(F.lit(0), F.lit(other - 1))).alias(other_name)
         return frame.select("*", mine).select("*", copies)
 

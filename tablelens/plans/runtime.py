@@ -15,6 +15,7 @@ BROADCAST_BYTES = 32 << 20
 
 
 _shipped: set[str] = set()
+_stages: list[str] = []
 
 
 def ship_package() -> None:
@@ -57,17 +58,25 @@ def written(df: DataFrame, name: str = "stage") -> DataFrame:
     """The frame as a written table: short lineage, computed once, safe against lost executors."""
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
+    _stages.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def clear_stages(spark: SparkSession) -> None:
+    """Delete the tables written on the way; frames built on them must be finished."""
+    while _stages:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_stages.pop())
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def measured_bytes(df: DataFrame) -> int:
     """Total size of the rows as JSON text, by one aggregate; an upper-side estimate of their size."""
     size = F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
     return df.agg(F.coalesce(F.sum(size), F.lit(0))).head()[0]
 
 
-def fits_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
-    return measured_bytes(df) <= max_bytes
+def fits_broadcast(df: DataFrame, max_bytes: int | None = None) -> bool:
+    return measured_bytes(df) <= (BROADCAST_BYTES if max_bytes is None else max_bytes)
 
 
 def join_sized(big: DataFrame, small: DataFrame, on, broadcast: bool, salts: int = 16) -> DataFrame:

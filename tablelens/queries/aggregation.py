@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tablelens.operators import aggregations as A
 from tablelens.plans.search import Search
 from tablelens.queries import query
-from tablelens.queries.filters import conversations
+from tablelens.queries.filters import LINES, lined
 from tablelens.sources.reader import read_table as read
 
 
@@ -53,11 +53,12 @@ def _(spark, d):
 
 @query(
     "facets_nested",
-    """WITH c AS (SELECT 'role' AS facet, role AS key, count(DISTINCT conv_id) AS count FROM conversations GROUP BY role)
+    f"""WITH c AS (SELECT 'kind' AS facet, kind AS key, count(DISTINCT doc_id) AS count FROM {LINES} GROUP BY kind
+          UNION ALL SELECT 'lang', lang, count(*) FROM documents GROUP BY lang)
        SELECT facet, key, count, 0::BIGINT AS doc_count_error, 0::BIGINT AS other_count FROM c""",
 )
 def _(spark, d):
-    return A.facets(conversations(spark, d), {"role": "turns.role"})
+    return A.facets(lined(spark, d), {"kind": "lines.kind", "lang": "lang"})
 
 
 @query("facet_approximate")

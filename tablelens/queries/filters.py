@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tablelens.plans.search import Search
 from tablelens.queries import query
 from tablelens.sources.reader import read_table as read
+from tablelens.sources.reader import spread
 
 
 def labelled(spark, d):
@@ -20,13 +21,22 @@ LABELLED = """(SELECT d.doc_id, d.lang, d.source, d.n_chars, l.quality, l.toxic
  FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)"""
 
 
-def conversations(spark, d):
-    """One row per conversation with its turns as an array of structs."""
-    turns = read(spark, d, "conversations")
-    by_conversation = turns.groupBy("conv_id").agg(
-        F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("turns")
-    )
-    return by_conversation
+def lined(spark, d):
+    """Documents with their lines as an array of structs, derived within each row."""
+    def line(text, number):
+        size = F.length(text)
+        kind = F.when(size == 0, "empty").when(size < 80, "short").when(size < 400, "medium").otherwise("long")
+        return F.struct(number.alias("line"), size.alias("size"), kind.alias("kind"), text.alias("text"))
+
+    rows = spread(read(spark, d, "documents"), "doc_id")
+    return rows.select("doc_id", "lang", F.transform(F.split("text", "\n"), line).alias("lines"))
+
+
+# One row per line of every document, as above.
+LINES = """(SELECT doc_id, lang, line, length(text) AS size, text, CASE WHEN length(text) = 0 THEN 'empty'
+    WHEN length(text) < 80 THEN 'short' WHEN length(text) < 400 THEN 'medium' ELSE 'long' END AS kind
+  FROM (SELECT doc_id, lang, unnest(string_split(text, chr(10))) AS text,
+          generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line FROM documents))"""
 
 
 def unscored(search):
@@ -49,13 +59,12 @@ def _(spark, d):
 
 @query(
     "fields_nested",
-    """SELECT conv_id, list({'role': role} ORDER BY turn, role, text)::VARCHAR AS turns
-       FROM conversations GROUP BY conv_id""",
+    f"""SELECT doc_id, string_agg(line || ':' || size, ',' ORDER BY line) AS lines FROM {LINES} GROUP BY doc_id""",
 )
 def _(spark, d):
-    rows = unscored(Search(conversations(spark, d), "conv_id").source_excludes(["turns.text", "turns.turn"]))
-    roles = F.transform("turns", lambda t: F.concat(F.lit("{'role': "), t["role"], F.lit("}")))
-    return rows.select("conv_id", F.concat(F.lit("["), F.array_join(roles, ", "), F.lit("]")).alias("turns"))
+    rows = unscored(Search(lined(spark, d), "doc_id").source_excludes(["lang", "lines.text", "lines.k*"]))
+    pairs = F.transform("lines", lambda t: F.concat_ws(":", *[t[f].cast("string") for f in ("line", "size")]))
+    return rows.select("doc_id", F.array_join(pairs, ",").alias("lines"))
 
 
 @query("term_exact", "SELECT * FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority = '1-URGENT'")
@@ -211,66 +220,69 @@ def _(spark, d):
     return unscored(Search(read(spark, d, "part"), "p_partkey").wildcard("p_name", "*e* *").wildcard("p_brand", "Brand#1?"))
 
 
-LONG_REPLY = "role = 'assistant' AND turn >= 2"
+LATE_LONG = "line >= 1 AND size > 200"
 
 
-@query("nested_same_element", f"SELECT DISTINCT conv_id FROM conversations WHERE {LONG_REPLY}")
+def late_long(q):
+    return q.range("lines.line", "gte", 1).range("lines.size", "gt", 200)
+
+
+@query("nested_same_element", f"SELECT DISTINCT doc_id FROM {LINES} WHERE {LATE_LONG}")
 def _(spark, d):
-    search = Search(conversations(spark, d), "conv_id")
-    search.nested("turns", lambda q: q.term("turns.role", "assistant").range("turns.turn", "gte", 2))
-    return unscored(search.fields(["conv_id"]))
+    return unscored(Search(lined(spark, d), "doc_id").nested("lines", late_long).fields(["doc_id"]))
 
 
-@query(
-    "nested_unmapped_path",
-    "SELECT DISTINCT conv_id FROM conversations WHERE false",
-)
+@query("nested_unmapped_path", "SELECT doc_id FROM documents WHERE lang IN ('fr', 'de')")
 def _(spark, d):
-    search = Search(conversations(spark, d), "conv_id")
-    return unscored(search.nested("no_such_path", lambda q: q.term("a", 1), ignore_unmapped=True).fields(["conv_id"]))
+    search = Search(lined(spark, d), "doc_id")
+    search.should(
+        [
+            lambda q: q.nested("no_such_path", lambda n: n.term("a", 1), ignore_unmapped=True),
+            lambda q: q.term("lang", "fr"),
+            lambda q: q.term("lang", "de"),
+        ]
+    )
+    return unscored(search.fields(["doc_id"]))
 
 
 @query(
     "nested_text",
-    r"""SELECT DISTINCT conv_id FROM conversations
-        WHERE role = 'user' AND list_contains(regexp_extract_all(lower(text), '[\p{L}\p{N}]+'), 'the')""",
+    rf"""SELECT DISTINCT doc_id FROM {LINES}
+        WHERE line >= 1 AND list_contains(regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}]+'), 'thing')""",
 )
 def _(spark, d):
-    search = Search(conversations(spark, d), "conv_id")
-    search.nested("turns", lambda q: q.term("turns.role", "user").match("turns.text", "the"))
-    return unscored(search.fields(["conv_id"]))
+    search = Search(lined(spark, d), "doc_id")
+    search.nested("lines", lambda q: q.range("lines.line", "gte", 1).match("lines.text", "thing"))
+    return unscored(search.fields(["doc_id"]))
 
 
 @query(
     "nested_inner_hits",
-    f"""SELECT conv_id, turn, role FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS r
-          FROM conversations WHERE {LONG_REPLY}) WHERE r <= 3""",
+    f"""SELECT doc_id, line, size, text FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY line) AS r
+          FROM {LINES} WHERE {LATE_LONG}) WHERE r <= 3""",
 )
 def _(spark, d):
-    search = Search(conversations(spark, d), "conv_id")
-    search.nested(
-        "turns", lambda q: q.term("turns.role", "assistant").range("turns.turn", "gte", 2), inner_hits="replies"
-    )
-    return search.hits().select("conv_id", F.explode("replies").alias("r")).select("conv_id", "r.turn", "r.role")
+    search = Search(lined(spark, d), "doc_id").nested("lines", late_long, inner_hits="found")
+    return search.hits().select("doc_id", F.explode("found").alias("f")).select("doc_id", "f.line", "f.size", "f.text")
 
 
 def _nested_score(mode, expression):
     @query(
         f"nested_score_{mode}",
-        f"""SELECT conv_id, round({expression}, 6) AS _score FROM (
-              SELECT conv_id, 1.0 + CASE WHEN turn >= 4 THEN 1.0 ELSE 0.0 END AS s
-              FROM conversations WHERE role = 'assistant') GROUP BY conv_id""",
+        f"""SELECT doc_id, round({expression}, 6) AS _score FROM (
+              SELECT doc_id, 1.0 + CASE WHEN line >= 4 THEN 1.0 ELSE 0.0 END AS s
+              FROM {LINES} WHERE size > 50) GROUP BY doc_id""",
     )
     def _(spark, d):
-        search = Search(conversations(spark, d), "conv_id")
+        search = Search(lined(spark, d), "doc_id")
         search.nested(
-            "turns",
-            lambda q: q.term("turns.role", "assistant").should(
-                [lambda b: b.range("turns.turn", "gte", 4), lambda b: b.exists("turns.nothing")], 0
+            "lines",
+            lambda q: q.range("lines.size", "gt", 50).should(
+                [lambda b: b.range("lines.line", "gte", 4), lambda b: b.exists("lines.nothing")], 0
             ),
             score_mode=mode,
         )
-        return search.hits().select("conv_id", F.round("_score", 6).alias("_score"))
+        return search.hits().select("doc_id", F.round("_score", 6).alias("_score"))
 
 
 for _mode, _expression in {

@@ -11,7 +11,7 @@ from tablelens.plans.criteria import fuzzy, phrase, prefix, word
 from tablelens.plans.runtime import new_path
 from tablelens.plans.search import Search
 from tablelens.queries import query
-from tablelens.queries.filters import conversations, unscored
+from tablelens.queries.filters import LINES, lined, unscored
 from tablelens.sources.reader import read_table, spread
 
 WORDS = r"regexp_extract_all(lower({0}), '[\p{{L}}\p{{N}}]+')"
@@ -151,14 +151,14 @@ def _(spark, d):
 
 @query(
     "analyze_all_fields",
-    f"""WITH o AS (SELECT 'turns.role' AS field, conv_id, unnest({WORDS.format('role')}) AS term FROM conversations
-          UNION ALL SELECT 'turns.text', conv_id, unnest({DOC_WORDS}) FROM conversations)
-        SELECT field, term, count(DISTINCT conv_id) AS df, count(*) AS cf FROM o GROUP BY field, term""",
+    f"""WITH o AS (SELECT 'lang' AS field, doc_id, unnest({WORDS.format('lang')}) AS term FROM documents
+          UNION ALL SELECT 'lines.kind', doc_id, kind FROM {LINES}
+          UNION ALL SELECT 'lines.text', doc_id, unnest({DOC_WORDS}) FROM {LINES})
+        SELECT field, term, count(DISTINCT doc_id) AS df, count(*) AS cf FROM o GROUP BY field, term""",
 )
 def _(spark, d):
-    rows = conversations(spark, d)
-    fields = {f: T.STANDARD for f in text_fields(rows.schema)}
-    return term_statistics(postings(rows, "conv_id", fields))
+    rows = lined(spark, d)
+    return term_statistics(postings(rows, "doc_id", {f: T.STANDARD for f in text_fields(rows.schema)}))
 
 
 @query(
@@ -168,7 +168,7 @@ def _(spark, d):
         FROM (SELECT {DOC_WORDS} AS t FROM documents)""",
 )
 def _(spark, d):
-    found = field_statistics(postings(documents(spark, d), "doc_id", {"text": T.STANDARD}))
+    found = field_statistics(postings(documents(spark, d), "doc_id", {"text": T.STANDARD}, markers=True))
     return found.select("field", "documents", F.round("average", 6).alias("average"))
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablelens.plans.runtime import fits_broadcast
 
@@ -31,14 +32,22 @@ def upsert(old: DataFrame, batch: DataFrame, row_id: str, sequence: str | None =
     if sequence is not None:
         given = last_per_id(given, row_id, sequence)
     kept = old.join(_keys(given, row_id), row_id, "left_anti")
-    out = kept.unionByName(given, allowMissingColumns=True)
-    if str(old.schema[row_id].dataType) == "StringType()":
-        # Used once, right before the write, so that a new id is drawn only once.
-        unnamed = batch.filter(F.col(row_id).isNull()).withColumn(row_id, F.expr("uuid()"))
-        out = out.unionByName(unnamed, allowMissingColumns=True)
+    # Used once, right before the write, so that a new id is drawn only once.
+    unnamed = with_ids(batch.filter(F.col(row_id).isNull()), row_id)
+    out = kept.unionByName(given, allowMissingColumns=True).unionByName(unnamed, allowMissingColumns=True)
     return out.drop(sequence) if sequence is not None and sequence not in old.columns else out
 
 
+def with_ids(batch: DataFrame, row_id: str) -> DataFrame:
+    """Random ids where they are missing; only a text id can be drawn, any other is an error."""
+    kind = batch.schema[row_id].dataType
+    if isinstance(kind, T.StringType):
+        drawn = F.expr("uuid()")
+    else:
+        drawn = F.raise_error(F.lit(f"a record has no {row_id}, and a {kind.simpleString()} cannot be drawn")).cast(kind)
+    return batch.withColumn(row_id, F.coalesce(F.col(row_id), drawn))
+
+
 def patch(old: DataFrame, changes: DataFrame, row_id: str, provided: dict[str, Column] | None = None) -> DataFrame:
     """Only the provided fields change; by default a non-null value counts as provided.
 

@@ -77,12 +77,9 @@ class VersionedTable:
         )
 
     def _locations(self, table: str) -> dict[int, str]:
-        places = {}
-        for row in self.spark.sql(f"SHOW PARTITIONS {table}").collect():
-            number = int(row[0].split("=", 1)[1])
-            described = self.spark.sql(f"DESCRIBE EXTENDED {table} PARTITION ({BUCKET}={number})").collect()
-            places[number] = next(r["data_type"] for r in described if r["col_name"] == "Location")
-        return places
+        """Bucket folders of a snapshot, from the list written with it (one row per bucket)."""
+        rows = self.spark.read.schema("bucket int, place string").parquet(f"{self.folder}/{table}-buckets").collect()
+        return {r["bucket"]: r["place"] for r in rows}
 
     def _publish(self, schema: T.StructType, version: int, buckets: int, places: dict[int, str], extra: dict[str, str]) -> str:
         """Register the snapshot's buckets, then switch the view."""
@@ -95,6 +92,8 @@ class VersionedTable:
         if places:
             parts = " ".join(f"PARTITION ({BUCKET}={b}) LOCATION '{p}'" for b, p in sorted(places.items()))
             self.spark.sql(f"ALTER TABLE {table} ADD {parts}")
+        listed = self.spark.createDataFrame(sorted(places.items()), "bucket int, place string")
+        listed.coalesce(1).write.parquet(f"{self.folder}/{table}-buckets")
         facts = {"snapshot": table, "version": str(version), "buckets": str(buckets), "row_id": self.row_id, **extra}
         listed = ", ".join(f"'{k}' = '{v}'" for k, v in facts.items())
         names = ", ".join(f"`{f.name}`" for f in schema.fields)
@@ -181,14 +180,13 @@ class VersionedTable:
     def upsert(self, batch: DataFrame, sequence: str | None = None, source: str = "", batch_id: int | None = None) -> bool:
         """Write a batch by id; a repeated ``batch_id`` of a source is skipped and returns False.
 
-        A record without an id gets a random one before its bucket is chosen, so such a batch is
-        written once to the shared folder first.
+        The batch is written to the shared folder first: it is read several times, and a record
+        without an id gets its random one only once.
         """
         mark = f"batch.{source}"
         if batch_id is not None and int(self.properties().get(mark, -1)) >= batch_id:
             return False
-        if isinstance(batch.schema[self.row_id].dataType, T.StringType):
-            batch = written(batch.withColumn(self.row_id, F.coalesce(F.col(self.row_id), F.expr("uuid()"))), "batch")
+        batch = written(changes.with_ids(batch, self.row_id), "batch")
         extra = {mark: str(batch_id)} if batch_id is not None else {}
         self._rewrite(batch, lambda old: changes.upsert(old, batch, self.row_id, sequence), extra)
         return True
