@@ -2,7 +2,7 @@
 
 from tablelens.functions.text import ENGLISH, FOLDED, STANDARD, Analyzer
 from tablelens.plans.criteria import Criteria, fuzzy, phrase, prefix, word
-from tablelens.plans.search import Result, Search
+from tablelens.plans.search import Result, Search, with_tokens
 
 __all__ = [
     "ENGLISH",
@@ -15,5 +15,6 @@ __all__ = [
     "fuzzy",
     "phrase",
     "prefix",
+    "with_tokens",
     "word",
 ]

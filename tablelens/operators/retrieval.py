@@ -37,7 +37,6 @@ def nearest(
     cheaper than computing one, so ``num_candidates`` changes nothing.
     """
     metric = similarity if isinstance(similarity, str) else "cosine"
-    query = V.literal_vector(vector)
     rows = df.filter(F.col(field).isNotNull())
     if filter is not None:
         rows = rows.filter(filter)
@@ -45,7 +44,7 @@ def nearest(
         far = V.hamming(F.col(signature), V.vector_signature(vector, seed=seed))
         chosen = rows.select(row_id, far.alias("far")).orderBy("far", row_id).limit(max(num_candidates, k))
         rows = rows.join(F.broadcast(chosen.select(row_id)), row_id, "left_semi")
-    scored = rows.select(row_id, V.similarity(F.col(field), query, metric).alias("raw"))
+    scored = rows.select(row_id, V.similarity_to(F.col(field), vector, metric).alias("raw"))
     if similarity is not None and not isinstance(similarity, str):
         scored = scored.filter(V.within(F.col("raw"), float(similarity), metric))
     return _best(scored.select(row_id, V.score(F.col("raw"), metric).alias("_score")), row_id, k)

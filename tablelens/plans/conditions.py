@@ -50,7 +50,7 @@ class Condition:
 
     def reads_table_only(self, scope: Scope) -> bool:
         """The filter needs no prepared column and no collection statistics."""
-        return all(scope.analyzer(f).runs_in_jvm for f in self.text_fields())
+        return all(scope.reads_table_only(f) for f in self.text_fields())
 
 
 @dataclass
@@ -62,7 +62,7 @@ class Term(Condition):
         return scope.is_text(self.field)
 
     def reads_table_only(self, scope):
-        return scope.analyzer(self.field).runs_in_jvm
+        return scope.reads_table_only(self.field)
 
     def hit(self, scope):
         kind = scope.type_of(self.field)
@@ -199,7 +199,7 @@ class TermsSet(Condition):
         return scope.is_text(self.field)
 
     def reads_table_only(self, scope):
-        return scope.analyzer(self.field).runs_in_jvm
+        return scope.reads_table_only(self.field)
 
 
 @dataclass

@@ -86,9 +86,10 @@ class Statistics:
 
 
 class Scope:
-    def __init__(self, schema: T.StructType, analyzers: dict[str, Analyzer]):
+    def __init__(self, schema: T.StructType, analyzers: dict[str, Analyzer], stored: dict[str, str] | None = None):
         self.schema = schema
         self.analyzers = analyzers
+        self.stored = stored or {}
         self.prepared: dict[str, Column] = {}
         self.derived: dict[str, Column] = {}
         self.statistics = Statistics()
@@ -96,7 +97,8 @@ class Scope:
     # Fields -----------------------------------------------------------------
 
     def type_of(self, field: str) -> T.DataType | None:
-        return field_type(self.schema, field)
+        # A field with stored tokens may be searched without its text.
+        return field_type(self.schema, field) or (T.StringType() if field in self.stored else None)
 
     def column(self, field: str) -> Column:
         return F.col(field)
@@ -111,6 +113,8 @@ class Scope:
         return self.analyzers.get(field, STANDARD)
 
     def tokens(self, field: str) -> Column:
+        if field in self.stored:
+            return F.col(self.stored[field])
         analyzer = self.analyzer(field)
         if isinstance(self.type_of(field), T.ArrayType):
             expr = F.flatten(analyzer.token_lists(self.column(field)))
@@ -122,8 +126,14 @@ class Scope:
         self.prepared.setdefault(name, expr)
         return F.col(name)
 
+    def analyzed(self, field: str) -> Column:
+        """Tokens for rows outside the filter, such as those of a page."""
+        return F.col(self.stored[field]) if field in self.stored else self.analyzer(field).tokens(self.column(field))
+
     def scored_tokens(self, field: str) -> Column:
         """Tokens as a column of their own, so several uses share one evaluation."""
+        if field in self.stored:
+            return F.col(self.stored[field])
         tokens = self.tokens(field)
         name = f"__tokens_{safe_name(field)}"
         self.prepared.setdefault(name, tokens)
@@ -132,6 +142,10 @@ class Scope:
     def use_text(self, field: str) -> None:
         self.tokens(field)
 
+    def reads_table_only(self, field: str) -> bool:
+        """The field's tokens are stored or are an expression of its text."""
+        return field in self.stored or self.analyzer(field).runs_in_jvm
+
     # Relevance ---------------------------------------------------------------
 
     def _units(self, field: str) -> tuple[Column, bool]:
@@ -172,7 +186,7 @@ class Scope:
     def prefilter(self, field: str, words: list[str]) -> list[Column]:
         """Cheap substring tests implied by the presence of the words."""
         analyzer = self.analyzer(field)
-        if analyzer != STANDARD or not isinstance(self.type_of(field), T.StringType):
+        if field in self.stored or analyzer != STANDARD or not isinstance(self.type_of(field), T.StringType):
             return []
         return [F.lower(self.column(field)).contains(w) for w in words]
 

@@ -44,16 +44,26 @@ class Highlight:
     options: dict = attr(default_factory=dict)
 
 
+def with_tokens(df: DataFrame, text: dict[str, Analyzer]) -> tuple[DataFrame, dict[str, str]]:
+    """The table with a token column per text field, to be written once, and the names for ``tokens``."""
+    names = {field: f"tokens_{field}" for field in text}
+    return df.withColumns({names[f]: a.tokens(F.col(f)) for f, a in text.items()}), names
+
+
 class Search(Criteria):
     """Conditions, scoring, retrieval, sorting, paging and aggregations over a DataFrame.
 
     ``text`` names the analyzed fields and their analyzers; any other string field is matched as
-    plain words.  Methods return the search itself.
+    plain words.  ``tokens`` names columns that hold a field's tokens already (see
+    :func:`with_tokens`), so that searches read those instead of analyzing the text again.  Methods
+    return the search itself.
     """
 
-    def __init__(self, df: DataFrame, id: str = "id", text: dict[str, Analyzer] | None = None):
+    def __init__(
+        self, df: DataFrame, id: str = "id", text: dict[str, Analyzer] | None = None, tokens: dict[str, str] | None = None
+    ):
         super().__init__()
-        self.df, self.id, self.text = df, id, dict(text or {})
+        self.df, self.id, self.text, self.tokens = df, id, dict(text or {}), dict(tokens or {})
         self._include: list[str] = []
         self._exclude: list[str] = []
         self._sorts: list[paging.SortKey] = []
@@ -188,7 +198,7 @@ class Search(Criteria):
 
     def rrf(self, semantic_field: str, standard_field: str, phrase: str, weight: float = 1.0, embed=None):
         def run() -> DataFrame:
-            lexical = Search(self.df, self.id, self.text).match(standard_field, phrase)._scored_rows()
+            lexical = Search(self.df, self.id, self.text, self.tokens).match(standard_field, phrase)._scored_rows()
             lists = [lexical.select(self.id, "_score"), self._semantic_list(semantic_field, phrase, embed)]
             return fusion.reciprocal_rank(lists, self.id, self._window, self._constant)
 
@@ -217,7 +227,7 @@ class Search(Criteria):
     # Plan -------------------------------------------------------------------------
 
     def _scope(self) -> Scope:
-        return Scope(self.df.schema, self.text)
+        return Scope(self.df.schema, self.text, self.tokens)
 
     def _filtered(self, scope: Scope, scored: bool) -> tuple[DataFrame, Column]:
         """Matching rows with what scoring needs, and the score."""
@@ -330,7 +340,7 @@ class Search(Criteria):
 
     def _phase_columns(self, rows: DataFrame) -> DataFrame:
         """Second-query scores of retrieved rows, with statistics of the whole table."""
-        inner = Search(self.df, self.id, self.text)
+        inner = Search(self.df, self.id, self.text, self.tokens)
         inner._phases = self._phases
         wide, _ = inner._filtered(inner._scope(), True)
         names = [f"__phase{i}" for i in range(len(self._phases))]
@@ -366,7 +376,7 @@ class Search(Criteria):
             analyzer, col = scope.analyzer(name), F.col(name)
             parts = self._accepting(scope, name)
             column = f"highlight_{name.replace('.', '_')}"
-            rows = rows.withColumn("__analyzed", analyzer.tokens(col)).withColumn("__words", analyzer.words(col))
+            rows = rows.withColumn("__analyzed", scope.analyzed(name)).withColumn("__words", analyzer.words(col))
             found = H.highlight(
                 col,
                 F.col("__analyzed"),

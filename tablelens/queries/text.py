@@ -8,8 +8,8 @@ from tablelens.functions import text as T
 from tablelens.operators import batch_text as B
 from tablelens.operators.postings import TextIndex, field_statistics, postings, term_statistics, text_fields
 from tablelens.plans.criteria import fuzzy, phrase, prefix, word
-from tablelens.plans.runtime import new_path
-from tablelens.plans.search import Search
+from tablelens.plans.runtime import new_path, written
+from tablelens.plans.search import Search, with_tokens
 from tablelens.queries import query
 from tablelens.queries.filters import LINES, lined, unscored
 from tablelens.sources.reader import read_table, spread
@@ -206,6 +206,14 @@ def _(spark, d):
     return scores(search(spark, d).match("text", "than", boost=2.5))
 
 
+@query("match_stored_tokens", match_sql(["thing", "only", "there"], 1))
+def _(spark, d):
+    """Tokens written once; the search does not read the texts."""
+    wide, names = with_tokens(documents(spark, d), {"text": T.STANDARD})
+    stored = written(wide.select("doc_id", names["text"]), "tokens")
+    return scores(Search(stored, "doc_id", {"text": T.STANDARD}, names).match("text", "thing only there"))
+
+
 FUZZY = "levenshtein(term, 'thing') <= 1"
 
 
