@@ -37,7 +37,8 @@ def facet_counts(df: DataFrame, fields) -> DataFrame:
     many = [array for _, array in tagged if array is not None]
     pairs = [F.array(*single)] if single else []
     pairs += [F.coalesce(array, F.array().cast("array<struct<facet:string,key:string>>")) for array in many]
-    rows = df.select(F.explode(F.concat(*pairs) if len(pairs) > 1 else pairs[0]).alias("p"))
+    # The outer form: the inner one would first compute the whole array once more to test its size.
+    rows = df.select(F.explode_outer(F.concat(*pairs) if len(pairs) > 1 else pairs[0]).alias("p"))
     counts = rows.select("p.facet", "p.key").filter(F.col("key").isNotNull())
     return counts.groupBy("facet", "key").agg(F.count("*").alias("count"))
 
@@ -66,7 +67,7 @@ def facets(df: DataFrame, fields, limit: int = 25) -> DataFrame:
 def approximate_facet(df: DataFrame, field: str, limit: int = 25, counters: int = 10_000) -> DataFrame:
     """Most frequent values from a bounded sketch: one small state per task, no shuffle by value."""
     one, many = _tagged(df, field, field)
-    pairs = df.select((one if many is None else F.explode(many)).alias("p"))
+    pairs = df.select((one if many is None else F.explode_outer(many)).alias("p"))
     values = pairs.select("p.key").filter(F.col("key").isNotNull())
     top = values.agg(F.expr(f"approx_top_k(key, {int(limit)}, {int(counters)})").alias("top"))
     return top.select(F.explode("top").alias("t")).select(F.col("t.item").alias("key"), F.col("t.count").alias("count"))

@@ -27,7 +27,7 @@ def analyzed(df: DataFrame, row_id: str, field: str, analyzer: Analyzer) -> Data
 
 
 def query_terms(queries: DataFrame, query_id: str, text: str, analyzer: Analyzer) -> DataFrame:
-    terms = queries.select(query_id, F.explode(F.array_distinct(analyzer.tokens(F.col(text)))).alias("term"))
+    terms = queries.select(query_id, F.explode_outer(F.array_distinct(analyzer.tokens(F.col(text)))).alias("term"))
     return terms.filter(F.col("term") != "")
 
 

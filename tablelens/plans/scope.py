@@ -60,7 +60,7 @@ class Statistics:
         out = {}
         for name, (part, limit, units, many) in self._expansions.items():
             tokens = F.flatten(units) if many else units
-            terms = documents.select(F.explode(tokens).alias("term")).filter(part.accepts(F.col("term")))
+            terms = documents.select(F.explode_outer(tokens).alias("term")).filter(part.accepts(F.col("term")))
             terms = terms.groupBy("term").agg(F.count("*").alias("n"))
             away = F.levenshtein("term", F.lit(part.text))
             nearest = terms.select("term", "n", away.alias("away")).orderBy("away", F.desc("n"), "term").limit(limit)

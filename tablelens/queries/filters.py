@@ -263,7 +263,7 @@ def _(spark, d):
 )
 def _(spark, d):
     search = Search(lined(spark, d), "doc_id").nested("lines", late_long, inner_hits="found")
-    return search.hits().select("doc_id", F.explode("found").alias("f")).select("doc_id", "f.line", "f.size", "f.text")
+    return search.hits().select("doc_id", F.explode_outer("found").alias("f")).select("doc_id", "f.line", "f.size", "f.text")
 
 
 def _nested_score(mode, expression):

@@ -100,7 +100,7 @@ def _(spark, d):
 def _(spark, d):
     analyzer = T.Analyzer(dropped_chars="®™")
     name = F.concat("p_name", F.lit("® "), "p_brand", F.lit("™"))
-    terms = read_table(spark, d, "part").select(F.explode(analyzer.tokens(name)).alias("term"))
+    terms = read_table(spark, d, "part").select(F.explode_outer(analyzer.tokens(name)).alias("term"))
     return terms.groupBy("term").agg(F.count("*").alias("n"))
 
 
@@ -478,9 +478,9 @@ def _tagged(words: str) -> str:
 )
 def _(spark, d):
     hits = search(spark, d).match("text", "thing only").highlight_field("text").hits()
-    return hits.select("doc_id", F.posexplode("highlight_text").alias("rank", "fragment")).select(
+    return hits.select("doc_id", F.posexplode_outer("highlight_text").alias("rank", "fragment")).select(
         "doc_id", F.col("rank").cast("long").alias("rank"), "fragment"
-    )
+    ).filter(F.col("fragment").isNotNull())
 
 
 @query("english_match_and_highlight")
