@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,32 +14,36 @@ from tablelens.plans.runtime import ship_package
 
 
 class TokenGroups:
-    """The distinct kept tokens of every list in a batch, with their counts and positions."""
+    """The distinct kept tokens of every list in a batch, with their counts and, if asked, positions."""
 
-    def __init__(self, lists: pa.Array, rename: Callable[[list[str]], pa.Array] | None = None):
+    def __init__(
+        self, lists: pa.Array, rename: Callable[[list[str]], pa.Array] | None = None, with_positions: bool = False
+    ):
         sizes = lists.value_lengths().to_numpy(zero_copy_only=False)
         codes = lists.flatten().dictionary_encode()
-        kept = np.array([t != "" for t in codes.dictionary.to_pylist()], dtype=bool)
+        code = codes.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        kept = pc.not_equal(codes.dictionary, "").to_numpy(zero_copy_only=False)[code]
         self.terms = codes.dictionary
-        code = codes.indices.to_numpy(zero_copy_only=False)
         if rename is not None:
             # Several tokens may share a new name; they are counted together.
             renamed = rename(codes.dictionary.to_pylist()).dictionary_encode()
             self.terms = renamed.dictionary
-            new_code = renamed.indices.to_numpy(zero_copy_only=False)
+            code = renamed.indices.to_numpy(zero_copy_only=False).astype(np.int64)[code]
         row = np.repeat(np.arange(len(sizes)), sizes)
-        position = np.arange(len(code)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        keep = kept[code] if len(code) else np.zeros(0, dtype=bool)
-        if rename is not None and len(code):
-            code = new_code[code]
-        row, code, position = row[keep], code[keep], position[keep]
-        self.lengths = np.bincount(row, minlength=len(sizes))
-        order = np.lexsort((position, code, row))
-        row, code, self.positions = row[order], code[order], position[order]
-        change = (row[1:] != row[:-1]) | (code[1:] != code[:-1])
-        self.starts = np.flatnonzero(np.r_[True, change]) if len(row) else np.zeros(0, dtype=np.int64)
-        self.counts = np.diff(np.r_[self.starts, len(row)])
-        self.rows, self.codes = row[self.starts], code[self.starts]
+        self.lengths = np.bincount(row[kept], minlength=len(sizes))
+        # One sortable number per token: its row, then its term.
+        width = max(len(self.terms), 1)
+        key = row[kept] * width + code[kept]
+        if with_positions:
+            order = np.argsort(key, kind="stable")
+            starts_of_rows = np.repeat(np.cumsum(sizes) - sizes, sizes)
+            self.positions = (np.arange(len(row)) - starts_of_rows)[kept][order]
+            key = key[order]
+        else:
+            key = np.sort(key)
+        self.starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, dtype=np.int64)
+        self.counts = np.diff(np.r_[self.starts, len(key)])
+        self.rows, self.codes = np.divmod(key[self.starts], width)
 
     def position_lists(self) -> pa.Array:
         offsets = np.r_[self.starts, len(self.positions)].astype(np.int32)

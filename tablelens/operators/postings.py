@@ -44,7 +44,7 @@ def field_tokens(schema: T.StructType, field: str, analyzer: Analyzer) -> Column
 def _grouped(markers: bool):
     def group(batches):
         for batch in batches:
-            groups = TokenGroups(batch.column("tokens"))
+            groups = TokenGroups(batch.column("tokens"), with_positions=True)
             lengths = groups.lengths.astype(np.int32)
             which = pa.array(groups.rows)
             yield pa.record_batch(
