@@ -70,6 +70,24 @@ def weighted(
     return _sum_up(parts, row_id, by)
 
 
+def rescored_top(df: DataFrame, row_id: str, phases: list[tuple[int, Column]], tier: str = "_tier") -> DataFrame:
+    """:func:`rescored` for a page that lies inside the first window: one pass over the rows.
+
+    Only the first window's rows are kept (a top-k); later phases number that bounded set.
+    """
+    df = top_of(df.withColumn(tier, F.lit(0)), row_id, phases[0][0]).drop("rank")
+    for window, extra in phases:
+        order = Window.partitionBy(F.lit(0)).orderBy(F.desc(tier), F.desc("_score"), F.asc(row_id))
+        df = df.withColumn("__inside", F.row_number().over(order) <= window)
+        df = df.withColumns(
+            {
+                "_score": F.when(F.col("__inside"), F.col("_score") + extra).otherwise(F.col("_score")),
+                tier: F.col(tier) + F.col("__inside").cast("int"),
+            }
+        ).drop("__inside")
+    return df
+
+
 def rescored(df: DataFrame, row_id: str, window: int, extra: Column, tier: str = "_tier") -> DataFrame:
     """Add ``extra`` to the score of the best ``window`` rows and rank those first.
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import io
 import os
 import tempfile
 import uuid
@@ -18,23 +19,34 @@ _shipped: set[str] = set()
 _stages: list[str] = []
 
 
+def hadoop_path(spark: SparkSession, path: str):
+    """A path and its file system, qualified so that every process means the same place."""
+    plain = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = plain.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return files.makeQualified(plain), files
+
+
 def ship_package() -> None:
     """Send this package to the Python workers, once per application.
 
-    Spark's own file distribution carries the archive; executors never read the driver's folder.
+    The archive is put in the shared folder, from where Spark's own file distribution takes it.
     """
     session = SparkSession.getActiveSession()
     if session is None or session.sparkContext.applicationId in _shipped:
         return
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    archive = os.path.join(tempfile.mkdtemp(prefix="tablelens-package-"), "tablelens.zip")
+    archive = io.BytesIO()
     with zipfile.ZipFile(archive, "w") as out:
         for folder, _, files in os.walk(root):
             for name in files:
                 if name.endswith(".py"):
                     path = os.path.join(folder, name)
                     out.write(path, os.path.relpath(path, os.path.dirname(root)))
-    session.sparkContext.addPyFile(archive)
+    place, files = hadoop_path(session, f"{new_path(session, 'package')}.zip")
+    stream = files.create(place)
+    stream.write(bytearray(archive.getvalue()))
+    stream.close()
+    session.sparkContext.addPyFile(place.toString())
     _shipped.add(session.sparkContext.applicationId)
 
 
@@ -65,8 +77,8 @@ def written(df: DataFrame, name: str = "stage") -> DataFrame:
 def clear_stages(spark: SparkSession) -> None:
     """Delete the tables written on the way; frames built on them must be finished."""
     while _stages:
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_stages.pop())
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        path, files = hadoop_path(spark, _stages.pop())
+        files.delete(path, True)
 
 
 def measured_bytes(df: DataFrame) -> int:

@@ -208,7 +208,12 @@ class Search(Criteria):
     # Aggregations ---------------------------------------------------------------
 
     def include_facets(self, fields, limit: int = 25):
-        self._aggs["facets"] = lambda df: A.facets(df, fields, limit)
+        """Add facets; further calls add to the same ``facets`` frame."""
+        before = self._aggs.get("facets")
+        if before is None:
+            self._aggs["facets"] = lambda df: A.facets(df, fields, limit)
+        else:
+            self._aggs["facets"] = lambda df: before(df).unionByName(A.facets(df, fields, limit))
         return self
 
     def aggregate_term(self, field: str, limit: int = 10, exclude=(), order=None):
@@ -326,8 +331,13 @@ class Search(Criteria):
         keys = list(self._sorts)
         tier = False
         if self._phases and self._rescoring_allowed():
-            for i, (window, _) in enumerate(self._phases):
-                rows = fusion.rescored(rows, self.id, window, F.col(f"__phase{i}"))
+            phases = [(window, F.col(f"__phase{i}")) for i, (window, _) in enumerate(self._phases)]
+            inside = self._limit is not None and self._limit * max(self._page, 1) <= phases[0][0]
+            if inside and not keys and not self._after and self._min_score is None:
+                rows = fusion.rescored_top(rows, self.id, phases)
+            else:
+                for window, extra in phases:
+                    rows = fusion.rescored(rows, self.id, window, extra)
             tier = True
         if self._min_score is not None:
             rows = rows.filter(F.col("_score") >= self._min_score)

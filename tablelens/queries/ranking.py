@@ -63,9 +63,7 @@ def _(spark, d):
     return hits.select("doc_id", F.round("_score", 6).alias("_score"))
 
 
-@query(
-    "rescore_two_phases",
-    f"""WITH {_MATCHED},
+_RESCORED = f"""WITH {_MATCHED},
       x AS (SELECT doc_id, sum({PART}) AS s2 FROM f JOIN v USING (term), c WHERE term = 'there' GROUP BY doc_id),
       y AS (SELECT doc_id, sum({PART}) AS s3 FROM f JOIN v USING (term), c WHERE term = 'than' GROUP BY doc_id),
       a1 AS (SELECT doc_id, s, row_number() OVER (ORDER BY s DESC, doc_id) <= 50 AS t1 FROM m),
@@ -73,12 +71,25 @@ def _(spark, d):
       a2 AS (SELECT doc_id, t1, s, row_number() OVER (ORDER BY t1 DESC, s DESC, doc_id) <= 25 AS t2 FROM b1),
       b2 AS (SELECT doc_id, t1::INT + t2::INT AS tier, CASE WHEN t2 THEN s + coalesce(s3, 0) ELSE s END AS s
              FROM a2 LEFT JOIN y USING (doc_id))
-      SELECT doc_id, round(s, 6) AS _score FROM b2 ORDER BY tier DESC, s DESC, doc_id LIMIT 60""",
-)
-def _(spark, d):
+      SELECT doc_id, round(s, 6) AS _score FROM b2 ORDER BY tier DESC, s DESC, doc_id"""
+
+
+def rescored(spark, d, limit):
     found = search(spark, d).match("text", "thing only")
     found.rescore(50, lambda q: q.match("text", "there")).rescore(25, lambda q: q.match("text", "than"))
-    return found.limit(60).hits().select("doc_id", F.round("_score", 6).alias("_score"))
+    return found.limit(limit).hits().select("doc_id", F.round("_score", 6).alias("_score"))
+
+
+@query("rescore_two_phases", f"{_RESCORED} LIMIT 60")
+def _(spark, d):
+    """A page that reaches past the windows."""
+    return rescored(spark, d, 60)
+
+
+@query("rescore_within_window", f"{_RESCORED} LIMIT 30")
+def _(spark, d):
+    """A page inside the first window needs one pass."""
+    return rescored(spark, d, 30)
 
 
 @query(

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablelens.plans.runtime import shared_folder, written
+from tablelens.plans.runtime import hadoop_path, shared_folder, written
 from tablelens.sources import changes
 from tablelens.sources.schema import Declaration, drift, load_records, struct_type
 
@@ -165,8 +165,69 @@ class VersionedTable:
         for batch in self._folders(f"{self.folder}/{self.alias}"):
             for place in self._folders(batch):
                 if place.split("/", 1)[1].lstrip("/") not in used:
-                    path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(place)
-                    removed += self._files(path).delete(path, True)
+                    path, files = hadoop_path(self.spark, place)
+                    removed += files.delete(path, True)
+        return removed
+
+    def _folders(self, folder: str) -> list[str]:
+        path, files = hadoop_path(self.spark, folder)
+        return [f.getPath().toString() for f in files.listStatus(path) if f.isDirectory()] if files.exists(path) else []
+
+    # Reads ----------------------------------------------------------------------
+
+    def read(self) -> DataFrame:
+        return self.spark.table(self.alias)
+
+    def find_by_ids(self, ids) -> DataFrame:
+        """Records by id; a list of ids reads only their buckets."""
+        if isinstance(ids, DataFrame):
+            return changes.find_by_ids(self.read(), ids, self.row_id)
+        now = self.snapshot()
+        kind = self.read().schema[self.row_id].dataType
+        wanted = [F.pmod(F.xxhash64(F.lit(i).cast(kind)), F.lit(now.buckets)).cast("int") for i in ids]
+        rows = self.spark.table(now.table).filter(F.col(BUCKET).isin(wanted) & F.col(self.row_id).isin(list(ids)))
+        return rows.drop(BUCKET)
+
+    # Writes ---------------------------------------------------------------------
+
+    def create(self, df: DataFrame | None = None, version: int = 1) -> None:
+        if df is None:
+            df = self.spark.createDataFrame([], struct_type(self.declared))
+        places = self._write(df, self.buckets)
+        self._publish(df.schema, version, self.buckets, places, {})
+
+    def _rewrite(self, touched: DataFrame, make, extra: dict[str, str] | None = None) -> None:
+        """Apply ``make`` to the rows of the touched buckets and publish."""
+        now = self.snapshot()
+        numbers = [r[0] for r in self._bucketed(touched.select(self.row_id), now.buckets).select(BUCKET).distinct().collect()]
+        old = self.spark.table(now.table).filter(F.col(BUCKET).isin(numbers)).drop(BUCKET)
+        new = make(old)
+        places = self._write(new, now.buckets)
+        kept = {b: p for b, p in now.locations.items() if b not in numbers}
+        marks = {k: v for k, v in now.properties.items() if k.startswith("batch.")}
+        schema = new.schema if places else self.read().schema
+        self._replace(now, schema, {**kept, **places}, {**marks, **(extra or {})})
+
+    def _replace(self, now: Snapshot, schema: T.StructType, places: dict[int, str], extra: dict[str, str]) -> None:
+        """Publish a successor; the replaced snapshot stays for its readers until the next write."""
+        self._publish(schema, now.version, now.buckets, places, {**extra, "previous": now.table})
+        if "previous" in now.properties:
+            self.spark.sql(f"DROP TABLE IF EXISTS {now.properties['previous']}")
+
+    def remove_unused_files(self) -> int:
+        """Delete bucket folders that neither the current nor the previous snapshot uses.
+
+        Not to be run while a write is in progress.
+        """
+        now = self.snapshot()
+        tables = [now.table, *([now.properties["previous"]] if "previous" in now.properties else [])]
+        used = {p.rstrip("/").split("/", 1)[1].lstrip("/") for t in tables for p in self._locations(t).values()}
+        removed = 0
+        for batch in self._folders(f"{self.folder}/{self.alias}"):
+            for place in self._folders(batch):
+                if place.split("/", 1)[1].lstrip("/") not in used:
+                    path, files = hadoop_path(self.spark, place)
+                    removed += files.delete(path, True)
         return removed
 
     def _files(self, path):
