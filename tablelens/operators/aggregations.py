@@ -92,11 +92,9 @@ def term_counts(
     return counts.orderBy(*keys, F.col("key").asc()).limit(limit)
 
 
-# Bucket key formats per interval.
-KEY_FORMATS = {
-    "year": "yyyy", "quarter": "yyyy-Q", "month": "yyyy-MM", "week": None, "day": "yyyy-MM-dd",
-    "hour": "yyyy-MM-dd'T'HH", "minute": "yyyy-MM-dd'T'HH:mm", "second": "yyyy-MM-dd'T'HH:mm:ss",
-}
+# Interval names, and for those cut from the written time the characters to keep.
+INTERVALS = ("year", "quarter", "month", "week", "day", "hour", "minute", "second")
+_KEPT = {"year": 4, "month": 7, "day": 10, "hour": 13, "minute": 16, "second": 19}
 
 
 def offset_text(offset: int | str) -> str:
@@ -115,27 +113,59 @@ def _offset_minutes(offset: int | str) -> int:
     return -minutes if text[0] == "-" else minutes
 
 
-def bucket_start(col: Column, interval: str, offset: int | str = 0) -> Column:
-    """Start of the row's bucket in local time of the offset, as a zone-less timestamp."""
-    if interval not in KEY_FORMATS:
-        raise ValueError(f"unknown interval {interval}; use one of {', '.join(KEY_FORMATS)}")
+def session_zone(df: DataFrame) -> str | None:
+    """The session's time zone, None when it is UTC."""
+    zone = df.sparkSession.conf.get("spark.sql.session.timeZone")
+    return None if zone in ("UTC", "Etc/UTC", "GMT", "Z", "+00:00") else zone
+
+
+_EPOCH = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
+
+
+def utc_of(instant: Column) -> Column:
+    """An instant as zone-less UTC time, by its distance from the epoch."""
+    seconds = F.unix_micros(instant).cast("decimal(24,6)") / F.lit(1_000_000).cast("decimal(7,0)")
+    return F.expr(_EPOCH) + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds.cast("decimal(18,6)"))
+
+
+def instant_of(utc: Column) -> Column:
+    """The inverse of :func:`utc_of`."""
+    return F.timestamp_seconds((utc - F.expr(_EPOCH)).cast("interval second").cast("decimal(18,6)"))
+
+
+def utc_time(df: DataFrame, field: str) -> Column:
+    """A date field as zone-less UTC time; a zone-less field is taken as UTC already."""
+    col = F.col(field)
+    if session_zone(df) and isinstance(field_type(df.schema, field), T.TimestampType):
+        return utc_of(col)
+    return col.cast("timestamp_ntz")
+
+
+def bucket_start(utc: Column, interval: str, offset: int | str = 0) -> Column:
+    """Start of a bucket in local time of the offset; zone-less throughout, so no session zone matters."""
+    if interval not in INTERVALS:
+        raise ValueError(f"unknown interval {interval}; use one of {', '.join(INTERVALS)}")
     minutes = _offset_minutes(offset)
-    local = col.cast("timestamp_ntz")
-    if minutes:
-        local = local + F.expr(f"make_dt_interval(0, 0, {minutes}, 0)")
-    return F.date_trunc(interval, local).cast("timestamp_ntz")
+    local = utc + F.expr(f"make_dt_interval(0, 0, {minutes}, 0)") if minutes else utc
+    if interval in ("hour", "minute", "second"):
+        written = F.substring(local.cast("string"), 1, _KEPT[interval])
+        return F.concat(written, F.lit("0000-00-00 00:00:00"[_KEPT[interval] :])).cast("timestamp_ntz")
+    day = local.cast("date")
+    return (day if interval == "day" else F.trunc(day, interval)).cast("timestamp_ntz")
 
 
 def bucket_key(start: Column, interval: str) -> Column:
     if interval == "week":
         year = F.extract(F.lit("YEAROFWEEK"), start)
-        return F.format_string("%04d-%02d", year, F.weekofyear(start))
-    return F.date_format(start.cast("timestamp"), KEY_FORMATS[interval])
+        return F.concat_ws("-", F.lpad(year.cast("string"), 4, "0"), F.lpad(F.weekofyear(start).cast("string"), 2, "0"))
+    if interval == "quarter":
+        return F.concat_ws("-", F.substring(start.cast("string"), 1, 4), F.quarter(start).cast("string"))
+    return F.translate(F.substring(start.cast("string"), 1, _KEPT[interval]), " ", "T")
 
 
 def date_histogram(df: DataFrame, field: str, interval: str, offset: int | str = 0) -> DataFrame:
     """Rows per non-empty bucket of a date field (weeks are ISO weeks)."""
-    start = bucket_start(F.col(field), interval, offset)
+    start = bucket_start(utc_time(df, field), interval, offset)
     counts = df.filter(F.col(field).isNotNull()).groupBy(start.alias("bucket")).agg(F.count("*").alias("count"))
     return counts.select(bucket_key(F.col("bucket"), interval).alias("key"), "bucket", "count")
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tablelens.operators.aggregations import _offset_minutes, bucket_key
+from tablelens.operators.aggregations import _offset_minutes, bucket_key, instant_of, session_zone, utc_of, utc_time
 from tablelens.sources.tables import VersionedTable
 
 
@@ -30,7 +30,7 @@ def ingest(stream: DataFrame, table: VersionedTable, checkpoint: str, name: str
     )
 
 
-_WINDOWS = {"second": "1 second", "minute": "1 minute", "hour": "1 hour", "day": "1 day", "week": "7 days"}
+_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86_400, "week": 7 * 86_400}
 
 
 def windowed_counts(stream: DataFrame, field: str, interval: str, offset: int | str = 0, late: str = "1 day") -> DataFrame:
@@ -38,18 +38,18 @@ def windowed_counts(stream: DataFrame, field: str, interval: str, offset: int |
 
     The watermark column stays unshifted; only the window edges follow the offset.
     """
-    if interval not in _WINDOWS:
-        raise ValueError(f"a stream counts by {', '.join(_WINDOWS)}, not {interval}")
-    minutes = _offset_minutes(offset)
+    if interval not in _SECONDS:
+        raise ValueError(f"a stream counts by {', '.join(_SECONDS)}, not {interval}")
+    minutes, zone = _offset_minutes(offset), session_zone(stream)
     # Windows are aligned to the epoch, a Thursday; ISO weeks start four days later.
-    start = -minutes * 60 + (4 * 86_400 if interval == "week" else 0)
-    rows = stream.withColumn(field, F.col(field).cast("timestamp")).withWatermark(field, late)
-    frame = F.window(field, _WINDOWS[interval], startTime=f"{start % (7 * 86_400 if interval == 'week' else 86_400)} seconds")
-    if interval in ("second", "minute", "hour"):
-        span = {"second": 1, "minute": 60, "hour": 3600}[interval]
-        frame = F.window(field, _WINDOWS[interval], startTime=f"{start % span} seconds")
+    start = (-minutes * 60 + (4 * 86_400 if interval == "week" else 0)) % _SECONDS[interval]
+    utc = utc_time(stream, field)
+    instant = instant_of(utc) if zone else utc.cast("timestamp")
+    rows = stream.withColumn(field, instant).withWatermark(field, late)
+    frame = F.window(field, f"{_SECONDS[interval]} seconds", startTime=f"{start} seconds")
     counts = rows.groupBy(frame.alias("w")).agg(F.count("*").alias("count"))
-    local = (F.col("w.start") + F.expr(f"make_dt_interval(0, 0, {minutes}, 0)")).cast("timestamp_ntz")
+    opened = utc_of(F.col("w.start")) if zone else F.col("w.start").cast("timestamp_ntz")
+    local = opened + F.expr(f"make_dt_interval(0, 0, {minutes}, 0)")
     return counts.select(bucket_key(local, interval).alias("key"), local.alias("bucket"), "count")
 
 

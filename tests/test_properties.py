@@ -272,6 +272,22 @@ def test_approximate_facet_is_exact_when_the_sketch_holds_every_value(spark):
     assert near == rows_of(A.facet_counts(rows, ["event_type"]).select("key", "count"))
 
 
+@pytest.mark.parametrize("interval", A.INTERVALS)
+def test_histograms_do_not_depend_on_the_session_zone(spark, interval):
+    times = ["2024-03-10 06:59:59", "2024-03-10 07:30:00", "2024-11-03 05:30:00", "2024-11-03 06:30:00", "2021-01-03 23:59:59"]
+    aware = spark.createDataFrame([(t,) for t in times], "t string").select(
+        F.timestamp_micros(F.unix_micros(F.to_timestamp("t"))).alias("aware"), F.to_timestamp_ntz("t").alias("plain")
+    )
+    aware = spark.createDataFrame(aware.toArrow())
+    want = {f: rows_of(A.date_histogram(aware, f, interval, "+05:30")) for f in aware.columns}
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        assert {f: rows_of(A.date_histogram(aware, f, interval, "+05:30")) for f in aware.columns} == want
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert want["aware"] == want["plain"] and len(want["aware"]) >= 2
+
+
 # Plans -----------------------------------------------------------------------------------------------
 
 

@@ -150,7 +150,16 @@ def test_stream_ingest_is_idempotent(spark, tmp_path):
     assert t.read().count() == 10
 
 
-def test_stream_histogram(spark, tmp_path):
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_stream_histogram(spark, tmp_path, zone):
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        check_stream_histogram(spark, tmp_path)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def check_stream_histogram(spark, tmp_path):
     folder = "/root/testdata/sf0.001"
     q = stream_histogram(file_stream(spark, folder, "events"), "ts", "day", str(tmp_path / "h"), str(tmp_path / "cp"), "+02:00")
     q.awaitTermination()
