@@ -37,6 +37,11 @@ def similarity(field: Column, vector: Column, metric: str = "cosine") -> Column:
     raise ValueError(f"unknown metric: {metric}; use one of {', '.join(METRICS)}")
 
 
+def settled(values: np.ndarray) -> np.ndarray:
+    """Without the last digits, which depend on the batch: equal vectors tie, and the id decides."""
+    return np.round(values, 12)
+
+
 def similarity_to(field: Column, vector: Sequence[float], metric: str = "cosine") -> Column:
     """:func:`similarity` with a fixed vector, one matrix product per batch; the column has no nulls.
 
@@ -51,11 +56,11 @@ def similarity_to(field: Column, vector: Sequence[float], metric: str = "cosine"
     def compare(vectors: pa.Array) -> pa.Array:
         rows = stack(vectors, len(query))
         if metric == "l2_norm":
-            return pa.array(np.linalg.norm(rows - query, axis=1))
+            return pa.array(settled(np.linalg.norm(rows - query, axis=1)))
         raw = rows @ query
         if metric == "cosine":
             raw = raw / (np.linalg.norm(rows, axis=1) * np.linalg.norm(query))
-        return pa.array(raw)
+        return pa.array(settled(raw))
 
     # Non-deterministic only so that a threshold on the result does not compute it twice.
     return compare.asNondeterministic()(field)

@@ -27,14 +27,16 @@ def nearest(
     filter: Column | None = None,
     similarity: float | str | None = None,
     signature: str | None = None,
+    partition: str | None = None,
     seed: int = 7,
 ) -> DataFrame:
     """``(id, _score)`` of the k nearest rows.
 
     ``similarity`` is a metric name or a minimum cosine.  With ``num_candidates`` and a stored
-    ``signature`` column, rows are first ranked by differing signature bits, reading 8 bytes a row;
-    only that many candidates are read in full.  Without a stored signature the exact ranking is
-    cheaper than computing one, so ``num_candidates`` changes nothing.
+    ``signature`` column, rows are first ranked by differing signature bits, reading 8 bytes a row,
+    and only that many candidates are compared.  When the table is partitioned by the leading bits
+    (``partition``, see :func:`write_signed`), the candidates' partitions alone are read in full.
+    Without a stored signature the exact ranking is cheaper, so ``num_candidates`` changes nothing.
     """
     metric = similarity if isinstance(similarity, str) else "cosine"
     rows = df.filter(F.col(field).isNotNull())
@@ -42,8 +44,12 @@ def nearest(
         rows = rows.filter(filter)
     if signature and num_candidates:
         far = V.hamming(F.col(signature), V.vector_signature(vector, seed=seed))
-        chosen = rows.select(row_id, far.alias("far")).orderBy("far", row_id).limit(max(num_candidates, k))
-        rows = rows.join(F.broadcast(chosen.select(row_id)), row_id, "left_semi")
+        keys = [row_id, *([partition] if partition else [])]
+        ranked = rows.filter(F.col(signature).isNotNull()).select(*keys, far.alias("far"))
+        chosen = ranked.orderBy("far", row_id).limit(max(num_candidates, k))
+        # The comparison holds for every row; it tells Spark that pruning partitions may pay off.
+        chosen = chosen.filter(F.col("far") < 64).select(*keys)
+        rows = rows.join(F.broadcast(chosen), keys, "left_semi")
     scored = rows.select(row_id, V.similarity_to(F.col(field), vector, metric).alias("raw"))
     if similarity is not None and not isinstance(similarity, str):
         scored = scored.filter(V.within(F.col("raw"), float(similarity), metric))
@@ -55,6 +61,20 @@ def with_signature(df: DataFrame, field: str, dim: int, name: str = "signature",
     return df.withColumn(name, F.when(F.col(field).isNotNull(), V.signature(F.col(field), dim, bits, seed)))
 
 
+def write_signed(df: DataFrame, field: str, dim: int, path: str, prefix_bits: int = 8, bits: int = 62, seed: int = 7) -> DataFrame:
+    """Write the vectors with their signature, partitioned by its leading bits; returns the table.
+
+    Near vectors tend to share those bits, so a search's candidates lie in few partitions.  The
+    rebalance splits a partition that holds many copies over several files.
+    """
+    signed = with_signature(df, field, dim, "signature", bits, seed)
+    lead = F.shiftrightunsigned(F.coalesce("signature", F.lit(0)), bits - prefix_bits).cast("int")
+    signed.withColumn("signature_prefix", lead).hint("rebalance", "signature_prefix").write.mode("overwrite").partitionBy(
+        "signature_prefix"
+    ).parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def _unit(m: np.ndarray) -> np.ndarray:
     norms = np.linalg.norm(m, axis=1, keepdims=True)
     return np.divide(m, norms, out=np.zeros_like(m), where=norms > 0)
@@ -63,9 +83,9 @@ def _unit(m: np.ndarray) -> np.ndarray:
 def _scores(q: np.ndarray, m: np.ndarray, metric: str) -> np.ndarray:
     raw = q @ m.T
     if metric != "l2_norm":
-        return (1 + raw) / 2
+        return (1 + V.settled(raw)) / 2
     square = (q * q).sum(1)[:, None] + (m * m).sum(1)[None, :] - 2 * raw
-    return 1 / (1 + np.maximum(square, 0))
+    return V.settled(1 / (1 + np.maximum(square, 0)))
 
 
 def nearest_for_each(

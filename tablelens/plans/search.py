@@ -170,13 +170,14 @@ class Search(Criteria):
         filter: Callable[[Criteria], object] | Column | None = None,
         similarity: float | str | None = None,
         signature: str | None = None,
+        partition: str | None = None,
     ):
         def run() -> DataFrame:
             condition = filter
             if callable(filter) and not isinstance(filter, Column):
                 condition = C.all_of([c.hit(self._scope()) for c in collect(filter)])
             return retrieval.nearest(
-                self.df, self.id, field, vector, k, num_candidates, condition, similarity, signature
+                self.df, self.id, field, vector, k, num_candidates, condition, similarity, signature, partition
             )
 
         self._retrievers.append((run, weight, False))

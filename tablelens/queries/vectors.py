@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tablelens.functions import vectors as V
 from tablelens.operators import fusion, retrieval
 from tablelens.operators.batch_text import batch_search, semantic_search
+from tablelens.plans.runtime import new_path
 from tablelens.plans.search import Search
 from tablelens.queries import query
 from tablelens.queries.text import (
@@ -93,20 +94,29 @@ def _signature_sql(column: str, bits: int = 62) -> str:
     )
 
 
-@query(
-    "knn_approximate",
-    rounded(
-        f"""SELECT vec_id, (1 + {cosine_sql(probe(4))}) / 2 AS _score FROM
-          (SELECT *, {_signature_sql('embedding::DOUBLE[]')} AS sig FROM embeddings
-           ORDER BY bit_count(xor(sig, {V.vector_signature(probe(4))}::BIGINT)), vec_id LIMIT 100)
-          ORDER BY _score DESC, vec_id LIMIT 10"""
-    ),
+APPROXIMATE = rounded(
+    f"""SELECT vec_id, (1 + {cosine_sql(probe(4))}) / 2 AS _score FROM
+      (SELECT *, {_signature_sql('embedding::DOUBLE[]')} AS sig FROM embeddings
+       ORDER BY bit_count(xor(sig, {V.vector_signature(probe(4))}::BIGINT)), vec_id LIMIT 100)
+      ORDER BY _score DESC, vec_id LIMIT 10"""
 )
+
+
+@query("knn_approximate", APPROXIMATE)
 def _(spark, d):
     signed = retrieval.with_signature(embeddings(spark, d), "embedding", DIM)
     return hits(Search(signed, "vec_id").knn("embedding", probe(4), 10, num_candidates=100, signature="signature"))
 
 
+@query("knn_approximate_stored", APPROXIMATE)
+def _(spark, d):
+    stored = retrieval.write_signed(embeddings(spark, d), "embedding", DIM, new_path(spark, "vectors"))
+    found = retrieval.nearest(
+        stored, "vec_id", "embedding", probe(4), 10, 100, signature="signature", partition="signature_prefix"
+    )
+    return found.select("vec_id", F.round("_score", 6).alias("_score"))
+
+
 @query(
     "knn_join",
     """SELECT query_id, vec_id, round(_score, 6) AS _score, rank FROM (

@@ -267,8 +267,9 @@ class VersionedTable:
     # Versions -------------------------------------------------------------------
 
     def status(self) -> DataFrame:
-        """Drift between the table and the declared schema."""
-        return drift(self.read(), self.declared)
+        """Drift between the table and the declared schema; without a table every column is missing."""
+        found = self.read() if self.exists() else self.spark.createDataFrame([], T.StructType([]))
+        return drift(found, self.declared)
 
     def migrate(self, version: int, sequence: str | None = None) -> dict:
         """Bring the alias to ``version`` with the declared schema.

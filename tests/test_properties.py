@@ -235,6 +235,14 @@ def test_approximate_neighbours_recall(spark):
     assert found / total >= 0.7
 
 
+def test_candidates_prune_partitions(spark, tmp_path):
+    stored = retrieval.write_signed(read(spark, "embeddings"), "embedding", DIM, str(tmp_path / "signed"))
+    args = ("vec_id", "embedding", probe(4), 5, 20)
+    found = retrieval.nearest(stored, *args, signature="signature", partition="signature_prefix")
+    assert "dynamicpruning" in plan(found)
+    assert rows_of(found) == rows_of(retrieval.nearest(stored, *args, signature="signature"))
+
+
 @pytest.mark.parametrize("metric", V.METRICS)
 def test_neighbour_join_by_brute_force(spark, metric):
     vectors = read(spark, "embeddings")

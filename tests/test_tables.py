@@ -95,6 +95,11 @@ def test_catch_up(spark):
     assert old
 
 
+def test_status_without_a_table(spark):
+    rows = VersionedTable(spark, "t_nowhere", DECLARED).status().collect()
+    assert {r["column"]: r["status"] for r in rows} == {"id": "missing", "n": "missing", "note": "missing"}
+
+
 def test_migrate_all_reports(spark):
     tables = [VersionedTable(spark, alias_name(n, prefix="staging"), DECLARED) for n in ("one", "two")]
     report = {r["table"]: r["code"] for r in migrate_all([(t, 1) for t in tables]).collect()}
