@@ -21,6 +21,10 @@ from tablelens.plans.runtime import fits_broadcast, join_sized, written
 
 MARKER = ""
 
+# Scores are rounded before they are ranked: a sum's last digits depend on the order of its rows, and
+# copies of a document must tie on every evaluation so that the id decides.
+DIGITS = 9
+
 
 def analyzed(df: DataFrame, row_id: str, field: str, analyzer: Analyzer) -> DataFrame:
     return df.select(row_id, analyzer.tokens(F.col(field)).alias("tokens"))
@@ -62,10 +66,9 @@ def bm25_part(corpus: str = "corpus") -> Column:
     return bm25(F.col("tf").cast("double"), F.col("length"), F.col(f"{corpus}.average"), F.col("weight"))
 
 
-def best_per_query(scored: DataFrame, row_id: str, query_id: str, k: int, digits: int | None = None) -> DataFrame:
+def best_per_query(scored: DataFrame, row_id: str, query_id: str, k: int, digits: int = DIGITS) -> DataFrame:
     """The k best rows of every query; the cut runs per task before the shuffle."""
-    if digits is not None:
-        scored = scored.withColumn("_score", F.round("_score", digits))
+    scored = scored.withColumn("_score", F.round("_score", digits))
     order = Window.partitionBy(query_id).orderBy(F.desc("_score"), F.asc(row_id))
     ranked = scored.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return ranked.select(query_id, row_id, "_score", "rank")
@@ -80,7 +83,7 @@ def batch_search(
     text: str,
     k: int = 10,
     analyzer: Analyzer = STANDARD,
-    digits: int | None = None,
+    digits: int = DIGITS,
 ) -> DataFrame:
     """``(query, id, _score, rank)``: the k best documents of every query by BM25."""
     asked = query_terms(queries, query_id, text, analyzer)
@@ -109,7 +112,7 @@ def similar_documents(
     min_doc_freq: int = 5,
     max_query_terms: int = 25,
     minimum_match: float = 0.3,
-    digits: int | None = None,
+    digits: int = DIGITS,
 ) -> DataFrame:
     """``(seed, id, _score, rank)``: documents sharing enough of each seed's most telling terms.
 
@@ -180,7 +183,7 @@ def semantic_search(
     k: int = 10,
     analyzer: Analyzer = STANDARD,
     dim: int = 4096,
-    digits: int | None = None,
+    digits: int = DIGITS,
 ) -> DataFrame:
     """``(query, id, _score, rank)`` by cosine of hashed tf-idf vectors, as ``(1 + cos) / 2``.
 

@@ -34,7 +34,7 @@ def min_max(score: Column, by: tuple[str, ...] = ()) -> Column:
 
 def _sum_up(lists: list[DataFrame], row_id: str, by: tuple[str, ...]) -> DataFrame:
     union = reduce(lambda a, b: a.unionByName(b), lists)
-    return union.groupBy(*by, row_id).agg(F.sum("part").alias("_score"))
+    return union.groupBy(*by, row_id).agg(F.round(F.sum("part"), 12).alias("_score"))
 
 
 def reciprocal_rank(

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from tablelens.functions.scoring import bm25, idf
 from tablelens.functions.text import STANDARD, Analyzer
-from tablelens.operators.batch_text import MARKER, best_per_query, query_terms
+from tablelens.operators.batch_text import DIGITS, MARKER, best_per_query, query_terms
 from tablelens.operators.grouping import TokenGroups
 from tablelens.plans.runtime import fits_broadcast, join_sized, ship_package, written
 from tablelens.plans.scope import field_type
@@ -142,7 +142,7 @@ class TextIndex:
             rows = rows.join(F.broadcast(wanted), "term", "left_semi").repartition("id")
         pairs = join_sized(rows, weights, "term", broadcast).withColumn("corpus", self._corpus(field))
         part = bm25(F.col("tf").cast("double"), F.col("length"), F.col("corpus.average"), F.col("weight"))
-        return pairs.groupBy(*keys, "id").agg(F.sum(part).alias("_score"), F.count("*").alias("matched"))
+        return pairs.groupBy(*keys, "id").agg(F.round(F.sum(part), DIGITS).alias("_score"), F.count("*").alias("matched"))
 
     def match(self, field: str, phrase: str, operator: str = "or") -> DataFrame:
         """``(id, _score)`` of the documents with any or all words; reads only those words' postings."""
@@ -170,7 +170,7 @@ class TextIndex:
         common = reduce(F.array_intersect, starts)
         return found.select("id", F.size(common).alias("tf")).filter(F.col("tf") > 0)
 
-    def search(self, queries: DataFrame, query_id: str, text: str, field: str, k: int = 10, digits=None) -> DataFrame:
+    def search(self, queries: DataFrame, query_id: str, text: str, field: str, k: int = 10, digits: int = DIGITS) -> DataFrame:
         """``(query, id, _score, rank)``: the k best documents of every query."""
         asked = query_terms(queries, query_id, text, self.analyzers.get(field, STANDARD))
         small = fits_broadcast(asked)
