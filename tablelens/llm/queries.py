@@ -44,7 +44,7 @@ def _(spark, d):
     return jaccard.similar_classes(documents(spark, d), width=4, percent=85)
 
 
-WORDS = rf"list_filter(regexp_split_to_array(coalesce(text, ''), '{WHITE}+'), x -> x <> '')"
+WORDS = rf"list_filter(regexp_split_to_array(coalesce(text, ''), '{WHITE}+'), lambda x: x <> '')"
 
 
 @query(
@@ -57,7 +57,7 @@ WORDS = rf"list_filter(regexp_split_to_array(coalesce(text, ''), '{WHITE}+'), x
       cut AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS p FROM hits),
       lost AS (SELECT doc_id, list(p) AS ps, count(*) AS n FROM cut GROUP BY doc_id)
       SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed,
-        sha256(array_to_string(list_filter(w, (x, p) -> ps IS NULL OR NOT list_contains(ps, p)), ' ')) AS kept_sha256
+        sha256(array_to_string(list_filter(w, lambda x, p: ps IS NULL OR NOT list_contains(ps, p)), ' ')) AS kept_sha256
       FROM d LEFT JOIN lost USING (doc_id)""",
 )
 def _(spark, d):
