@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tablelens.llm import bpe, chat, decontaminate, exact_dedup, jaccard, substrings, urls
+from tablelens.llm import bpe, chat, decontaminate, exact_dedup, html, jaccard, quality, secrets, substrings, urls
 from tablelens.queries import query
 from tablelens.sources.reader import read_table
 
@@ -150,3 +150,20 @@ def _(spark, d):
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
     )
+
+
+@query("op8_html_text")
+def _(spark, d):
+    found = html.extract(read_table(spark, d, "pages"))
+    return found.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
+@query("op9_quality")
+def _(spark, d):
+    docs = documents(spark, d)
+    return quality.score(docs, quality.train(docs, read_table(spark, d, "labels")))
+
+
+@query("op10_secrets")
+def _(spark, d):
+    return secrets.digest(secrets.find_secrets(documents(spark, d), tokenizer("byte_bpe_50k.tiktoken")))
