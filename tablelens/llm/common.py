@@ -8,8 +8,6 @@ so rows that share an id but not a text are never mixed up.
 
 from __future__ import annotations
 
-import itertools
-
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,14 +20,10 @@ SPACES = " \t\n\x0b\x0c\r"
 FILTER_BITS = 1 << 24
 BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
-_TO_SPACE = {ord(c): " " for c in SPACES}
-_LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
-
-
 def prepared(df: DataFrame) -> DataFrame:
     """Ready for Python workers: the package is shipped, and batches are cut by bytes as well as by rows."""
     ship_package()
-    df.sparkSession.conf.set(BATCH_BYTES, str(16 << 20))
+    df.sparkSession.conf.set(BATCH_BYTES, str(4 << 20))
     return df
 
 
@@ -44,34 +38,10 @@ def text_key(text: str | Column = "text") -> Column:
 
 def split_words(text: str) -> list[str]:
     """Maximal runs of anything but ASCII white space."""
-    words = text.translate(_TO_SPACE).split(" ") if not text.isascii() else text.split()
-    # str.split() also cuts at the ASCII separators 1C-1F, which are word characters here
-    if text.isascii() and any(c in text for c in "\x1c\x1d\x1e\x1f"):
-        words = text.translate(_TO_SPACE).split(" ")
-    return [w for w in words if w] if "" in words else words
-
-
-def lower_ascii(text: str) -> str:
-    return text.lower() if text.isascii() else text.translate(_LOWER)
-
-
-class WordHashes(dict):
-    """Word to 64-bit hash; bounded, emptied when full."""
-
-    def __init__(self, limit: int = 400_000):
-        super().__init__()
-        self.limit = limit
-
-    def __missing__(self, word: str) -> int:
-        import xxhash
-
-        if len(self) >= self.limit:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
-        return value
-
-    def of(self, words: list[str]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+    for c in SPACES[1:]:
+        if c in text:
+            text = text.replace(c, " ")
+    return [w for w in text.split(" ") if w]
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -83,6 +53,8 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
+_WORD_BASE = 0xD6E8FEB86659FD93
+_WORD_INVERSE = pow(_WORD_BASE, -1, 1 << 64)
 _powers: dict[int, np.ndarray] = {}
 
 
@@ -95,6 +67,42 @@ def _power(base: int, n: int) -> np.ndarray:
     return held[:n]
 
 
+_SPACE = np.zeros(256, bool)
+_SPACE[list(SPACES.encode())] = True
+#: Bytes hashed at once, so that long texts need little memory besides their word hashes.
+SEGMENT = 1 << 20
+
+
+def word_hashes(text: str, lower: bool = False) -> np.ndarray:
+    """64-bit hash of each word (run of anything but ASCII white space); ``lower`` folds A-Z first.
+
+    A word's hash is the sum of its bytes times powers of a base, from one running sum over the text.
+    """
+    data = text.encode("utf-8", "surrogatepass")
+    data = data.lower() if lower else data  # of bytes: A-Z only
+    if len(data) <= SEGMENT:
+        return _word_hashes(data)
+    found, at = [], 0
+    while at < len(data):
+        end = min(len(data), at + SEGMENT)
+        while end < len(data) and not _SPACE[data[end]]:
+            end += 1
+        found.append(_word_hashes(data[at:end]))
+        at = end
+    return np.concatenate(found)
+
+
+def _word_hashes(data: bytes) -> np.ndarray:
+    b = np.frombuffer(data, np.uint8)
+    space = np.ones(len(b) + 2, np.int8)
+    space[1:-1] = _SPACE[b]
+    edges = np.flatnonzero(space[1:] != space[:-1])
+    starts, ends = edges[::2], edges[1::2]
+    sums = np.zeros(len(b) + 1, np.uint64)
+    np.cumsum((b + np.uint64(1)) * _power(_WORD_BASE, len(b)), out=sums[1:])
+    return mixed((sums[ends] - sums[starts]) * _power(_WORD_INVERSE, len(b) + 1)[starts])
+
+
 def rolling_hashes(hashes: np.ndarray, width: int) -> np.ndarray:
     """Rabin-Karp hash of each window of ``width`` word hashes, modulo 2^64, from one prefix sum.
 
@@ -149,10 +157,3 @@ def filter_bit(column: str) -> Column:
 
 def has_bit(bitmap: np.ndarray, bits: np.ndarray) -> np.ndarray:
     return (bitmap[bits >> 3] >> (7 - (bits & 7)).astype(np.uint8)) & 1 > 0
-
-
-def chunks(rows, size: int):
-    """Lists of at most ``size`` rows."""
-    rows = iter(rows)
-    while part := list(itertools.islice(rows, size)):
-        yield part

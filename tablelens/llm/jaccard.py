@@ -20,9 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablelens.llm.common import (
-    WordHashes, filter_bitmap, has_bit, lower_ascii, prepared, rolling_hashes, split_words, texts,
+    FILTER_BITS, filter_bitmap, has_bit, prepared, rolling_hashes, texts, word_hashes,
 )
-from tablelens.llm.common import FILTER_BITS
 from tablelens.llm.components import components
 from tablelens.plans.runtime import written
 
@@ -34,15 +33,10 @@ COUNTERS = 1 << 20
 BLOCKS = 64
 
 
-class Shingles:
-    """Distinct shingle hashes of texts, ascending."""
-
-    def __init__(self, width: int):
-        self.width, self.words = width, WordHashes()
-
-    def of(self, text: str) -> np.ndarray:
-        words = self.words.of(split_words(lower_ascii(text)))
-        return np.unique(rolling_hashes(words, min(self.width, len(words)))) if len(words) else words
+def shingles(text: str, width: int) -> np.ndarray:
+    """Distinct shingle hashes, ascending."""
+    words = word_hashes(text, lower=True)
+    return np.unique(rolling_hashes(words, min(width, len(words)))) if len(words) else words
 
 
 def least_overlap(n, m, percent: int):
@@ -60,10 +54,10 @@ def shingle_counts(rows: DataFrame, width: int) -> np.ndarray:
     size = COUNTERS // BLOCKS
 
     def counted(batches):
-        shingles, total = Shingles(width), np.zeros(COUNTERS, np.uint32)
+        total = np.zeros(COUNTERS, np.uint32)
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                found = shingles.of(text) >> np.uint64(44)
+                found = shingles(text, width) >> np.uint64(44)
                 np.add.at(total, found.astype(np.int64), np.uint32(1))
         packs = [total[i * size : (i + 1) * size].tobytes() for i in range(BLOCKS)]
         yield pa.RecordBatch.from_arrays([pa.array(range(BLOCKS), pa.int32()), pa.array(packs, pa.binary())], ["block", "packed"])
@@ -92,11 +86,10 @@ def signatures(rows: DataFrame, width: int, percent: int, weights) -> DataFrame:
     ])
 
     def sign(batches):
-        shingles = Shingles(width)
         for batch in batches:
             sizes, digests, first, second, prefixes = [], [], [], [], []
             for text in batch.column(2).to_pylist():
-                found = shingles.of(text)
+                found = shingles(text, width)
                 n = len(found)
                 sizes.append(n)
                 digests.append(xxhash.xxh3_128_digest(found.tobytes()))
@@ -123,11 +116,10 @@ def wanted_sets(rows: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     schema = pa.schema([("node", pa.int64()), ("set", pa.binary())])
 
     def sets(batches):
-        shingles = Shingles(width)
         for batch in batches:
             if batch.num_rows:
                 mine = batch.filter(pa.array(has_bit(bitmap.value, batch.column(2).to_numpy())))
-                found = [shingles.of(t).tobytes() for t in mine.column(1).to_pylist()]
+                found = [shingles(t, width).tobytes() for t in mine.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([mine.column(0), pa.array(found, pa.binary())], schema=schema)
 
     bit = F.pmod(F.xxhash64("rkey"), F.lit(FILTER_BITS)).cast("int")

@@ -61,7 +61,7 @@ WORDS = rf"list_filter(regexp_split_to_array(coalesce(text, ''), '{WHITE}+'), la
       FROM d LEFT JOIN lost USING (doc_id)""",
 )
 def _(spark, d):
-    return substrings.kept_digest(substrings.removed_spans(documents(spark, d)))
+    return substrings.kept_digest(documents(spark, d))
 
 
 RULES = [

@@ -17,13 +17,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablelens.llm.common import (
-    WordHashes, filter_bit, filter_bitmap, has_bit, prepared, rolling_hashes, runs, split_words, text_key, texts,
+    filter_bit, filter_bitmap, has_bit, prepared, rolling_hashes, runs, split_words, text_key, texts, word_hashes,
 )
 from tablelens.plans.runtime import written
 
 WIDTH = 13
 #: Windows of a chunk of documents that a task settles in memory, and characters of text per hash range.
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 RANGE_CHARS = 1 << 23
 NO_ID = np.iinfo(np.int64).max
 
@@ -39,41 +39,42 @@ def _ids(column) -> np.ndarray:
 
 
 def _by_document(docs: np.ndarray, positions: np.ndarray):
-    """(document index, its sorted positions) of parallel arrays."""
-    order = np.lexsort((positions, docs))
+    """(document index, its positions) of parallel arrays."""
+    order = np.argsort(docs, kind="stable")
     docs, positions = docs[order], positions[order]
-    cuts = np.flatnonzero(np.diff(docs)) + 1
+    cuts = np.flatnonzero(docs[1:] != docs[:-1]) + 1
     for d, p in zip(docs[np.concatenate(([0], cuts))] if len(docs) else [], np.split(positions, cuts), strict=False):
         yield int(d), p
 
 
 def settle(hashes: np.ndarray, docs: np.ndarray, ids: np.ndarray):
-    """Which windows have an equal one in a smaller document of this chunk, and one carrier per hash.
+    """Windows that have an equal one in a document of a smaller id, and the others by hash.
 
-    Returns a mask of settled windows, and the order that lists, by hash, the windows of the
-    smallest document of each hash (which may lose to another chunk).
+    Returns two index arrays: the settled windows, and in order of hash those of the smallest id of each hash
+    (which may still lose to another chunk).
     """
-    order = np.lexsort((ids[docs], hashes))
+    if not len(hashes):
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    order = np.argsort(hashes)
     h, owner = hashes[order], ids[docs[order]]
-    first = np.concatenate(([True], h[1:] != h[:-1])) if len(h) else np.empty(0, bool)
-    least = owner[np.flatnonzero(first)][np.cumsum(first) - 1] if len(h) else owner
-    lost = np.zeros(len(h), bool)
-    lost[order] = owner > least
-    return lost, order[owner == least]
+    starts = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
+    least = np.repeat(np.minimum.reduceat(owner, starts), np.diff(np.append(starts, len(h))))
+    lost = owner > least
+    return order[lost], order[~lost]
 
 
 class _Chunk:
     """Windows of consecutive documents of one task."""
 
     def __init__(self, width: int, ranges: int):
-        self.width, self.ranges, self.words = width, ranges, WordHashes()
+        self.width, self.ranges = width, ranges
         self.reset()
 
     def reset(self):
         self.ids, self.keys, self.hashes, self.n = [], [], [], 0
 
     def add(self, doc_id: int, key: int, text: str):
-        h = rolling_hashes(self.words.of(split_words(text)), self.width)
+        h = rolling_hashes(word_hashes(text), self.width)
         if len(h):
             self.ids.append(doc_id)
             self.keys.append(key)
@@ -85,8 +86,9 @@ class _Chunk:
             return
         lengths = np.array([len(h) for h in self.hashes])
         docs = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)
-        positions = (np.arange(self.n) - np.repeat(np.cumsum(lengths) - lengths, lengths)).astype(np.uint32)
+        positions = np.concatenate([np.arange(n, dtype=np.uint32) for n in lengths])
         hashes, ids, keys = np.concatenate(self.hashes), np.array(self.ids, np.int64), np.array(self.keys, np.int64)
+        self.hashes = []
         lost, carriers = settle(hashes, docs, ids)
         for d, p in _by_document(docs[lost], positions[lost]):
             yield int(ids[d]), int(keys[d]), SETTLED, p.astype("<u4").tobytes()
@@ -183,76 +185,78 @@ def repeated_windows(rows: DataFrame, width: int) -> DataFrame:
     return marks.filter(F.col("part") == SETTLED).unionByName(found).select("doc_id", "key", "packed")
 
 
-def removed_spans(docs: DataFrame, width: int = WIDTH, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per input row: doc_id, n_words, spans (array of [start, end) word intervals to remove), text.
-
-    An interval is a maximal run of words covered by windows whose word sequence also starts in a
-    document with a smaller id.  Null and empty texts have no words; a null id loses to every
-    other; rows that share an id do not remove each other's words; an empty table gives no rows.
-    """
+def _answers(docs: DataFrame, width: int, doc_id: str, text: str, schema: pa.Schema, shape: str, answer) -> DataFrame:
+    """Rows (doc_id, *answer(text, intervals to remove)), one per input row."""
     rows = texts(docs, doc_id, text).withColumn("key", text_key())
     marks = written(repeated_windows(rows, width), "marks")
     bitmap = rows.sparkSession.sparkContext.broadcast(filter_bitmap(marks, "key"))
-    schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("spans", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))), ("text", pa.string())])
-    shape = "doc_id long, n_words long, spans array<struct<start:int,end:int>>, text string"
+
+    def batch_of(ids, found):
+        columns = list(zip(*found, strict=True)) or [()] * (len(schema) - 1)
+        return pa.RecordBatch.from_arrays([ids, *[pa.array(c, f.type) for c, f in zip(columns, list(schema)[1:], strict=True)]], schema=schema)
 
     def bare(batches):
+        """Documents that lose nothing are answered where they lie."""
         for batch in batches:
-            mine = batch.filter(pa.array(~has_bit(bitmap.value, batch.column(2).to_numpy()))) if batch.num_rows else batch
-            held = mine.column(1).to_pylist()
-            yield pa.RecordBatch.from_arrays([mine.column(0), pa.array([len(split_words(t)) for t in held], pa.int64()), pa.array([[]] * len(held), schema.field("spans").type), mine.column(1)], schema=schema)
+            if batch.num_rows:
+                mine = batch.filter(pa.array(~has_bit(bitmap.value, batch.column(2).to_numpy())))
+                yield batch_of(mine.column(0), [answer(t, []) for t in mine.column(1).to_pylist()])
 
     def touched(batches):
         for batch in batches:
-            yield batch.filter(pa.array(has_bit(bitmap.value, batch.column(3).to_numpy()))) if batch.num_rows else batch
+            if batch.num_rows:
+                yield batch.filter(pa.array(has_bit(bitmap.value, batch.column(3).to_numpy())))
 
     def merged(batches):
         for batch in batches:
-            held, found = batch.column(1).to_pylist(), []
-            for packs in batch.column(2).to_pylist():
-                positions = np.unique(np.concatenate([np.frombuffer(p, "<u4") for p in packs]).astype(np.int64)) if packs else np.empty(0, np.int64)
-                found.append([{"start": a, "end": b} for a, b in runs(positions, width)])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(split_words(t)) for t in held], pa.int64()), pa.array(found, schema.field("spans").type), batch.column(1)], schema=schema)
+            found = []
+            for t, packs in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                positions = np.unique(np.concatenate([np.frombuffer(p, "<u4") for p in packs])) if packs else np.empty(0)
+                found.append(answer(t, runs(positions.astype(np.int64), width)))
+            yield batch_of(batch.column(0), found)
 
     untouched = prepared(rows.select("doc_id", "text", filter_bit("key").alias("bit"))).mapInArrow(bare, shape)
     candidates = rows.select("doc_id", "text", "key", filter_bit("key").alias("bit")).mapInArrow(touched, "doc_id long, text string, key long, bit int")
     # all packs of a document together are at most its own positions
     packs = marks.groupBy("doc_id", "key").agg(F.collect_list("packed").alias("packs")).withColumnsRenamed({"doc_id": "id"})
-    joined = candidates.withColumn("id", F.coalesce("doc_id", F.lit(int(NO_ID)))).join(packs, ["id", "key"], "left").select("doc_id", "text", "packs")
-    return untouched.unionByName(joined.mapInArrow(merged, shape))
+    joined = candidates.withColumn("id", F.coalesce("doc_id", F.lit(int(NO_ID)))).join(packs, ["id", "key"], "left")
+    return untouched.unionByName(joined.select("doc_id", "text", "packs").mapInArrow(merged, shape))
 
 
-def kept_digest(spans: DataFrame) -> DataFrame:
-    """doc_id, n_words, n_removed, kept_sha256 of the rows of ``removed_spans``."""
-    schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string())])
-
-    def digests(batches):
-        for batch in batches:
-            removed, kept = [], []
-            for cuts, text in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                left = kept_words(text, cuts)
-                removed.append(sum(c["end"] - c["start"] for c in cuts))
-                kept.append(hashlib.sha256(" ".join(left).encode("utf-8", "surrogatepass")).hexdigest())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(removed, pa.int64()), pa.array(kept, pa.string())], schema=schema)
+def removed_spans(docs: DataFrame, width: int = WIDTH, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per input row: doc_id, n_words, spans (array of [start, end) word intervals to remove).
 
-    return prepared(spans).select("doc_id", "n_words", "spans", "text").mapInArrow(digests, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+    An interval is a maximal run of words covered by windows whose word sequence also starts in a
+    document with a smaller id.  Null and empty texts have no words; a null id loses to every
+    other; rows that share an id do not remove each other's words; an empty table gives no rows.
+    """
+    span = pa.struct([("start", pa.int32()), ("end", pa.int32())])
+    schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("spans", pa.list_(span))])
+    return _answers(
+        docs, width, doc_id, text, schema, "doc_id long, n_words long, spans array<struct<start:int,end:int>>",
+        lambda t, cuts: (len(split_words(t)), [{"start": a, "end": b} for a, b in cuts]),
+    )
 
 
-def kept_words(text: str, cuts: list[dict]) -> list[str]:
+def kept_words(text: str, cuts: list[tuple[int, int]]) -> list[str]:
     words = split_words(text)
-    for cut in reversed(cuts):
-        del words[cut["start"] : cut["end"]]
+    for start, end in reversed(cuts):
+        del words[start:end]
     return words
 
 
 def without_repeats(docs: DataFrame, width: int = WIDTH, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id and the kept words of each row, joined by one space."""
+    """doc_id and text: the kept words of each row, joined by one space."""
     schema = pa.schema([("doc_id", pa.int64()), ("text", pa.string())])
+    return _answers(docs, width, doc_id, text, schema, "doc_id long, text string", lambda t, cuts: (" ".join(kept_words(t, cuts)),))
 
-    def kept(batches):
-        for batch in batches:
-            left = [" ".join(kept_words(t, c)) for t, c in zip(batch.column(2).to_pylist(), batch.column(1).to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(left, pa.string())], schema=schema)
 
-    spans = removed_spans(docs, width, doc_id, text).select("doc_id", "spans", "text")
-    return spans.mapInArrow(kept, "doc_id long, text string")
+def kept_digest(docs: DataFrame, width: int = WIDTH, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, n_words, n_removed and kept_sha256 (of what ``without_repeats`` keeps) of each row."""
+    schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string())])
+
+    def answer(t: str, cuts: list[tuple[int, int]]):
+        left, removed = kept_words(t, cuts), sum(b - a for a, b in cuts)
+        return len(left) + removed, removed, hashlib.sha256(" ".join(left).encode("utf-8", "surrogatepass")).hexdigest()
+
+    return _answers(docs, width, doc_id, text, schema, "doc_id long, n_words long, n_removed long, kept_sha256 string", answer)
