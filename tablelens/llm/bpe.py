@@ -1,25 +1,25 @@
 """BPE encoding and decoding, exact for texts of any length.
 
-A long text is cut into pieces that are encoded in parallel.  Two encoded neighbours are joined by
-encoding a window of text around the cut: the window is right when its first token is the left
+No token spans a space or a line feed, so a worker encodes every distinct word once.  What is left is
+text without such splits.  A long text is cut into pieces that are encoded in parallel; a stretch
+that runs over several pieces is put together as a tree: two encoded neighbours are joined by
+encoding a window of text around the cut.  The window is right when its first token is the left
 side's token at that place and one of its later tokens is the right side's; everything between is
-then taken from the window.  Otherwise the window doubles, at the end to both whole sides.  Pieces
-of one text are joined as a tree, neighbours first.
+then taken from the window.  Otherwise the window doubles, at the end to both whole sides.
 
 Why agreement is enough: a token sequence is the encoding of its text exactly when each pair of
 adjacent tokens is, and every pair of the joined sequence stands in one of the three encodings.
 Tokens nearer than MARGIN characters to a cut never count as agreement, so that special tokens,
 contractions and composed characters that straddle it are always inside a window.
-
-Short texts (and the insides of the pieces) use the fact that no token spans a space or a line
-feed: a worker encodes every distinct word once.
 """
 
 from __future__ import annotations
 
 import hashlib
 import json
+import os
 import re
+from array import array
 from functools import cache
 
 import numpy as np
@@ -126,48 +126,48 @@ def word_pattern(tokenizer):
     return regex.compile(cut[0]["pattern"]["Regex"]).findall
 
 
-class Pieces(dict):
-    """Pre-token to the bytes of its ids; bounded, emptied when full."""
-
-    def __init__(self, tokenizer, limit: int = 400_000):
-        super().__init__()
-        self.model, self.limit = tokenizer.model, limit
-
-    def __missing__(self, piece: str) -> bytes:
-        if len(self) >= self.limit:
-            self.clear()
-        value = self[piece] = np.array([t.id for t in self.model.tokenize(piece)], "<u4").tobytes()
-        return value
-
-
 class Words(dict):
     """Word to the bytes of its ids; bounded, emptied when full."""
 
-    def __init__(self, path: str, limit: int = 500_000):
+    def __init__(self, path: str, limit: int = 300_000):
         super().__init__()
         self.tokenizer, self.limit = load(path), limit
-        self.pieces = Pieces(self.tokenizer)
+        self.model = self.tokenizer.model
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added_start = os.path.commonprefix(self.added)
         # words of ASCII signs and Latin-1 letters are cut by the tokenizer's own pattern without the library's detour
         self.cut, self.simple = word_pattern(self.tokenizer), re.compile("[!-~À-ÖØ-öø-ÿ]*").fullmatch
 
     def __missing__(self, word: str) -> bytes:
         if len(self) >= self.limit:
             self.clear()
-        tokenizer = self.tokenizer
-        if any(t in word for t in self.added):
-            value = np.array(tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
-        else:
-            if self.cut and self.simple(word):
-                cut = self.cut(word.lower())
-                if not word.isascii():
-                    cut = [x.encode().decode("latin-1").translate(BYTE_SIGNS) for x in cut]
-            else:
-                cut = [x for x, _ in tokenizer.pre_tokenizer.pre_tokenize_str(tokenizer.normalizer.normalize_str(word))]
-            value = b"".join([self.pieces[piece] for piece in cut])
-        self[word] = value
+        value = self[word] = self.encoded(word)
         return value
 
+    def encoded(self, word: str) -> bytes:
+        tokenizer = self.tokenizer
+        if self.added_start in word and any(t in word for t in self.added):
+            return array("I", tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+        if not self.cut or not self.simple(word):
+            cut = [x for x, _ in tokenizer.pre_tokenizer.pre_tokenize_str(tokenizer.normalizer.normalize_str(word))]
+            return b"".join([self.piece(x) for x in cut])
+        lower = word.lower()
+        if lower != word:
+            return self[lower]
+        if word.isalpha():  # one match of the pattern
+            return self.piece(word if word.isascii() else signs(word))
+        if word[-1:] in ".,;:!?" and word[:-1].isalpha():
+            return self[word[:-1]] + self[word[-1]]
+        return b"".join([self.piece(x if x.isascii() else signs(x)) for x in self.cut(word)])
+
+    def piece(self, piece: str) -> bytes:
+        return array("I", [t.id for t in self.model.tokenize(piece)]).tobytes()
+
+
+def signs(piece: str) -> str:
+    """The bytes of a piece as byte-level tokenizers write them."""
+    return piece.encode().decode("latin-1").translate(BYTE_SIGNS)
+
 
 @cache
 def words_of(path: str) -> Words | None:
@@ -208,93 +208,125 @@ def decoded_bytes(path: str, ids: bytes) -> bytes:
     return b" ".join([parts[i] for i in np.frombuffer(ids, "<u4").tolist()])
 
 
-def _batches(rows, schema):
-    columns = list(zip(*rows, strict=True)) or [()] * len(schema)
-    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
-
+#: What a piece of a long text becomes: the stretch before its first split, the ids of the words between
+#: the splits, the stretch after the last; a piece without a split is one stretch, encoded with spans.
+_PIECES = pa.schema([
+    ("row", pa.int64()), ("doc_id", pa.int64()), ("part", pa.int32()), ("head", pa.string()), ("ids", pa.binary()),
+    ("tail", pa.string()), ("spans", pa.binary()),
+])
+_PIECES_SQL = "row long, doc_id long, part int, head string, ids binary, tail string, spans binary"
 
-def _encoded(frame: DataFrame, function) -> DataFrame:
-    """Run ``function`` over the batches of (doc_id, key, piece, text); its rows are (doc_id, ids)."""
-    return frame.mapInArrow(function, "doc_id long, ids binary")
 
+def _piece(path: str, text: str):
+    words = words_of(path)
+    if words is not None:
+        first = min((i for i in (text.find(" "), text.find("\n")) if i >= 0), default=-1)
+        if first >= 0:
+            last = max(text.rfind(" "), text.rfind("\n"))
+            return text[:first], ids_of(path, text[first:last]), text[last + 1 :], None
+    found = encode(path, text, 0, len(text))
+    return text, found.ids.astype("<u4").tobytes(), None, found.spans.astype("<i4").tobytes()
+
+
+class _Stretch:
+    """Text without a split, gathered over pieces."""
+
+    def __init__(self):
+        self.parts: list[tuple[str, bytes | None, bytes | None]] = []
+
+    def add(self, text: str, ids: bytes | None = None, spans: bytes | None = None):
+        if text:
+            self.parts.append((text, ids, spans))
+
+    def finish(self, path: str, piece: int, margin: int) -> bytes:
+        whole, at, held = "".join(t for t, _, _ in self.parts), 0, []
+        parts, self.parts = self.parts, []
+        if len(whole) <= piece and len(parts) != 1:
+            return ids_of(path, whole)
+        for text, ids, spans in parts:
+            if spans is None:
+                held.append(encode(path, whole, at, at + len(text)))
+            else:
+                where = np.frombuffer(spans, "<i4").reshape(-1, 2).astype(np.int64) + at
+                held.append(Encoded(at, at + len(text), np.frombuffer(ids, "<u4"), where))
+            at += len(text)
+        return tree(path, whole, held, margin).ids.astype("<u4").tobytes() if held else b""
 
-def encode_documents(
-    docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", piece: int = PIECE, margin: int = MARGIN
-) -> DataFrame:
-    """One row per input row: doc_id and ids (little-endian unsigned 32-bit integers as binary).
 
-    A null or empty text has no ids; repeated rows are encoded each; an empty table gives no rows.
-    Texts above ``piece`` characters are cut, the pieces dealt over all tasks, and joined exactly.
-    """
-    schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary())])
+def _encode(docs: DataFrame, path: str, doc_id: str, text: str, piece: int, margin: int, schema: pa.Schema, shape: str, answer) -> DataFrame:
+    """Rows (doc_id, *answer(ids)), one per input row."""
     rows = prepared(texts(docs, doc_id, text))
 
+    def batch_of(ids, found):
+        columns = list(zip(*found, strict=True)) or [()] * (len(schema) - 1)
+        return pa.RecordBatch.from_arrays([ids, *[pa.array(c, f.type) for c, f in zip(columns, list(schema)[1:], strict=True)]], schema=schema)
+
     def short(batches):
         for batch in batches:
-            found = [ids_of(path, t) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(found, pa.binary())], schema=schema)
+            yield batch_of(batch.column(0).cast(pa.int64()), [answer(ids_of(path, t)) for t in batch.column(1).to_pylist()])
 
     def pieces(batches):
-        out = pa.schema([("part", pa.int32()), ("ids", pa.binary()), ("spans", pa.binary())])
         for batch in batches:
-            names = ("row", "doc_id", "part", "text")
-            held = [batch.column(i) for i in range(4)]
-            found = [encode(path, t, 0, len(t)) for t in held[3].to_pylist()]
-            more = [pa.array([f.ids.astype("<u4").tobytes() for f in found], pa.binary()), pa.array([f.spans.astype("<i4").tobytes() for f in found], pa.binary())]
-            yield pa.RecordBatch.from_arrays([*held, *more], names=[*names, *out.names[1:]])
+            columns = list(zip(*[_piece(path, t) for t in batch.column(3).to_pylist()], strict=True)) or [()] * 4
+            found = [pa.array(c, _PIECES.field(i + 3).type) for i, c in enumerate(columns)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), *found], schema=_PIECES)
 
     def joined(batches):
-        """Sorted by row and part: the pieces of a text arrive together."""
-        key, held = None, []
+        """Sorted by row and part: the pieces of a text arrive one after another."""
+        key, owner, ids, stretch = None, None, [], _Stretch()
 
         def finished():
-            whole, at, parts = "".join(p["text"] for p in held), 0, []
-            for p in held:
-                ids, spans = np.frombuffer(p["ids"], "<u4"), np.frombuffer(p["spans"], "<i4").reshape(-1, 2)
-                parts.append(Encoded(at, at + len(p["text"]), ids, spans.astype(np.int64) + at))
-                at += len(p["text"])
-            ids = tree(path, whole, parts, margin).ids.astype("<u4").tobytes()
-            return _batches([(held[0]["doc_id"], ids)], schema)
+            ids.append(stretch.finish(path, piece, margin))
+            return batch_of(pa.array([owner], pa.int64()), [answer(b"".join(ids))])
 
         for batch in batches:
-            for i in range(batch.num_rows):
-                p = {n: batch.column(k)[i].as_py() for k, n in enumerate(batch.schema.names)}
-                if held and p["row"] != key:
+            for p in batch.to_pylist():
+                if key is not None and p["row"] != key:
                     yield finished()
-                    held = []
-                key = p["row"]
-                held.append(p)
-        if held:
+                    ids, stretch = [], _Stretch()
+                key, owner = p["row"], p["doc_id"]
+                if p["spans"] is not None:
+                    stretch.add(p["head"], p["ids"], p["spans"])
+                    continue
+                stretch.add(p["head"])
+                ids += [stretch.finish(path, piece, margin), p["ids"]]
+                stretch.add(p["tail"])
+        if key is not None:
             yield finished()
 
     is_long = F.char_length("text") > piece
     starts = F.sequence(F.lit(0), F.expr(f"cast((char_length(text) - 1) div {piece} as int)"))
-    cut = (
-        rows.filter(is_long)
-        .select(F.struct("doc_id", text_key().alias("key"), F.monotonically_increasing_id().alias("n")).alias("row"), "doc_id", "text", F.explode(starts).alias("part"))
-        .select(F.xxhash64("row").alias("row"), "doc_id", "part", F.substring("text", F.col("part") * piece + 1, F.lit(piece)).alias("text"))
-    )
-    spread = cut.repartition("row", "part").mapInArrow(pieces, "row long, doc_id long, part int, text string, ids binary, spans binary")
+    # an identity for each long row; it is only used within this one shuffle, on whose rows it is fixed
+    cut = rows.filter(is_long).withColumn("row", F.xxhash64("doc_id", F.xxhash64("text"), F.monotonically_increasing_id()))
+    cut = cut.select("row", "doc_id", "text", F.explode(starts).alias("part"))
+    cut = cut.select("row", "doc_id", "part", F.substring("text", F.col("part") * piece + 1, F.lit(piece)).alias("text"))
+    spread = cut.repartition("row", "part").mapInArrow(pieces, _PIECES_SQL)
     whole = spread.repartition("row").sortWithinPartitions("row", "part")
-    return rows.filter(~is_long).mapInArrow(short, "doc_id long, ids binary").unionByName(whole.mapInArrow(joined, "doc_id long, ids binary"))
+    return rows.filter(~is_long).mapInArrow(short, shape).unionByName(whole.mapInArrow(joined, shape))
+
+
+def encode_documents(
+    docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", piece: int = PIECE, margin: int = MARGIN
+) -> DataFrame:
+    """One row per input row: doc_id and ids (little-endian unsigned 32-bit integers as binary).
 
+    A null or empty text has no ids; repeated rows are encoded each; an empty table gives no rows.
+    Texts above ``piece`` characters are cut, the pieces dealt over all tasks, and joined exactly.
+    """
+    schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary())])
+    return _encode(docs, path, doc_id, text, piece, margin, schema, "doc_id long, ids binary", lambda ids: (ids,))
 
-def encode_decode(docs: DataFrame, path: str, **options) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 of every row; options as ``encode_documents``."""
+
+def encode_decode(
+    docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", piece: int = PIECE, margin: int = MARGIN
+) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of every row, encoded as ``encode_documents`` does."""
     schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
 
-    def digests(batches):
-        for batch in batches:
-            ids = batch.column(1).to_pylist()
-            columns = [
-                batch.column(0),
-                pa.array([len(x) // 4 for x in ids], pa.int64()),
-                pa.array([hashlib.sha256(x).hexdigest() for x in ids]),
-                pa.array([hashlib.sha256(decoded_bytes(path, x)).hexdigest() for x in ids]),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, schema=schema)
-
-    return encode_documents(docs, path, **options).mapInArrow(digests, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    def answer(ids: bytes):
+        return len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded_bytes(path, ids)).hexdigest()
+
+    return _encode(docs, path, doc_id, text, piece, margin, schema, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string", answer)
 
 
 def decode_documents(encoded: DataFrame, path: str) -> DataFrame:
