@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.sql import functions as F
+
 from tablelens.plans.runtime import new_path
 from tablelens.queries import query
 from tablelens.queries.aggregation import histogram_sql
@@ -18,17 +20,32 @@ def _(spark, d):
     stream = file_stream(spark, d, "events")
     table = VersionedTable(spark, f"events_{uuid.uuid4().hex}", EVENTS, "event_id", 8)
     table.create(spark.createDataFrame([], stream.schema))
-    ingest(stream, table, new_path(spark, "progress")).awaitTermination()
+    ingest(stream, table, new_path(spark, "progress"), "ts").awaitTermination()
+    return table.read()
+
+
+@query(
+    "ingest_two_streams",
+    """SELECT event_id, ts, user_id, event_type, value, props FROM events
+       UNION ALL SELECT -1 - event_id, ts, user_id, event_type, value, props FROM events""",
+)
+def _(spark, d):
+    """Two streams with checkpoints of their own into one table."""
+    table = VersionedTable(spark, f"events_{uuid.uuid4().hex}", EVENTS, "event_id", 8)
+    table.create(spark.createDataFrame([], file_stream(spark, d, "events").schema))
+    for key in (F.col("event_id"), -1 - F.col("event_id")):
+        stream = file_stream(spark, d, "events").withColumn("event_id", key)
+        ingest(stream, table, new_path(spark, "progress"), "ts").awaitTermination()
     return table.read()
 
 
 def _histogram(interval: str, minutes: int):
     @query(f"stream_histogram_{interval}", histogram_sql("events", "ts", interval, minutes))
     def _(spark, d):
-        path = new_path(spark, "histogram")
+        path, view = new_path(spark, "histogram"), f"histogram_{uuid.uuid4().hex}"
         stream = file_stream(spark, d, "events")
-        stream_histogram(stream, "ts", interval, path, new_path(spark, "progress"), minutes).awaitTermination()
-        return spark.read.parquet(path)
+        stream_histogram(stream, "ts", interval, path, new_path(spark, "progress"), minutes, view=view).awaitTermination()
+        return spark.table(view)
 
 
 _histogram("day", 0)

@@ -165,6 +165,19 @@ def _(spark, d):
     return new.read()
 
 
+class WrittenMeanwhile(VersionedTable):
+    """A table into which ``meanwhile`` writes after the first copy of a migration."""
+
+    meanwhile = None
+
+    def _write(self, df, buckets):
+        places = super()._write(df, buckets)
+        if self.meanwhile:
+            write, self.meanwhile = self.meanwhile, None
+            write()
+        return places
+
+
 @query(
     "migrate_catch_up",
     """SELECT o_orderkey, o_custkey, o_orderstatus, o_orderkey AS seq FROM orders""",
@@ -175,13 +188,75 @@ def _(spark, d):
     rows = read_table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", F.col("o_orderkey").alias("seq"))
     half = rows.agg(F.floor(F.max("seq") / 2)).head()[0]
     old = VersionedTable(spark, f"orders_{uuid.uuid4().hex}", declared, "o_orderkey", 8)
-    old.create(rows)
-    new = VersionedTable(spark, f"orders_{uuid.uuid4().hex}", declared, "o_orderkey", 8)
-    new.create(rows.filter(F.col("seq") <= half), version=2)
-    new.catch_up(old.snapshot().table, "seq", half)
+    old.create(rows.filter(F.col("seq") <= half))
+    new = WrittenMeanwhile(spark, old.alias, declared, "o_orderkey", 8)
+    new.meanwhile = lambda: old.upsert(rows.filter(F.col("seq") > half), "seq")
+    new.migrate(2)
     return new.read()
 
 
+@query(
+    "migrate_during_writes",
+    """SELECT c_custkey, c_name, c_nationkey::BIGINT AS c_nationkey, CASE WHEN c_nationkey = 5 THEN -1.0 ELSE c_acctbal END AS c_acctbal,
+         c_mktsegment, NULL::INT AS c_rank FROM customer WHERE c_nationkey <> 9
+       UNION ALL SELECT c_custkey + 10000000, c_name, c_nationkey::BIGINT, c_acctbal, c_mktsegment, NULL FROM customer WHERE c_nationkey = 5""",
+)
+def _(spark, d):
+    """Changed, added and deleted rows while a migration copies."""
+    old, some = stored(spark, d), customers(spark, d).filter("c_nationkey = 5")
+
+    def write():
+        old.upsert(some.withColumn("c_acctbal", F.lit(-1.0)))
+        old.upsert(some.withColumn("c_custkey", F.col("c_custkey") + 10_000_000))
+        old.delete(customers(spark, d).filter("c_nationkey = 9").select("c_custkey"))
+
+    new = WrittenMeanwhile(spark, old.alias, NEXT_CUSTOMER, "c_custkey", 16)
+    new.meanwhile = write
+    report = new.migrate(2)
+    if report["code"] != "MIGRATED":
+        raise RuntimeError(f"migration failed: {report}")
+    return new.read()
+
+
+@query(
+    "patch_repeated_id",
+    """SELECT c_custkey, c_name, c_nationkey, CASE WHEN c_nationkey = 3 THEN 2.0 ELSE c_acctbal END AS c_acctbal, c_mktsegment FROM customer""",
+)
+def _(spark, d):
+    """Two changes of each record: the later one counts, and no row is doubled."""
+    some = customers(spark, d).filter("c_nationkey = 3")
+    changed = [some.select("c_custkey", F.lit(v).alias("c_acctbal"), F.lit(n).alias("seq")) for v, n in ((2.0, 2), (1.0, 1))]
+    return changes.patch(customers(spark, d), union_open(changed), "c_custkey", sequence="seq")
+
+
+@query("upsert_null_sequence", "SELECT c_custkey, c_name, c_nationkey, CASE WHEN c_nationkey = 4 THEN 7.0 ELSE c_acctbal END AS c_acctbal, c_mktsegment FROM customer")
+def _(spark, d):
+    """Records without a sequence are written whole, and come before those that have one."""
+    some = customers(spark, d).filter("c_nationkey = 4")
+    first = some.withColumn("c_acctbal", F.when(F.col("c_custkey") % 2 == 0, 1.0).otherwise(7.0)).withColumn("seq", F.lit(None).cast("int"))
+    second = some.filter("c_custkey % 2 = 0").withColumn("c_acctbal", F.lit(7.0)).withColumn("seq", F.lit(0))
+    return changes.upsert(customers(spark, d), union_open([first, second]), "c_custkey", "seq")
+
+
+@query(
+    "patch_stored",
+    """SELECT c_custkey, c_name, c_nationkey, CASE WHEN c_nationkey = 3 THEN 0.0 ELSE c_acctbal END AS c_acctbal,
+         c_mktsegment FROM customer""",
+)
+def _(spark, d):
+    table = stored(spark, d)
+    table.patch(customers(spark, d).filter("c_nationkey = 3").select("c_custkey", F.lit(0.0).alias("c_acctbal")))
+    return table.read()
+
+
+@query("delete_stored", "SELECT * FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P')")
+def _(spark, d):
+    table = stored(spark, d)
+    keys = read_table(spark, d, "orders").filter("o_orderstatus = 'P'").select(F.col("o_custkey").alias("c_custkey"))
+    table.delete(keys)
+    return table.read()
+
+
 @query(
     "migrate_many",
     """SELECT 'MIGRATED' AS code, count(*) AS rows_old, count(*) AS rows_new, true AS hash_equal FROM customer

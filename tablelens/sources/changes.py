@@ -15,11 +15,25 @@ def _keys(frame: DataFrame, row_id: str) -> DataFrame:
     return F.broadcast(keys) if fits_broadcast(keys) else keys
 
 
-def last_per_id(batch: DataFrame, row_id: str, sequence: str) -> DataFrame:
-    """The record with the highest sequence of each id; ``max_by`` combines before the shuffle."""
+def _folded(batch: DataFrame, row_id: str, record) -> DataFrame:
     rest = [c for c in batch.columns if c != row_id]
-    last = F.max_by(F.struct(*[F.col(f"`{c}`") for c in rest]), F.col(sequence)).alias("r")
-    return batch.groupBy(row_id).agg(last).select(row_id, *[F.col(f"r.`{c}`") for c in rest]).select(*batch.columns)
+    whole = F.struct(*[F.col(f"`{c}`") for c in rest]) if rest else F.struct(F.lit(0).alias("none"))
+    return batch.groupBy(row_id).agg(record(whole).alias("r")).select(row_id, *[F.col(f"r.`{c}`") for c in rest]).select(*batch.columns)
+
+
+def last_per_id(batch: DataFrame, row_id: str, sequence: str) -> DataFrame:
+    """The record with the highest sequence of each id, a null one before all others; ``max_by`` combines before the shuffle."""
+    place = F.struct(F.col(sequence).isNotNull().alias("known"), F.col(sequence).alias("sequence"))
+    return _folded(batch, row_id, lambda whole: F.max_by(whole, place))
+
+
+def unique_ids(batch: DataFrame, row_id: str) -> DataFrame:
+    """The batch itself; an id that comes twice is an error, as nothing says which record is the last."""
+    def only(whole: Column) -> Column:
+        one = F.any_value(whole)
+        return F.when(F.count(F.lit(1)) > 1, F.raise_error(F.lit(f"several records of one {row_id} and no sequence"))).otherwise(one)
+
+    return _folded(batch, row_id, only)
 
 
 def upsert(old: DataFrame, batch: DataFrame, row_id: str, sequence: str | None = None) -> DataFrame:
@@ -29,9 +43,8 @@ def upsert(old: DataFrame, batch: DataFrame, row_id: str, sequence: str | None =
     Columns unknown to the other side are null there.
     """
     given = batch.filter(F.col(row_id).isNotNull())
-    if sequence is not None:
-        given = last_per_id(given, row_id, sequence)
-    kept = old.join(_keys(given, row_id), row_id, "left_anti")
+    given = last_per_id(given, row_id, sequence) if sequence is not None else unique_ids(given, row_id)
+    kept = old.join(_keys(batch.filter(F.col(row_id).isNotNull()), row_id), row_id, "left_anti")
     # Used once, right before the write, so that a new id is drawn only once.
     unnamed = with_ids(batch.filter(F.col(row_id).isNull()), row_id)
     out = kept.unionByName(given, allowMissingColumns=True).unionByName(unnamed, allowMissingColumns=True)
@@ -48,11 +61,16 @@ def with_ids(batch: DataFrame, row_id: str) -> DataFrame:
     return batch.withColumn(row_id, F.coalesce(F.col(row_id), drawn))
 
 
-def patch(old: DataFrame, changes: DataFrame, row_id: str, provided: dict[str, Column] | None = None) -> DataFrame:
+def patch(old: DataFrame, changes: DataFrame, row_id: str, provided: dict[str, Column] | None = None, sequence: str | None = None) -> DataFrame:
     """Only the provided fields change; by default a non-null value counts as provided.
 
-    ``provided`` gives a condition per field, for setting a field to null.
+    ``provided`` gives a condition per field, for setting a field to null.  Several changes of one id
+    need a ``sequence``; the last one counts.
     """
+    changes = changes.filter(F.col(row_id).isNotNull())
+    changes = last_per_id(changes, row_id, sequence) if sequence is not None else unique_ids(changes, row_id)
+    if sequence is not None and sequence not in old.columns:
+        changes = changes.drop(sequence)
     fields = [c for c in changes.columns if c != row_id]
     new = changes.select(
         row_id,

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -16,11 +19,20 @@ def file_stream(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.readStream.schema(schema).option("pathGlobFilter", f"{table}.parquet").parquet(folder)
 
 
-def ingest(stream: DataFrame, table: VersionedTable, checkpoint: str, name: str = "ingest", sequence: str | None = None) -> StreamingQuery:
-    """Upsert every micro-batch; a batch replayed after a failure changes nothing."""
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark keeps in a stream's checkpoint: the same after a restart, another for every other stream."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").head()[0])["id"]
+
+
+def ingest(stream: DataFrame, table: VersionedTable, checkpoint: str, sequence: str) -> StreamingQuery:
+    """Upsert every micro-batch; a batch replayed after a failure changes nothing.
+
+    ``sequence`` orders the records of one id.  Batches are marked by the stream's own id, so several
+    streams can write into one table.
+    """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        table.upsert(batch, sequence, source=name, batch_id=batch_id)
+        table.upsert(batch, sequence, source=stream_id(batch.sparkSession, checkpoint), batch_id=batch_id)
 
     return (
         stream.writeStream.foreachBatch(apply)
@@ -54,11 +66,21 @@ def windowed_counts(stream: DataFrame, field: str, interval: str, offset: int |
 
 
 def stream_histogram(
-    stream: DataFrame, field: str, interval: str, path: str, checkpoint: str, offset: int | str = 0, late: str = "1 day", mode: str = "complete"
+    stream: DataFrame, field: str, interval: str, path: str, checkpoint: str, offset: int | str = 0, late: str = "1 day",
+    mode: str = "complete", view: str | None = None,
 ) -> StreamingQuery:
-    """Keep a histogram table up to date: ``complete`` replaces it per batch, ``append`` adds closed buckets."""
+    """Keep a histogram up to date: ``append`` adds closed buckets to ``path``; ``complete`` writes a folder of
+    its own per batch below ``path`` and then moves ``view``, so readers never see a half-written one."""
     counts = windowed_counts(stream, field, interval, offset, late)
     writer = counts.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True)
     if mode == "append":
         return writer.format("parquet").option("path", path).start()
-    return writer.foreachBatch(lambda df, _: df.write.mode("overwrite").parquet(path)).start()
+    if view is None:
+        raise ValueError("a complete histogram needs the name of its view")
+
+    def publish(batch: DataFrame, batch_id: int) -> None:
+        folder = f"{path}/batch-{batch_id}-{uuid.uuid4().hex[:8]}"
+        batch.write.parquet(folder)
+        batch.sparkSession.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT * FROM parquet.`{folder}`")
+
+    return writer.foreachBatch(publish).start()

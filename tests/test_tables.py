@@ -6,7 +6,7 @@ from tablelens.sources.schema import (
     all_fields, drift, fulltext_fields, load_records, rejected_values, struct_type, with_properties,
 )
 from tablelens.sources.tables import VersionedTable, alias_name, migrate_all, table_name, write_clustered
-from tablelens.streaming.jobs import file_stream, ingest, stream_histogram
+from tablelens.streaming.jobs import file_stream, ingest, stream_histogram, stream_id
 
 DECLARED = {"id": "keyword", "n": "integer", "note": "text"}
 
@@ -81,18 +81,56 @@ def test_migrate(spark, table):
     assert wider.migrate(2)["code"] == "NO_CHANGE"
 
 
-def test_catch_up(spark):
+def test_writes_during_a_migration_are_kept(spark):
     declared = {"id": "keyword", "seq": "long"}
     t = VersionedTable(spark, "t_catch_up", declared, buckets=2)
-    t.create(spark.createDataFrame([("a", 1), ("b", 2)], "id string, seq long"))
-    old = t.snapshot().table
-    t._publish(t.read().schema, 2, 2, t.snapshot().locations, {})
-    spark.createDataFrame([("b", 5), ("c", 6)], "id string, seq long").createOrReplaceTempView("late_rows")
-    late = VersionedTable(spark, "t_catch_up_old", declared, buckets=2)
-    late.create(spark.table("late_rows"))
-    t.catch_up(late.snapshot().table, "seq", 2)
+    t.create(spark.createDataFrame([("a", 1), ("b", 2), ("d", 3)], "id string, seq long"))
+    t.upsert(spark.createDataFrame([("a", 1)], "id string, seq long"), source="s", batch_id=4)
+
+    class Busy(VersionedTable):
+        def _write(self, df, buckets):
+            places = super()._write(df, buckets)
+            if not hasattr(self, "wrote"):
+                self.wrote = True
+                t.upsert(spark.createDataFrame([("b", 5), ("c", 6)], "id string, seq long"))
+                t.delete(spark.createDataFrame([("d",)], "id string"))
+            return places
+
+    report = Busy(spark, "t_catch_up", declared, buckets=3).migrate(2)
+    assert report["code"] == "MIGRATED" and report["hash_equal"] and report["rows_new"] == 3
     assert sorted(tuple(r) for r in t.read().collect()) == [("a", 1), ("b", 5), ("c", 6)]
-    assert old
+    assert not t.upsert(spark.createDataFrame([("z", 9)], "id string, seq long"), source="s", batch_id=4)
+    t.delete_all()
+    assert not t.upsert(spark.createDataFrame([("z", 9)], "id string, seq long"), source="s", batch_id=3)
+
+
+def test_a_write_that_came_first_is_not_lost(spark, table):
+    class Slow(VersionedTable):
+        def _write(self, df, buckets):
+            places = super()._write(df, buckets)
+            if not hasattr(self, "waited"):
+                self.waited = True
+                table.upsert(make(spark, [("7", 70, "first")]))
+            return places
+
+    Slow(spark, table.alias, DECLARED, buckets=4).upsert(make(spark, [("7", 71, "second"), ("8", 80, "second")]))
+    rows = {r["id"]: r["n"] for r in table.read().collect()}
+    assert rows["7"] == 71 and rows["8"] == 80 and len(rows) == 20
+
+
+def test_repeated_ids_need_a_sequence(spark, table):
+    twice = make(spark, [("1", 5, "a"), ("1", 6, "b")])
+    with pytest.raises(Exception, match="no sequence"):
+        table.upsert(twice)
+    with pytest.raises(Exception, match="no sequence"):
+        changes.patch(table.read(), twice, "id").collect()
+    lone = spark.createDataFrame([("1", 5, "a", None)], "id string, n int, note string, seq int")
+    assert [r["n"] for r in changes.upsert(table.read(), lone, "id", "seq").filter("id = '1'").collect()] == [5]
+
+
+def test_rebuild(spark, table):
+    report = migrate_all([(table, 2)], {table.alias: make(spark, [("q", 1, "new")])}).head()
+    assert (report["code"], report["rows_old"], report["rows_new"]) == ("REBUILT", 20, 1) and content(table.read()) == [("q", 1, "new")]
 
 
 def test_status_without_a_table(spark):
@@ -149,10 +187,13 @@ def test_stream_ingest_is_idempotent(spark, tmp_path):
     t = VersionedTable(spark, "t_streamed", DECLARED, buckets=2)
     t.create()
     stream = spark.readStream.schema(t.read().schema).parquet(str(source / "rows.parquet"))
-    ingest(stream, t, str(tmp_path / "cp")).awaitTermination()
-    assert t.read().count() == 10
-    assert not t.upsert(make(spark, [("zz", 0, "replayed")]), source="ingest", batch_id=0)
+    ingest(stream, t, str(tmp_path / "cp"), "n").awaitTermination()
     assert t.read().count() == 10
+    name = stream_id(spark, str(tmp_path / "cp"))
+    assert not t.upsert(make(spark, [("zz", 0, "replayed")]), source=name, batch_id=0)
+    other = stream.withColumn("id", F.concat("id", F.lit("b")))
+    ingest(other, t, str(tmp_path / "cp2"), "n").awaitTermination()
+    assert t.read().count() == 20
 
 
 @pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
@@ -166,12 +207,12 @@ def test_stream_histogram(spark, tmp_path, zone):
 
 def check_stream_histogram(spark, tmp_path):
     folder = "/root/testdata/sf0.001"
-    q = stream_histogram(file_stream(spark, folder, "events"), "ts", "day", str(tmp_path / "h"), str(tmp_path / "cp"), "+02:00")
+    q = stream_histogram(file_stream(spark, folder, "events"), "ts", "day", str(tmp_path / "h"), str(tmp_path / "cp"), "+02:00", view="v_days")
     q.awaitTermination()
     from tablelens.operators.aggregations import date_histogram
 
     batch = date_histogram(spark.read.parquet(f"{folder}/events.parquet"), "ts", "day", "+02:00")
-    got = sorted(map(tuple, spark.read.parquet(str(tmp_path / "h")).collect()))
+    got = sorted(map(tuple, spark.table("v_days").collect()))
     assert got == sorted(map(tuple, batch.collect()))
 
 
