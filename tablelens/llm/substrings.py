@@ -13,6 +13,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,10 +28,11 @@ CHUNK = 1 << 19
 RANGE_CHARS = 1 << 23
 NO_ID = np.iinfo(np.int64).max
 
-_MARKS = pa.schema([("doc_id", pa.int64()), ("key", pa.int64()), ("part", pa.int32()), ("packed", pa.binary())])
-_MARKS_SQL = "doc_id long, key long, part int, packed binary"
-#: Hash range of rows that need no more looking up.
-SETTLED = -1
+#: Rows of a range: windows still to be compared, or (settled) the lost positions of one document.
+_MARKS = pa.schema([("part", pa.int32()), ("settled", pa.bool_()), ("doc_id", pa.int64()), ("key", pa.int64()), ("packed", pa.binary())])
+_MARKS_SQL = "part int, settled boolean, doc_id long, key long, packed binary"
+#: Bytes of the batches that a task hands out.
+OUT_BYTES = 1 << 20
 
 
 def _ids(column) -> np.ndarray:
@@ -84,21 +86,21 @@ class _Chunk:
     def rows(self):
         if not self.n:
             return
-        lengths = np.array([len(h) for h in self.hashes])
-        docs = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)
-        positions = np.concatenate([np.arange(n, dtype=np.uint32) for n in lengths])
-        hashes, ids, keys = np.concatenate(self.hashes), np.array(self.ids, np.int64), np.array(self.keys, np.int64)
+        lengths = np.array([len(h) for h in self.hashes], np.int64)
+        ids, keys, hashes = np.array(self.ids, np.int64), np.array(self.keys, np.int64), np.concatenate(self.hashes)
         self.hashes = []
+        starts = np.cumsum(lengths) - lengths
+        docs = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)
         lost, carriers = settle(hashes, docs, ids)
-        for d, p in _by_document(docs[lost], positions[lost]):
-            yield int(ids[d]), int(keys[d]), SETTLED, p.astype("<u4").tobytes()
-        h, d, p = hashes[carriers], docs[carriers], positions[carriers]
-        part = range_of(h, self.ranges)
-        cuts = np.searchsorted(part, np.arange(self.ranges + 1))
+        for d, at in _by_document(docs[lost], lost):
+            yield int(keys[d] % self.ranges), True, int(ids[d]), int(keys[d]), (at - starts[d]).astype("<u4").tobytes()
+        h, d = hashes[carriers], docs[carriers]
+        cuts = np.searchsorted(range_of(h, self.ranges), np.arange(self.ranges + 1))
         for k in range(self.ranges):
             a, b = cuts[k], cuts[k + 1]
             if a < b:
-                yield 0, 0, k, packed(h[a:b], d[a:b], p[a:b], ids, keys)
+                used = np.unique(d[a:b])
+                yield k, False, 0, 0, packed(h[a:b], carriers[a:b], ids[used], keys[used], starts[used])
         self.reset()
 
 
@@ -107,17 +109,18 @@ def range_of(hashes: np.ndarray, ranges: int) -> np.ndarray:
     return ((hashes >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int32)
 
 
-def packed(h: np.ndarray, d: np.ndarray, p: np.ndarray, ids: np.ndarray, keys: np.ndarray) -> bytes:
-    """Hashes in order as planes of 16 bits (the high ones compress well), documents, positions."""
-    used, local = np.unique(d, return_inverse=True)
-    planes = [(h >> np.uint64(s)).astype("<u2").tobytes() for s in (48, 32, 16, 0)]
-    small = "<u2" if len(used) <= 1 << 16 else "<u4"
-    wide = p.astype("<u4")
-    head = np.array([len(h), len(used)], "<u4").tobytes()
-    return b"".join([head, ids[used].astype("<i8").tobytes(), keys[used].astype("<i8").tobytes(), *planes, local.astype(small).tobytes(), (wide & 0xFFFF).astype("<u2").tobytes(), (wide >> 16).astype("<u2").tobytes()])
+def packed(h: np.ndarray, at: np.ndarray, ids: np.ndarray, keys: np.ndarray, starts: np.ndarray) -> bytes:
+    """Hashes in order and the windows' places in their chunk, as planes of 16 bits (the high ones compress
+    well), with ids, text keys and first places of the documents they come from."""
+    planes = [(h >> np.uint64(s)).astype("<u2") for s in (48, 32, 16, 0)]
+    places = at.astype("<u4")
+    planes += [(places >> np.uint32(16)).astype("<u2"), places.astype("<u2")]
+    head = np.array([len(h), len(ids)], "<u4")
+    return b"".join(x.tobytes() for x in (head, ids.astype("<i8"), keys.astype("<i8"), starts.astype("<u4"), *planes))
 
 
 def unpacked(data: bytes):
+    """Hashes, document indexes, positions in the document, ids, keys."""
     n, m = np.frombuffer(data, "<u4", 2).tolist()
     at = 8
 
@@ -127,13 +130,14 @@ def unpacked(data: bytes):
         at += found.nbytes
         return found
 
-    ids, keys = take("<i8", m), take("<i8", m)
+    ids, keys, starts = take("<i8", m), take("<i8", m), take("<u4", m)
     h = np.zeros(n, np.uint64)
     for s in (48, 32, 16, 0):
         h |= take("<u2", n).astype(np.uint64) << np.uint64(s)
-    local = take("<u2" if m <= 1 << 16 else "<u4", n)
-    low = take("<u2", n).astype(np.uint32)
-    return h, local, low | take("<u2", n).astype(np.uint32) << np.uint32(16), ids, keys
+    places = take("<u2", n).astype(np.uint32) << np.uint32(16)
+    places |= take("<u2", n)
+    docs = (np.searchsorted(starts, places, "right") - 1).astype(np.int32)
+    return h, docs, places - starts[docs], ids, keys
 
 
 def repeated_windows(rows: DataFrame, width: int) -> DataFrame:
@@ -145,44 +149,47 @@ def repeated_windows(rows: DataFrame, width: int) -> DataFrame:
     ranges = max(16, -(-chars // RANGE_CHARS))
 
     def windows(batches):
-        chunk, out = _Chunk(width, ranges), []
-
-        def batch_of(found):
-            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*found, strict=True), _MARKS, strict=True)], schema=_MARKS)
-
-        for batch in batches:
-            for doc_id, key, text in zip(_ids(batch.column(0)).tolist(), batch.column(2).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                chunk.add(doc_id, key, text)
-                if chunk.n >= CHUNK:
-                    out = list(chunk.rows())
-                    yield batch_of(out)
-        out = list(chunk.rows())
-        if out:
-            yield batch_of(out)
+        chunk, held, size = _Chunk(width, ranges), [], 0
+
+        def batch():
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held, strict=True), _MARKS, strict=True)], schema=_MARKS)
+
+        def rows_of():
+            for b in batches:
+                for doc_id, key, text in zip(_ids(b.column(0)).tolist(), b.column(2).to_pylist(), b.column(1).to_pylist(), strict=True):
+                    chunk.add(doc_id, key, text)
+                    if chunk.n >= CHUNK:
+                        yield from chunk.rows()
+            yield from chunk.rows()
+
+        for row in rows_of():
+            held.append(row)
+            size += len(row[4])
+            if size >= OUT_BYTES:
+                yield batch()
+                held, size = [], 0
+        if held:
+            yield batch()
 
     def winners(table: pa.Table) -> pa.Table:
+        """The windows of a hash range: carriers of a chunk are the smallest there, the smallest of all is what counts."""
+        found = table.filter(table.column("settled")).to_batches()
         parts, at = [], 0
-        hashes, docs, positions, ids, keys = [], [], [], [], []
-        for value in table.column("packed").to_pylist():
-            h, d, p, i, k = unpacked(value)
-            hashes.append(h)
-            docs.append(d.astype(np.int32) + at)
-            positions.append(p)
-            ids.append(i)
-            keys.append(k)
+        for value in table.filter(pc.invert(table.column("settled"))).column("packed"):
+            h, d, p, i, k = unpacked(value.as_py())
+            parts.append((h, d + np.int32(at), p, i, k))
             at += len(i)
-        h, d, p, i, k = (np.concatenate(x) for x in (hashes, docs, positions, ids, keys))
-        # carriers of a chunk are the smallest there; the smallest of all is what counts
-        lost, _ = settle(h, d, i)
-        for doc, found in _by_document(d[lost], p[lost]):
-            parts.append((int(i[doc]), int(k[doc]), SETTLED, found.astype("<u4").tobytes()))
-        columns = list(zip(*parts, strict=True)) or [()] * 4
-        return pa.table([pa.array(c, f.type) for c, f in zip(columns, _MARKS, strict=True)], schema=_MARKS)
+        if parts:
+            h, d, p, i, k = (np.concatenate(x) for x in zip(*parts, strict=True))
+            parts.clear()
+            lost, _ = settle(h, d, i)
+            rows = [(0, True, int(i[doc]), int(k[doc]), at.astype("<u4").tobytes()) for doc, at in _by_document(d[lost], p[lost])]
+            if rows:
+                found.append(pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _MARKS, strict=True)], schema=_MARKS))
+        return pa.Table.from_batches(found, _MARKS).select(["doc_id", "key", "packed"])
 
     marks = prepared(rows).select("doc_id", "text", "key").mapInArrow(windows, _MARKS_SQL)
-    marks = written(marks, "windows")  # read twice below: the settled ones, and the ranges
-    found = marks.filter(F.col("part") != SETTLED).groupBy("part").applyInArrow(winners, _MARKS_SQL)
-    return marks.filter(F.col("part") == SETTLED).unionByName(found).select("doc_id", "key", "packed")
+    return marks.groupBy("part").applyInArrow(winners, "doc_id long, key long, packed binary")
 
 
 def _answers(docs: DataFrame, width: int, doc_id: str, text: str, schema: pa.Schema, shape: str, answer) -> DataFrame:
