@@ -1,9 +1,9 @@
 """Jaccard joins of shingle sets by a token-group matrix.
 
-Equal sets are one class.  Classes are partitioned into groups of similar ones by their smallest
+Equal sets are one node.  Nodes are partitioned into groups of similar ones by their smallest
 shingle hashes; inside a group each member is compared with the group's leaders, so a cluster of n
 near copies costs about n comparisons and is already connected.  A group is then known by the
-union of its members' shingles.  A set can only link into a group if one of its rarest shingles is
+union of its members' shingles.  A set can only link into a group if some of its rarest shingles are
 among the group's rarest, and if its overlap with the group's union can reach the bound; only
 such groups are opened and their members compared exactly.  Components of the links are found
 by Spark rounds.
@@ -31,6 +31,14 @@ QUERIES = 1024
 #: Counters of the shingle counts (fixed; 8 bytes each), and blocks in which they are summed.
 COUNTERS = 1 << 20
 BLOCKS = 64
+#: Rare shingles that two linking sets must share (fewer only if their least overlap is smaller).
+COMMON = 3
+#: Rare shingles that a task gathers before it hands them out, and characters of text per hash range.
+CHUNK = 1 << 18
+RANGE_CHARS = 1 << 25
+#: Slots of the fixed-size filter on nodes.
+SLOTS = 1 << 17
+NO_ID = np.iinfo(np.int64).max
 
 
 def shingles(text: str, width: int) -> np.ndarray:
@@ -45,8 +53,10 @@ def least_overlap(n, m, percent: int):
 
 
 def prefix_size(n: int, percent: int) -> int:
-    """Two sets that link share one of this many first elements, whatever the order."""
-    return n - (-(-percent * n // 100)) + 1
+    """Linking sets share their first elements, in whatever order: min(COMMON, least overlap) of them are
+    among this many first ones of each."""
+    least = -(-percent * n // 100)
+    return n - least + min(COMMON, least)
 
 
 def shingle_counts(rows: DataFrame, width: int) -> np.ndarray:
@@ -76,55 +86,145 @@ def shingle_counts(rows: DataFrame, width: int) -> np.ndarray:
     return weights
 
 
-def signatures(rows: DataFrame, width: int, percent: int, weights) -> DataFrame:
-    """Per row: doc_id, rkey, n, digest, h1, h2 (smallest hashes) and the prefix of rarest shingles."""
-    import xxhash
-
-    schema = pa.schema([
-        ("doc_id", pa.int64()), ("rkey", pa.int64()), ("n", pa.int64()), ("digest", pa.binary()),
-        ("h1", pa.int64()), ("h2", pa.int64()), ("prefix", pa.list_(pa.int64())),
-    ])
+DOCUMENT, TOKEN = 0, 1
+_MATRIX = "kind int, value long, node long, n long, h1 long, h2 long"
+
+
+class _Chunk:
+    """Sets of consecutive documents of one task: who they are, and the rarest shingles of each node once."""
+
+    def __init__(self, ranges: int):
+        self.ranges = ranges
+        self.reset()
+
+    def reset(self):
+        self.documents, self.nodes, self.tokens, self.n = [], {}, [], 0
+
+    def add(self, doc_id: int, found: np.ndarray, prefix):
+        import xxhash
+
+        n = len(found)
+        signed = found.view(np.int64)
+        node = xxhash.xxh3_64_intdigest(found.tobytes()) - (1 << 63) if n else 0
+        self.documents.append((doc_id, node, n, int(signed[0]) if n else 0, int(signed[min(1, n - 1)]) if n else 0))
+        if n and node not in self.nodes:
+            self.nodes[node] = n
+            self.tokens.append(prefix(found))
+            self.n += len(self.tokens[-1])
+        return self.n >= CHUNK or len(self.documents) >= CHUNK
+
+    def rows(self):
+        if self.documents:
+            held = np.array(self.documents, "<i8")
+            yield int(held[0, 1]) % self.ranges, DOCUMENT, held.tobytes()
+        if self.tokens:
+            nodes, sizes = np.array(list(self.nodes), np.int64), np.array(list(self.nodes.values()), np.int64)
+            owners = np.repeat(np.arange(len(nodes)), [len(t) for t in self.tokens])
+            tokens = np.concatenate(self.tokens)
+            order = np.argsort(tokens)
+            tokens, owners = tokens[order], owners[order]
+            part = ((tokens >> np.uint64(32)) * np.uint64(self.ranges) >> np.uint64(32)).astype(np.int64)
+            cuts = np.searchsorted(part, np.arange(self.ranges + 1))
+            for k in range(self.ranges):
+                a, b = cuts[k], cuts[k + 1]
+                if a < b:
+                    used, local = np.unique(owners[a:b], return_inverse=True)
+                    head = np.array([b - a, len(used)], "<u4")
+                    parts = (head, nodes[used], sizes[used].astype("<u4"), tokens[a:b].astype("<u8"), local.astype("<u4"))
+                    yield k, TOKEN, b"".join(x.tobytes() for x in parts)
+        self.reset()
+
+
+def _unpacked(data: bytes):
+    """Tokens, nodes and set sizes."""
+    n, m = np.frombuffer(data, "<u4", 2).tolist()
+    nodes, sizes = np.frombuffer(data, "<i8", m, 8), np.frombuffer(data, "<u4", m, 8 + 8 * m)
+    tokens, local = np.frombuffer(data, "<u8", n, 8 + 12 * m), np.frombuffer(data, "<u4", n, 8 + 12 * m + 8 * n)
+    return tokens, nodes[local], sizes[local].astype(np.int64)
+
+
+def matrix(rows: DataFrame, width: int, percent: int, weights) -> DataFrame:
+    """Rows of two kinds: each document (its id, node, set size, two smallest hashes), and each rare
+    shingle of a node that is a rare shingle of another node too (token, node, set size)."""
+    chars = rows.agg(F.coalesce(F.sum(F.char_length("text")), F.lit(0))).head()[0]
+    ranges = max(16, -(-chars // RANGE_CHARS))
+    schema = pa.schema([("part", pa.int32()), ("kind", pa.int32()), ("packed", pa.binary())])
+    out = pa.schema([("kind", pa.int32()), *[(c, pa.int64()) for c in ("value", "node", "n", "h1", "h2")]])
+
+    def prefix(found: np.ndarray) -> np.ndarray:
+        order = np.lexsort((found, weights.value[(found >> np.uint64(44)).astype(np.int64)]))
+        return found[order[: prefix_size(len(found), percent)]]
 
     def sign(batches):
-        for batch in batches:
-            sizes, digests, first, second, prefixes = [], [], [], [], []
-            for text in batch.column(2).to_pylist():
-                found = shingles(text, width)
-                n = len(found)
-                sizes.append(n)
-                digests.append(xxhash.xxh3_128_digest(found.tobytes()))
-                signed = found.view(np.int64)
-                first.append(int(signed[0]) if n else 0)
-                second.append(int(signed[min(1, n - 1)]) if n else 0)
-                if n:
-                    order = np.lexsort((found, weights.value[(found >> np.uint64(44)).astype(np.int64)]))
-                    prefixes.append(signed[order[: prefix_size(n, percent)]])
-                else:
-                    prefixes.append(signed)
-            yield pa.RecordBatch.from_arrays([
-                batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()),
-                pa.array(first, pa.int64()), pa.array(second, pa.int64()), pa.array(prefixes, pa.list_(pa.int64())),
-            ], schema=schema)
-
-    shape = "doc_id long, rkey long, n long, digest binary, h1 long, h2 long, prefix array<long>"
-    return prepared(rows).select("doc_id", "rkey", "text").mapInArrow(sign, shape)
+        chunk = _Chunk(ranges)
+
+        def batch():
+            held = list(chunk.rows())
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held, strict=True), schema, strict=True)], schema=schema)
+
+        for b in batches:
+            ids = b.column(0).cast(pa.int64()).fill_null(NO_ID).to_pylist()
+            for doc_id, text in zip(ids, b.column(1).to_pylist(), strict=True):
+                if chunk.add(doc_id, shingles(text, width), prefix):
+                    yield batch()
+        if chunk.documents:
+            yield batch()
+
+    def shared(table: pa.Table) -> pa.Table:
+        kinds, packs = table.column("kind").to_pylist(), table.column("packed")
+        documents = [np.frombuffer(packs[i].as_py(), "<i8").reshape(-1, 5) for i, k in enumerate(kinds) if k == DOCUMENT]
+        found = []
+        if documents:
+            held = np.concatenate(documents)
+            none = held[:, 0] == NO_ID
+            found.append([np.full(len(held), DOCUMENT), pa.array(held[:, 0], pa.int64(), mask=none), *held[:, 1:].T])
+        parts = [_unpacked(packs[i].as_py()) for i, k in enumerate(kinds) if k == TOKEN]
+        if parts:
+            tokens, nodes, sizes = (np.concatenate(x) for x in zip(*parts, strict=True))
+            order = np.argsort(tokens)
+            tokens, nodes, sizes = tokens[order], nodes[order], sizes[order]
+            starts = np.flatnonzero(np.concatenate(([True], tokens[1:] != tokens[:-1])))
+            several = np.minimum.reduceat(nodes, starts) != np.maximum.reduceat(nodes, starts)
+            keep = np.repeat(several, np.diff(np.append(starts, len(tokens))))
+            tokens, nodes, sizes = tokens[keep].view(np.int64), nodes[keep], sizes[keep]
+            order = np.lexsort((nodes, tokens))
+            tokens, nodes, sizes = tokens[order], nodes[order], sizes[order]
+            if len(tokens):
+                first = np.concatenate(([True], (tokens[1:] != tokens[:-1]) | (nodes[1:] != nodes[:-1])))
+                none = np.zeros(int(first.sum()), np.int64)
+                found.append([none + TOKEN, tokens[first], nodes[first], sizes[first], none, none])
+        tables = [pa.table([pa.array(c, f.type) for c, f in zip(columns, out, strict=True)], schema=out) for columns in found]
+        return pa.concat_tables(tables) if tables else out.empty_table()
+
+    packs = prepared(rows).select("doc_id", "text").mapInArrow(sign, "part int, kind int, packed binary")
+    return packs.groupBy("part").applyInArrow(shared, _MATRIX)
 
 
 def wanted_sets(rows: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """(node, set) of the wanted rows, a set as its sorted hashes; other texts are not even split."""
-    bitmap = rows.sparkSession.sparkContext.broadcast(filter_bitmap(wanted, "node"))
+    """(node, set) for the documents whose ids are wanted (and a few more); a set as its sorted hashes."""
+    import xxhash
+
+    bitmap = rows.sparkSession.sparkContext.broadcast(filter_bitmap(wanted, "least"))
     schema = pa.schema([("node", pa.int64()), ("set", pa.binary())])
 
     def sets(batches):
         for batch in batches:
             if batch.num_rows:
-                mine = batch.filter(pa.array(has_bit(bitmap.value, batch.column(2).to_numpy())))
-                found = [shingles(t, width).tobytes() for t in mine.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([mine.column(0), pa.array(found, pa.binary())], schema=schema)
+                mine = batch.filter(pa.array(has_bit(bitmap.value, batch.column(1).to_numpy())))
+                found = [shingles(t, width).tobytes() for t in mine.column(0).to_pylist()]
+                nodes = [xxhash.xxh3_64_intdigest(x) - (1 << 63) for x in found]
+                yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(found, pa.binary())], schema=schema)
+
+    bit = F.pmod(F.xxhash64(F.coalesce("doc_id", F.lit(int(NO_ID)))), F.lit(FILTER_BITS)).cast("int")
+    return prepared(rows).select("text", bit.alias("bit")).mapInArrow(sets, "node long, set binary")
+
 
-    bit = F.pmod(F.xxhash64("rkey"), F.lit(FILTER_BITS)).cast("int")
-    found = prepared(rows).select("rkey", "text", bit.alias("bit")).mapInArrow(sets, "node long, set binary")
-    return found.join(wanted, "node").dropDuplicates(["node"])
+def sets_of(sets: DataFrame, members: DataFrame) -> DataFrame:
+    """``members`` with their sets; sets of other nodes are mostly dropped before the shuffle (by at most SLOTS numbers)."""
+    slot = F.pmod(F.xxhash64("node"), F.lit(SLOTS)).cast("int")
+    slots = members.select(slot.alias("slot")).distinct()
+    near = sets.withColumn("slot", slot).join(F.broadcast(slots), "slot", "left_semi").drop("slot")
+    return members.join(near, "node")
 
 
 def as_set(data: bytes) -> np.ndarray:
@@ -141,21 +241,21 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return int((large[at] == small).sum()) >= least
 
 
-def follow_leaders(sets: DataFrame, keys: list[str], percent: int) -> DataFrame:
+def follow_leaders(nodes: DataFrame, sets: DataFrame, keys: list[str], percent: int) -> DataFrame:
     """(node, leader): members of a group that link to an earlier member without a leader of its own.
 
     Groups are the nodes with equal ``keys``; a group of more than GROUP is cut by a hash of the node.
     """
-    keyed = sets.withColumn("key", F.xxhash64(*keys))
+    keyed = nodes.select("node", F.xxhash64(*keys).alias("key"))
     sizes = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     parts = F.ceil(F.col("size") / F.lit(GROUP)).cast("long")
-    cut = keyed.join(sizes, "key").withColumn("part", F.pmod(F.xxhash64("node"), parts))
+    cut = written(keyed.join(sizes, "key").select("node", "key", F.pmod(F.xxhash64("node"), parts).alias("part")), "groups")
     schema = pa.schema([("node", pa.int64()), ("leader", pa.int64())])
 
     def follow(table: pa.Table) -> pa.Table:
-        held = sorted(zip(table.column("node").to_pylist(), table.column("set").to_pylist(), strict=True))
+        held = dict(zip(table.column("node").to_pylist(), table.column("set").to_pylist(), strict=True))
         leaders, pairs = [], []
-        for node, data in held:
+        for node, data in sorted(held.items()):
             mine = as_set(data)
             for other, theirs in leaders:
                 if linked(mine, theirs, percent):
@@ -165,7 +265,7 @@ def follow_leaders(sets: DataFrame, keys: list[str], percent: int) -> DataFrame:
                 leaders.append((node, mine))
         return pa.table([pa.array([p[i] for p in pairs], pa.int64()) for i in (0, 1)], schema=schema)
 
-    return cut.select("key", "part", "node", "set").groupBy("key", "part").applyInArrow(follow, "node long, leader long")
+    return sets_of(sets, cut).groupBy("key", "part").applyInArrow(follow, "node long, leader long")
 
 
 def open_groups(asked: DataFrame, percent: int) -> DataFrame:
@@ -179,7 +279,7 @@ def open_groups(asked: DataFrame, percent: int) -> DataFrame:
     def answer(key: tuple, table: pa.Table) -> pa.Table:
         names = ("asker", "set")
         held = list(zip(*[table.column(n).to_pylist() for n in names], strict=True))
-        members = [as_set(s) for q, s in held if q is None]
+        members = [as_set(s) for s in {s for q, s in held if q is None}]
         found = set()
         if members:
             sizes = np.array([len(m) for m in members])
@@ -218,54 +318,58 @@ def similar_classes(docs: DataFrame, width: int = 5, percent: int = 80, doc_id:
     """
     if not 50 <= percent <= 100:
         raise ValueError("percent must be from 50 to 100")
-    session = docs.sparkSession
-    rows = texts(docs, doc_id, text).withColumn("rkey", F.xxhash64("doc_id", F.xxhash64("text")))
-    weights = session.sparkContext.broadcast(shingle_counts(rows, width))
-    signed = written(signatures(rows, width, percent, weights), "signatures")
+    rows = texts(docs, doc_id, text)
+    weights = docs.sparkSession.sparkContext.broadcast(shingle_counts(rows, width))
+    found = written(matrix(rows, width, percent, weights), "matrix")
+    documents = found.filter(F.col("kind") == DOCUMENT).select(F.col("value").alias("doc_id"), "node", "n", "h1", "h2")
+    index = found.filter(F.col("kind") == TOKEN).select(F.col("value").alias("token"), "node", "n")
 
-    classes = signed.filter("n > 0").groupBy("digest").agg(F.min("rkey").alias("node"), F.min("doc_id").alias("least"))
+    classes = documents.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("least"), F.min("h1").alias("h1"), F.min("h2").alias("h2"))
     classes = written(classes, "classes")
-    whole = signed.filter("n > 0").withColumnRenamed("rkey", "node").join(classes.select("node"), "node", "left_semi")
-    index = whole.select("node", "n", "h1", "h2", F.explode("prefix").alias("token"))
-    common = index.groupBy("token").agg(F.count(F.lit(1)).alias("sets")).filter("sets > 1").select("token")
-    # a set none of whose rarest shingles is another's links with nothing
-    index = written(index.join(common, "token").distinct(), "index")
-    nodes = written(index.select("node", "n", "h1", "h2").distinct(), "nodes")
+    # a set that has too few of its rarest shingles in common with all others links with nothing
+    needed = F.least(F.lit(COMMON), F.ceil(F.col("n") * percent / F.lit(100)))
+    nodes = index.groupBy("node").agg(F.count(F.lit(1)).alias("shared"), F.min("n").alias("n")).filter(F.col("shared") >= needed)
+    nodes = written(nodes.join(classes, "node").select("node", "n", "h1", "h2", F.coalesce("least", F.lit(int(NO_ID))).alias("least")), "nodes")
     sets = written(wanted_sets(rows, nodes, width), "sets")
 
-    labels, leaders = nodes.select("node", F.col("node").alias("label")), sets
+    labels, leaders = nodes.select("node", F.col("node").alias("label")), nodes.select("node", "h1", "h2")
     for keys in (["h1", "h2"], ["h1"], ["h2"]):
-        pairs = written(follow_leaders(leaders, keys, percent), "leaders")
+        pairs = written(follow_leaders(leaders, sets, keys, percent), "leaders")
         follows = pairs.withColumnsRenamed({"node": "label", "leader": "to"})
         labels = labels.join(follows, "label", "left").select("node", F.coalesce("to", "label").alias("label"))
-        leaders = leaders.join(pairs, "node", "left_anti")
-    labels = written(labels, "labels")
+        leaders = written(leaders.join(pairs, "node", "left_anti"), "leaders")
+    labels = written(labels.join(nodes.select("node", "n"), "node"), "labels")
 
     links = cross_links(index, labels, sets, percent)
     roots = components(links).withColumnsRenamed({"node": "label"})
     rooted = labels.join(roots, "label", "left").select("node", F.coalesce("component", "label").alias("root"))
-    smallest = rooted.join(classes.select("node", "least"), "node").groupBy("root").agg(F.min("least").alias("component_id"))
-    found = rooted.join(smallest, "root").select("node", "component_id")
-    named = classes.join(found, "node", "left").select("digest", F.coalesce("component_id", "least").alias("component_id"))
-    answers = signed.filter("n > 0").select("doc_id", "n", "digest").join(named, "digest")
+    rooted = written(rooted.join(classes.select("node", "least"), "node"), "roots")
+    smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    named = rooted.join(smallest, "root").select("node", "component_id")
+    named = classes.join(named, "node", "left").select("node", F.coalesce("component_id", "least").alias("component_id"))
+    answers = documents.filter("n > 0").select("doc_id", "n", "node").join(named, "node")
     answers = answers.select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-    alone = signed.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
+    alone = documents.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     return answers.unionByName(alone)
 
 
 def cross_links(index: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links between labels, from the groups that qualify."""
-    groups = labels.groupBy("label").agg(F.count(F.lit(1)).alias("size"))
-    tokens = index.join(labels, "node").groupBy("token", "label").agg(F.min("n").alias("low"), F.max("n").alias("high"))
+    groups = labels.groupBy("label").agg(F.count(F.lit(1)).alias("size"), F.min("n").alias("low"), F.max("n").alias("high"))
+    groups = written(groups, "groups")
+    tokens = index.select("token", "node").join(labels.select("node", "label"), "node").select("token", "label").distinct()
     tokens = written(tokens, "tokens")  # the rows of the token-group matrix that can decide
-    left = tokens.select("token", F.col("label").alias("a"), F.col("low").alias("a_low"), F.col("high").alias("a_high"))
-    right = tokens.select("token", F.col("label").alias("b"), F.col("low").alias("b_low"), F.col("high").alias("b_high"))
-    near = F.expr(f"a < b and 100 * a_high >= {percent} * b_low and 100 * b_high >= {percent} * a_low")
-    pairs = left.join(right, "token").filter(near).select("a", "b").distinct()
+    sized = tokens.join(groups.select("label", "low", "high"), "label")
+    left, right = (sized.select("token", *[F.col(c).alias(f"{x}_{c}") for c in ("label", "low", "high")]) for x in "ab")
+    near = F.expr(f"a_label < b_label and 100 * a_high >= {percent} * b_low and 100 * b_high >= {percent} * a_low")
+    shared = left.join(right, "token").filter(near).groupBy(F.col("a_label").alias("a"), F.col("b_label").alias("b"))
+    lowest = F.min(F.ceil(F.least("a_low", "b_low") * percent / F.lit(100)))
+    pairs = shared.agg(F.count(F.lit(1)).alias("tokens"), lowest.alias("lowest")).filter(F.col("tokens") >= F.least(F.lit(COMMON), "lowest"))
+    groups = groups.select("label", "size")
     # the larger group is asked, the sets of the smaller one ask
-    sized = pairs.join(groups.withColumnsRenamed({"label": "a", "size": "a_size"}), "a").join(groups.withColumnsRenamed({"label": "b", "size": "b_size"}), "b")
+    matched = pairs.join(groups.withColumnsRenamed({"label": "a", "size": "a_size"}), "a").join(groups.withColumnsRenamed({"label": "b", "size": "b_size"}), "b")
     ask = written(
-        sized.select(
+        matched.select(
             F.when(F.expr("a_size >= b_size"), F.col("a")).otherwise(F.col("b")).alias("label"),
             F.when(F.expr("a_size >= b_size"), F.col("b")).otherwise(F.col("a")).alias("asker"),
             F.greatest("a_size", "b_size").alias("size"),
@@ -275,6 +379,7 @@ def cross_links(index: DataFrame, labels: DataFrame, sets: DataFrame, percent: i
     parts = F.ceil(F.col("size") / F.lit(GROUP)).cast("long")
     load = ask.groupBy("label", "size").agg(F.count(F.lit(1)).alias("askers"))
     copies = load.withColumn("parts", parts).withColumn("copies", F.ceil(F.col("askers") / F.lit(QUERIES)).cast("long"))
+    labels = labels.select("node", "label")
     members = labels.join(copies, "label").select(
         "label", "node", F.pmod(F.xxhash64("node"), "parts").alias("part"),
         F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)).alias("copy"), F.lit(None).cast("long").alias("asker"),
@@ -284,8 +389,8 @@ def cross_links(index: DataFrame, labels: DataFrame, sets: DataFrame, percent: i
         "label", "node", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"),
         F.pmod(F.xxhash64("node", "label"), "copies").alias("copy"), "asker",
     )
-    asked = members.unionByName(askers).join(sets.select("node", "set"), "node").select("label", "part", "copy", "asker", "set")
-    return open_groups(asked, percent).distinct()
+    asked = written(members.unionByName(askers), "members")
+    return open_groups(sets_of(sets, asked).select("label", "part", "copy", "asker", "set"), percent).distinct()
 
 
 def near_duplicates_removed(docs: DataFrame, width: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
