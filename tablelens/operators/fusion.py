@@ -1,7 +1,7 @@
 """Combining ranked lists.
 
 A list is a frame ``(keys…, id, _score)``; ``by`` names the keys when many queries run at once.
-Only each list's best ``window`` rows take part, so what is combined stays small per query.
+Rank fusion combines each list's best ``window`` rows; weighted fusion combines whole lists.
 """
 
 from __future__ import annotations
@@ -25,11 +25,18 @@ def top_of(ranked: DataFrame, row_id: str, window: int, by: tuple[str, ...] = ()
     return ranked.withColumn("rank", place).filter(F.col("rank") <= window)
 
 
-def min_max(score: Column, by: tuple[str, ...] = ()) -> Column:
-    """Score scaled to [0, 1] within its list; 1.0 when all scores are equal."""
-    frame = Window.partitionBy(*(by or (F.lit(0),)))
-    low, high = F.min(score).over(frame), F.max(score).over(frame)
-    return F.when(high > low, (score - low) / (high - low)).otherwise(1.0)
+def scaled(ranked: DataFrame, by: tuple[str, ...] = (), name: str = "scaled") -> DataFrame:
+    """The list with its score scaled to [0, 1] within the list; 1.0 when all scores are equal.
+
+    The bounds are one aggregate per list, so a list of any length stays distributed.
+    """
+    score, bounds = F.col("_score"), F.struct(F.min("_score").alias("low"), F.max("_score").alias("high")).alias("__bounds")
+    if by:
+        ranked = ranked.join(ranked.groupBy(*by).agg(bounds), list(by))
+    else:
+        ranked = ranked.withColumn("__bounds", ranked.select(bounds).scalar())
+    low, high = F.col("__bounds.low"), F.col("__bounds.high")
+    return ranked.withColumn(name, F.when(high > low, (score - low) / (high - low)).otherwise(1.0)).drop("__bounds")
 
 
 def _sum_up(lists: list[DataFrame], row_id: str, by: tuple[str, ...]) -> DataFrame:
@@ -55,27 +62,33 @@ def reciprocal_rank(
 def weighted(
     lists: list[tuple[DataFrame, float]],
     row_id: str,
-    window: int = WINDOW_SIZE,
+    window: int | None = None,
     by: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Weighted sum of min-max scaled scores; a list that lacks a row adds 0; one list is used as is."""
+    """Weighted sum of min-max scaled scores; a list that lacks a row adds 0; one list is used as is.
+
+    Lists take part whole; a ``window`` keeps only the best rows of each.
+    """
+    if window is not None:
+        lists = [(top_of(ranked, row_id, window, by).drop("rank"), weight) for ranked, weight in lists]
     if len(lists) == 1:
-        return top_of(lists[0][0], row_id, window, by).select(*by, row_id, "_score")
+        return lists[0][0].select(*by, row_id, "_score")
     parts = [
-        top_of(ranked, row_id, window, by).select(
-            *by, row_id, (min_max(F.col("_score"), by) * F.lit(float(weight))).alias("part")
-        )
+        scaled(ranked, by).select(*by, row_id, (F.col("scaled") * F.lit(float(weight))).alias("part"))
         for ranked, weight in lists
     ]
     return _sum_up(parts, row_id, by)
 
 
-def rescored_top(df: DataFrame, row_id: str, phases: list[tuple[int, Column]], tier: str = "_tier") -> DataFrame:
-    """:func:`rescored` for a page that lies inside the first window: one pass over the rows.
+def rescored_top(
+    df: DataFrame, row_id: str, phases: list[tuple[int, Column]], wanted: int, tier: str = "_tier"
+) -> DataFrame:
+    """:func:`rescored` for the best ``wanted`` rows: one pass over the rows, however many phases.
 
-    Only the first window's rows are kept (a top-k); later phases number that bounded set.
+    Rows below the largest window keep their order, so a top-k as long as that window and the page
+    holds everything; the phases number that bounded set.
     """
-    df = top_of(df.withColumn(tier, F.lit(0)), row_id, phases[0][0]).drop("rank")
+    df = top_of(df.withColumn(tier, F.lit(0)), row_id, max(wanted, *[w for w, _ in phases])).drop("rank")
     for window, extra in phases:
         order = Window.partitionBy(F.lit(0)).orderBy(F.desc(tier), F.desc("_score"), F.asc(row_id))
         df = df.withColumn("__inside", F.row_number().over(order) <= window)

@@ -15,11 +15,7 @@ from tablelens.functions.text import STANDARD, Analyzer
 from tablelens.operators.batch_text import DIGITS, MARKER, best_per_query, query_terms
 from tablelens.operators.grouping import TokenGroups
 from tablelens.plans.runtime import fits_broadcast, join_sized, ship_package, written
-from tablelens.plans.scope import field_type
-
-# Empty positions between the elements of a multi-valued text, so phrases do not span two of them.
-ELEMENT_GAP = 100
-
+from tablelens.plans.scope import field_type, joined
 
 def text_fields(schema: T.StructType, keywords: tuple[str, ...] = (), prefix: str = "") -> list[str]:
     """Paths of every string field that is not a keyword, nested ones included."""
@@ -37,8 +33,7 @@ def text_fields(schema: T.StructType, keywords: tuple[str, ...] = (), prefix: st
 def field_tokens(schema: T.StructType, field: str, analyzer: Analyzer) -> Column:
     if not isinstance(field_type(schema, field), T.ArrayType):
         return analyzer.tokens(F.col(field))
-    gap = F.array_repeat(F.lit(""), ELEMENT_GAP)
-    return F.flatten(F.transform(analyzer.token_lists(F.col(field)), lambda t: F.concat(t, gap)))
+    return joined(analyzer.token_lists(F.col(field)))
 
 
 def _grouped(markers: bool):

@@ -7,6 +7,7 @@
 from __future__ import annotations
 
 import math
+import re
 from dataclasses import dataclass, field as attr
 from functools import reduce
 
@@ -192,7 +193,7 @@ class TermsSet(Condition):
             values = F.array(values)
         need = 1 if self.minimum is None else self.minimum
         if isinstance(need, str):
-            need = F.expr(need.replace("num_terms", str(len(self.terms))))
+            need = F.expr(re.sub(r"(?<![`.\w])num_terms(?![`\w])", str(len(self.terms)), need))
         return F.size(F.array_intersect(values, wanted)) >= need
 
     def uses_text(self, scope):

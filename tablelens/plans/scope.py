@@ -85,6 +85,15 @@ class Statistics:
         return self._use(f"df|{field}|{part}", self._counted(units, many, part.present))
 
 
+# Empty positions between the elements of a multi-valued text, so phrases do not span two of them.
+ELEMENT_GAP = 100
+
+
+def joined(lists: Column) -> Column:
+    """One token list of the lists of a multi-valued text."""
+    return F.flatten(F.transform(lists, lambda t: F.concat(t, F.array_repeat(F.lit(""), ELEMENT_GAP))))
+
+
 class Scope:
     def __init__(self, schema: T.StructType, analyzers: dict[str, Analyzer], stored: dict[str, str] | None = None):
         self.schema = schema
@@ -117,7 +126,7 @@ class Scope:
             return F.col(self.stored[field])
         analyzer = self.analyzer(field)
         if isinstance(self.type_of(field), T.ArrayType):
-            expr = F.flatten(analyzer.token_lists(self.column(field)))
+            expr = joined(analyzer.token_lists(self.column(field)))
         else:
             expr = analyzer.tokens(self.column(field))
         if analyzer.runs_in_jvm:

@@ -7,6 +7,7 @@ from dataclasses import dataclass, field as attr
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablelens.functions import scoring
 from tablelens.functions.atoms import OneOf, Prefix, Word
@@ -173,12 +174,13 @@ class Search(Criteria):
         partition: str | None = None,
     ):
         def run() -> DataFrame:
-            condition = filter
+            rows, condition = self.df, filter
             if callable(filter) and not isinstance(filter, Column):
-                condition = C.all_of([c.hit(self._scope()) for c in collect(filter)])
-            return retrieval.nearest(
-                self.df, self.id, field, vector, k, num_candidates, condition, similarity, signature, partition
-            )
+                # A search of its own: text and nested conditions bring their columns and statistics along.
+                inner = Search(self.df, self.id, self.text, self.tokens)
+                inner.conditions = collect(filter)
+                rows, condition = inner.matched(), None
+            return retrieval.nearest(rows, self.id, field, vector, k, num_candidates, condition, similarity, signature, partition)
 
         self._retrievers.append((run, weight, False))
         return self
@@ -269,12 +271,12 @@ class Search(Criteria):
             rows = rows.withColumns(scope.derived)
         return rows, score
 
-    def _scored_rows(self, scored: bool = True) -> DataFrame:
+    def _scored_rows(self, scored: bool = True, factors: bool = True) -> DataFrame:
         scope = self._scope()
         rows, score = self._filtered(scope, scored)
         if self._random is not None:
             score = scoring.random_score(F.col(self.id), self._random)
-        for factor in self._factors if scored else []:
+        for factor in self._factors if scored and factors else []:
             score = score * factor
         inner = {
             c.inner_hits: F.slice(c.matching(scope), 1, c.inner_size)
@@ -295,19 +297,29 @@ class Search(Criteria):
         return self._retrieved().select(*self.df.columns)
 
     def _retrieved(self) -> DataFrame:
-        """Rows of the fused lists; at most one window per list, so the lists are broadcast."""
+        """Rows of the fused lists, with inner hits where the conditions matched.
+
+        Conditions are one more list, in random order if asked for; without conditions the retrieved
+        rows are.  Factors multiply the fused score.
+        """
         lists = [(run(), weight) for run, weight, _ in self._retrievers]
-        phases = self._phases
+        phases, self._phases = self._phases, []
+        inner = []
         if self.conditions:
-            self._phases = []
-            lists.append((self._scored_rows().select(self.id, "_score"), 1.0))
-        self._phases = []
-        if len(lists) == 1:
-            fused = lists[0][0].select(self.id, "_score")
-        else:
-            fused = fusion.weighted(lists, self.id, self._window)
+            matched = self._scored_rows(factors=False)
+            inner = [c for c in matched.columns if c not in self.df.columns and c != "_score"]
+            lists.append((matched.select(self.id, "_score"), 1.0))
         self._phases = phases
-        return self.df.join(F.broadcast(fused), self.id)
+        fused = lists[0][0].select(self.id, "_score") if len(lists) == 1 else fusion.weighted(lists, self.id)
+        rows = self.df.join(fused, self.id)
+        if inner:
+            rows = rows.join(matched.select(self.id, *[F.col(f"`{c}`") for c in inner]), self.id, "left")
+        score = F.col("_score")
+        if self._random is not None and not self.conditions:
+            score = scoring.random_score(F.col(self.id), self._random)
+        for factor in self._factors:
+            score = score * factor
+        return rows.withColumn("_score", score)
 
     def _rescoring_allowed(self) -> bool:
         return not self._retrievers or bool(self.conditions) or any(q for _, _, q in self._retrievers)
@@ -333,9 +345,8 @@ class Search(Criteria):
         tier = False
         if self._phases and self._rescoring_allowed():
             phases = [(window, F.col(f"__phase{i}")) for i, (window, _) in enumerate(self._phases)]
-            inside = self._limit is not None and self._limit * max(self._page, 1) <= phases[0][0]
-            if inside and not keys and not self._after and self._min_score is None:
-                rows = fusion.rescored_top(rows, self.id, phases)
+            if self._limit is not None and not keys and not self._after:
+                rows = fusion.rescored_top(rows, self.id, phases, self._limit * max(self._page, 1))
             else:
                 for window, extra in phases:
                     rows = fusion.rescored(rows, self.id, window, extra)
@@ -387,14 +398,25 @@ class Search(Criteria):
             analyzer, col = scope.analyzer(name), F.col(name)
             parts = self._accepting(scope, name)
             column = f"highlight_{name.replace('.', '_')}"
+            chosen = {**self._highlight.options, **options}
+
+            def marked(text, analyzed, words, parts=parts, chosen=chosen):
+                return H.highlight(text, analyzed, words, lambda t: C.any_of([p.accepts(t) for p in parts]), **chosen)
+
+            if isinstance(rows.select(col.alias("c")).schema["c"].dataType, T.ArrayType):
+                # Several texts: the fragments of each, in their order.
+                rows = rows.withColumn("__texts", F.filter(col, lambda t: t.isNotNull()))
+                rows = rows.withColumn("__analyzed", analyzer.token_lists(F.col("__texts")))
+                rows = rows.withColumn("__words", F.transform("__texts", analyzer.words))
+                each = F.transform(F.arrays_zip("__texts", "__analyzed", "__words"), lambda e: marked(e["__texts"], e["__analyzed"], e["__words"]))
+                found = F.coalesce(F.flatten(each), F.array().cast("array<string>"))
+                if chosen.get("number_of_fragments", H.FRAGMENTS):
+                    found = F.slice(found, 1, chosen.get("number_of_fragments", H.FRAGMENTS))
+                rows = rows.withColumn(column, found).drop("__texts", "__analyzed", "__words")
+                names.append(column)
+                continue
             rows = rows.withColumn("__analyzed", scope.analyzed(name)).withColumn("__words", analyzer.words(col))
-            found = H.highlight(
-                col,
-                F.col("__analyzed"),
-                F.col("__words"),
-                lambda t: C.any_of([p.accepts(t) for p in parts]),
-                **{**self._highlight.options, **options},
-            )
+            found = marked(col, F.col("__analyzed"), F.col("__words"))
             rows = rows.withColumn(column, found).drop("__analyzed", "__words")
             names.append(column)
         return rows, names

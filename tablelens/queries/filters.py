@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tablelens.functions.text import STANDARD
 from tablelens.plans.search import Search
 from tablelens.queries import query
 from tablelens.sources.reader import read_table as read
@@ -266,6 +267,48 @@ def _(spark, d):
     return search.hits().select("doc_id", F.explode_outer("found").alias("f")).select("doc_id", "f.line", "f.size", "f.text")
 
 
+#: A customer's orders as short texts: status and priority, the other way round for even orders.
+NOTE = """CASE WHEN o_orderkey % 2 = 0 THEN substr(o_orderpriority, 3) || ' ' || o_orderstatus
+  ELSE o_orderstatus || ' ' || substr(o_orderpriority, 3) END"""
+
+
+def noted(spark, d):
+    """Customers with the notes of their orders as a multi-valued text."""
+    notes = F.array_sort(F.collect_list(F.expr(NOTE)))
+    return read(spark, d, "orders").groupBy(F.col("o_custkey").alias("customer")).agg(notes.alias("notes"))
+
+
+@query("phrase_over_values", "SELECT DISTINCT o_custkey AS customer FROM orders WHERE o_orderkey % 2 = 1 AND o_orderstatus = 'F' AND o_orderpriority = '2-HIGH'")
+def _(spark, d):
+    """A phrase lies within one value: the last word of one and the first of the next are no neighbours."""
+    found = Search(noted(spark, d), "customer", text={"notes": STANDARD})
+    return unscored(found.match_phrase("notes", "f high").fields(["customer"]))
+
+
+@query(
+    "highlight_nested",
+    f"""SELECT o_custkey AS customer, replace({NOTE}, 'URGENT', '<em>URGENT</em>') AS fragment FROM orders WHERE o_orderpriority = '1-URGENT'""",
+)
+def _(spark, d):
+    """Fragments of each value of a multi-valued text."""
+    found = Search(noted(spark, d), "customer", text={"notes": STANDARD}).match("notes", "urgent")
+    found.highlight_field("notes", pre_tag="<em>", post_tag="</em>", number_of_fragments=1000)
+    return found.hits().select("customer", F.explode("highlight_notes").alias("fragment"))
+
+
+@query(
+    "terms_set_named_column",
+    """SELECT o_custkey AS customer FROM orders GROUP BY 1
+       HAVING max((o_orderpriority = '1-URGENT')::INT) + max((o_orderpriority = '2-HIGH')::INT) >= least(2, count(*))""",
+)
+def _(spark, d):
+    """``num_terms`` inside a longer column name stays as it is."""
+    rows = read(spark, d, "orders").groupBy(F.col("o_custkey").alias("customer"))
+    rows = rows.agg(F.collect_set("o_orderpriority").alias("priorities"), F.count("*").alias("num_terms_seen"))
+    found = Search(rows, "customer").terms_set("priorities", ["1-URGENT", "2-HIGH"], "least(num_terms, num_terms_seen)")
+    return unscored(found.fields(["customer"]))
+
+
 def _nested_score(mode, expression):
     @query(
         f"nested_score_{mode}",

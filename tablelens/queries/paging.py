@@ -56,19 +56,21 @@ def _(spark, d):
 @query("count_matches", "SELECT count(*) AS n FROM orders WHERE o_orderstatus = 'F' AND o_totalprice > 100000")
 def _(spark, d):
     search = orders(spark, d).term("o_orderstatus", "F").range("o_totalprice", "gt", 100000).sort("-o_totalprice")
-    return search.limit(3).matched().agg(F.count("*").alias("n"))
+    return spark.createDataFrame([(search.limit(3).count(),)], "n long")
 
 
 @query("total_capped", "SELECT least(count(*), 1000) AS n FROM orders WHERE o_orderstatus <> 'P'")
 def _(spark, d):
     search = orders(spark, d).must_not(lambda q: q.term("o_orderstatus", "P"))
-    return search.matched().select(F.lit(1)).limit(1000).agg(F.count("*").alias("n"))
+    return spark.createDataFrame([(search.track_total_hits(1000).find_many().total(),)], "n long")
 
 
 @query("first_match", "SELECT * FROM customer WHERE c_mktsegment = 'BUILDING' ORDER BY c_acctbal DESC, c_custkey LIMIT 1")
 def _(spark, d):
     search = Search(read(spark, d, "customer"), "c_custkey").term("c_mktsegment", "BUILDING").sort("-c_acctbal")
-    return unscored(search.limit(1))
+    first = search.find_first()
+    schema = read(spark, d, "customer").schema
+    return spark.createDataFrame([] if first is None else [tuple(first[c] for c in schema.names)], schema)
 
 
 @query(

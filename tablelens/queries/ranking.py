@@ -53,6 +53,7 @@ def _(spark, d):
     return hits.select("doc_id", F.round("_score", 6).alias("_score"))
 
 
+CORPUS_WITH = f"WITH {CORPUS}"
 _MATCHED = f"""{CORPUS}, m AS (SELECT doc_id, sum({PART}) AS s FROM f JOIN v USING (term), c
    WHERE term IN ('thing', 'only') GROUP BY doc_id)"""
 
@@ -92,6 +93,20 @@ def _(spark, d):
     return rescored(spark, d, 30)
 
 
+@query(
+    "rescore_three_phases",
+    f"""WITH z AS (SELECT * FROM ({_RESCORED.replace("SELECT doc_id, round(s, 6) AS _score FROM b2", "SELECT doc_id, tier, s FROM b2")})),
+      k AS ({CORPUS_WITH} SELECT doc_id, sum({PART}) AS s4 FROM f JOIN v USING (term), c WHERE term = 'are' GROUP BY doc_id),
+      a3 AS (SELECT doc_id, tier, s, row_number() OVER (ORDER BY tier DESC, s DESC, doc_id) <= 10 AS t3 FROM z),
+      b3 AS (SELECT doc_id, tier + t3::INT AS tier, CASE WHEN t3 THEN s + coalesce(s4, 0) ELSE s END AS s FROM a3 LEFT JOIN k USING (doc_id))
+      SELECT doc_id, round(s, 6) AS _score FROM b3 ORDER BY tier DESC, s DESC, doc_id LIMIT 60""",
+)
+def _(spark, d):
+    found = search(spark, d).match("text", "thing only").rescore(50, lambda q: q.match("text", "there"))
+    found.rescore(25, lambda q: q.match("text", "than")).rescore(10, lambda q: q.match("text", "are"))
+    return found.limit(60).hits().select("doc_id", F.round("_score", 6).alias("_score"))
+
+
 @query(
     "boolean_score",
     f"""WITH {_MATCHED}, t AS (SELECT doc_id, 1.0 + coalesce(s, 0) + CASE WHEN lang = 'en' THEN 1.0 ELSE 0 END AS s

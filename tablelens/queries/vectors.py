@@ -7,6 +7,7 @@ import math
 from pyspark.sql import functions as F
 
 from tablelens.functions import vectors as V
+from tablelens.functions.text import ENGLISH
 from tablelens.operators import fusion, retrieval
 from tablelens.operators.batch_text import batch_search, semantic_search
 from tablelens.plans.runtime import new_path
@@ -159,12 +160,54 @@ def _scaled(sql: str, weight: float) -> str:
     "weighted_fusion",
     f"""SELECT vec_id, round(sum(part), 6) AS _score FROM (
         {_scaled(nearest_sql(probe(7), 40), 2.0)} UNION ALL {_scaled(nearest_sql(probe(8), 30), 0.5)}
-        UNION ALL SELECT vec_id, 1.0 FROM (SELECT vec_id FROM embeddings WHERE label = 2 ORDER BY vec_id LIMIT 50))
+        UNION ALL SELECT vec_id, 1.0 FROM embeddings WHERE label % 2 = 0)
       GROUP BY vec_id""",
 )
 def _(spark, d):
     found = Search(embeddings(spark, d), "vec_id").knn("embedding", probe(7), 40, weight=2.0)
-    return hits(found.knn("embedding", probe(8), 30, weight=0.5).term("label", 2))
+    return hits(found.knn("embedding", probe(8), 30, weight=0.5).raw_condition("label % 2 = 0"))
+
+
+@query(
+    "knn_with_decay",
+    f"""SELECT vec_id, round(_score * exp(abs(label - 3) * ln(0.5) / 2), 6) AS _score
+        FROM ({nearest_sql(probe(7), 40)}) JOIN embeddings USING (vec_id)""",
+)
+def _(spark, d):
+    found = Search(embeddings(spark, d), "vec_id").knn("embedding", probe(7), 40)
+    return hits(found.decay_function_score("exp", "label", 3, 2.0))
+
+
+@query("knn_random_order", f"SELECT vec_id FROM ({nearest_sql(probe(7), 30)})")
+def _(spark, d):
+    found = Search(embeddings(spark, d), "vec_id").knn("embedding", probe(7), 30).sort_by_random(seed=3)
+    return found.limit(1000).hits().select("vec_id")
+
+
+def labelled_tags(spark, d):
+    """Vectors with their label as a nested tag and as text."""
+    tag = F.array(F.struct(F.col("label").alias("number"), F.concat(F.lit("Label "), F.col("label")).alias("name")))
+    return embeddings(spark, d).withColumn("tags", tag).withColumn("note", F.concat(F.lit("Labels were "), F.col("label")))
+
+
+@query(
+    "fused_inner_hits",
+    f"""SELECT vec_id, round(sum(part), 6) AS _score, max(number) AS number FROM (
+        SELECT vec_id, part, NULL::INT AS number FROM ({_scaled(nearest_sql(probe(7), 40), 1.0)})
+        UNION ALL SELECT vec_id, 1.0, label FROM embeddings WHERE label = 2) GROUP BY vec_id""",
+)
+def _(spark, d):
+    found = Search(labelled_tags(spark, d), "vec_id").knn("embedding", probe(7), 40)
+    found.nested("tags", lambda q: q.term("tags.number", 2), inner_hits="found")
+    return found.hits().select("vec_id", F.round("_score", 6).alias("_score"), F.element_at("found", 1)["number"].alias("number"))
+
+
+@query("knn_text_filter", rounded(nearest_sql(probe(1), 8, "label IN (3, 4) AND label <> 3")))
+def _(spark, d):
+    """A stemmed text and a nested condition as the filter of a retriever."""
+    found = Search(labelled_tags(spark, d), "vec_id", text={"note": ENGLISH})
+    condition = lambda q: q.match("note", "label").nested("tags", lambda n: n.term("tags.number", 4))
+    return hits(found.knn("embedding", probe(1), 8, filter=condition))
 
 
 @query(
@@ -173,7 +216,7 @@ def _(spark, d):
 )
 def _(spark, d):
     found = retrieval.nearest(embeddings(spark, d), "vec_id", "embedding", probe(9), 50)
-    return found.select("vec_id", F.round(fusion.min_max(F.col("_score")), 6).alias("scaled"))
+    return fusion.scaled(found).select("vec_id", F.round("scaled", 6).alias("scaled"))
 
 
 @query(
