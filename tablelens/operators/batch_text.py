@@ -1,6 +1,6 @@
 """Many text queries over all documents at once: search, similar documents, hashed tf-idf.
 
-Each operator reads the texts once.  The term counts it needs are written to the shared folder and
+Search and similar documents read the texts once.  The term counts they need are written to the shared folder and
 everything after that (document frequencies, collection statistics, scores) reads those rows.
 Scores are summed with the rows of a document in one task, so the many (query, document) pairs are
 never shuffled; only the k best per query and task are.
@@ -10,14 +10,15 @@ from __future__ import annotations
 
 import hashlib
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablelens.functions.scoring import bm25, idf
 from tablelens.functions.text import STANDARD, Analyzer
-from tablelens.operators.grouping import term_counts
-from tablelens.plans.runtime import fits_broadcast, join_sized, written
+from tablelens.operators.grouping import TokenGroups, term_counts
+from tablelens.plans.runtime import fits_broadcast, join_sized, ship_package, written
 
 MARKER = ""
 
@@ -173,6 +174,31 @@ def buckets(dim: int):
     return name
 
 
+def hashed_vectors(
+    documents: DataFrame, row_id: str, field: str, analyzer: Analyzer = STANDARD, dim: int = 4096
+) -> DataFrame:
+    """``(id, buckets, counts)`` of every document with words, one row each and without a shuffle.
+
+    Write it once, and give it to every :func:`semantic_search` as ``vectors``.
+    """
+    ship_package()
+    name = buckets(dim)
+    rows = analyzed(documents, row_id, field, analyzer).filter(F.col("tokens").isNotNull())
+    kind = rows.schema[row_id].dataType.simpleString()
+
+    def hashed(batches):
+        for batch in batches:
+            groups = TokenGroups(batch.column("tokens"), name)
+            present = np.flatnonzero(groups.lengths)
+            offsets = pa.array(np.r_[np.searchsorted(groups.rows, present), len(groups.rows)].astype(np.int32))
+            held = groups.terms.take(pa.array(groups.codes)).cast(pa.int32())
+            counts = pa.array(groups.counts.astype(np.int32))
+            lists = [pa.ListArray.from_arrays(offsets, x) for x in (held, counts)]
+            yield pa.record_batch([batch.column(row_id).take(pa.array(present)), *lists], names=[row_id, "buckets", "counts"])
+
+    return rows.mapInArrow(hashed, f"`{row_id}` {kind}, buckets array<int>, counts array<int>")
+
+
 def semantic_search(
     documents: DataFrame,
     row_id: str,
@@ -184,36 +210,51 @@ def semantic_search(
     analyzer: Analyzer = STANDARD,
     dim: int = 4096,
     digits: int = DIGITS,
+    vectors: DataFrame | None = None,
 ) -> DataFrame:
     """``(query, id, _score, rank)`` by cosine of hashed tf-idf vectors, as ``(1 + cos) / 2``.
 
-    The weight table has at most ``dim`` rows.  A document without a shared bucket is not returned.
+    A document's length and its weights in the queries' buckets are computed where its vector lies;
+    only those few weights are joined and summed.  The bucket weights, at most ``dim`` numbers, pass
+    the driver.  ``vectors`` are stored :func:`hashed_vectors` of the same ``dim``; without them the
+    texts are read.  A document without a shared bucket is not returned.
     """
     if dim > 1 << 18:
         raise ValueError("dim is limited to 262144, so that the weights stay broadcastable")
-    name, marker = buckets(dim), -1
-    counts = written(
-        term_counts(analyzed(documents, row_id, field, analyzer), row_id, name, "bucket long", marker), "vectors"
-    )
-    held = F.col("bucket") != marker
-    total = counts.agg(F.count_if(~held)).scalar()
-    weights = document_frequencies(counts.filter(held), "bucket").withColumn("documents", total)
-    weights = weights.select("bucket", F.log((F.col("documents") + 1) / (F.col("df") + 1)).alias("idf"))
-    asked = term_counts(analyzed(queries, query_id, text, analyzer), query_id, name, "bucket long")
-    small = fits_broadcast(asked)
-    asked = asked.join(F.broadcast(weights), "bucket").select(query_id, "bucket", (F.col("tf") * F.col("idf")).alias("qw"))
+    spark = documents.sparkSession
+    held = vectors if vectors is not None else hashed_vectors(documents, row_id, field, analyzer, dim)
+    # one more entry per document counts the documents
+    seen = held.select(F.explode(F.concat("buckets", F.array(F.lit(-1)))).alias("bucket")).groupBy("bucket").count()
+    found = {r["bucket"]: r["count"] for r in seen.collect()}  # at most dim + 1 rows
+    weights = np.zeros(dim)
+    for bucket, df in found.items():
+        if bucket >= 0:
+            weights[bucket] = np.log((found[-1] + 1) / (df + 1))
+    asked = term_counts(analyzed(queries, query_id, text, analyzer), query_id, buckets(dim), "bucket long")
+    table = spark.createDataFrame([(int(b), float(w)) for b, w in enumerate(weights) if b in found], "bucket long, idf double")
+    asked = asked.join(F.broadcast(table), "bucket").select(query_id, "bucket", (F.col("tf") * F.col("idf")).alias("qw"))
     norms = asked.groupBy(query_id).agg(F.sqrt(F.sum(F.col("qw") * F.col("qw"))).alias("qnorm"))
     asked = asked.join(norms, query_id).select(query_id, "bucket", (F.col("qw") / F.col("qnorm")).alias("qw"))
-    # Partitioned by document once; the lengths, the products and their join all keep it.
-    rows = counts.filter(held).repartition(row_id).join(F.broadcast(weights), "bucket")
-    rows = rows.select(row_id, "bucket", (F.col("tf") * F.col("idf")).alias("w"))
-    lengths = rows.groupBy(row_id).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    products = (
-        join_sized(rows, asked, "bucket", small)
+    wanted = np.zeros(dim, bool)
+    wanted[[r["bucket"] for r in asked.select("bucket").distinct().collect()]] = True  # at most dim rows
+    kind = held.schema[row_id].dataType.simpleString()
+
+    def weighed(batches):
+        for batch in batches:
+            sizes = batch.column(1).value_lengths().to_numpy(zero_copy_only=False)
+            which = np.repeat(np.arange(len(sizes)), sizes)
+            bucket = batch.column(1).flatten().to_numpy(zero_copy_only=False)
+            w = batch.column(2).flatten().to_numpy(zero_copy_only=False) * weights[bucket]
+            norm = np.sqrt(np.bincount(which, w * w, len(sizes)))
+            keep = wanted[bucket] & (norm[which] > 0)
+            which, bucket, w = which[keep], bucket[keep], w[keep]
+            columns = [batch.column(0).take(pa.array(which)), pa.array(bucket.astype(np.int64)), pa.array(w / norm[which])]
+            yield pa.record_batch(columns, names=[row_id, "bucket", "w"])
+
+    rows = held.select(row_id, "buckets", "counts").mapInArrow(weighed, f"`{row_id}` {kind}, bucket long, w double")
+    scored = (
+        join_sized(rows, asked, "bucket", fits_broadcast(asked))
         .groupBy(query_id, row_id)
-        .agg(F.sum(F.col("w") * F.col("qw")).alias("product"))
-    )
-    scored = products.join(lengths, row_id).select(
-        query_id, row_id, ((1 + F.col("product") / F.col("norm")) / 2).alias("_score")
+        .agg(((1 + F.sum(F.col("w") * F.col("qw"))) / 2).alias("_score"))
     )
     return best_per_query(scored, row_id, query_id, k, digits)

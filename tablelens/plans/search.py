@@ -185,24 +185,29 @@ class Search(Criteria):
         self._retrievers.append((run, weight, False))
         return self
 
-    def _semantic_list(self, field: str, phrase: str, embed) -> DataFrame:
+    def _semantic_list(self, field: str, phrase: str, embed, vectors: DataFrame | None = None) -> DataFrame:
         if embed is not None:
             return retrieval.nearest(self.df, self.id, field, embed(phrase), self._window)
         asked = self.df.sparkSession.createDataFrame([(0, phrase)], "__query int, __phrase string")
         found = batch_text.semantic_search(
-            self.df, self.id, field, asked, "__query", "__phrase", self._window, self.text.get(field, STANDARD)
-        )
+            self.df, self.id, field, asked, "__query", "__phrase", self._window, self.text.get(field, STANDARD),
+            vectors=vectors,
+        )
         return found.select(self.id, "_score")
 
-    def semantic(self, field: str, phrase: str, weight: float = 1.0, embed: Callable[[str], Sequence[float]] | None = None):
-        """By vector when ``embed`` turns the phrase into one, else by hashed tf-idf of a text field."""
-        self._retrievers.append((lambda: self._semantic_list(field, phrase, embed), weight, True))
+    def semantic(self, field: str, phrase: str, weight: float = 1.0, embed: Callable[[str], Sequence[float]] | None = None,
+                 vectors: DataFrame | None = None):
+        """By vector when ``embed`` turns the phrase into one, else by hashed tf-idf of a text field.
+
+        ``vectors`` are the field's stored hashed vectors (see ``batch_text.hashed_vectors``).
+        """
+        self._retrievers.append((lambda: self._semantic_list(field, phrase, embed, vectors), weight, True))
         return self
 
-    def rrf(self, semantic_field: str, standard_field: str, phrase: str, weight: float = 1.0, embed=None):
+    def rrf(self, semantic_field: str, standard_field: str, phrase: str, weight: float = 1.0, embed=None, vectors=None):
         def run() -> DataFrame:
             lexical = Search(self.df, self.id, self.text, self.tokens).match(standard_field, phrase)._scored_rows()
-            lists = [lexical.select(self.id, "_score"), self._semantic_list(semantic_field, phrase, embed)]
+            lists = [lexical.select(self.id, "_score"), self._semantic_list(semantic_field, phrase, embed, vectors)]
             return fusion.reciprocal_rank(lists, self.id, self._window, self._constant)
 
         self._retrievers.append((run, weight, False))

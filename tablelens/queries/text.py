@@ -454,6 +454,15 @@ def _(spark, d):
     return found.select("item_id", "doc_id", "_score", "rank")
 
 
+@query("semantic_stored", semantic_sql(f"SELECT item_id, unnest({DOC_WORDS}) AS term FROM benchmark", "item_id", 10))
+def _(spark, d):
+    """Against vectors that were written once."""
+    stored = written(B.hashed_vectors(documents(spark, d), "doc_id", "text"), "vectors")
+    asked = read_table(spark, d, "benchmark")
+    found = B.semantic_search(documents(spark, d), "doc_id", "text", asked, "item_id", "text", 10, digits=6, vectors=stored)
+    return found.select("item_id", "doc_id", "_score", "rank")
+
+
 # Highlighting ---------------------------------------------------------------------------
 
 _PIECES = r"regexp_extract_all(text, '(?s).{1,150}(?:\s|$)|.{150}')"
