@@ -31,8 +31,9 @@ NO_ID = np.iinfo(np.int64).max
 #: Rows of a range: windows still to be compared, or (settled) the lost positions of one document.
 _MARKS = pa.schema([("part", pa.int32()), ("settled", pa.bool_()), ("doc_id", pa.int64()), ("key", pa.int64()), ("packed", pa.binary())])
 _MARKS_SQL = "part int, settled boolean, doc_id long, key long, packed binary"
-#: Bytes of the batches that a task hands out.
+#: Bytes of the batches that a task hands out, and hash ranges whose lost windows meet in one slice of documents.
 OUT_BYTES = 1 << 20
+RANGES_PER_SLICE = 8
 
 
 def _ids(column) -> np.ndarray:
@@ -141,9 +142,9 @@ def unpacked(data: bytes):
 
 
 def repeated_windows(rows: DataFrame, width: int) -> DataFrame:
-    """(doc_id, key, packed positions) of windows that start in a smaller document too.
+    """(doc_id, key, sorted packed positions) of windows that start in a smaller document too.
 
-    A document may have several rows.  ``rows`` are (doc_id, text, key).
+    One row per document; ``rows`` are (doc_id, text, key).
     """
     chars = rows.agg(F.coalesce(F.sum(F.char_length("text")), F.lit(0))).head()[0]
     ranges = max(16, -(-chars // RANGE_CHARS))
@@ -171,25 +172,73 @@ def repeated_windows(rows: DataFrame, width: int) -> DataFrame:
         if held:
             yield batch()
 
+    slices = max(16, ranges // RANGES_PER_SLICE)
+
     def winners(table: pa.Table) -> pa.Table:
-        """The windows of a hash range: carriers of a chunk are the smallest there, the smallest of all is what counts."""
-        found = table.filter(table.column("settled")).to_batches()
-        parts, at = [], 0
+        """The lost windows of a hash range, by slice of documents: carriers of a chunk are the smallest
+        there, the smallest of all is what counts; settled windows pass."""
+        done = table.filter(table.column("settled"))
+        ids, keys, docs, positions, at = [], [], [], [], 0
+        if done.num_rows:
+            held = [np.frombuffer(x.as_py(), "<u4") for x in done.column("packed")]
+            ids.append(done.column("doc_id").to_numpy())
+            keys.append(done.column("key").to_numpy())
+            docs.append(np.repeat(np.arange(len(held), dtype=np.int32), [len(x) for x in held]))
+            positions.append(np.concatenate(held))
+            at = len(held)
+        parts, base = [], at
         for value in table.filter(pc.invert(table.column("settled"))).column("packed"):
             h, d, p, i, k = unpacked(value.as_py())
-            parts.append((h, d + np.int32(at), p, i, k))
+            parts.append((h, d + np.int32(at - base), p))
+            ids.append(i)
+            keys.append(k)
             at += len(i)
         if parts:
-            h, d, p, i, k = (np.concatenate(x) for x in zip(*parts, strict=True))
+            h, d, p = (np.concatenate(x) for x in zip(*parts, strict=True))
             parts.clear()
-            lost, _ = settle(h, d, i)
-            rows = [(0, True, int(i[doc]), int(k[doc]), at.astype("<u4").tobytes()) for doc, at in _by_document(d[lost], p[lost])]
-            if rows:
-                found.append(pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _MARKS, strict=True)], schema=_MARKS))
-        return pa.Table.from_batches(found, _MARKS).select(["doc_id", "key", "packed"])
+            lost, _ = settle(h, d, np.concatenate(ids[1:] if base else ids))
+            docs.append(d[lost] + np.int32(base))
+            positions.append(p[lost])
+        rows = list(sliced(*(np.concatenate(x) for x in (ids, keys, docs, positions)), slices)) if docs else []
+        return pa.table({"slice": pa.array([r[0] for r in rows], pa.int32()), "packed": pa.array([r[1] for r in rows], pa.binary())})
+
+    def by_document(table: pa.Table) -> pa.Table:
+        """The lost windows of a slice of documents, one row per document."""
+        ids, keys, positions = (np.concatenate(x) for x in zip(*[unsliced(x.as_py()) for x in table.column("packed")], strict=True))
+        order = np.lexsort((positions, keys, ids))
+        ids, keys, positions = ids[order], keys[order], positions[order].astype("<u4")
+        starts = np.flatnonzero(np.concatenate(([True], (ids[1:] != ids[:-1]) | (keys[1:] != keys[:-1]))))
+        held = [x.tobytes() for x in np.split(positions, starts[1:])]
+        return pa.table({"doc_id": pa.array(ids[starts], pa.int64()), "key": pa.array(keys[starts], pa.int64()), "packed": pa.array(held, pa.binary())})
 
     marks = prepared(rows).select("doc_id", "text", "key").mapInArrow(windows, _MARKS_SQL)
-    return marks.groupBy("part").applyInArrow(winners, "doc_id long, key long, packed binary")
+    lost = marks.groupBy("part").applyInArrow(winners, "slice int, packed binary")
+    return lost.groupBy("slice").applyInArrow(by_document, "doc_id long, key long, packed binary")
+
+
+def sliced(ids: np.ndarray, keys: np.ndarray, docs: np.ndarray, positions: np.ndarray, slices: int):
+    """(slice, packed documents with their positions): documents are dealt by their text's hash."""
+    order = np.argsort(docs, kind="stable")
+    docs, positions = docs[order], positions[order]
+    used, counts = np.unique(docs, return_counts=True)
+    part = keys[used] % slices
+    order = np.argsort(part, kind="stable")
+    starts = np.cumsum(counts) - counts
+    cuts = np.searchsorted(part[order], np.arange(slices + 1))
+    for k in range(slices):
+        mine = order[cuts[k] : cuts[k + 1]]
+        if len(mine):
+            where = np.repeat(starts[mine] - (np.cumsum(counts[mine]) - counts[mine]), counts[mine]) + np.arange(counts[mine].sum())
+            columns = (np.array([len(mine)], "<u4"), ids[used[mine]].astype("<i8"), keys[used[mine]].astype("<i8"), counts[mine].astype("<u4"), positions[where].astype("<u4"))
+            yield k, b"".join(x.tobytes() for x in columns)
+
+
+def unsliced(data: bytes):
+    """Document id, text key and position of each lost window."""
+    m = int(np.frombuffer(data, "<u4", 1)[0])
+    ids, keys = np.frombuffer(data, "<i8", m, 4), np.frombuffer(data, "<i8", m, 4 + 8 * m)
+    counts = np.frombuffer(data, "<u4", m, 4 + 16 * m)
+    return np.repeat(ids, counts), np.repeat(keys, counts), np.frombuffer(data, "<u4", -1, 4 + 20 * m)
 
 
 def _answers(docs: DataFrame, width: int, doc_id: str, text: str, schema: pa.Schema, shape: str, answer) -> DataFrame:
@@ -217,17 +266,14 @@ def _answers(docs: DataFrame, width: int, doc_id: str, text: str, schema: pa.Sch
     def merged(batches):
         for batch in batches:
             found = []
-            for t, packs in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                positions = np.unique(np.concatenate([np.frombuffer(p, "<u4") for p in packs])) if packs else np.empty(0)
-                found.append(answer(t, runs(positions.astype(np.int64), width)))
+            for t, positions in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                found.append(answer(t, runs(np.frombuffer(positions or b"", "<u4").astype(np.int64), width)))
             yield batch_of(batch.column(0), found)
 
     untouched = prepared(rows.select("doc_id", "text", filter_bit("key").alias("bit"))).mapInArrow(bare, shape)
     candidates = rows.select("doc_id", "text", "key", filter_bit("key").alias("bit")).mapInArrow(touched, "doc_id long, text string, key long, bit int")
-    # all packs of a document together are at most its own positions
-    packs = marks.groupBy("doc_id", "key").agg(F.collect_list("packed").alias("packs")).withColumnsRenamed({"doc_id": "id"})
-    joined = candidates.withColumn("id", F.coalesce("doc_id", F.lit(int(NO_ID)))).join(packs, ["id", "key"], "left")
-    return untouched.unionByName(joined.select("doc_id", "text", "packs").mapInArrow(merged, shape))
+    joined = candidates.withColumn("id", F.coalesce("doc_id", F.lit(int(NO_ID)))).join(marks.withColumnsRenamed({"doc_id": "id"}), ["id", "key"], "left")
+    return untouched.unionByName(joined.select("doc_id", "text", "packed").mapInArrow(merged, shape))
 
 
 def removed_spans(docs: DataFrame, width: int = WIDTH, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
