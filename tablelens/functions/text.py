@@ -10,7 +10,6 @@ import unicodedata
 from dataclasses import dataclass
 
 import pyarrow as pa
-import regex
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -144,6 +143,8 @@ class Analyzer:
 
     def query(self, phrase: str) -> list[str]:
         """The same analysis for a query phrase, on the driver."""
+        import regex  # on the driver only
+
         text = phrase.translate({ord(c): None for c in self.dropped_chars})
         if self.folded and self.runs_in_jvm:
             text = fold_text(text)
@@ -152,6 +153,8 @@ class Analyzer:
 
     def prefix_form(self, word: str) -> str:
         """The last word of a phrase prefix: cut words are not stemmed."""
+        import regex
+
         text = fold_text(word) if self.folded else word.lower()
         words = regex.findall(WORD, text)
         return words[-1] if words else ""

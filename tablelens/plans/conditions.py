@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import math
 import re
-from dataclasses import dataclass, field as attr
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column
@@ -32,8 +32,6 @@ def is_true(col: Column) -> Column:
 
 
 class Condition:
-    scored = False  # True when the score differs from the constant 1.0
-
     def hit(self, scope: Scope) -> Column:
         raise NotImplementedError
 
@@ -109,11 +107,11 @@ class Range(Condition):
     def parse(field: str, operator: str, value) -> "Range | None":
         op = RANGE_OPERATORS.get(operator.lower())
         if op is None:
-            raise TypeError(f"Unsupported range operator: {operator}")
+            raise TypeError(f"{operator!r} is no bound; use one of {', '.join(RANGE_OPERATORS)}")
         if op != "between":
             return Range(field, [(op, value)])
         if not isinstance(value, (list, tuple)) or len(value) != 2:
-            raise TypeError('range(): "between" expects a pair [min, max]')
+            raise TypeError(f"a range between two bounds takes both of them, None for an open one, not {value!r}")
         bounds = [(o, v) for o, v in zip(("gte", "lte"), value) if v is not None]
         return Range(field, bounds) if bounds else None
 
@@ -224,8 +222,6 @@ def required(minimum, count: int) -> int:
 
 
 class TextCondition(Condition):
-    scored = True
-
     def text_fields(self):
         return [self.field]
 
@@ -363,7 +359,6 @@ class TokenPrefix(TextCondition):
 
     field: str
     prefix: str
-    scored = False
 
     def hit(self, scope):
         if scope.type_of(self.field) is None:
@@ -378,7 +373,6 @@ class TokenPrefix(TextCondition):
 class Phonetic(TextCondition):
     field: str
     phrase: str
-    scored = False
 
     def hit(self, scope):
         if scope.type_of(self.field) is None:
@@ -400,7 +394,6 @@ class MoreLikeThis(TextCondition):
     min_doc_freq: int = 5
     max_query_terms: int = 25
     minimum: int | str = "30%"
-    scored = True
 
     def _chosen(self, scope) -> Column | None:
         counts: dict[str, int] = {}
@@ -456,10 +449,6 @@ class MoreLikeThis(TextCondition):
 class Group(Condition):
     children: list[Condition]
 
-    @property
-    def scored(self):
-        return any(c.scored for c in self.children)
-
     def text_fields(self):
         return [f for c in self.children for f in c.text_fields()]
 
@@ -492,8 +481,6 @@ class Or(Group):
 
     children: list[Condition]
     minimum: int | str = 1
-    boosts: list[float] = attr(default_factory=list)
-    scored = True
 
     def _need(self) -> int:
         return required(self.minimum, len(self.children)) if self.children else 0
@@ -523,7 +510,6 @@ class Or(Group):
 @dataclass
 class NoneOf(Group):
     children: list[Condition]
-    scored = True
 
     def hit(self, scope):
         return all_of([c.miss(scope) for c in self.children])
@@ -548,7 +534,6 @@ class Nested(Group):
     inner_hits: str | None = None
     inner_size: int = 3
     ignore_unmapped: bool = False
-    scored = True
 
     def _element_scope(self, scope: Scope) -> ElementScope | None:
         if field_type(scope.schema, self.path) is None:
@@ -606,26 +591,3 @@ class Nested(Group):
             "max": F.array_max(scores),
         }[self.score_mode]
         return F.when(F.size(scores) > 0, out).otherwise(0.0)
-
-
-@dataclass
-class Boosted(Group):
-    """A condition whose score is multiplied."""
-
-    child: Condition
-    boost: float
-
-    @property
-    def children(self):
-        return [self.child]
-
-    scored = True
-
-    def hit(self, scope):
-        return self.child.hit(scope)
-
-    def miss(self, scope):
-        return self.child.miss(scope)
-
-    def score(self, scope):
-        return self.child.score(scope) * float(self.boost)
