@@ -25,6 +25,7 @@ def test_article():
     assert text_of(PAGE) == "Head line\nOne & two é\nthree\nA link here\na\nb"
     assert text_of("") == "" and text_of("plain  text\n more") == "plain text more" and text_of("<p>cut <a hre") == "cut"
     assert text_of("<article><p>x<footer>f</article><p>y") == "x" and text_of("a &lt;b&gt; &am &unknown; c") == "a <b> &am &unknown; c"
+    assert text_of("<div class='page has-sidebar'><div class='sideBar-menu'>s</div><article>x</article></div>") == "x"
     assert text_of("<nav>menu</nav><p>kept</p><div class='reader-comments'><div>c</div></div><p>end</p>") == "kept\nend"
 
 
