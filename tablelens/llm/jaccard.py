@@ -36,8 +36,6 @@ COMMON = 3
 #: Rare shingles that a task gathers before it hands them out, and characters of text per hash range.
 CHUNK = 1 << 18
 RANGE_CHARS = 1 << 25
-#: Slots of the fixed-size filter on nodes.
-SLOTS = 1 << 17
 NO_ID = np.iinfo(np.int64).max
 
 
@@ -220,11 +218,17 @@ def wanted_sets(rows: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
 
 
 def sets_of(sets: DataFrame, members: DataFrame) -> DataFrame:
-    """``members`` with their sets; sets of other nodes are mostly dropped before the shuffle (by at most SLOTS numbers)."""
-    slot = F.pmod(F.xxhash64("node"), F.lit(SLOTS)).cast("int")
-    slots = members.select(slot.alias("slot")).distinct()
-    near = sets.withColumn("slot", slot).join(F.broadcast(slots), "slot", "left_semi").drop("slot")
-    return members.join(near, "node")
+    """``members`` with their sets; other nodes' sets are dropped by a fixed-size filter before the shuffle."""
+    bitmap = sets.sparkSession.sparkContext.broadcast(filter_bitmap(members, "node"))
+    bit = F.pmod(F.xxhash64("node"), F.lit(FILTER_BITS)).cast("int")
+
+    def near(batches):
+        for batch in batches:
+            if batch.num_rows:
+                yield batch.filter(pa.array(has_bit(bitmap.value, batch.column(2).to_numpy())))
+
+    held = prepared(sets).select("node", "set", bit.alias("bit")).mapInArrow(near, "node long, set binary, bit int")
+    return members.join(held.select("node", "set"), "node")
 
 
 def as_set(data: bytes) -> np.ndarray:
@@ -269,27 +273,29 @@ def follow_leaders(nodes: DataFrame, sets: DataFrame, keys: list[str], percent:
 
 
 def open_groups(asked: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) between the labels of queries and of groups.
+    """Links (a, b) between labels, enough to connect all that link.
 
-    ``asked`` holds, per group copy (label, part, copy), its members (query label null) and the sets
-    that ask it.
+    ``asked`` holds, per copy of a group (block, copy), its members and the sets that ask it.
     """
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
-    def answer(key: tuple, table: pa.Table) -> pa.Table:
-        names = ("asker", "set")
-        held = list(zip(*[table.column(n).to_pylist() for n in names], strict=True))
-        members = [as_set(s) for s in {s for q, s in held if q is None}]
-        found = set()
+    def answer(table: pa.Table) -> pa.Table:
+        held = list(zip(*[table.column(n).to_pylist() for n in ("asks", "node", "label", "set")], strict=True))
+        members = {node: (label, as_set(data)) for asks, node, label, data in held if not asks}
+        labels, found, links = np.array([x[0] for x in members.values()], np.int64), {}, []
+
+        def root(x):
+            while found.get(x, x) != x:
+                x = found[x]
+            return x
+
         if members:
-            sizes = np.array([len(m) for m in members])
-            tokens = np.concatenate(members)
+            sizes = np.array([len(x[1]) for x in members.values()])
+            tokens = np.concatenate([x[1] for x in members.values()])
             order = np.argsort(tokens, kind="stable")
-            tokens, owners = tokens[order], np.repeat(np.arange(len(members)), sizes)[order]
+            tokens, owners = tokens[order], np.repeat(np.arange(len(sizes)), sizes)[order]
             union = np.unique(tokens)
-            for asker, data in held:
-                if asker is None or asker in found:
-                    continue
+            for label, data in {(label, data) for asks, _, label, data in held if asks}:
                 mine = as_set(data)
                 at = np.searchsorted(union, mine)
                 at[at == len(union)] = 0
@@ -298,13 +304,15 @@ def open_groups(asked: DataFrame, percent: int) -> DataFrame:
                     continue
                 low, high = np.searchsorted(tokens, mine, "left"), np.searchsorted(tokens, mine, "right")
                 spans = [owners[a:b] for a, b in zip(low.tolist(), high.tolist(), strict=True) if a < b]
-                shared = np.bincount(np.concatenate(spans), minlength=len(members))
-                if (shared >= least_overlap(len(mine), sizes, percent)).any():
-                    found.add(asker)
-        label = key[0].as_py()
-        return pa.table([pa.array([label] * len(found), pa.int64()), pa.array(list(found), pa.int64())], schema=schema)
+                shared = np.bincount(np.concatenate(spans), minlength=len(sizes))
+                for other in np.unique(labels[shared >= least_overlap(len(mine), sizes, percent)]).tolist():
+                    x, y = root(label), root(other)
+                    if x != y:
+                        found[max(x, y)] = min(x, y)
+                        links.append((label, other))
+        return pa.table([pa.array([x[i] for x in links], pa.int64()) for i in (0, 1)], schema=schema)
 
-    return asked.groupBy("label", "part", "copy").applyInArrow(answer, "a long, b long")
+    return asked.groupBy("block", "copy").applyInArrow(answer, "a long, b long")
 
 
 def similar_classes(docs: DataFrame, width: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -338,7 +346,7 @@ def similar_classes(docs: DataFrame, width: int = 5, percent: int = 80, doc_id:
         follows = pairs.withColumnsRenamed({"node": "label", "leader": "to"})
         labels = labels.join(follows, "label", "left").select("node", F.coalesce("to", "label").alias("label"))
         leaders = written(leaders.join(pairs, "node", "left_anti"), "leaders")
-    labels = written(labels.join(nodes.select("node", "n"), "node"), "labels")
+    labels = written(labels.join(nodes.select("node", "n", "h1"), "node"), "labels")
 
     links = cross_links(index, labels, sets, percent)
     roots = components(links).withColumnsRenamed({"node": "label"})
@@ -353,44 +361,61 @@ def similar_classes(docs: DataFrame, width: int = 5, percent: int = 80, doc_id:
     return answers.unionByName(alone)
 
 
+def grouped(labels: DataFrame) -> DataFrame:
+    """(node, label, n, block): groups of at most about GROUP similar nodes.
+
+    Nodes of one label are together; nodes that are alone in theirs join those with the same smallest hash.
+    """
+    sizes = labels.groupBy("label").agg(F.count(F.lit(1)).alias("size"))
+    place = F.when(F.col("size") > 1, F.xxhash64(F.lit(1), "label")).otherwise(F.xxhash64(F.lit(2), "h1"))
+    placed = labels.join(sizes, "label").select("node", "label", "n", place.alias("place"))
+    totals = placed.groupBy("place").agg(F.count(F.lit(1)).alias("total"))
+    parts = F.ceil(F.col("total") / F.lit(GROUP)).cast("long")
+    block = F.xxhash64("place", F.pmod(F.xxhash64("node"), parts)).alias("block")
+    return placed.join(totals, "place").select("node", "label", "n", block)
+
+
 def cross_links(index: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links between labels, from the groups that qualify."""
-    groups = labels.groupBy("label").agg(F.count(F.lit(1)).alias("size"), F.min("n").alias("low"), F.max("n").alias("high"))
-    groups = written(groups, "groups")
-    tokens = index.select("token", "node").join(labels.select("node", "label"), "node").select("token", "label").distinct()
+    blocks = written(grouped(labels), "blocks")
+    stats = blocks.groupBy("block").agg(
+        F.count(F.lit(1)).alias("size"), F.min("n").alias("low"), F.max("n").alias("high"),
+        F.when(F.min("label") == F.max("label"), F.min("label")).alias("only"),
+    )
+    stats = written(stats, "stats")
+    tokens = index.select("token", "node").join(blocks.select("node", "block"), "node").select("token", "block").distinct()
     tokens = written(tokens, "tokens")  # the rows of the token-group matrix that can decide
-    sized = tokens.join(groups.select("label", "low", "high"), "label")
-    left, right = (sized.select("token", *[F.col(c).alias(f"{x}_{c}") for c in ("label", "low", "high")]) for x in "ab")
-    near = F.expr(f"a_label < b_label and 100 * a_high >= {percent} * b_low and 100 * b_high >= {percent} * a_low")
-    shared = left.join(right, "token").filter(near).groupBy(F.col("a_label").alias("a"), F.col("b_label").alias("b"))
+    sized = tokens.join(stats.drop("size"), "block")
+    left, right = (sized.select("token", *[F.col(c).alias(f"{x}_{c}") for c in ("block", "low", "high", "only")]) for x in "ab")
+    near = F.expr(
+        f"""a_block < b_block and 100 * a_high >= {percent} * b_low and 100 * b_high >= {percent} * a_low
+            and coalesce(a_only <> b_only, true)"""
+    )
+    shared = left.join(right, "token").filter(near).groupBy(F.col("a_block").alias("a"), F.col("b_block").alias("b"))
     lowest = F.min(F.ceil(F.least("a_low", "b_low") * percent / F.lit(100)))
-    pairs = shared.agg(F.count(F.lit(1)).alias("tokens"), lowest.alias("lowest")).filter(F.col("tokens") >= F.least(F.lit(COMMON), "lowest"))
-    groups = groups.select("label", "size")
-    # the larger group is asked, the sets of the smaller one ask
-    matched = pairs.join(groups.withColumnsRenamed({"label": "a", "size": "a_size"}), "a").join(groups.withColumnsRenamed({"label": "b", "size": "b_size"}), "b")
+    pairs = shared.agg(F.count(F.lit(1)).alias("tokens"), lowest.alias("lowest"))
+    pairs = pairs.filter(F.col("tokens") >= F.least(F.lit(COMMON), "lowest")).select("a", "b")
+    # a group of several labels asks itself; of two groups the larger is asked, the sets of the smaller ask
+    pairs = pairs.unionByName(stats.filter("size > 1 and only is null").select(F.col("block").alias("a"), F.col("block").alias("b")))
+    sizes = stats.select("block", "size")
+    pairs = pairs.join(sizes.withColumnsRenamed({"block": "a", "size": "a_size"}), "a").join(sizes.withColumnsRenamed({"block": "b", "size": "b_size"}), "b")
+    larger = F.expr("a_size >= b_size")
     ask = written(
-        matched.select(
-            F.when(F.expr("a_size >= b_size"), F.col("a")).otherwise(F.col("b")).alias("label"),
-            F.when(F.expr("a_size >= b_size"), F.col("b")).otherwise(F.col("a")).alias("asker"),
-            F.greatest("a_size", "b_size").alias("size"),
+        pairs.select(
+            F.when(larger, F.col("a")).otherwise(F.col("b")).alias("block"),
+            F.when(larger, F.col("b")).otherwise(F.col("a")).alias("asker"),
+            F.least("a_size", "b_size").alias("asking"),
         ),
         "asked",
     )
-    parts = F.ceil(F.col("size") / F.lit(GROUP)).cast("long")
-    load = ask.groupBy("label", "size").agg(F.count(F.lit(1)).alias("askers"))
-    copies = load.withColumn("parts", parts).withColumn("copies", F.ceil(F.col("askers") / F.lit(QUERIES)).cast("long"))
-    labels = labels.select("node", "label")
-    members = labels.join(copies, "label").select(
-        "label", "node", F.pmod(F.xxhash64("node"), "parts").alias("part"),
-        F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)).alias("copy"), F.lit(None).cast("long").alias("asker"),
-    )
-    askers = ask.join(copies.select("label", "parts", "copies"), "label").join(labels.withColumnsRenamed({"label": "asker"}), "asker")
-    askers = askers.select(
-        "label", "node", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"),
-        F.pmod(F.xxhash64("node", "label"), "copies").alias("copy"), "asker",
-    )
+    copies = ask.groupBy("block").agg(F.ceil(F.sum("asking") / F.lit(QUERIES)).cast("long").alias("copies"))
+    members = blocks.join(copies, "block").select(
+        "block", "node", "label", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)).alias("copy"), F.lit(False).alias("asks")
+    )
+    askers = ask.join(copies, "block").join(blocks.select("node", "label", F.col("block").alias("asker")), "asker")
+    askers = askers.select("block", "node", "label", F.pmod(F.xxhash64("node", "block"), "copies").alias("copy"), F.lit(True).alias("asks"))
     asked = written(members.unionByName(askers), "members")
-    return open_groups(sets_of(sets, asked).select("label", "part", "copy", "asker", "set"), percent).distinct()
+    return open_groups(sets_of(sets, asked), percent).distinct()
 
 
 def near_duplicates_removed(docs: DataFrame, width: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
