@@ -18,6 +18,7 @@ from tablelens.operators import highlight as H
 from tablelens.operators.projection import select_fields
 from tablelens.plans import conditions as C
 from tablelens.plans.criteria import Criteria, collect
+from tablelens.plans.indexed import IndexScope, indexable, with_found
 from tablelens.plans.scope import Scope, Statistics
 
 
@@ -56,14 +57,18 @@ class Search(Criteria):
 
     ``text`` names the analyzed fields and their analyzers; any other string field is matched as
     plain words.  ``tokens`` names columns that hold a field's tokens already (see
-    :func:`with_tokens`), so that searches read those instead of analyzing the text again.  Methods
-    return the search itself.
+    :func:`with_tokens`), so that searches read those instead of analyzing the text again.  With an
+    ``index`` (a ``TextIndex`` of this table, by the same analyzers) matches, phrases and fuzzy words of its
+    fields read the postings of their terms and its statistics, and not the texts.  Methods return the
+    search itself.
     """
 
     def __init__(
-        self, df: DataFrame, id: str = "id", text: dict[str, Analyzer] | None = None, tokens: dict[str, str] | None = None
-    ):
+        self, df: DataFrame, id: str = "id", text: dict[str, Analyzer] | None = None, tokens: dict[str, str] | None = None,
+        index=None,
+    ):
         super().__init__()
+        self.index = index
         self.df, self.id, self.text, self.tokens = df, id, dict(text or {}), dict(tokens or {})
         self._include: list[str] = []
         self._exclude: list[str] = []
@@ -240,7 +245,11 @@ class Search(Criteria):
     # Plan -------------------------------------------------------------------------
 
     def _scope(self) -> Scope:
-        return Scope(self.df.schema, self.text, self.tokens)
+        plain = Scope(self.df.schema, self.text, self.tokens)
+        asked = [*self.conditions, *[c for _, branch in self._phases for c in branch]]
+        if self.index is None or not all(indexable(c, plain, self.index.analyzers) for c in asked):
+            return plain
+        return IndexScope(self.df.schema, self.text, self.tokens, self.index)
 
     def _filtered(self, scope: Scope, scored: bool) -> tuple[DataFrame, Column]:
         """Matching rows with what scoring needs, and the score."""
@@ -256,6 +265,11 @@ class Search(Criteria):
         rows = self.df
         for condition in plain:
             rows = rows.filter(condition.hit(scope))
+        if isinstance(scope, IndexScope):
+            for field in [f for f in self.index.analyzers if any(f in c.text_fields() for c in [*textual, *self._phase_conditions()])]:
+                parts = self._accepting(scope, field, [*self.conditions, *self._phase_conditions()])
+                required = any(not isinstance(c, C.Group) and c.field == field for c in textual)
+                rows = with_found(rows, self.id, self.index, field, parts, required)
         documents = self.df.withColumns(scope.prepared) if scope.prepared else self.df
         expansions = scope.statistics.expansion_columns(documents)
         if expansions:
@@ -426,7 +440,10 @@ class Search(Criteria):
             names.append(column)
         return rows, names
 
-    def _accepting(self, scope: Scope, field: str) -> list:
+    def _phase_conditions(self) -> list:
+        return [c for _, branch in self._phases for c in branch]
+
+    def _accepting(self, scope: Scope, field: str, conditions: list | None = None) -> list:
         """What the text conditions on a field look for."""
         out: list = []
 
@@ -449,7 +466,7 @@ class Search(Criteria):
             elif isinstance(condition, C.MoreLikeThis):
                 out.extend(Word(w) for w in scope.analyzer(field).query(condition.like) if w)
 
-        for condition in self.conditions:
+        for condition in self.conditions if conditions is None else conditions:
             walk(condition)
         return out
 

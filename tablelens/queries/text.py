@@ -10,7 +10,7 @@ from tablelens.operators.postings import TextIndex, field_statistics, postings,
 from tablelens.plans.criteria import fuzzy, phrase, prefix, word
 from tablelens.plans.runtime import new_path, written
 from tablelens.plans.search import Search, with_tokens
-from tablelens.queries import query
+from tablelens.queries import SQL, query
 from tablelens.queries.filters import LINES, lined, unscored
 from tablelens.sources.reader import read_table, spread
 
@@ -454,6 +454,23 @@ def _(spark, d):
     return found.select("item_id", "doc_id", "_score", "rank")
 
 
+def indexed(spark, d):
+    """A search whose text is read only through a written index."""
+    index = TextIndex.write(documents(spark, d), "doc_id", {"text": T.STANDARD}, new_path(spark, "index"))
+    return Search(documents(spark, d), "doc_id", {"text": T.STANDARD}, index=index)
+
+
+def _indexed(name: str, of: str, make):
+    """The scan form's SQL must hold for the indexed form."""
+    query(name, SQL[of])(lambda spark, d: scores(make(indexed(spark, d))))
+
+
+_indexed("match_indexed", "match_any", lambda s: s.match("text", "Thing, only there"))
+_indexed("phrase_indexed", "phrase", lambda s: s.match_phrase("text", "of the"))
+_indexed("fuzzy_indexed", "match_fuzzy_expansions", lambda s: s.match("text", "thing", fuzziness=1, max_expansions=4))
+_indexed("boosted_indexed", "boosted_phrase", lambda s: s.match_boosted_phrase("text", "for the", ["or", "and", "exact"], [2, 5, 7]))
+
+
 @query("semantic_stored", semantic_sql(f"SELECT item_id, unnest({DOC_WORDS}) AS term FROM benchmark", "item_id", 10))
 def _(spark, d):
     """Against vectors that were written once."""

@@ -327,3 +327,20 @@ def test_explicit_sorts_do_not_score(spark):
 
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
+
+
+def test_an_indexed_search_does_not_read_the_text(spark, tmp_path):
+    docs = read(spark, "documents")
+    index = TextIndex.write(docs, "doc_id", {"text": STANDARD}, str(tmp_path / "index"))
+    search = Search(docs, "doc_id", {"text": STANDARD}, index=index).match("text", "thing").match_phrase("text", "of the")
+    assert "text:string" not in plan(search.fields(["doc_id"]).hits())
+
+
+def test_rescoring_phases_do_not_add_scans(spark):
+    def scans(phases):
+        search = Search(read(spark, "documents"), "doc_id", {"text": STANDARD}).match("text", "thing only")
+        for window in range(10, 10 * phases + 1, 10):
+            search.rescore(window, lambda q: q.match("text", "there"))
+        return plan(search.limit(30).hits()).count("FileScan parquet")
+
+    assert scans(1) == scans(2) == scans(3)
