@@ -4,7 +4,8 @@ Every window of ``width`` words gets a Rabin-Karp hash.  A task first settles wi
 in several of its own documents, so a hash leaves a chunk of documents once however often it
 occurs there, and a passage of a third of all rows stays small.  The rest is shuffled by hash
 range as packed arrays (about 8 bytes a window); each range says which windows have a smaller
-document id elsewhere.  Positions found either way merge into maximal intervals.
+document id elsewhere.  Positions found either way are dealt by id and text together, so that copies of one
+text spread over all tasks, and merge into maximal intervals.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablelens.llm.common import (
-    filter_bit, filter_bitmap, has_bit, prepared, rolling_hashes, runs, split_words, text_key, texts, word_hashes,
+    filter_bit, filter_bitmap, has_bit, mixed, prepared, rolling_hashes, runs, split_words, text_key, texts, word_hashes,
 )
 from tablelens.plans.runtime import written
 
@@ -50,6 +51,12 @@ def _by_document(docs: np.ndarray, positions: np.ndarray):
         yield int(d), p
 
 
+def dealt(ids: np.ndarray, keys: np.ndarray, parts: int) -> np.ndarray:
+    """The part of each document, by its id and text: copies of a text have one key, but not one id."""
+    spread = mixed(mixed(keys.astype(np.int64).view(np.uint64)) + ids.astype(np.int64).view(np.uint64))
+    return (spread % np.uint64(parts)).astype(np.int64)
+
+
 def settle(hashes: np.ndarray, docs: np.ndarray, ids: np.ndarray):
     """Windows that have an equal one in a document of a smaller id, and the others by hash.
 
@@ -74,15 +81,18 @@ class _Chunk:
         self.reset()
 
     def reset(self):
-        self.ids, self.keys, self.hashes, self.n = [], [], [], 0
+        self.ids, self.keys, self.hashes, self.n, self.held = [], [], [], 0, set()
 
     def add(self, doc_id: int, key: int, text: str):
+        if (doc_id, key) in self.held:  # a repeated row, or a copy without an id, loses what the first one loses
+            return
         h = rolling_hashes(word_hashes(text), self.width)
         if len(h):
             self.ids.append(doc_id)
             self.keys.append(key)
             self.hashes.append(h)
             self.n += len(h)
+            self.held.add((doc_id, key))
 
     def rows(self):
         if not self.n:
@@ -93,8 +103,9 @@ class _Chunk:
         starts = np.cumsum(lengths) - lengths
         docs = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)
         lost, carriers = settle(hashes, docs, ids)
+        parts = dealt(ids, keys, self.ranges)
         for d, at in _by_document(docs[lost], lost):
-            yield int(keys[d] % self.ranges), True, int(ids[d]), int(keys[d]), (at - starts[d]).astype("<u4").tobytes()
+            yield int(parts[d]), True, int(ids[d]), int(keys[d]), (at - starts[d]).astype("<u4").tobytes()
         h, d = hashes[carriers], docs[carriers]
         cuts = np.searchsorted(range_of(h, self.ranges), np.arange(self.ranges + 1))
         for k in range(self.ranges):
@@ -217,11 +228,11 @@ def repeated_windows(rows: DataFrame, width: int) -> DataFrame:
 
 
 def sliced(ids: np.ndarray, keys: np.ndarray, docs: np.ndarray, positions: np.ndarray, slices: int):
-    """(slice, packed documents with their positions): documents are dealt by their text's hash."""
+    """(slice, packed documents with their positions): documents are dealt by their id and text."""
     order = np.argsort(docs, kind="stable")
     docs, positions = docs[order], positions[order]
     used, counts = np.unique(docs, return_counts=True)
-    part = keys[used] % slices
+    part = dealt(ids[used], keys[used], slices)
     order = np.argsort(part, kind="stable")
     starts = np.cumsum(counts) - counts
     cuts = np.searchsorted(part[order], np.arange(slices + 1))

@@ -121,6 +121,20 @@ def test_substring_edges(spark):
     assert substrings.removed_spans(frame(spark, []).limit(0)).count() == 0
 
 
+def test_copies_of_a_text_are_dealt():
+    """Lost windows of a text's copies go to many ranges and slices; a repeated row counts once in a chunk."""
+    chunk = substrings._Chunk(4, 64)
+    for doc_id in [*range(400), *[7] * 100]:
+        chunk.add(doc_id, 77, "a b c d e f")
+    rows = [r for r in chunk.rows() if r[1]]
+    assert sorted(r[2] for r in rows) == list(range(1, 400)) and all(sorted(np.frombuffer(r[4], "<u4")) == [0, 1, 2] for r in rows)
+    assert max(Counter(r[0] for r in rows).values()) < 30
+    ids, keys, docs = np.arange(400), np.full(400, 77), np.repeat(np.arange(400), 3)
+    found = [substrings.unsliced(data) for _, data in substrings.sliced(ids, keys, docs, np.tile([0, 1, 2], 400), 16)]
+    assert len(found) == 16 and max(len(x[0]) for x in found) < 200
+    assert sorted(zip(*(np.concatenate(x).tolist() for x in zip(*found)))) == [(i, 77, p) for i in range(400) for p in range(3)]
+
+
 def test_word_hashes(monkeypatch):
     text = "Ab  c\x0bÉé\x1c x\x00 x\n" + "long " * 300 + "y" * 900 + " z"
     for segment in (1 << 20, 64):
