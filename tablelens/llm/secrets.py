@@ -1,8 +1,8 @@
 """Secrets in texts: three patterns, and strings that a BPE vocabulary writes inefficiently.
 
 Language packs many characters into a token; random strings do not.  A run of key characters that
-mixes letters and digits and needs more than one token for every ``MAX_RATIO`` characters is reported, unless it
-is a digest of a usual length, a UUID, or a name put together from words and short numbers.
+mixes letters and digits, or small and capital letters, and needs more than one token for every ``MAX_RATIO``
+characters is reported, unless it is a digest of a usual length, a UUID, or a name put together from words and short numbers.
 """
 
 from __future__ import annotations
@@ -25,8 +25,10 @@ KEYWORDS = ("passw", "secret", "token", "api")
 KINDS = ("assign", "access", "hex", "random")
 ASSIGN_LENGTH = 6
 
-RUN = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{16,}={0,2}")
+#: A run may follow an equals sign (KEY=value, ?sig=value), which is padding only at its end.
+RUN = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}")
 MAX_RATIO = 2.2
+MIXED = ("[0-9]", "[a-z]", "[A-Z]")
 #: Hex digits of md5, sha1, sha224, sha256, sha384, sha512.
 DIGEST_LENGTHS = {32, 40, 56, 64, 96, 128}
 UUID = re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
@@ -69,7 +71,7 @@ def random_spans(text: str, path: str, max_ratio: float = MAX_RATIO) -> list[tup
     found = []
     for m in RUN.finditer(text):
         run = m.group()
-        if re.search("[0-9]", run) and re.search("[A-Za-z]", run) and not is_known(run):
+        if sum(bool(re.search(kind, run)) for kind in MIXED) > 1 and not is_known(run):
             tokens = len(vocabulary(path).encode_ordinary(run))
             if len(run) <= max_ratio * tokens:
                 found.append((m.start(), 3, m.end()))

@@ -137,6 +137,22 @@ def test_secrets(spark):
     assert digest["1"].base_sha256 == digest["5"].base_sha256 and secrets.find_secrets(df.limit(0), path).count() == 0
 
 
+def test_random_runs():
+    """Keys after an equals sign and keys of letters only; padding ends a run, names and words are none."""
+    path = tokenizer("byte_bpe_50k.tiktoken")
+
+    def found(text):
+        return [text[a:b] for a, _, b in secrets.random_spans(text, path)]
+
+    mixed, letters = "Zx9Qw3LmT7vB2nK8pR4s", "qZxKvWpLbTgRyHnJcMdF"
+    for key in (mixed, letters):
+        for text in (f"client_key={key}", f"https://h.org/p?a=1&sig={key}&x=2", f"export A={key}\n", f"key: {key} end", f"k=={key}==", f"my_long_client_name={key}"):
+            assert [x.rstrip("=") for x in found(text)] == [key], text
+    assert found(f"x={mixed}==") == [f"{mixed}=="]
+    for text in ("title=Internationalization", "InternationalizationService=getUserAccountDetailsFromDatabase", "sum=da39a3ee5e6b4b0d3255bfef95601890afd80709", "id=123e4567-e89b-12d3-a456-426614174000", "INTERNATIONALIZATION"):
+        assert found(text) == [], text
+
+
 @pytest.mark.parametrize("text", ["", "word", "AbC 12\n\x00 é"])
 def test_features(text):
     assert quality.features(text).shape == (quality.FEATURES,) and np.isfinite(quality.features(text)).all()
