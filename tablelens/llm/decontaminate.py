@@ -65,9 +65,11 @@ def phrase_matches(index: DataFrame, windows: DataFrame) -> DataFrame:
     def starts(of: DataFrame) -> Column:
         return (F.col("position") - F.col("offset")).alias("start")
 
-    rare = ranked.filter(F.col("rank") <= FIRST_LISTS).select("window", "width", "offset", "term")
-    found = join_sized(index, rare, "term", fits_broadcast(rare)).select("doc_id", "key", "window", "width", starts(index)).filter("start >= 0")
-    both = found.groupBy("doc_id", "key", "window", "width", "start").agg(F.count(F.lit(1)).alias("hits"))
+    rare = ranked.filter(F.col("rank") <= FIRST_LISTS).select("window", "width", "offset", "term", "rank")
+    found = join_sized(index, rare, "term", fits_broadcast(rare)).select("doc_id", "key", "window", "width", "rank", starts(index)).filter("start >= 0")
+    # which of the lists name the start, each once: a repeated row has every posting several times
+    named = F.bit_count(F.bit_or(F.expr("shiftleft(1, rank - 1)")))
+    both = found.groupBy("doc_id", "key", "window", "width", "start").agg(named.alias("hits"))
     candidates = written(both.filter(F.col("hits") >= F.least(F.col("width"), F.lit(FIRST_LISTS))).drop("hits"), "candidates")
 
     # only documents with candidates are looked at again: at most SLOTS numbers are broadcast

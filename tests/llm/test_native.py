@@ -112,6 +112,18 @@ def test_contamination_edges(spark):
     assert sorted(r.text for r in decontaminate.without_benchmark(docs, bench).collect()) == ["b a", "z"]
 
 
+def test_repeated_near_misses(spark):
+    """A repeated row that lacks one word of an item holds nothing of it, however rare the other words are."""
+    near, holds = "r1 x c d e f", "r1 r2 c d e f"
+    rows = [(1, near), (1, near), (2, "say a only"), (2, "say a only"), (None, "b b"), (None, "b b"), (3, holds), (3, holds), (4, "c d e f c d e f r2 b")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame([(7, holds), (8, "a b")], "item_id long, text string")
+    found = decontaminate.contamination(docs, bench, 10).collect()
+    assert sorted((str(r.doc_id), r.n_hit, list(r["items"])) for r in found) == sorted(
+        (str(i), 6 if t == holds else 0, ["7"] if t == holds else []) for i, t in rows
+    )
+
+
 def test_proximity(spark):
     rows, _ = random_tables(8)
     docs = spark.createDataFrame(rows, "doc_id long, text string")
