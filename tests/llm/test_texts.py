@@ -29,6 +29,23 @@ def test_article():
     assert text_of("<nav>menu</nav><p>kept</p><div class='reader-comments'><div>c</div></div><p>end</p>") == "kept\nend"
 
 
+def test_names_with_container_words():
+    """Such words save an element only when it holds the article, or only says what it has."""
+    for name in ("site-footer", "main-nav", "main-menu", "cookie-wrapper", "ad-container", "sidebar-content", "comment-body", "comments-container", "siteFooter", "container menu"):
+        for kind in ("class", "id"):
+            junk = f"<div {kind}='{name}'><div>junk</div></div>"
+            assert text_of(f"<article><p>x</p>{junk}<p>y</p></article>") == "x\ny", name
+            assert text_of(f"<p>x</p>{junk}<p>y</p>") == "x\ny", name
+    assert text_of("<p>x</p><div class='site-header'>junk</div><div id='main-header'>junk</div>") == "x"
+    for name in ("has-sidebar", "page with-sidebar", "no-comments", "hasSidebar", "sidebar-layout", "search-page"):
+        assert text_of(f"<div class='{name}'><p>x</p></div>") == "x", name
+    for name in ("sidebar-wrapper", "site-social", "content sidebar-right"):
+        for tag in ("article", "main"):
+            assert text_of(f"<div class='{name}'><div><ul><li>a</ul><{tag}>x</{tag}></div></div><div class='{name}'>junk</div>") == "x", name
+    assert text_of("<article>x<div class='comments-container'><article class='comment'>junk</article></div></article>") == "x"
+    assert text_of("<div class='related'><article>junk</article></div><main>x</main>") == "x"
+
+
 def test_common_lines():
     rng = random.Random(2)
 
