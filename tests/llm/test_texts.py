@@ -81,6 +81,30 @@ def test_neighbouring_pages(spark, monkeypatch):
     assert html.extract(df.limit(0)).count() == 0
 
 
+def test_neighbouring_copies(spark, monkeypatch):
+    """A copy or near copy next to a page tells nothing about the template; a page that differs does."""
+    monkeypatch.setattr(html, "RUN", 3)
+    article = "<p>" + "</p><p>".join(f"A long line {k} of the article on this page" for k in range(12)) + "</p>"
+
+    def page(own):
+        return f"<p>Template top</p>{own}<p>Template end</p>"
+
+    lines = article.replace("<p>", "").replace("</p>", "\n").strip()
+    rows = [(1, "http://two.org/a", page(article)), (2, "http://two.org/a?copy", page(article))]
+    rows += [(k, f"http://h.org/a?{k}", page(article)) for k in range(10, 16)] + [(20, "http://h.org/b", page("<p>own</p>"))]
+    rows += [(k, f"http://n.org/a/{k}", page(article + f"<p>Read {k} times</p>")) for k in range(30, 33)] + [(40, "http://n.org/a/4", page("<p>own</p>"))]
+    rows += [(50, "http://before.org/a", page("<p>own</p>"))] + [(k, f"http://before.org/b/{k}", page(article + f"<p>Read {k} times</p>")) for k in range(51, 58)]
+    found = {r.page_id: r.text for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect()}
+    assert len(found) == len(rows)
+    assert found[1] == found[2] == f"Template top\n{lines}\nTemplate end"
+    assert all(found[k] == lines for k in range(10, 16)) and found[20] == found[40] == found[50] == "own"
+    assert all(found[k] == f"{lines}\nRead {k} times" for k in [*range(30, 33), *range(51, 58)])
+    waiting = html.Waiting(3)
+    for k in range(8):
+        waiting.append((k,))
+    assert list(waiting) == [(k,) for k in range(8)]
+
+
 def sample(rng, good):
     words = [rng.choice(["the", "and", "under", "table", "river", "stone", "walks", "slowly", "house", "garden"]) for _ in range(rng.randint(20, 80))]
     if good:
