@@ -68,11 +68,9 @@ RULES = [
     ("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
     ("block", "net", "/es/"), ("block", "net", "/fr/"),
 ]
-#: Hosts that are blocked, subdomains included, where no rule speaks.
-BLOCKED_HOSTS = [
-    "ads-track.example.com", "adult-x.example.com", "casino-win.example.net", "cheap-pills.example.net",
-    "free-bets.example.net", "spam-farm.example.org",
-]
+#: Hosts that are blocked, subdomains included, where no rule speaks: each name under every domain of the corpus.
+BLOCKED_NAMES = ["ads-track", "adult-x", "casino-win", "cheap-pills", "free-bets", "spam-farm"]
+BLOCKED_HOSTS = [f"{name}.example.{domain}" for name in BLOCKED_NAMES for domain in ("com", "net", "org")]
 
 
 def fits_sql(domain, prefix):

@@ -6,7 +6,7 @@ from brute import contamination, sha, terms
 from pyspark.sql import functions as F
 
 from tablelens.llm import chat, decontaminate, urls
-from tablelens.llm.queries import BLOCKED_HOSTS, RULES
+from tablelens.llm.queries import BLOCKED_HOSTS, BLOCKED_NAMES, RULES
 
 PYTHON = ("Python", "Pandas", "Arrow")
 
@@ -143,3 +143,12 @@ def test_proximity(spark):
 
 def test_listed_hosts_are_plain():
     assert all(h == h.lower() and "/" not in h for h in BLOCKED_HOSTS)
+
+
+def test_listed_hosts_of_every_table(spark):
+    """Whatever domain a bad name has in a table, its host or a parent of it is listed."""
+    for folder in ("sf0.001", "sf0.01", "sf0.1"):
+        pages = spark.read.parquet(f"/root/testdata/{folder}/pages.parquet")
+        hosts = {r.host for r in pages.select(urls.host_of("url").alias("host")).distinct().collect()}
+        bad = {h for h in hosts if any(name in h.split(".") for name in BLOCKED_NAMES)}
+        assert bad and all(any(h == x or h.endswith("." + x) for x in BLOCKED_HOSTS) for h in bad), folder
