@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablelens.llm.common import (
-    FILTER_BITS, filter_bitmap, has_bit, prepared, rolling_hashes, texts, word_hashes,
+    FILTER_BITS, filter_bitmap, has_bit, prepared, rolling_hashes, text_key, texts, word_hashes,
 )
 from tablelens.llm.components import components
 from tablelens.plans.runtime import written
@@ -85,7 +85,7 @@ def shingle_counts(rows: DataFrame, width: int) -> np.ndarray:
 
 
 DOCUMENT, TOKEN = 0, 1
-_MATRIX = "kind int, value long, node long, n long, h1 long, h2 long"
+_MATRIX = "kind int, value long, node long, n long, h1 long, h2 long, key long"
 
 
 class _Chunk:
@@ -98,13 +98,13 @@ class _Chunk:
     def reset(self):
         self.documents, self.nodes, self.tokens, self.n = [], {}, [], 0
 
-    def add(self, doc_id: int, found: np.ndarray, prefix):
+    def add(self, doc_id: int, key: int, found: np.ndarray, prefix):
         import xxhash
 
         n = len(found)
         signed = found.view(np.int64)
         node = xxhash.xxh3_64_intdigest(found.tobytes()) - (1 << 63) if n else 0
-        self.documents.append((doc_id, node, n, int(signed[0]) if n else 0, int(signed[min(1, n - 1)]) if n else 0))
+        self.documents.append((doc_id, node, n, int(signed[0]) if n else 0, int(signed[min(1, n - 1)]) if n else 0, key))
         if n and node not in self.nodes:
             self.nodes[node] = n
             self.tokens.append(prefix(found))
@@ -142,12 +142,12 @@ def _unpacked(data: bytes):
 
 
 def matrix(rows: DataFrame, width: int, percent: int, weights) -> DataFrame:
-    """Rows of two kinds: each document (its id, node, set size, two smallest hashes), and each rare
+    """Rows of two kinds: each document (its id, node, set size, two smallest hashes, text key), and each rare
     shingle of a node that is a rare shingle of another node too (token, node, set size)."""
     chars = rows.agg(F.coalesce(F.sum(F.char_length("text")), F.lit(0))).head()[0]
     ranges = max(16, -(-chars // RANGE_CHARS))
     schema = pa.schema([("part", pa.int32()), ("kind", pa.int32()), ("packed", pa.binary())])
-    out = pa.schema([("kind", pa.int32()), *[(c, pa.int64()) for c in ("value", "node", "n", "h1", "h2")]])
+    out = pa.schema([("kind", pa.int32()), *[(c, pa.int64()) for c in ("value", "node", "n", "h1", "h2", "key")]])
 
     def prefix(found: np.ndarray) -> np.ndarray:
         order = np.lexsort((found, weights.value[(found >> np.uint64(44)).astype(np.int64)]))
@@ -162,15 +162,15 @@ def matrix(rows: DataFrame, width: int, percent: int, weights) -> DataFrame:
 
         for b in batches:
             ids = b.column(0).cast(pa.int64()).fill_null(NO_ID).to_pylist()
-            for doc_id, text in zip(ids, b.column(1).to_pylist(), strict=True):
-                if chunk.add(doc_id, shingles(text, width), prefix):
+            for doc_id, text, key in zip(ids, b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
+                if chunk.add(doc_id, key, shingles(text, width), prefix):
                     yield batch()
         if chunk.documents:
             yield batch()
 
     def shared(table: pa.Table) -> pa.Table:
         kinds, packs = table.column("kind").to_pylist(), table.column("packed")
-        documents = [np.frombuffer(packs[i].as_py(), "<i8").reshape(-1, 5) for i, k in enumerate(kinds) if k == DOCUMENT]
+        documents = [np.frombuffer(packs[i].as_py(), "<i8").reshape(-1, 6) for i, k in enumerate(kinds) if k == DOCUMENT]
         found = []
         if documents:
             held = np.concatenate(documents)
@@ -190,11 +190,11 @@ def matrix(rows: DataFrame, width: int, percent: int, weights) -> DataFrame:
             if len(tokens):
                 first = np.concatenate(([True], (tokens[1:] != tokens[:-1]) | (nodes[1:] != nodes[:-1])))
                 none = np.zeros(int(first.sum()), np.int64)
-                found.append([none + TOKEN, tokens[first], nodes[first], sizes[first], none, none])
+                found.append([none + TOKEN, tokens[first], nodes[first], sizes[first], none, none, none])
         tables = [pa.table([pa.array(c, f.type) for c, f in zip(columns, out, strict=True)], schema=out) for columns in found]
         return pa.concat_tables(tables) if tables else out.empty_table()
 
-    packs = prepared(rows).select("doc_id", "text").mapInArrow(sign, "part int, kind int, packed binary")
+    packs = prepared(rows).select("doc_id", "text", text_key().alias("key")).mapInArrow(sign, "part int, kind int, packed binary")
     return packs.groupBy("part").applyInArrow(shared, _MATRIX)
 
 
@@ -324,12 +324,24 @@ def similar_classes(docs: DataFrame, width: int = 5, percent: int = 80, doc_id:
     shingles and link with nothing; null ids never name a component while another is there;
     repeated rows share their class; an empty table gives no rows.
     """
+    documents, classes, rooted = rooted_nodes(docs, width, percent, doc_id, text)
+    smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    named = rooted.join(smallest, "root").select("node", "component_id")
+    named = classes.join(named, "node", "left").select("node", F.coalesce("component_id", "least").alias("component_id"))
+    answers = documents.filter("n > 0").select("doc_id", "n", "node").join(named, "node")
+    answers = answers.select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+    alone = documents.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
+    return answers.unionByName(alone)
+
+
+def rooted_nodes(docs: DataFrame, width: int, percent: int, doc_id: str, text: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Documents (doc_id, key, node, n), all nodes (node, least id), and the component (node, root, least id) of those that may link."""
     if not 50 <= percent <= 100:
         raise ValueError("percent must be from 50 to 100")
     rows = texts(docs, doc_id, text)
     weights = docs.sparkSession.sparkContext.broadcast(shingle_counts(rows, width))
     found = written(matrix(rows, width, percent, weights), "matrix")
-    documents = found.filter(F.col("kind") == DOCUMENT).select(F.col("value").alias("doc_id"), "node", "n", "h1", "h2")
+    documents = found.filter(F.col("kind") == DOCUMENT).select(F.col("value").alias("doc_id"), "node", "n", "h1", "h2", "key")
     index = found.filter(F.col("kind") == TOKEN).select(F.col("value").alias("token"), "node", "n")
 
     classes = documents.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("least"), F.min("h1").alias("h1"), F.min("h2").alias("h2"))
@@ -352,13 +364,7 @@ def similar_classes(docs: DataFrame, width: int = 5, percent: int = 80, doc_id:
     roots = components(links).withColumnsRenamed({"node": "label"})
     rooted = labels.join(roots, "label", "left").select("node", F.coalesce("component", "label").alias("root"))
     rooted = written(rooted.join(classes.select("node", "least"), "node"), "roots")
-    smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(smallest, "root").select("node", "component_id")
-    named = classes.join(named, "node", "left").select("node", F.coalesce("component_id", "least").alias("component_id"))
-    answers = documents.filter("n > 0").select("doc_id", "n", "node").join(named, "node")
-    answers = answers.select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-    alone = documents.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
-    return answers.unionByName(alone)
+    return documents, classes, rooted
 
 
 def grouped(labels: DataFrame) -> DataFrame:
@@ -419,7 +425,24 @@ def cross_links(index: DataFrame, labels: DataFrame, sets: DataFrame, percent: i
 
 
 def near_duplicates_removed(docs: DataFrame, width: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents without all but the first (smallest id) of each component, columns as they came."""
-    found = similar_classes(docs, width, percent, doc_id, text)
-    lost = found.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("__lost")).distinct()
-    return docs.join(lost, F.col(f"`{doc_id}`") == F.col("__lost"), "left_anti")
+    """One document of each component, columns as they came: the smallest id (null last), then the smallest text key.
+
+    Rows that share an id but not a text are told apart; of repeated rows one stays; texts without words all stay.
+    """
+    documents, _, rooted = rooted_nodes(docs, width, percent, doc_id, text)
+    rows = documents.filter("n > 0").groupBy("node", "doc_id", "key").agg(F.count(F.lit(1)).alias("copies"))
+    rows = written(rows, "rows")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("first")
+    firsts = rows.groupBy("node").agg(first).join(rooted.select("node", "root"), "node", "left")
+    firsts = firsts.groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("first").alias("first"))
+    firsts = firsts.select(F.col("first.doc_id").alias("__id"), F.col("first.key").alias("__key"))
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("key") == F.col("__key"))
+    marks = rows.join(firsts, same, "left").select("doc_id", "key", "copies", F.col("__key").isNotNull().alias("stays"))
+    marks = written(marks.filter("not stays or copies > 1"), "marks")
+
+    keyed = docs.withColumn("__text", text_key(F.coalesce(F.col(f"`{text}`"), F.lit(""))))
+    marked = marks.select(F.col("doc_id").alias("__id"), F.col("key").alias("__key"), "stays")
+    same = F.col(f"`{doc_id}`").eqNullSafe(F.col("__id")) & (F.col("__text") == F.col("__key"))
+    once = keyed.join(marked.drop("stays"), same, "left_anti").drop("__text")
+    again = keyed.join(marked.filter("stays").drop("stays"), same).dropDuplicates(["__id", "__key"]).drop("__text", "__id", "__key")
+    return once.unionByName(again)

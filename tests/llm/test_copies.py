@@ -102,6 +102,24 @@ def test_jaccard_edges(spark):
     assert jaccard.similar_classes(frame(spark, []).limit(0)).count() == 0
 
 
+def test_one_of_each_component(spark):
+    """One row of each component stays, whatever ids its rows share or lack; other texts are not touched."""
+    stream = [f"c{k}" for k in range(200)]
+
+    def near(at, k):
+        return " ".join([*stream[at : at + 60], f"x{k}"])
+
+    a, b = near(0, 0), near(100, 0)
+    rows = [(5, a), (5, b), (3, near(100, 1)), (None, near(100, 2)), (None, near(100, 3))]
+    assert sorted((r.doc_id, r.text) for r in jaccard.near_duplicates_removed(frame(spark, rows)).collect()) == [(3, near(100, 1)), (5, a)]
+    rows = [(5, b), (5, near(100, 1)), (None, a), (None, near(0, 1)), (None, a), (8, "lone text"), (8, "lone text"), (7, None), (7, ""), (None, " ")]
+    stays = jaccard.near_duplicates_removed(frame(spark, rows))
+    assert stays.columns == [c.split()[0] for c in SHAPE.split(", ")]
+    found = sorted((str(r.doc_id), r.text) for r in stays.collect() if (r.text or "").strip())
+    assert [i for i, _ in found] == ["5", "8", "None"] and set(found) <= {(str(i), t) for i, t in rows}
+    assert stays.count() == 6
+
+
 @pytest.mark.parametrize("chunk", [60, 1 << 19])
 def test_substrings(spark, monkeypatch, chunk):
     monkeypatch.setattr(substrings, "CHUNK", chunk)
