@@ -6,8 +6,8 @@ held-out third.  A small network minimises the non-negative unbiased risk
     prior * E+[l(g)] + max(0, Eu[l(-g)] - prior * E+[l(-g)])
 
 with the sigmoid loss, where the class prior is the share of positives among the labels it may see.
-It is fitted on the driver on at most MAX_POSITIVE + MAX_UNLABELLED rows (the smallest hashes of the
-ids), and then scores every whole text in Spark.  Inputs are how often character classes follow
+It is fitted on the driver on at most MAX_POSITIVE + MAX_UNLABELLED rows (the smallest hashes of id
+and text, a repeated row once), and then scores every whole text in Spark.  Inputs are how often character classes follow
 each other and how much words repeat; never labels, language, source or id.
 """
 
@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablelens.llm.common import prepared, texts
+from tablelens.llm.common import prepared, text_key, texts
 
 MAX_POSITIVE, MAX_UNLABELLED = 8_000, 16_000
 HIDDEN, EPOCHS, BATCH, RATE, SEED = 24, 100, 1024, 4e-3, 7
@@ -110,29 +110,40 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> Network:
     return Network(mean, scale, parameters)
 
 
-def _sample_features(rows: DataFrame, ids: DataFrame) -> np.ndarray:
-    """Features of the sampled rows, at most as many as the sample's bound, in a fixed order."""
+def _sample_features(rows: DataFrame, pool: DataFrame, most: int) -> np.ndarray:
+    """Features of at most ``most`` distinct rows of the pool (doc_id, key), those of the smallest hashes, in a fixed order."""
 
     def compute(batches):
+        done = set()  # at most ``most``
         for batch in batches:
-            found = [features(t).tobytes() for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["doc_id", "packed"])
-
-    chosen = rows.join(F.broadcast(ids), "doc_id", "left_semi")  # ids: bounded by the sample
-    found = sorted((r["doc_id"], bytes(r["packed"])) for r in chosen.mapInArrow(compute, "doc_id long, packed binary").collect())
-    return np.array([np.frombuffer(x, np.float32) for _, x in found], np.float64).reshape(-1, FEATURES)
+            ids, keys = batch.column(0).to_pylist(), batch.column(2).to_pylist()
+            found = []
+            for doc_id, key, t in zip(ids, keys, batch.column(1).to_pylist(), strict=True):
+                if (doc_id, key) not in done:
+                    done.add((doc_id, key))
+                    found.append((doc_id, key, features(t).tobytes()))
+            if found:
+                columns = zip(*found, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.int64(), pa.binary()), strict=True)], ["doc_id", "key", "packed"])
+
+    names = pool.distinct().orderBy(F.xxhash64("doc_id", "key"), "doc_id", "key").limit(most)
+    chosen = rows.join(F.broadcast(names), ["doc_id", "key"], "left_semi").select("doc_id", "text", "key")
+    packed = chosen.mapInArrow(compute, "doc_id long, key long, packed binary")
+    once = packed.groupBy("doc_id", "key").agg(F.first("packed").alias("packed"))
+    found = sorted((r["doc_id"], r["key"], bytes(r["packed"])) for r in once.collect())
+    return np.array([np.frombuffer(x, np.float32) for *_, x in found], np.float64).reshape(-1, FEATURES)
 
 
 def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", quality: str = "quality") -> Network | None:
     """The fitted network; None when there is no trusted positive or no other row to learn from."""
-    rows = prepared(texts(docs, doc_id, text)).filter(F.col("doc_id").isNotNull() & ~held_out())
+    rows = prepared(texts(docs, doc_id, text)).withColumn("key", text_key()).filter(F.col("doc_id").isNotNull() & ~held_out())
     known = labels.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{quality}`").alias("quality"))
     known = known.filter(F.col("doc_id").isNotNull() & F.col("quality").isNotNull() & ~held_out())
     prior = known.agg(F.avg((F.col("quality") == 1).cast("double"))).head()[0]
-    order = F.xxhash64("doc_id")
-    there = known.filter("quality = 1").join(rows.select("doc_id"), "doc_id", "left_semi").select("doc_id").distinct()
-    positive = _sample_features(rows, there.orderBy(order, "doc_id").limit(MAX_POSITIVE))
-    unlabelled = _sample_features(rows, rows.select("doc_id").orderBy(order, "doc_id").limit(MAX_UNLABELLED))
+    pool = rows.select("doc_id", "key")
+    trusted = known.filter("quality = 1").select("doc_id").distinct()
+    positive = _sample_features(rows, pool.join(trusted, "doc_id", "left_semi"), MAX_POSITIVE)
+    unlabelled = _sample_features(rows, pool, MAX_UNLABELLED)
     if not len(positive) or not len(unlabelled):
         return None
     return fit(positive, unlabelled, min(max(prior if prior is not None else DEFAULT_PRIOR, 0.05), 0.95))

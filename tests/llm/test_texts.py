@@ -2,6 +2,7 @@
 
 import random
 import re
+import zlib
 
 import numpy as np
 import pytest
@@ -141,6 +142,21 @@ def test_quality(spark):
     assert {r.score for r in quality.score(docs, None).collect()} == {0.0, 0.5}
 
 
+def test_sample_of_rows(spark, monkeypatch):
+    """The sample is bounded in rows, however many rows share an id or are repeated."""
+    monkeypatch.setattr(quality, "MAX_POSITIVE", 6)
+    monkeypatch.setattr(quality, "MAX_UNLABELLED", 40)
+    monkeypatch.setattr(quality, "fit", lambda positive, unlabelled, prior: (positive, unlabelled))
+    free = [i for i in range(400) if zlib.crc32(str(i).encode()) % 3 != 1]
+    rows = [(free[0], f"text {'x' * k}") for k in range(300)] + [(i, f"row {'y' * i}") for i in free[1:200]] + [(free[1], "same text")] * 100
+    labels = spark.createDataFrame([(free[0], 1), (free[1], 1), (free[2], 1)], "doc_id long, quality int")
+    positive, unlabelled = quality.train(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), labels)
+    assert (len(positive), len(unlabelled)) == (6, 40)
+    assert len({x.tobytes() for x in unlabelled}) > 35
+    few = spark.createDataFrame(rows[300:302] + rows[-2:], "doc_id long, text string")
+    assert [len(x) for x in quality.train(few, labels)] == [3, 3]
+
+
 def base(text):
     """The contract's patterns as they stand."""
     found = []
