@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tablelens.llm import bpe, chat, decontaminate, exact_dedup, html, jaccard, quality, secrets, substrings, urls
+from tablelens.llm import bpe, chat, decontaminate, exact_dedup, html, jaccard, lexical, quality, secrets, substrings, urls
 from tablelens.queries import query
 from tablelens.sources.reader import read_table
 
@@ -165,3 +165,25 @@ def _(spark, d):
 @query("op10_secrets")
 def _(spark, d):
     return secrets.digest(secrets.find_secrets(documents(spark, d), tokenizer("byte_bpe_50k.tiktoken")))
+
+
+def _search_terms(text):
+    return rf"list_filter(regexp_split_to_array(translate(coalesce({text}, ''), '{lexical.UPPER}', '{lexical.LOWER}'), '{lexical.NO_TERM}'), lambda x: x <> '')"
+
+
+@query(
+    "op12_lexical_search",
+    f"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_search_terms("text")} AS w FROM documents),
+      s AS (SELECT count(*)::BIGINT AS nn, sum(len(w))::BIGINT AS l FROM d WHERE len(w) > 0),
+      b AS (SELECT DISTINCT item_id, unnest({_search_terms("text")}) AS term FROM benchmark),
+      o AS (SELECT r, unnest(w) AS term FROM d),
+      f AS (SELECT r, term, count(*)::BIGINT AS tf FROM o WHERE term IN (SELECT term FROM b) GROUP BY r, term),
+      g AS (SELECT term, floor(1000 * ln((2 * nn + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS weight FROM f, s GROUP BY term, nn),
+      m AS (SELECT r, doc_id, 100 - 50 + ((50 * len(w)::BIGINT * nn) // l) AS m FROM d, s),
+      p AS (SELECT item_id, doc_id, r, sum(weight * ((1000000000 * tf) // (1000 * tf + 20 * m)))::BIGINT AS score
+        FROM f JOIN g USING (term) JOIN m USING (r) JOIN b USING (term) GROUP BY item_id, doc_id, r),
+      k AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score FROM p WHERE score > 0)
+      SELECT * FROM k WHERE rank <= 50""",
+)
+def _(spark, d):
+    return lexical.search(documents(spark, d), read_table(spark, d, "benchmark"))

@@ -1,8 +1,9 @@
 """Plain Python forms of the operators, for small inputs."""
 
 import hashlib
+import math
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 WHITE = r"[\x20\x09-\x0D]"
 
@@ -90,3 +91,28 @@ def contamination(rows, items, width):
                     found.add(item)
         out[i] = (len(w), len(hit), sorted(found))
     return out
+
+
+def search_terms(text):
+    return re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", lower(text))
+
+
+def ranked(rows, items, limit):
+    """item -> [(doc_id, score)], best first."""
+    docs = [(i, search_terms(t)) for i, t in rows]
+    n, length = sum(1 for _, w in docs if w), sum(len(w) for _, w in docs)
+    holding = Counter(t for _, w in docs for t in set(w))
+    asked = defaultdict(set)
+    for item, text in items:
+        asked[item].update(search_terms(text))
+    out = {}
+    for item, terms in asked.items():
+        found = []
+        for i, w in docs:
+            tf = Counter(w)
+            m = 50 + 50 * len(w) * n // length if length else 0
+            parts = [math.floor(1000 * math.log((2 * n + 2) / (2 * holding[t] + 1))) * (10**9 * tf[t] // (1000 * tf[t] + 20 * m)) for t in terms if tf[t]]
+            if sum(parts) > 0:
+                found.append((i, sum(parts)))
+        out[item] = sorted(found, key=lambda x: (-x[1], x[0] is None, x[0]))[:limit]
+    return out
