@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tablelens.llm import bpe, chat, decontaminate, exact_dedup, html, jaccard, lexical, quality, secrets, substrings, urls
+from tablelens.llm import (
+    align, bpe, chat, decontaminate, exact_dedup, html, jaccard, lexical, quality, secrets, substrings, urls, warc,
+)
 from tablelens.queries import query
 from tablelens.sources.reader import read_table
 
@@ -187,3 +189,24 @@ def _search_terms(text):
 )
 def _(spark, d):
     return lexical.search(documents(spark, d), read_table(spark, d, "benchmark"))
+
+
+_ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+#: Five hex digits are four base-32 ones.
+_FOUR = " || ".join(f"substr('{_ALPHABET}', ((('0x' || substr(h, 5 * g::INTEGER + 1, 5))::INTEGER >> {s}) & 31) + 1, 1)" for s in (15, 10, 5, 0))
+
+
+@query(
+    "op13_warc",
+    f"""WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS body FROM pages),
+      h AS (SELECT page_id, octet_length(body)::BIGINT AS payload_bytes, sha1(body) AS h, max(page_id) OVER (PARTITION BY body) AS keep FROM p)
+      SELECT page_id, payload_bytes, array_to_string(list_transform(range(8), lambda g: {_FOUR}), '') AS payload_digest,
+        CASE WHEN page_id = keep THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> keep THEN keep END AS refers_to FROM h""",
+)
+def _(spark, d):
+    return warc.round_trip(read_table(spark, d, "pages"))
+
+
+@query("op11_alignment")
+def _(spark, d):
+    return align.alignment(documents(spark, d), tokenizer("byte_bpe_50k.json"), tokenizer("piece_bpe_32k.model"))
