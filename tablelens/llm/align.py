@@ -16,8 +16,12 @@ from __future__ import annotations
 
 import hashlib
 import json
+import os
 import re
+from collections.abc import Iterator
 from functools import cache
+from itertools import chain
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -37,8 +41,9 @@ SALTS = 16
 GATHER = 1 << 20
 #: Frequent pairs that are broadcast, at most.
 FREQUENT = 1 << 18
-#: Aligned segments held by a worker, and characters of one that is worth holding.
-HELD, HELD_CHARS = 100_000, 200
+#: Aligned segments of a generation held by a worker, characters of one that is worth holding, of texts cut at a time,
+#: and characters up to which a segment is aligned together with others.
+HELD, HELD_CHARS, TOGETHER, SHORT = 200_000, 64, 1 << 20, 256
 
 # ---------------------------------------------------------------- tokenizers
 
@@ -48,6 +53,7 @@ def byte_level(path: str):
     """Tokenizer A of a file, and the bytes of each id."""
     from tokenizers import Tokenizer
 
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are the parallelism
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True
     tokenizer.no_truncation()
@@ -92,73 +98,129 @@ def splits(path_a: str, path_b: str) -> bool:
     return not any(b"\n" in s or re.search(rb"[^ ] ", s) for i, s in enumerate(spelled) if not b.is_byte(i))
 
 
-def ids_b(path: str, text: str) -> list[int]:
-    """Ids of a text that starts with a space or a line feed, without the space that the tokenizer adds."""
+# ---------------------------------------------------------------- alignment
+
+
+class Aligned(NamedTuple):
+    """A stretch of text that both tokenizers spell back; ``times`` is None where every key stands for one link."""
+
+    n_a: int
+    n_b: int
+    n_groups: int
+    n_links: int
+    text: str
+    keys: bytes
+    times: bytes | None
+
+
+def ids_of_b(path: str, stretches: list[str]) -> list[list[int]]:
+    """Ids of stretches that start with a space or a line feed, without the space that the tokenizer adds."""
     tokenizer, _ = pieces(path)
-    if text == " ":
-        return [tokenizer.piece_to_id("▁")]
-    if text[0] == " ":
-        return tokenizer.encode(text[1:])
-    return tokenizer.encode(text)[1:]
+    found = tokenizer.encode([s[1:] if s[0] == " " else s for s in stretches], num_threads=1)
+    return [x if s[0] == " " else x[1:] if s != " " else x for s, x in zip(stretches, found, strict=True)]
+
+
+def align_stretches(path_a: str, path_b: str, stretches: list[str], render: bool = True) -> list[Aligned | None]:
+    """None where the tokens' bytes are not the text's; ``render`` writes the groups as text, too."""
+    (a, bytes_a), (b, bytes_b) = byte_level(path_a), pieces(path_b)
+    found_a = [x.ids for x in a.encode_batch_fast(stretches, add_special_tokens=False)]
+    found_b = ids_of_b(path_b, stretches)
+    blank = [b.piece_to_id("▁")]
+    found_b = [y if s != " " else blank for s, y in zip(stretches, found_b, strict=True)]
+    data = [s.encode() for s in stretches]
+    out: list[Aligned | None] = [None] * len(stretches)
+    short = [i for i, s in enumerate(stretches) if len(s) <= SHORT]
+    # bytes are compared all at once, and one by one only where that fails
+    for found, spelled in ((found_a, bytes_a), (found_b, bytes_b)):
+        if b"".join([spelled[k] for i in short for k in found[i]]) != b"".join([data[i] for i in short]):
+            short = [i for i in short if b"".join([spelled[k] for k in found[i]]) == data[i]]
+    if short:
+        for i, x in zip(short, _short([found_a[i] for i in short], [found_b[i] for i in short], [len(data[i]) for i in short], path_a, path_b, render), strict=True):
+            out[i] = x
+    for i, s in enumerate(stretches):
+        if len(s) > SHORT:
+            spelled_a, spelled_b = [bytes_a[k] for k in found_a[i]], [bytes_b[k] for k in found_b[i]]
+            if b"".join(spelled_a) == data[i] == b"".join(spelled_b):
+                out[i] = _long(found_a[i], found_b[i], spelled_a, spelled_b)
+    return out
 
 
-# ---------------------------------------------------------------- alignment
+@cache
+def lengths(path: str, of) -> np.ndarray:
+    return np.array([len(x) for x in of(path)[1]], np.int64)
 
 
-class Aligned:
-    """A stretch of text: ids and group numbers of both sides, or not ``exact`` where the tokens' bytes are not the text's."""
-
-    __slots__ = ("a", "b", "group_a", "group_b", "n_groups", "exact", "n_links", "text", "keys", "times")
-
-    def __init__(self, path_a: str, path_b: str, text: str):
-        tokenizer, bytes_a = byte_level(path_a)
-        _, bytes_b = pieces(path_b)
-        a, b = tokenizer.encode(text, add_special_tokens=False).ids, ids_b(path_b, text)
-        spelled_a, spelled_b = [bytes_a[i] for i in a], [bytes_b[i] for i in b]
-        data = text.encode()
-        self.exact = b"".join(spelled_a) == data == b"".join(spelled_b)
-        if not self.exact:
-            return
-        ends_a, ends_b = (np.cumsum([len(x) for x in s], dtype=np.int64) for s in (spelled_a, spelled_b))
-        common = np.intersect1d(ends_a, ends_b)
-        self.a, self.b, self.n_groups = np.array(a, np.int64), np.array(b, np.int64), len(common)
-        self.group_a, self.group_b = np.searchsorted(common, ends_a), np.searchsorted(common, ends_b)
-        sizes = [np.bincount(g, minlength=self.n_groups) for g in (self.group_a, self.group_b)]
-        self.n_links = int(np.dot(*sizes))
-        self.text = ";".join(f"{','.join(map(str, x))}|{','.join(map(str, y))}" for x, y in self.groups(sizes))
-        self.keys, self.times = self.links(*sizes)
-
-    def groups(self, sizes) -> list[tuple[list[int], list[int]]]:
-        cuts_a, cuts_b = (np.cumsum(s).tolist() for s in sizes)
-        a, b, out, i, j = self.a.tolist(), self.b.tolist(), [], 0, 0
-        for x, y in zip(cuts_a, cuts_b, strict=True):
-            out.append((a[i:x], b[j:y]))
-            i, j = x, y
-        return out
-
-    def links(self, size_a: np.ndarray, size_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Distinct pairs as keys (first id in the upper half) and how often each is linked; at most GATHER are expanded at once."""
-        parts, cut = Sums(), np.cumsum(size_a * size_b)
-        starts_a, starts_b = np.cumsum(size_a) - size_a, np.cumsum(size_b) - size_b
-        g = 0
-        while g < self.n_groups:
-            done = int(cut[g - 1]) if g else 0
-            to = max(g + 1, int(np.searchsorted(cut, done + GATHER, "right")))
-            if to == g + 1 and size_a[g] * size_b[g] > GATHER:
-                # one large group: distinct ids of both sides, and rows of their product
-                (x, nx), (y, ny) = (np.unique(v[s : s + n], return_counts=True) for v, s, n in ((self.a, starts_a[g], size_a[g]), (self.b, starts_b[g], size_b[g])))
-                rows = max(1, GATHER // len(y))
-                for k in range(0, len(x), rows):
-                    parts.add(np.add.outer(x[k : k + rows] << 32, y).ravel(), np.multiply.outer(nx[k : k + rows], ny).ravel())
-            else:
-                first, last = starts_a[g], starts_a[to - 1] + size_a[to - 1]
-                group = self.group_a[first:last]
-                n = size_b[group]
-                at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(starts_b[group], n)
-                keys = (np.repeat(self.a[first:last], n) << 32) | self.b[at]
-                parts.add(keys, np.ones(len(keys), np.int64))
-            g = to
-        return parts.finish()
+@cache
+def names(path: str, of) -> list[str]:
+    return [str(i) for i in range(len(of(path)[1]))]
+
+
+def _short(found_a: list[list[int]], found_b: list[list[int]], sizes: list[int], path_a: str, path_b: str, render: bool) -> Iterator[Aligned]:
+    """Many stretches as one: where one ends, tokens of both sides end, so no group spans two."""
+    a, b = (np.fromiter(chain.from_iterable(x), np.int64) for x in (found_a, found_b))
+    ends_a, ends_b = np.cumsum(lengths(path_a, byte_level)[a]), np.cumsum(lengths(path_b, pieces)[b])
+    common = ends_a[ends_b[np.searchsorted(ends_b, ends_a)] == ends_a]
+    group_a = np.searchsorted(common, ends_a)
+    cuts_a, cuts_b = np.searchsorted(ends_a, common, "right"), np.searchsorted(ends_b, common, "right")
+    size_a, size_b = np.diff(cuts_a, prepend=0), np.diff(cuts_b, prepend=0)
+    n = size_b[group_a]
+    at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat((cuts_b - size_b)[group_a], n)
+    keys = ((np.repeat(a, n) << 32) | b[at]).tobytes()
+    last = np.searchsorted(common, np.cumsum(sizes))  # each stretch's last group
+    groups = (last + 1).tolist()
+    linked = np.cumsum(size_a * size_b)[last].tolist()
+    written = []
+    if render:
+        name_a, name_b, i, j = names(path_a, byte_level), names(path_b, pieces), 0, 0
+        x, y = [name_a[k] for k in a.tolist()], [name_b[k] for k in b.tolist()]
+        for to_a, to_b in zip(cuts_a.tolist(), cuts_b.tolist(), strict=True):
+            left = x[i] if to_a - i == 1 else ",".join(x[i:to_a])
+            right = y[j] if to_b - j == 1 else ",".join(y[j:to_b])
+            written.append(f"{left}|{right}")
+            i, j = to_a, to_b
+    g = k = 0
+    for x, y, to_g, to_k in zip(found_a, found_b, groups, linked, strict=True):
+        yield Aligned(len(x), len(y), to_g - g, to_k - k, ";".join(written[g:to_g]), keys[8 * k : 8 * to_k], None)
+        g, k = to_g, to_k
+
+
+def _long(a: list[int], b: list[int], spelled_a: list[bytes], spelled_b: list[bytes]) -> Aligned:
+    ends_a, ends_b = (np.cumsum([len(x) for x in s], dtype=np.int64) for s in (spelled_a, spelled_b))
+    common = np.intersect1d(ends_a, ends_b)
+    group_a, group_b = np.searchsorted(common, ends_a), np.searchsorted(common, ends_b)
+    keys, times = links(np.array(a, np.int64), np.array(b, np.int64), group_a, group_b, len(common))
+    cuts_a, cuts_b = (np.searchsorted(e, common, "right").tolist() for e in (ends_a, ends_b))
+    written, i, j = [], 0, 0
+    for x, y in zip(cuts_a, cuts_b, strict=True):
+        written.append(f"{','.join(map(str, a[i:x]))}|{','.join(map(str, b[j:y]))}")
+        i, j = x, y
+    return Aligned(len(a), len(b), len(common), int(times.sum()), ";".join(written), keys.tobytes(), times.tobytes())
+
+
+def links(a: np.ndarray, b: np.ndarray, group_a: np.ndarray, group_b: np.ndarray, groups: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct pairs as keys (first id in the upper half) and how often each is linked; at most GATHER are expanded at once."""
+    size_a, size_b = (np.bincount(g, minlength=groups) for g in (group_a, group_b))
+    parts, cut = Sums(), np.cumsum(size_a * size_b)
+    starts_a, starts_b = np.cumsum(size_a) - size_a, np.cumsum(size_b) - size_b
+    g = 0
+    while g < groups:
+        done = int(cut[g - 1]) if g else 0
+        to = max(g + 1, int(np.searchsorted(cut, done + GATHER, "right")))
+        if to == g + 1 and size_a[g] * size_b[g] > GATHER:
+            # one large group: distinct ids of both sides, and rows of their product
+            (x, nx), (y, ny) = (np.unique(v[s : s + n], return_counts=True) for v, s, n in ((a, starts_a[g], size_a[g]), (b, starts_b[g], size_b[g])))
+            rows = max(1, GATHER // len(y))
+            for k in range(0, len(x), rows):
+                parts.add(np.add.outer(x[k : k + rows] << 32, y).ravel(), np.multiply.outer(nx[k : k + rows], ny).ravel())
+        else:
+            first, last = starts_a[g], starts_a[to - 1] + size_a[to - 1]
+            group = group_a[first:last]
+            n = size_b[group]
+            at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(starts_b[group], n)
+            keys = (np.repeat(a[first:last], n) << 32) | b[at]
+            parts.add(keys, np.ones(len(keys), np.int64))
+        g = to
+    return parts.finish()
 
 
 class Sums:
@@ -194,41 +256,71 @@ class Document:
     def __init__(self, parts: list[Aligned]):
         self.parts = parts
 
-    def total(self, name: str) -> int:
-        return sum(getattr(p, name) for p in self.parts)
-
     def pairs(self) -> tuple[np.ndarray, np.ndarray]:
-        sums = Sums()
-        if self.parts:
-            sums.add(np.concatenate([p.keys for p in self.parts]), np.concatenate([p.times for p in self.parts]))
+        """Distinct pairs and how often each is linked."""
+        if all([p.times is None for p in self.parts]) and 8 * GATHER > sum([len(p.keys) for p in self.parts]):
+            return np.unique(np.frombuffer(b"".join([p.keys for p in self.parts]), np.int64), return_counts=True)
+        sums, held, size = Sums(), [], 0
+        for p in self.parts:
+            if p.times is None:
+                held.append(p.keys)
+                size += len(p.keys)
+            else:
+                sums.add(_longs(p.keys), _longs(p.times))
+            if size > 8 * GATHER:
+                sums.add(*np.unique(_longs(b"".join(held)), return_counts=True))
+                held, size = [], 0
+        sums.add(*np.unique(_longs(b"".join(held)), return_counts=True))
         return sums.finish()
 
 
 class Aligner:
-    def __init__(self, path_a: str, path_b: str):
-        self.paths, self.held = (path_a, path_b), {}
-
-    def segment(self, text: str) -> Aligned:
-        found = self.held.get(text)
-        if found is None:
-            found = Aligned(*self.paths, text)
-            if len(text) <= HELD_CHARS:
-                if len(self.held) >= HELD:
-                    self.held.clear()
-                self.held[text] = found
+    """Aligns texts; distinct segments are encoded once, and the lately met ones are held in two generations."""
+
+    def __init__(self, path_a: str, path_b: str, render: bool = True):
+        self.render = render
+        self.paths, self.splits = (path_a, path_b), splits(path_a, path_b)
+        self.young: dict[str, Aligned | None] = {}
+        self.old: dict[str, Aligned | None] = {}
+
+    def documents(self, texts: list[str | None]) -> Iterator[Document]:
+        """In order; some texts are cut at a time, and what is new in them is encoded together."""
+        at = 0
+        while at < len(texts):
+            to, size = at, 0
+            while to < len(texts) and (size == 0 or size + len(texts[to] or "") <= TOGETHER):
+                size += len(texts[to] or "")
+                to += 1
+            cut = [([s for s in _SEGMENT.findall(" " + t) if s] if self.splits else [" " + t]) if t else [] for t in texts[at:to]]
+            known = self.known({s for x in cut for s in x})
+            for text, x in zip(texts[at:to], cut, strict=True):
+                parts = [known[s] for s in x]
+                if None in parts:
+                    whole = align_stretches(*self.paths, [" " + text], self.render)[0] if len(x) > 1 else None
+                    parts = [whole] if whole else []
+                yield Document(parts)
+            at = to
+
+    def known(self, segments: set[str]) -> dict[str, Aligned | None]:
+        if len(self.young) > HELD:
+            self.young, self.old = {}, self.young
+        found, new = {}, []
+        young, old = self.young, self.old
+        for s in segments:
+            if s in young:
+                found[s] = young[s]
+            elif s in old:
+                found[s] = young[s] = old[s]
+            else:
+                new.append(s)
+        for k in range(0, len(new), 4096):
+            some = new[k : k + 4096]
+            for s, x in zip(some, align_stretches(*self.paths, some, self.render), strict=True):
+                found[s] = x
+                if len(s) <= HELD_CHARS:
+                    young[s] = x
         return found
 
-    def document(self, text: str | None) -> Document:
-        if not text:
-            return Document([])
-        text = " " + text
-        if splits(*self.paths):
-            parts = [self.segment(s) for s in _SEGMENT.findall(text) if s]
-            if all([p.exact for p in parts]):
-                return Document(parts)
-        whole = Aligned(*self.paths, text)
-        return Document([whole] if whole.exact else [])
-
 
 # ---------------------------------------------------------------- minimal perfect hash
 
@@ -310,6 +402,13 @@ class Table:
         return at
 
 
+@cache
+def aligner(path_a: str, path_b: str, render: bool) -> Aligner:
+    """A worker's own, for all its tasks of a pass."""
+    aligner.cache_clear()
+    return Aligner(path_a, path_b, render)
+
+
 def shard_of(keys: np.ndarray) -> np.ndarray:
     return (mixed(keys.astype(np.uint64)) % np.uint64(SHARDS)).astype(np.int64)
 
@@ -344,7 +443,7 @@ def local_pairs(rows: DataFrame, path_a: str, path_b: str) -> DataFrame:
     """(shard, salt, keys, numbers): each task's distinct pairs with the number of its documents that hold them."""
 
     def gather(batches):
-        aligner, sums = Aligner(path_a, path_b), Sums()
+        found, sums = aligner(path_a, path_b, False), Sums()
         salt = TaskContext.get().partitionId() % SALTS
 
         def flush():
@@ -353,8 +452,8 @@ def local_pairs(rows: DataFrame, path_a: str, path_b: str) -> DataFrame:
             sums.__init__()
 
         for batch in batches:
-            for t in batch.column(0).to_pylist():
-                keys, _ = aligner.document(t).pairs()
+            for document in found.documents(batch.column(0).to_pylist()):
+                keys, _ = document.pairs()
                 sums.add(keys, np.ones(len(keys), np.int64))
                 if sums.size > 2 * GATHER:
                     yield from flush()
@@ -516,20 +615,19 @@ def alignment(docs: DataFrame, path_a: str, path_b: str, doc_id: str = "doc_id",
     shape = f"row long, doc_id long, {', '.join(f'{n} long' for n in NUMBERS)}, groups_sha256 string, shard int, keys binary, times binary"
 
     def look_up(batches):
-        aligner, (table, most) = Aligner(path_a, path_b), held.value
+        align, (table, most) = aligner(path_a, path_b, True), held.value
         number = TaskContext.get().partitionId() << 40
         for batch in batches:
             found = []
-            for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for i, aligned in zip(batch.column(0).to_pylist(), align.documents(batch.column(1).to_pylist()), strict=True):
                 number += 1
-                aligned = aligner.document(t)
                 keys, times = aligned.pairs()
                 at = table.find(keys)
                 known = at >= 0
                 n = table.counts[at[known]]
                 best = int(times[known][n == most[keys[known] >> 32]].sum())
                 groups = hashlib.sha256(";".join([p.text for p in aligned.parts]).encode()).hexdigest() if aligned.parts else ""
-                sizes = [sum([len(p.a) for p in aligned.parts]), sum([len(p.b) for p in aligned.parts]), aligned.total("n_groups"), aligned.total("n_links")]
+                sizes = [sum([p[k] for p in aligned.parts]) for k in range(4)]
                 found.append((number, i, *sizes, best, int(np.dot(times[known], n)), groups, None, None, None))
                 if not known.all():
                     found += [(number, *[None] * 8, s, k.tobytes(), x.tobytes()) for s, k, x in by_shard(keys[~known], times[~known])]
@@ -575,12 +673,12 @@ def token_groups(docs: DataFrame, path_a: str, path_b: str, doc_id: str = "doc_i
     schema = pa.schema([("doc_id", pa.int64()), ("groups", pa.list_(pa.struct([("a", ids), ("b", ids)])))])
 
     def groups(batches):
-        aligner = Aligner(path_a, path_b)
+        align = aligner(path_a, path_b, True)
         for batch in batches:
             found = []
-            for t in batch.column(1).to_pylist():
-                sized = [(p, [np.bincount(g, minlength=p.n_groups) for g in (p.group_a, p.group_b)]) for p in aligner.document(t).parts]
-                found.append([{"a": a, "b": b} for p, sizes in sized for a, b in p.groups(sizes)])
+            for aligned in align.documents(batch.column(1).to_pylist()):
+                sides = [g.split("|") for p in aligned.parts for g in p.text.split(";")]
+                found.append([{"a": [int(i) for i in a.split(",")], "b": [int(i) for i in b.split(",")]} for a, b in sides])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, schema.field("groups").type)], schema=schema)
 
     return prepared(texts(docs, doc_id, text)).mapInArrow(groups, "doc_id long, groups array<struct<a:array<bigint>,b:array<bigint>>>")

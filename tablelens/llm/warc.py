@@ -34,6 +34,8 @@ from tablelens.plans.runtime import fits_broadcast, join_sized, new_path, writte
 
 #: Captures of a block; bytes of neighbouring records that are read at once.
 BLOCK, SPAN = 256, 8 << 20
+#: Compressed bytes of archives that a task reads back.
+TASK_BYTES = 32 << 20
 #: Archives of one write, and characters of a first line in the top: both bound what a search broadcasts.
 MAX_ARCHIVES, CLIP = 1 << 14, 256
 #: A payload that more than one in so many rows have is frequent; so at most as many are.
@@ -44,8 +46,8 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 #: What a URL in a header line cannot hold.
 CONTROLS = [chr(c) for c in (*range(0x21), 0x7F)]
 
-TOP = "file string, first string, captures long, directory long, directory_bytes long, index_bytes long"
-_TOP = pa.schema([("file", pa.string()), ("first", pa.string()), *[(n, pa.int64()) for n in ("captures", "directory", "directory_bytes", "index_bytes")]])
+TOP = "file string, first string, captures long, directory long, directory_bytes long, archive_bytes long"
+_TOP = pa.schema([("file", pa.string()), ("first", pa.string()), *[(n, pa.int64()) for n in ("captures", "directory", "directory_bytes", "archive_bytes")]])
 
 
 def header_url(url: Column) -> Column:
@@ -219,7 +221,7 @@ def write_archives(
                 close_block()
             packed = zlib.compress(json.dumps(directory).encode())
             index.write(packed)
-        row = [[f"{folder}/{name}"], [first["line"]], [captures], [end], [len(packed)], [end + len(packed)]]
+        row = [[f"{folder}/{name}"], [first["line"]], [captures], [end], [len(packed)], [offset]]
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(row, _TOP, strict=True)], schema=_TOP)
 
     return written(prepared(ordered).mapInArrow(write, TOP), "archives")
@@ -349,7 +351,11 @@ def read_archives(top: DataFrame, payload: bool = False) -> DataFrame:
                         yield capture_of(zlib.decompress(data[offset - start : offset - start + size], 31))
                     at = to
 
-    dealt = prepared(top).select("file", "directory", "directory_bytes").repartition("file").mapInArrow(list_blocks, shape).repartition("file", "start")
+    # few bytes stand for many: the tasks are counted by what the archives hold
+    archives, size = top.agg(F.count(F.lit(1)), F.coalesce(F.sum("archive_bytes"), F.lit(0))).head()
+    tasks = max(top.sparkSession.sparkContext.defaultParallelism, -(-size // TASK_BYTES))
+    dealt = prepared(top).select("file", "directory", "directory_bytes").repartition(max(1, min(archives, tasks)), "file")
+    dealt = dealt.mapInArrow(list_blocks, shape).repartition(tasks, "file", "start")
     names = ", ".join(x for x in CAPTURE.split(", ") if payload or not x.startswith("payload binary"))
     return dealt.mapInArrow(lambda batches: _batches(captures(batches), schema), names)
 

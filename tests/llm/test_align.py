@@ -77,15 +77,29 @@ def test_texts():
     assert align.splits(A, B)
     rng, aligner = random.Random(9), align.Aligner(A, B)
     seen = 0
-    for _ in range(1500):
-        t = text(rng, 30)
-        found = aligner.document(t)
-        groups = [g for p in found.parts for g in p.groups([np.bincount(x, minlength=p.n_groups) for x in (p.group_a, p.group_b)])]
-        assert groups == brute_groups(t), repr(t)
+    sample = [text(rng, 30) for _ in range(1500)] + [None, "", "x" * 900, "word " * 400]
+    for t, found in zip(sample, aligner.documents(sample), strict=True):
+        groups = ";".join(p.text for p in found.parts)
+        assert groups == ";".join(f"{','.join(map(str, a))}|{','.join(map(str, b))}" for a, b in brute_groups(t)), repr(t)
         seen += len(found.parts) > 1
     assert seen > 500
 
 
+def test_held_segments(monkeypatch):
+    """Few held segments and texts cut one at a time change nothing; short and long forms agree."""
+    rng = random.Random(10)
+    sample = [text(rng, 30) for _ in range(200)]
+    wanted = [d.parts for d in align.Aligner(A, B).documents(sample)]
+    monkeypatch.setattr(align, "HELD", 5)
+    monkeypatch.setattr(align, "TOGETHER", 1)
+    assert [d.parts for d in align.Aligner(A, B).documents(sample)] == wanted
+    monkeypatch.setattr(align, "SHORT", 0)
+    for x, y in zip(align.Aligner(A, B).documents(sample), wanted, strict=True):
+        assert [p[:5] for p in x.parts] == [p[:5] for p in y]
+        (k, n), (m, t) = x.pairs(), align.Document(y).pairs()
+        assert k.tolist() == m.tolist() and n.tolist() == t.tolist()
+
+
 @pytest.mark.parametrize("frequent", [align.FREQUENT, 40, 0.5])
 def test_alignment(spark, monkeypatch, frequent):
     """With all, some and no pairs broadcast; a task gathers few pairs at once."""
@@ -111,16 +125,14 @@ def test_groups_and_empty(spark):
 
 def test_large_group():
     """A group whose product is larger than what is expanded at once."""
-    found = align.Aligned.__new__(align.Aligned)
     rng = np.random.default_rng(1)
-    found.a, found.b, found.n_groups = rng.integers(0, 900, 3000), rng.integers(0, 700, 2000), 2
-    found.group_a, found.group_b = np.sort(rng.integers(0, 2, 3000)), np.sort(rng.integers(0, 2, 2000))
-    sizes = [np.bincount(g, minlength=2) for g in (found.group_a, found.group_b)]
-    keys, times = found.links(*sizes)
+    a, b = rng.integers(0, 900, 3000), rng.integers(0, 700, 2000)
+    group_a, group_b = np.sort(rng.integers(0, 2, 3000)), np.sort(rng.integers(0, 2, 2000))
+    keys, times = align.links(a, b, group_a, group_b, 2)
     wanted = Counter()
     for g in (0, 1):
-        a, b = Counter(found.a[found.group_a == g].tolist()), Counter(found.b[found.group_b == g].tolist())
-        wanted.update({(x << 32) | y: n * m for x, n in a.items() for y, m in b.items()})
+        x, y = Counter(a[group_a == g].tolist()), Counter(b[group_b == g].tolist())
+        wanted.update({(k << 32) | m: n * o for k, n in x.items() for m, o in y.items()})
     assert dict(zip(keys.tolist(), times.tolist(), strict=True)) == wanted
 
 
