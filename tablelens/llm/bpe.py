@@ -9,8 +9,10 @@ then taken from the window.  Otherwise the window doubles, at the end to both wh
 
 Why agreement is enough: a token sequence is the encoding of its text exactly when each pair of
 adjacent tokens is, and every pair of the joined sequence stands in one of the three encodings.
-Tokens nearer than MARGIN characters to a cut never count as agreement, so that special tokens,
-contractions and composed characters that straddle it are always inside a window.
+Tokens nearer than MARGIN characters to a cut never count as agreement, so that special tokens and
+contractions that straddle it are always inside a window.  Normalisation reorders and composes marks within a
+character and its marks, however many; so windows begin and end, and sides agree, only before a
+character that no normalisation joins with what stands before it.
 """
 
 from __future__ import annotations
@@ -19,8 +21,10 @@ import hashlib
 import json
 import os
 import re
+import sys
+import unicodedata
 from array import array
-from functools import cache
+from functools import cache, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -48,6 +52,20 @@ def load(path: str):
     return tokenizer
 
 
+@cache
+def _followers() -> frozenset[str]:
+    """Characters that canonical composition can join to the one before: second parts of compositions, and vowels and finals of Hangul."""
+    parts = (unicodedata.decomposition(chr(c)).split() for c in range(sys.maxunicode + 1))
+    seconds = {chr(int(p[1], 16)) for p in parts if len(p) == 2 and not p[0].startswith("<")}
+    return frozenset(seconds | {chr(c) for c in (*range(0x1161, 0x1176), *range(0x11A8, 0x11C3))})
+
+
+@lru_cache(1 << 16)
+def joins(sign: str) -> bool:
+    """Whether normalisation may reorder or compose a character with those before it; unknown ones may."""
+    return unicodedata.combining(sign) > 0 or sign in _followers() or unicodedata.category(sign) == "Cn"
+
+
 class Encoded:
     """Tokens of text[start:end]: ids and their character spans in the whole text."""
 
@@ -67,10 +85,12 @@ def concat(path: str, text: str, left: Encoded, right: Encoded, margin: int = MA
     while True:
         # the window starts at a token of the left side, at a character that no earlier token touches
         a = int(np.searchsorted(left.spans[:, 0], cut - reach, "right")) - 1
-        while a > 0 and left.spans[a - 1, 1] > left.spans[a, 0]:
+        while a > 0 and (left.spans[a - 1, 1] > left.spans[a, 0] or joins(text[left.spans[a, 0]])):
             a -= 1
         start = int(left.spans[a, 0]) if a > 0 else left.start
         end = min(right.end, cut + reach)
+        while end < right.end and joins(text[end]):
+            end += 1
         window = encode(path, text, start, end)
         left_agrees = a <= 0 or (
             len(window.ids) > 0 and window.ids[0] == left.ids[a] and (window.spans[0] == left.spans[a]).all()
@@ -84,7 +104,7 @@ def concat(path: str, text: str, left: Encoded, right: Encoded, margin: int = MA
             for w in range(len(window.ids) - 1, 0, -1):
                 if window.spans[w, 0] < cut + margin:
                     break
-                if window.spans[w, 1] > last or window.spans[w - 1, 1] > window.spans[w, 0]:
+                if window.spans[w, 1] > last or window.spans[w - 1, 1] > window.spans[w, 0] or joins(text[window.spans[w, 0]]):
                     continue
                 b = int(np.searchsorted(right.spans[:, 0], window.spans[w, 0]))
                 if b > 0 and right.spans[b - 1, 1] > window.spans[w, 0]:

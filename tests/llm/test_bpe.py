@@ -54,3 +54,28 @@ def test_documents(spark, name):
     assert back[7] == bpe.load(path).decode(wanted(rows[7][1], path), skip_special_tokens=False)
     empty = bpe.encode_decode(df.limit(0), path)
     assert empty.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] and empty.count() == 0
+
+
+MARKS = ["\u0301", "\u0323", "\u0316", "\u0345", "\u0338", "\u1161", "\u11a8"]
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_runs_of_marks(name):
+    """Normalisation reaches over any number of marks, also across cuts."""
+    path = tokenizer(name)
+    rng = random.Random(11)
+    for i in range(200):
+        few = i % 2
+        parts = ["e", "a", "\u1100", *(MARKS[: rng.randint(1, len(MARKS))])]
+        weights = [9 if few and p in "ea" else rng.randint(1, 4) for p in parts]
+        text = "".join(rng.choices(parts, weights, k=rng.randint(200, 900)))
+        pieces = [bpe.encode(path, text, k, min(len(text), k + 64)) for k in range(0, len(text), 64)]
+        assert bpe.tree(path, text, pieces).ids.tolist() == wanted(text, path), repr(text)
+
+
+def test_marks_at_the_default_piece(spark):
+    path = tokenizer("word_bpe_49k.json")
+    rng = random.Random(12)
+    rows = [(i, "".join(rng.choices(["e", "\u0301", "\u0323", "\u0316"], k=n))) for i, n in enumerate((33_000, 50_000, 66_000, 98_000))]
+    found = {r.doc_id: bytes(r.ids) for r in bpe.encode_documents(spark.createDataFrame(rows, "doc_id long, text string"), path).collect()}
+    assert found == {i: np.array(wanted(t, path), "<u4").tobytes() for i, t in rows}
