@@ -44,6 +44,14 @@ def windows_of(items: DataFrame, width: int, item_id: str = "item_id", text: str
     return held.select("window", "words").distinct(), held.select("window", "item_id").distinct()
 
 
+#: What tells documents apart in joins: a null id is none of the others.
+OWNER = ["id", "no_id", "key"]
+
+
+def owned(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("id", F.coalesce("doc_id", F.lit(0))).withColumn("no_id", F.col("doc_id").isNull())
+
+
 def postings(docs: DataFrame, terms: DataFrame) -> DataFrame:
     """(doc_id, key, position, term) of every occurrence of ``terms``, and a last one with term ''."""
     words = F.concat(words_of("text"), F.array(F.lit("")))
@@ -78,12 +86,12 @@ def phrase_matches(index: DataFrame, windows: DataFrame) -> DataFrame:
     near = index.withColumn("slot", slot).join(F.broadcast(slots), "slot", "left_semi").drop("slot")
     others = ranked.filter(F.col("rank") > FIRST_LISTS).select("window", "offset", "term")
     asked = join_sized(candidates, others, "window", fits_broadcast(others)).withColumn("position", F.col("start") + F.col("offset"))
-    asked = asked.withColumn("id", F.coalesce("doc_id", F.lit(-1))).select("id", "key", "window", "start", "position", "term")
-    near = near.withColumn("id", F.coalesce("doc_id", F.lit(-1))).select("id", "key", "position", "term").distinct()
-    agreed = asked.join(near, ["id", "key", "position", "term"]).groupBy("id", "key", "window", "start").agg(F.count(F.lit(1)).alias("more"))
+    asked = owned(asked).select(*OWNER, "window", "start", "position", "term")
+    near = owned(near).select(*OWNER, "position", "term").distinct()
+    agreed = asked.join(near, [*OWNER, "position", "term"]).groupBy(*OWNER, "window", "start").agg(F.count(F.lit(1)).alias("more"))
     short = candidates.filter(F.col("width") <= FIRST_LISTS)
-    long = candidates.filter(F.col("width") > FIRST_LISTS).withColumn("id", F.coalesce("doc_id", F.lit(-1)))
-    long = long.join(agreed, ["id", "key", "window", "start"]).filter(F.col("more") >= F.col("width") - FIRST_LISTS)
+    long = owned(candidates.filter(F.col("width") > FIRST_LISTS))
+    long = long.join(agreed, [*OWNER, "window", "start"]).filter(F.col("more") >= F.col("width") - FIRST_LISTS)
     columns = ["doc_id", "key", "window", "start", "width"]
     return short.select(*columns).unionByName(long.select(*columns))
 
@@ -121,15 +129,14 @@ def contamination(docs: DataFrame, items: DataFrame, width: int = WINDOW, doc_id
     windows, holders = windows_of(items, width, item_id, item_text)
     index = build_index(docs, windows, doc_id, text)
     lengths = index.filter("term = ''").select("doc_id", "key", F.col("position").cast("long").alias("n_words"))
-    matches = written(phrase_matches(index.filter("term <> ''"), windows), "matches").withColumn("id", F.coalesce("doc_id", F.lit(-1)))
-    covered = matches.select("id", "key", F.explode(F.sequence(F.col("start"), F.col("start") + F.col("width") - 1)).alias("position"))
-    hits = covered.distinct().groupBy("id", "key").agg(F.count(F.lit(1)).alias("n_hit"))
-    held = join_sized(matches.select("id", "key", "window").distinct(), holders, "window", fits_broadcast(holders))
+    matches = owned(written(phrase_matches(index.filter("term <> ''"), windows), "matches"))
+    covered = matches.select(*OWNER, F.explode(F.sequence(F.col("start"), F.col("start") + F.col("width") - 1)).alias("position"))
+    hits = covered.distinct().groupBy(*OWNER).agg(F.count(F.lit(1)).alias("n_hit"))
+    held = join_sized(matches.select(*OWNER, "window").distinct(), holders, "window", fits_broadcast(holders))
     # as many ids as the benchmark has items, at most
-    named = held.select("id", "key", "item_id").distinct().groupBy("id", "key").agg(F.array_sort(F.collect_list("item_id")).alias("items"))
-    found = hits.join(named, ["id", "key"])
-    lengths = lengths.withColumn("id", F.coalesce("doc_id", F.lit(-1)))
-    return lengths.join(found, ["id", "key"], "left").select(
+    named = held.select(*OWNER, "item_id").distinct().groupBy(*OWNER).agg(F.array_sort(F.collect_list("item_id")).alias("items"))
+    found = hits.join(named, OWNER)
+    return owned(lengths).join(found, OWNER, "left").select(
         "doc_id", "key", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"),
     )

@@ -2,6 +2,7 @@
 
 import random
 
+import pytest
 from brute import contamination, sha, terms
 from pyspark.sql import functions as F
 
@@ -152,3 +153,13 @@ def test_listed_hosts_of_every_table(spark):
         hosts = {r.host for r in pages.select(urls.host_of("url").alias("host")).distinct().collect()}
         bad = {h for h in hosts if any(name in h.split(".") for name in BLOCKED_NAMES)}
         assert bad and all(any(h == x or h.endswith("." + x) for x in BLOCKED_HOSTS) for h in bad), folder
+
+
+@pytest.mark.parametrize("other", [-1, 0])
+def test_null_id_is_no_other_id(spark, other):
+    """A null id and any other one with the same text do not make up a match together."""
+    near = "w1 w2 w3 w4 w5 w6 x7 x8 x9 x10"
+    docs = spark.createDataFrame([(None, near), (other, near), (2, "w1 w2 w3 w4 w5 w6 w7 w8 w9 w10 x7 x8 x9 x10")], "doc_id long, text string")
+    bench = spark.createDataFrame([(7, "w1 w2 w3 w4 w5 w6 w7 w8 w9 w10")], "item_id long, text string")
+    found = decontaminate.contamination(docs, bench, 10).collect()
+    assert sorted((str(r.doc_id), r.n_hit) for r in found) == sorted([("None", 0), (str(other), 0), ("2", 10)])
