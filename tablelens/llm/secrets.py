@@ -1,19 +1,21 @@
 """Secrets in texts: three patterns, and strings that a BPE vocabulary writes inefficiently.
 
 Language packs many characters into a token; random strings do not.  A run of key characters that
-mixes letters and digits, or small and capital letters, and needs more than one token for every ``MAX_RATIO``
-characters is reported, unless it is a digest of a usual length, a UUID, or a name put together from words and short numbers.
+needs more than one token for every ``MAX_RATIO`` characters is reported (for runs of small or of capital letters alone, ``ONE_KIND``),
+unless it is a digest of a usual length, a UUID, a number, or a name: at least half of its characters stand in parts that are
+numbers or that the vocabulary writes efficiently.
 """
 
 from __future__ import annotations
 
 import base64
-import hashlib
 import re
+from collections.abc import Callable
 from functools import cache
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from tablelens.llm.common import prepared, texts
 
@@ -32,7 +34,8 @@ MIXED = ("[0-9]", "[a-z]", "[A-Z]")
 #: Hex digits of md5, sha1, sha224, sha256, sha384, sha512.
 DIGEST_LENGTHS = {32, 40, 56, 64, 96, 128}
 UUID = re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
-NAME_PARTS = re.compile(r"(?:[A-Z]?[a-z]+|[A-Z]+|[0-9]{1,4})")
+#: Characters a token for letters of one kind, under those of any word; about two in five random ones of 20 letters have as few.
+ONE_KIND = 1.59
 
 
 @cache
@@ -47,12 +50,17 @@ def vocabulary(path: str):
 
 
 def is_known(run: str) -> bool:
-    """Digests, UUIDs, and names such as build-2024-release or Section12Part3."""
+    """Digests, UUIDs and numbers."""
     if len(run) in DIGEST_LENGTHS and re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", run):
         return True
-    if UUID.fullmatch(run):
-        return True
-    return all(len(NAME_PARTS.findall(p)) <= 3 and not NAME_PARTS.sub("", p) for p in re.split(r"[-_/+=]", run))
+    return bool(UUID.fullmatch(run) or re.fullmatch(r"[-_/+=0-9]+", run))
+
+
+def is_name(run: str, tokens: Callable[[str], int], max_ratio: float) -> bool:
+    """Put together from parts such as words and numbers, as in build-2024-release or Section12/Part3."""
+    parts = [p for p in re.split(r"[-_/+=]", run) if p]
+    plain = sum(len(p) for p in parts if p.isdigit() or len(p) > max_ratio * tokens(p))
+    return 2 * plain >= sum(map(len, parts))
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -71,15 +79,16 @@ def random_spans(text: str, path: str, max_ratio: float = MAX_RATIO) -> list[tup
     found = []
     for m in RUN.finditer(text):
         run = m.group()
-        if sum(bool(re.search(kind, run)) for kind in MIXED) > 1 and not is_known(run):
-            tokens = len(vocabulary(path).encode_ordinary(run))
-            if len(run) <= max_ratio * tokens:
-                found.append((m.start(), 3, m.end()))
-    return found
+        if is_known(run):
+            continue
+        kinds = sum(bool(re.search(kind, run)) for kind in MIXED)
 
+        def tokens(part: str) -> int:
+            return len(vocabulary(path).encode_ordinary(part))
 
-def written_spans(spans: list[tuple[int, int, int]]) -> str:
-    return ",".join(f"{KINDS[kind]}:{start}:{end}" for start, kind, end in spans)
+        if len(run) <= (max_ratio if kinds > 1 else min(ONE_KIND, max_ratio)) * tokens(run) and not is_name(run, tokens, max_ratio):
+            found.append((m.start(), 3, m.end()))
+    return found
 
 
 SPANS = "array<struct<kind:string,start:int,end:int>>"
@@ -107,18 +116,12 @@ def find_secrets(docs: DataFrame, path: str, max_ratio: float = MAX_RATIO, doc_i
 
 def digest(found: DataFrame) -> DataFrame:
     """doc_id, n_assign, n_access, n_hex, base_sha256, spans as text."""
-    schema = pa.schema([("doc_id", pa.int64()), ("n_assign", pa.int64()), ("n_access", pa.int64()), ("n_hex", pa.int64()), ("base_sha256", pa.string()), ("spans", pa.string())])
 
-    def digests(batches):
-        for batch in batches:
-            columns = [[] for _ in range(5)]
-            for spans in batch.column(1).to_pylist():
-                rows = [(s["start"], KINDS.index(s["kind"]), s["end"]) for s in spans]
-                base = [r for r in rows if r[1] < 3]
-                for kind in range(3):
-                    columns[kind].append(sum(r[1] == kind for r in base))
-                columns[3].append(hashlib.sha256(written_spans(base).encode()).hexdigest())
-                columns[4].append(written_spans(rows))
-            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c, f.type) for c, f in zip(columns, list(schema)[1:], strict=True)]], schema=schema)
-
-    return found.select("doc_id", "spans").mapInArrow(digests, "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string")
+    def written(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def number(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    base = written(F.filter("spans", lambda s: s["kind"] != KINDS[3]))
+    return found.select("doc_id", *[number(k) for k in KINDS[:3]], F.sha2(base.cast("binary"), 256).alias("base_sha256"), written(F.col("spans")).alias("spans"))

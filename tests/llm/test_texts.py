@@ -206,8 +206,11 @@ def test_random_runs():
         for text in (f"client_key={key}", f"https://h.org/p?a=1&sig={key}&x=2", f"export A={key}\n", f"key: {key} end", f"k=={key}==", f"my_long_client_name={key}"):
             assert [x.rstrip("=") for x in found(text)] == [key], text
     assert found(f"x={mixed}==") == [f"{mixed}=="]
-    for text in ("title=Internationalization", "InternationalizationService=getUserAccountDetailsFromDatabase", "sum=da39a3ee5e6b4b0d3255bfef95601890afd80709", "id=123e4567-e89b-12d3-a456-426614174000", "INTERNATIONALIZATION"):
+    for text in ("title=Internationalization", "InternationalizationService=getUserAccountDetailsFromDatabase", "sum=da39a3ee5e6b4b0d3255bfef95601890afd80709", "id=123e4567-e89b-12d3-a456-426614174000", "INTERNATIONALIZATION",
+                 "20241231235959000000", "build-2024-release-candidate", "Section12-Part3-v2-a1", "no-19-of-22-in-2024-07-31", "aaaabbbbccccddddeeee"):
         assert found(text) == [], text
+    for key in ("x7Kd-b9Qz-k4Wm-p2Rt-z8Xq", "xk_Qz7Rt_9Wmp_Bv4k", "xqzvkwpjhtbnrmcdflgs", "ZQXJKVWQZXPBKJQXVZWK"):
+        assert found(f"the {key} is") == [key], key
 
 
 @pytest.mark.parametrize("text", ["", "word", "AbC 12\n\x00 é"])
