@@ -43,7 +43,7 @@ GATHER = 1 << 20
 FREQUENT = 1 << 18
 #: Aligned segments of a generation held by a worker, characters of one that is worth holding, of texts cut at a time,
 #: and characters up to which a segment is aligned together with others.
-HELD, HELD_CHARS, TOGETHER, SHORT = 200_000, 64, 1 << 20, 256
+HELD, HELD_CHARS, TOGETHER, SHORT = 250_000, 64, 1 << 20, 256
 
 # ---------------------------------------------------------------- tokenizers
 
@@ -120,8 +120,8 @@ def ids_of_b(path: str, stretches: list[str]) -> list[list[int]]:
     return [x if s[0] == " " else x[1:] if s != " " else x for s, x in zip(stretches, found, strict=True)]
 
 
-def align_stretches(path_a: str, path_b: str, stretches: list[str], render: bool = True) -> list[Aligned | None]:
-    """None where the tokens' bytes are not the text's; ``render`` writes the groups as text, too."""
+def align_stretches(path_a: str, path_b: str, stretches: list[str]) -> list[Aligned | None]:
+    """None where the tokens' bytes are not the text's."""
     (a, bytes_a), (b, bytes_b) = byte_level(path_a), pieces(path_b)
     found_a = [x.ids for x in a.encode_batch_fast(stretches, add_special_tokens=False)]
     found_b = ids_of_b(path_b, stretches)
@@ -135,7 +135,7 @@ def align_stretches(path_a: str, path_b: str, stretches: list[str], render: bool
         if b"".join([spelled[k] for i in short for k in found[i]]) != b"".join([data[i] for i in short]):
             short = [i for i in short if b"".join([spelled[k] for k in found[i]]) == data[i]]
     if short:
-        for i, x in zip(short, _short([found_a[i] for i in short], [found_b[i] for i in short], [len(data[i]) for i in short], path_a, path_b, render), strict=True):
+        for i, x in zip(short, _short([found_a[i] for i in short], [found_b[i] for i in short], [len(data[i]) for i in short], path_a, path_b), strict=True):
             out[i] = x
     for i, s in enumerate(stretches):
         if len(s) > SHORT:
@@ -155,7 +155,7 @@ def names(path: str, of) -> list[str]:
     return [str(i) for i in range(len(of(path)[1]))]
 
 
-def _short(found_a: list[list[int]], found_b: list[list[int]], sizes: list[int], path_a: str, path_b: str, render: bool) -> Iterator[Aligned]:
+def _short(found_a: list[list[int]], found_b: list[list[int]], sizes: list[int], path_a: str, path_b: str) -> Iterator[Aligned]:
     """Many stretches as one: where one ends, tokens of both sides end, so no group spans two."""
     a, b = (np.fromiter(chain.from_iterable(x), np.int64) for x in (found_a, found_b))
     ends_a, ends_b = np.cumsum(lengths(path_a, byte_level)[a]), np.cumsum(lengths(path_b, pieces)[b])
@@ -169,15 +169,14 @@ def _short(found_a: list[list[int]], found_b: list[list[int]], sizes: list[int],
     last = np.searchsorted(common, np.cumsum(sizes))  # each stretch's last group
     groups = (last + 1).tolist()
     linked = np.cumsum(size_a * size_b)[last].tolist()
-    written = []
-    if render:
-        name_a, name_b, i, j = names(path_a, byte_level), names(path_b, pieces), 0, 0
-        x, y = [name_a[k] for k in a.tolist()], [name_b[k] for k in b.tolist()]
-        for to_a, to_b in zip(cuts_a.tolist(), cuts_b.tolist(), strict=True):
-            left = x[i] if to_a - i == 1 else ",".join(x[i:to_a])
-            right = y[j] if to_b - j == 1 else ",".join(y[j:to_b])
-            written.append(f"{left}|{right}")
-            i, j = to_a, to_b
+    written: list[str] = []
+    name_a, name_b, i, j = names(path_a, byte_level), names(path_b, pieces), 0, 0
+    x, y = [name_a[k] for k in a.tolist()], [name_b[k] for k in b.tolist()]
+    for to_a, to_b in zip(cuts_a.tolist(), cuts_b.tolist(), strict=True):
+        left = x[i] if to_a - i == 1 else ",".join(x[i:to_a])
+        right = y[j] if to_b - j == 1 else ",".join(y[j:to_b])
+        written.append(f"{left}|{right}")
+        i, j = to_a, to_b
     g = k = 0
     for x, y, to_g, to_k in zip(found_a, found_b, groups, linked, strict=True):
         yield Aligned(len(x), len(y), to_g - g, to_k - k, ";".join(written[g:to_g]), keys[8 * k : 8 * to_k], None)
@@ -277,8 +276,7 @@ class Document:
 class Aligner:
     """Aligns texts; distinct segments are encoded once, and the lately met ones are held in two generations."""
 
-    def __init__(self, path_a: str, path_b: str, render: bool = True):
-        self.render = render
+    def __init__(self, path_a: str, path_b: str):
         self.paths, self.splits = (path_a, path_b), splits(path_a, path_b)
         self.young: dict[str, Aligned | None] = {}
         self.old: dict[str, Aligned | None] = {}
@@ -296,7 +294,7 @@ class Aligner:
             for text, x in zip(texts[at:to], cut, strict=True):
                 parts = [known[s] for s in x]
                 if None in parts:
-                    whole = align_stretches(*self.paths, [" " + text], self.render)[0] if len(x) > 1 else None
+                    whole = align_stretches(*self.paths, [" " + text])[0] if len(x) > 1 else None
                     parts = [whole] if whole else []
                 yield Document(parts)
             at = to
@@ -315,7 +313,7 @@ class Aligner:
                 new.append(s)
         for k in range(0, len(new), 4096):
             some = new[k : k + 4096]
-            for s, x in zip(some, align_stretches(*self.paths, some, self.render), strict=True):
+            for s, x in zip(some, align_stretches(*self.paths, some), strict=True):
                 found[s] = x
                 if len(s) <= HELD_CHARS:
                     young[s] = x
@@ -403,10 +401,9 @@ class Table:
 
 
 @cache
-def aligner(path_a: str, path_b: str, render: bool) -> Aligner:
-    """A worker's own, for all its tasks of a pass."""
-    aligner.cache_clear()
-    return Aligner(path_a, path_b, render)
+def aligner(path_a: str, path_b: str) -> Aligner:
+    """A worker's own, for all its tasks of both passes."""
+    return Aligner(path_a, path_b)
 
 
 def shard_of(keys: np.ndarray) -> np.ndarray:
@@ -443,7 +440,7 @@ def local_pairs(rows: DataFrame, path_a: str, path_b: str) -> DataFrame:
     """(shard, salt, keys, numbers): each task's distinct pairs with the number of its documents that hold them."""
 
     def gather(batches):
-        found, sums = aligner(path_a, path_b, False), Sums()
+        found, sums = aligner(path_a, path_b), Sums()
         salt = TaskContext.get().partitionId() % SALTS
 
         def flush():
@@ -614,25 +611,44 @@ def alignment(docs: DataFrame, path_a: str, path_b: str, doc_id: str = "doc_id",
     ])
     shape = f"row long, doc_id long, {', '.join(f'{n} long' for n in NUMBERS)}, groups_sha256 string, shard int, keys binary, times binary"
 
+    def look(found, pairs) -> pa.RecordBatch:
+        """Counts of the pairs of some documents, looked up together."""
+        table, most = held.value
+        keys, times = (np.concatenate(c) for c in zip(*pairs, strict=True))
+        ends = np.cumsum([len(k) for k, _ in pairs])
+        at = table.find(keys)
+        n = np.where(at >= 0, table.counts[at], 0) if len(table.counts) else np.zeros(len(keys), np.int64)
+        best = np.where((at >= 0) & (n == most[keys >> 32]), times, 0)
+        for place, values in ((6, best), (7, times * n)):
+            sums = np.concatenate(([0], np.cumsum(values)))
+            for row, x in zip(found, (sums[ends] - sums[np.concatenate(([0], ends[:-1]))]).tolist(), strict=True):
+                row[place] = x
+        rows = found
+        if not is_all:
+            unknown = np.flatnonzero(at < 0)
+            owner = np.searchsorted(ends, unknown, "right")
+            rows = list(found)
+            for mine in np.split(unknown, np.flatnonzero(np.diff(owner)) + 1) if len(unknown) else []:
+                i = int(np.searchsorted(ends, mine[0], "right"))
+                rows += [(found[i][0], *[None] * 8, s, k.tobytes(), x.tobytes()) for s, k, x in by_shard(keys[mine], times[mine])]
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+
     def look_up(batches):
-        align, (table, most) = aligner(path_a, path_b, True), held.value
+        align = aligner(path_a, path_b)
         number = TaskContext.get().partitionId() << 40
         for batch in batches:
-            found = []
+            found, pairs, size = [], [], 0
             for i, aligned in zip(batch.column(0).to_pylist(), align.documents(batch.column(1).to_pylist()), strict=True):
                 number += 1
-                keys, times = aligned.pairs()
-                at = table.find(keys)
-                known = at >= 0
-                n = table.counts[at[known]]
-                best = int(times[known][n == most[keys[known] >> 32]].sum())
                 groups = hashlib.sha256(";".join([p.text for p in aligned.parts]).encode()).hexdigest() if aligned.parts else ""
-                sizes = [sum([p[k] for p in aligned.parts]) for k in range(4)]
-                found.append((number, i, *sizes, best, int(np.dot(times[known], n)), groups, None, None, None))
-                if not known.all():
-                    found += [(number, *[None] * 8, s, k.tobytes(), x.tobytes()) for s, k, x in by_shard(keys[~known], times[~known])]
-            columns = list(zip(*found, strict=True)) or [()] * len(schema)
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+                found.append([number, i, *[sum([p[k] for p in aligned.parts]) for k in range(4)], 0, 0, groups, None, None, None])
+                pairs.append(aligned.pairs())
+                size += len(pairs[-1][0])
+                if size > GATHER:
+                    yield look(found, pairs)
+                    found, pairs, size = [], [], 0
+            if found:
+                yield look(found, pairs)
 
     columns = ["doc_id", *NUMBERS, "groups_sha256"]
     found = prepared(rows).mapInArrow(look_up, shape)
@@ -673,7 +689,7 @@ def token_groups(docs: DataFrame, path_a: str, path_b: str, doc_id: str = "doc_i
     schema = pa.schema([("doc_id", pa.int64()), ("groups", pa.list_(pa.struct([("a", ids), ("b", ids)])))])
 
     def groups(batches):
-        align = aligner(path_a, path_b, True)
+        align = aligner(path_a, path_b)
         for batch in batches:
             found = []
             for aligned in align.documents(batch.column(1).to_pylist()):
