@@ -403,6 +403,7 @@ class MoreLikeThis(TextCondition):
         terms = [(w, n) for w, n in counts.items() if n >= self.min_term_freq]
         if not terms:
             return None
+        scope.preload(self.field, [w for w, _ in terms])
         rows = []
         for w, n in terms:
             found_in = scope.frequency(self.field, Word(w))
@@ -414,6 +415,11 @@ class MoreLikeThis(TextCondition):
             rows.append(F.when(found_in >= self.min_doc_freq, row))
         return F.slice(F.array_sort(F.array_compact(F.array(*rows))), 1, self.max_query_terms)
 
+    def parts(self, scope) -> list[Word]:
+        """Whatever of the given text may be chosen."""
+        words = [w for w in scope.analyzer(self.field).query(self.like) if w]
+        return [Word(w) for w in dict.fromkeys(words) if words.count(w) >= self.min_term_freq]
+
     def _needed(self, count: Column) -> Column:
         if isinstance(self.minimum, str) and self.minimum.endswith("%"):
             return F.greatest(F.floor(count * float(self.minimum[:-1]) / 100).cast("int"), F.lit(1))

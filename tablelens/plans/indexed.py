@@ -15,15 +15,24 @@ from tablelens.plans.scope import Scope, Statistics, safe_name
 LONGEST_GAP = 1000
 
 
-def indexable(condition, scope: Scope, fields) -> bool:
-    """Whether a condition needs no more of a text than the positions of its own terms."""
+def held_fields(conditions, scope: Scope, index) -> set[str]:
+    """Fields of which every condition needs no more than the positions of its own terms; all others read their texts."""
+    if index is None:
+        return set()
+    held = set(index.analyzers)
+    for condition in conditions:
+        held -= _unheld(condition, scope)
+    return held & {f for c in conditions for f in c.text_fields()}
+
+
+def _unheld(condition, scope: Scope) -> set[str]:
     if not condition.uses_text(scope):
-        return True
-    if isinstance(condition, (C.And, C.Or)):
-        return all(indexable(c, scope, fields) for c in condition.children)
-    if isinstance(condition, C.Phrase) and condition.slop >= LONGEST_GAP:
-        return False
-    return isinstance(condition, (C.Match, C.Phrase, C.TokenPrefix)) and condition.field in fields
+        return set()
+    if isinstance(condition, (C.And, C.Or, C.NoneOf)):
+        return {f for c in condition.children for f in _unheld(c, scope)}
+    if isinstance(condition, (C.Match, C.Phrase, C.TokenPrefix, C.MoreLikeThis)) and getattr(condition, "slop", 0) < LONGEST_GAP:
+        return set()
+    return set(condition.text_fields()) or {getattr(condition, "field", "")}
 
 
 class IndexStatistics(Statistics):
@@ -32,8 +41,19 @@ class IndexStatistics(Statistics):
     def __init__(self, index):
         super().__init__()
         self.index = index
+        self.known: dict[tuple[str, str], int] = {}
+        self.sizes: dict[tuple[str, str], float] = {}
+
+    def preload(self, field: str, words: list[str]) -> None:
+        """Frequencies of a query's words and the field's size by one read of their rows; from then on they are constants of the plan."""
+        rows = self.index.terms.filter((F.col("field") == field) & F.col("term").isin(words)).select("term", "df").collect()
+        size = self.index.fields.filter(F.col("field") == field).select("documents", "average").head()
+        self.sizes.update({(field, n): size[n] for n in ("documents", "average")} if size else {})
+        self.known.update({(field, w): 0 for w in words} | {(field, r["term"]): r["df"] for r in rows})
 
     def _field(self, field: str, column: str) -> Column:
+        if (field, column) in self.sizes:
+            return F.lit(self.sizes[field, column])
         return self.index.fields.filter(F.col("field") == field).select(F.max(column)).scalar()
 
     def documents(self, field, units, many):
@@ -44,6 +64,8 @@ class IndexStatistics(Statistics):
 
     def frequency(self, field, part, units, many):
         test = (F.col("field") == field) & part.accepts(F.col("term"))
+        if isinstance(part, Word) and (field, part.text) in self.known:
+            return F.lit(self.known[field, part.text])
         if isinstance(part, Word):
             return self.index.terms.filter(test).select(F.coalesce(F.sum("df"), F.lit(0))).scalar()
         return self.index.postings.filter(test).select(F.count_distinct("id")).scalar()
@@ -57,12 +79,17 @@ class IndexStatistics(Statistics):
 class IndexScope(Scope):
     """A row whose indexed fields have only the asked terms, at their places."""
 
-    def __init__(self, schema, analyzers, stored, index):
+    def __init__(self, schema, analyzers, stored, index, fields):
         super().__init__(schema, analyzers, stored)
-        self.index, self.statistics = index, IndexStatistics(index)
+        self.index, self.fields = index, fields
+        self.statistics: Statistics = IndexStatistics(index)
 
     def _held(self, field: str) -> bool:
-        return field in self.index.analyzers
+        return field in self.fields
+
+    def preload(self, field, words):
+        if self._held(field):
+            self.statistics.preload(field, words)
 
     def tokens(self, field):
         return F.col(f"__found_{safe_name(field)}") if self._held(field) else super().tokens(field)

@@ -166,6 +166,9 @@ class Scope:
     def frequency(self, field: str, part) -> Column:
         return self.statistics.frequency(self.full(field), part, *self._units(field))
 
+    def preload(self, field: str, words: list[str]) -> None:
+        """Announce words whose frequencies will be asked for."""
+
     def idf(self, field: str, part) -> Column:
         return idf(self.documents(field), self.frequency(field, part))
 

@@ -18,7 +18,7 @@ from tablelens.operators import highlight as H
 from tablelens.operators.projection import select_fields
 from tablelens.plans import conditions as C
 from tablelens.plans.criteria import Criteria, collect
-from tablelens.plans.indexed import IndexScope, indexable, with_found
+from tablelens.plans.indexed import IndexScope, held_fields, with_found
 from tablelens.plans.scope import Scope, Statistics
 
 
@@ -177,15 +177,19 @@ class Search(Criteria):
         similarity: float | str | None = None,
         signature: str | None = None,
         partition: str | None = None,
+        lists: retrieval.VectorLists | None = None,
+        probes: int = 8,
     ):
         def run() -> DataFrame:
             rows, condition = self.df, filter
             if callable(filter) and not isinstance(filter, Column):
                 # A search of its own: text and nested conditions bring their columns and statistics along.
-                inner = Search(self.df, self.id, self.text, self.tokens)
+                inner = self._inner()
                 inner.conditions = collect(filter)
                 rows, condition = inner.matched(), None
-            return retrieval.nearest(rows, self.id, field, vector, k, num_candidates, condition, similarity, signature, partition)
+            return retrieval.nearest(
+                rows, self.id, field, vector, k, num_candidates, condition, similarity, signature, partition, lists=lists, probes=probes
+            )
 
         self._retrievers.append((run, weight, False))
         return self
@@ -211,7 +215,7 @@ class Search(Criteria):
 
     def rrf(self, semantic_field: str, standard_field: str, phrase: str, weight: float = 1.0, embed=None, vectors=None):
         def run() -> DataFrame:
-            lexical = Search(self.df, self.id, self.text, self.tokens).match(standard_field, phrase)._scored_rows()
+            lexical = self._inner().match(standard_field, phrase)._scored_rows()
             lists = [lexical.select(self.id, "_score"), self._semantic_list(semantic_field, phrase, embed, vectors)]
             return fusion.reciprocal_rank(lists, self.id, self._window, self._constant)
 
@@ -244,12 +248,16 @@ class Search(Criteria):
 
     # Plan -------------------------------------------------------------------------
 
+    def _inner(self) -> Search:
+        """A search over the same table, with all that this one reads instead of texts."""
+        return Search(self.df, self.id, self.text, self.tokens, self.index)
+
     def _scope(self) -> Scope:
         plain = Scope(self.df.schema, self.text, self.tokens)
-        asked = [*self.conditions, *[c for _, branch in self._phases for c in branch]]
-        if self.index is None or not all(indexable(c, plain, self.index.analyzers) for c in asked):
+        held = held_fields([*self.conditions, *self._phase_conditions()], plain, self.index)
+        if not held:
             return plain
-        return IndexScope(self.df.schema, self.text, self.tokens, self.index)
+        return IndexScope(self.df.schema, self.text, self.tokens, self.index, held)
 
     def _filtered(self, scope: Scope, scored: bool) -> tuple[DataFrame, Column]:
         """Matching rows with what scoring needs, and the score."""
@@ -266,8 +274,8 @@ class Search(Criteria):
         for condition in plain:
             rows = rows.filter(condition.hit(scope))
         if isinstance(scope, IndexScope):
-            for field in [f for f in self.index.analyzers if any(f in c.text_fields() for c in [*textual, *self._phase_conditions()])]:
-                parts = self._accepting(scope, field, [*self.conditions, *self._phase_conditions()])
+            for field in [f for f in scope.fields if any(f in c.text_fields() for c in [*textual, *self._phase_conditions()])]:
+                parts = self._accepting(scope, field, [*self.conditions, *self._phase_conditions()], negated=True)
                 required = any(not isinstance(c, C.Group) and c.field == field for c in textual)
                 rows = with_found(rows, self.id, self.index, field, parts, required)
         documents = self.df.withColumns(scope.prepared) if scope.prepared else self.df
@@ -357,7 +365,12 @@ class Search(Criteria):
         if self._retrievers:
             rows = self._retrieved()
             if self._phases and self._rescoring_allowed():
-                rows = self._phase_columns(rows)
+                if self._limit is not None and not self._sorts and not self._after:
+                    # rows below the largest window and the page are neither rescored nor shown
+                    most = max(self._limit * max(self._page, 1), *[w for w, _ in self._phases])
+                    rows = self._phase_columns(fusion.top_of(rows, self.id, most).drop("rank"), True)
+                else:
+                    rows = self._phase_columns(rows, False)
         else:
             rows = self._scored_rows(self._wants_score())
         keys = list(self._sorts)
@@ -379,16 +392,15 @@ class Search(Criteria):
                 keys = [paging.SortKey("_tier", True), *keys]
         return rows, paging.with_tie_break(keys, self.id) if keys else []
 
-    def _phase_columns(self, rows: DataFrame) -> DataFrame:
-        """Second-query scores of retrieved rows, with statistics of the whole table."""
-        inner = Search(self.df, self.id, self.text, self.tokens)
+    def _phase_columns(self, rows: DataFrame, few: bool) -> DataFrame:
+        """Second-query scores of retrieved rows, with statistics of the whole table; ``few`` ones are broadcast."""
+        inner = self._inner()
         inner._phases = self._phases
         wide, _ = inner._filtered(inner._scope(), True)
         names = [f"__phase{i}" for i in range(len(self._phases))]
-        scores = wide.join(F.broadcast(rows.select(self.id)), self.id, "left_semi").select(
-            self.id, *[s.alias(n) for s, n in zip(inner._phase_scores, names)]
-        )
-        return rows.join(scores, self.id)
+        asked = rows.select(self.id)
+        scores = wide.join(F.broadcast(asked) if few else asked, self.id, "left_semi")
+        return rows.join(scores.select(self.id, *[s.alias(n) for s, n in zip(inner._phase_scores, names)]), self.id)
 
     def hits(self) -> DataFrame:
         """The page of hits: records, ``_score``, inner hits and highlights.
@@ -443,12 +455,12 @@ class Search(Criteria):
     def _phase_conditions(self) -> list:
         return [c for _, branch in self._phases for c in branch]
 
-    def _accepting(self, scope: Scope, field: str, conditions: list | None = None) -> list:
-        """What the text conditions on a field look for."""
+    def _accepting(self, scope: Scope, field: str, conditions: list | None = None, negated: bool = False) -> list:
+        """What the text conditions on a field look for; with ``negated`` also what must not be there."""
         out: list = []
 
         def walk(condition):
-            if isinstance(condition, C.NoneOf):
+            if isinstance(condition, C.NoneOf) and not negated:
                 return
             if isinstance(condition, C.Group):
                 for c in condition.children:

@@ -471,6 +471,15 @@ _indexed("fuzzy_indexed", "match_fuzzy_expansions", lambda s: s.match("text", "t
 _indexed("boosted_indexed", "boosted_phrase", lambda s: s.match_boosted_phrase("text", "for the", ["or", "and", "exact"], [2, 5, 7]))
 
 
+_indexed("similar_indexed", "more_like_this", lambda s: s.more_like_this("text", LIKE, max_query_terms=3, minimum_should_match="70%"))
+
+
+@query("expression_indexed", SQL["text_expression"])
+def _(spark, d):
+    wanted = prefix("thor") & (word("thing") | phrase("of the") | fuzzy("onlyx", 1)) & ~word("ther")
+    return ids(indexed(spark, d).text_expression("text", wanted))
+
+
 @query("semantic_stored", semantic_sql(f"SELECT item_id, unnest({DOC_WORDS}) AS term FROM benchmark", "item_id", 10))
 def _(spark, d):
     """Against vectors that were written once."""

@@ -9,12 +9,12 @@ from pyspark.sql import functions as F
 from tablelens.functions import vectors as V
 from tablelens.functions.text import ENGLISH
 from tablelens.operators import fusion, retrieval
-from tablelens.operators.batch_text import batch_search, semantic_search
-from tablelens.plans.runtime import new_path
+from tablelens.operators.batch_text import batch_search, hashed_vectors, semantic_search
+from tablelens.plans.runtime import new_path, written
 from tablelens.plans.search import Search
-from tablelens.queries import query
+from tablelens.queries import SQL, query
 from tablelens.queries.text import (
-    BENCHMARK_TERMS, CORPUS, DOC_WORDS, PART, documents, search, semantic_sql,
+    BENCHMARK_TERMS, CORPUS, DOC_WORDS, PART, documents, indexed, search, semantic_sql,
 )
 from tablelens.sources.reader import read_table
 
@@ -109,6 +109,48 @@ def _(spark, d):
     return hits(Search(signed, "vec_id").knn("embedding", probe(4), 10, num_candidates=100, signature="signature"))
 
 
+#: Lists whose centres are the first rows of the sample (no rounds of fitting), so that SQL can say the same.
+LISTS, PROBES = 16, 11
+_NEAR = "list_cosine_similarity({}.embedding::DOUBLE[], {}.v)"
+_CENTRES = f"""centres AS (SELECT embedding::DOUBLE[] AS v, row_number() OVER (ORDER BY md5(vec_id::VARCHAR), vec_id) AS n FROM embeddings
+    WHERE embedding IS NOT NULL QUALIFY n <= {LISTS}),
+  rows AS (SELECT e.vec_id, arg_max(n, (round({_NEAR.format("e", "c")}, 12), -n)) AS list FROM embeddings e, centres c GROUP BY e.vec_id)"""
+
+
+def stored_lists(spark, d, rounds=0, lists=LISTS):
+    return retrieval.VectorLists.write(embeddings(spark, d), "vec_id", "embedding", DIM, new_path(spark, "lists"), lists, rounds=rounds)
+
+
+@query(
+    "knn_lists",
+    rounded(
+        f"""WITH {_CENTRES}, chosen AS (SELECT n FROM centres ORDER BY round(list_cosine_similarity(v, {literal(probe(4))}), 12) DESC, n LIMIT {PROBES})
+        SELECT vec_id, (1 + {cosine_sql(probe(4))}) / 2 AS _score FROM embeddings JOIN rows USING (vec_id)
+        WHERE list IN (SELECT n FROM chosen) ORDER BY _score DESC, vec_id LIMIT 10"""
+    ),
+)
+def _(spark, d):
+    """Only the files of the nearest lists are read."""
+    stored = stored_lists(spark, d)
+    return hits(Search(stored.rows, "vec_id").knn("embedding", probe(4), 10, lists=stored, probes=PROBES))
+
+
+@query(
+    "knn_join_lists",
+    f"""WITH {_CENTRES}, asked AS (SELECT vec_id AS query_id, embedding FROM embeddings WHERE vec_id % 20 = 0),
+      near AS (SELECT query_id, n, row_number() OVER (PARTITION BY query_id ORDER BY round({_NEAR.format("a", "c")}, 12) DESC, n) AS place FROM asked a, centres c),
+      pairs AS (SELECT a.query_id, e.vec_id, round((1 + round(list_cosine_similarity(a.embedding::DOUBLE[], e.embedding::DOUBLE[]), 12)) / 2, 6) AS _score
+        FROM asked a JOIN near USING (query_id) JOIN rows ON list = n JOIN embeddings e ON e.vec_id = rows.vec_id WHERE place <= {PROBES})
+      SELECT query_id, vec_id, _score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY _score DESC, vec_id) AS rank FROM pairs) WHERE rank <= 5""",
+)
+def _(spark, d):
+    """Every twentieth row asks for its neighbours among the rows of its nearest lists."""
+    stored = stored_lists(spark, d)
+    asked = embeddings(spark, d).filter("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), "embedding")
+    found = stored.nearest_for_each(asked, "query_id", "embedding", 5, PROBES)
+    return found.select("query_id", "vec_id", F.round("_score", 6).alias("_score"))
+
+
 @query("knn_approximate_stored", APPROXIMATE)
 def _(spark, d):
     stored = retrieval.write_signed(embeddings(spark, d), "embedding", DIM, new_path(spark, "vectors"))
@@ -235,6 +277,29 @@ def _(spark, d):
     return found.hits().select("doc_id", F.round("_score", 6).alias("_score"))
 
 
+@query("rrf_indexed", SQL["text_rank_fusion"])
+def _(spark, d):
+    """Words by the index, meaning by vectors that were written once: no text is read for either list."""
+    stored = written(hashed_vectors(documents(spark, d), "doc_id", "text"), "vectors")
+    found = indexed(spark, d).rrf("text", "text", "thing there only", vectors=stored)
+    return found.hits().select("doc_id", F.round("_score", 6).alias("_score"))
+
+
+@query(
+    "fused_rescored",
+    f"""WITH sem AS (SELECT doc_id, _score AS s, rank FROM ({semantic_sql(
+          "SELECT 0 AS query, unnest(['thing', 'there', 'only']) AS term", "query", 50).replace("round((1 + ", "((1 + ")
+          .replace(") / 2, 6) AS _score", ") / 2) AS _score")})),
+      e AS (SELECT doc_id, x FROM (WITH {CORPUS} SELECT doc_id, sum({PART}) AS x FROM f JOIN v USING (term), c
+        WHERE term = 'there' GROUP BY doc_id))
+      SELECT doc_id, round(s + CASE WHEN rank <= 25 THEN coalesce(x, 0) ELSE 0 END, 6) AS _score
+      FROM sem LEFT JOIN e USING (doc_id) ORDER BY rank <= 25 DESC, _score DESC, doc_id LIMIT 30""",
+)
+def _(spark, d):
+    found = indexed(spark, d).semantic("text", "thing there only").rescore(25, lambda q: q.match("text", "there"))
+    return found.limit(30).hits().select("doc_id", F.round("_score", 6).alias("_score"))
+
+
 @query(
     "batch_rank_fusion",
     f"""WITH lex AS (SELECT item_id, doc_id, row_number() OVER (PARTITION BY item_id ORDER BY _score DESC, doc_id) AS rank

@@ -235,6 +235,46 @@ def test_approximate_neighbours_recall(spark):
     assert found / total >= 0.7
 
 
+def around_centres(spark, rows=3000, centres=40):
+    """Vectors as models give them: many around few directions."""
+    rng = np.random.default_rng(4)
+    points = rng.standard_normal((centres, DIM))
+    vectors = points[rng.integers(0, centres, rows)] + 0.5 * rng.standard_normal((rows, DIM))
+    data = [(i, v.tolist()) for i, v in enumerate(vectors)] + [(rows, None)]
+    return spark.createDataFrame(data, "vec_id long, embedding array<double>")
+
+
+def test_lists_find_neighbours_in_few_rows(spark, tmp_path):
+    """Nine tenths of the neighbours among five hundredths of the rows, the asking row left out."""
+    vectors = around_centres(spark)
+    lists = retrieval.VectorLists.write(vectors, "vec_id", "embedding", DIM, str(tmp_path / "lists"), lists=80)
+    asked = vectors.filter("vec_id % 20 = 0").select(F.col("vec_id").alias("q"), "embedding")
+    assert lists.recall(asked, "q", "embedding", 10, probes=4) >= 0.9
+    sizes = {r[0]: r[1] for r in lists.rows.groupBy(retrieval.LIST).count().collect()}
+    read_rows = [sum(sizes.get(n, 0) for n in lists.nearest_lists(r["embedding"], 4)) for r in asked.filter("embedding is not null").collect()]
+    assert np.mean(read_rows) <= 0.055 * 3000
+
+
+def test_lists_of_the_given_vectors(spark, tmp_path):
+    """Their directions are even, so most lists must be read; every row has a list, and all lists give the exact answer."""
+    vectors = read(spark, "embeddings")
+    lists = retrieval.VectorLists.write(vectors, "vec_id", "embedding", DIM, str(tmp_path / "lists"), lists=16)
+    assert lists.rows.count() == vectors.count() and lists.rows.filter(F.col(retrieval.LIST).isNull()).count() == 0
+    asked = vectors.filter("vec_id % 20 = 0").select(F.col("vec_id").alias("q"), "embedding")
+    assert lists.recall(asked, "q", "embedding", 10, probes=12) >= 0.9
+    whole = lists.nearest_for_each(asked, "q", "embedding", 5, probes=16, rows_per_block=50, queries_per_block=7)
+    exact = retrieval.nearest_for_each(vectors, "vec_id", "embedding", asked, "q", "embedding", 5, DIM)
+    assert rows_of(whole.select("q", "vec_id", "rank")) == rows_of(exact.select("q", "vec_id", "rank"))
+
+
+def test_a_search_reads_few_lists(spark, tmp_path):
+    lists = retrieval.VectorLists.write(around_centres(spark), "vec_id", "embedding", DIM, str(tmp_path / "lists"), lists=80)
+    found = Search(lists.rows, "vec_id").knn("embedding", probe(4), 5, lists=lists, probes=4).hits()
+    assert "PartitionFilters: [vector_list" in plan(found).replace("isnotnull(vector_list#", "").replace("  ", " ") or "vector_list" in plan(found).split("PartitionFilters")[1][:200]
+    filtered = Search(lists.rows, "vec_id").knn("embedding", probe(4), 5, lists=lists, probes=80, filter=lambda q: q.range("vec_id", "lt", 100))
+    assert {r.vec_id for r in filtered.hits().collect()} == {r.vec_id for r in retrieval.nearest(lists.rows, "vec_id", "embedding", probe(4), 5, filter=F.col("vec_id") < 100).collect()}
+
+
 def test_candidates_prune_partitions(spark, tmp_path):
     stored = retrieval.write_signed(read(spark, "embeddings"), "embedding", DIM, str(tmp_path / "signed"))
     args = ("vec_id", "embedding", probe(4), 5, 20)
@@ -336,6 +376,49 @@ def test_an_indexed_search_does_not_read_the_text(spark, tmp_path):
     assert "text:string" not in plan(search.fields(["doc_id"]).hits())
 
 
+def test_negations_similar_texts_and_fusion_do_not_read_the_text(spark, tmp_path):
+    docs = read(spark, "documents")
+    index = TextIndex.write(docs, "doc_id", {"text": STANDARD}, str(tmp_path / "index"))
+
+    def made():
+        return Search(docs, "doc_id", {"text": STANDARD}, index=index)
+
+    searches = [
+        made().match("text", "thing").must_not(lambda q: q.match("text", "only")),
+        made().more_like_this("text", "thing thing only only there there", min_doc_freq=1),
+        made().match("text", "thing").rescore(20, lambda q: q.match("text", "only")).limit(5),
+    ]
+    for search in searches:
+        assert "text:string" not in plan(search.fields(["doc_id"]).hits())
+        search.index = None
+        scan = {(r[0], round(r[-1], 9)) for r in search.fields(["doc_id"]).hits().select("doc_id", "_score").collect()}
+        search.index = index
+        assert {(r[0], round(r[-1], 9)) for r in search.fields(["doc_id"]).hits().select("doc_id", "_score").collect()} == scan
+
+
+def test_a_field_without_an_index_form_leaves_the_others_indexed(spark, tmp_path):
+    docs = read(spark, "documents").withColumn("title", F.col("lang"))
+    analyzers = {"text": STANDARD, "title": STANDARD}
+    index = TextIndex.write(docs, "doc_id", analyzers, str(tmp_path / "index"))
+    search = Search(docs, "doc_id", analyzers, index=index).match("text", "thing").match_phrase("title", "en", slop=5000)
+    assert "text:string" not in plan(search.fields(["doc_id"]).hits())
+
+
+def test_rescoring_retrieved_rows_with_and_without_a_limit(spark):
+    """A limit only scores the rows that the window and the page can show."""
+    docs = read(spark, "documents")
+
+    def fused(limit=None):
+        search = Search(docs, "doc_id", {"text": STANDARD}).match("text", "thing").semantic("text", "only there")
+        search.rescore(30, lambda q: q.match("text", "there"))
+        return search if limit is None else search.limit(limit)
+
+    whole = fused().hits()
+    best = {r.doc_id: round(r._score, 9) for r in fused(10).hits().collect()}
+    everything = {r.doc_id: round(r._score, 9) for r in whole.collect()}
+    assert len(best) == 10 and all(everything[i] == s for i, s in best.items())
+
+
 def test_rescoring_phases_do_not_add_scans(spark):
     def scans(phases):
         search = Search(read(spark, "documents"), "doc_id", {"text": STANDARD}).match("text", "thing only")
