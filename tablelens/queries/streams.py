@@ -39,14 +39,30 @@ def _(spark, d):
     return table.read()
 
 
-def _histogram(interval: str, minutes: int):
-    @query(f"stream_histogram_{interval}", histogram_sql("events", "ts", interval, minutes))
+def _histogram(interval: str, minutes: int, table: str = "events", field: str = "ts"):
+    @query(f"stream_histogram_{interval}", histogram_sql(table, field, interval, minutes))
     def _(spark, d):
         path, view = new_path(spark, "histogram"), f"histogram_{uuid.uuid4().hex}"
-        stream = file_stream(spark, d, "events")
-        stream_histogram(stream, "ts", interval, path, new_path(spark, "progress"), minutes, view=view).awaitTermination()
+        stream = file_stream(spark, d, table)
+        stream_histogram(stream, field, interval, path, new_path(spark, "progress"), minutes, view=view).awaitTermination()
         return spark.table(view)
 
 
 _histogram("day", 0)
 _histogram("hour", 330)
+_histogram("month", 0, "orders", "o_orderdate")
+_histogram("quarter", 330, "orders", "o_orderdate")
+_histogram("year", -90, "orders", "o_orderdate")
+
+
+@query(
+    "stream_histogram_closed_months",
+    f"""WITH h AS ({histogram_sql("orders", "o_orderdate", "month", 0)})
+      SELECT * FROM h WHERE bucket + INTERVAL 1 MONTH < (SELECT max(o_orderdate) - INTERVAL 2 DAY FROM orders)""",
+)
+def _(spark, d):
+    """Each month once, when two days of the next one are in."""
+    path = new_path(spark, "histogram")
+    stream = file_stream(spark, d, "orders")
+    stream_histogram(stream, "o_orderdate", "month", path, new_path(spark, "progress"), late="2 days", mode="append").awaitTermination()
+    return spark.read.schema("key string, bucket timestamp_ntz, count long").parquet(path)

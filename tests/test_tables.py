@@ -1,3 +1,5 @@
+import datetime
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -220,3 +222,39 @@ def test_patch_to_null_and_unique_checks(spark):
     old = make(spark, [("1", 1, "a")])
     changed = changes.patch(old, spark.createDataFrame([("1", None)], "id string, n int"), "id", {"n": F.lit(True)})
     assert content(changed) == [("1", None, "a")]
+
+
+def test_closed_calendar_buckets(spark, tmp_path):
+    """A bucket comes once, after its end and the allowed delay; rows of a closed one are dropped; a restart goes on."""
+    folder, out = str(tmp_path / "in"), str(tmp_path / "out")
+
+    def batch(*times):
+        rows = spark.createDataFrame([(t,) for t in times], "t string").select(F.col("t").cast("timestamp").alias("ts"))
+        rows.coalesce(1).write.mode("append").parquet(folder)
+
+    def run():
+        stream = spark.readStream.schema("ts timestamp").parquet(folder)
+        stream_histogram(stream, "ts", "month", out, str(tmp_path / "cp"), "+01:00", late="2 days", mode="append").awaitTermination()
+        return {r.key: r["count"] for r in spark.read.schema("key string, bucket timestamp_ntz, count long").parquet(out).collect()}
+
+    batch("2024-01-05 00:00:00", "2024-01-31 22:59:59", "2024-01-31 23:00:00", None)
+    assert run() == {}
+    batch("2024-02-01 12:00:00", "2024-01-30 12:00:00")  # late, but within the delay
+    assert run() == {}
+    batch("2024-02-03 12:00:00")
+    assert run() == {"2024-01": 3}
+    batch("2024-01-10 00:00:00", "2024-02-09 00:00:00")  # the first is too late
+    assert run() == {"2024-01": 3}
+    batch("2024-06-01 00:00:00")
+    assert run() == {"2024-01": 3, "2024-02": 4}
+
+
+def test_calendar_ends():
+    from tablelens.streaming.jobs import _bucket_end
+
+    def seconds(text):
+        return int(datetime.datetime.fromisoformat(text + "+00:00").timestamp())
+
+    assert _bucket_end(seconds("2024-02-01T00:00:00"), "month") == seconds("2024-03-01T00:00:00")
+    assert _bucket_end(seconds("2023-10-01T00:00:00"), "quarter") == seconds("2024-01-01T00:00:00")
+    assert _bucket_end(seconds("1968-01-01T00:00:00"), "year") == seconds("1969-01-01T00:00:00")
