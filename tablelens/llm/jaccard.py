@@ -37,6 +37,12 @@ COMMON = 3
 CHUNK = 1 << 18
 RANGE_CHARS = 1 << 25
 NO_ID = np.iinfo(np.int64).max
+#: Nodes that may share a rare shingle before it only pairs sets that can still reach the bound from there on.
+HOT = 64
+#: Places beyond are written as this one, which only makes bounds looser.
+FAR = (1 << 16) - 1
+#: Set sizes up to this one are classes of their own; above, a class is about a fiftieth of its sizes wide.
+EXACT_SIZES = 64
 
 
 def shingles(text: str, width: int) -> np.ndarray:
@@ -119,8 +125,9 @@ class _Chunk:
             nodes, sizes = np.array(list(self.nodes), np.int64), np.array(list(self.nodes.values()), np.int64)
             owners = np.repeat(np.arange(len(nodes)), [len(t) for t in self.tokens])
             tokens = np.concatenate(self.tokens)
+            places = np.concatenate([np.arange(len(t)) for t in self.tokens])
             order = np.argsort(tokens)
-            tokens, owners = tokens[order], owners[order]
+            tokens, owners, places = tokens[order], owners[order], np.minimum(places[order], FAR).astype("<u2")
             part = ((tokens >> np.uint64(32)) * np.uint64(self.ranges) >> np.uint64(32)).astype(np.int64)
             cuts = np.searchsorted(part, np.arange(self.ranges + 1))
             for k in range(self.ranges):
@@ -128,22 +135,24 @@ class _Chunk:
                 if a < b:
                     used, local = np.unique(owners[a:b], return_inverse=True)
                     head = np.array([b - a, len(used)], "<u4")
-                    parts = (head, nodes[used], sizes[used].astype("<u4"), tokens[a:b].astype("<u8"), local.astype("<u4"))
+                    parts = (head, nodes[used], sizes[used].astype("<u4"), tokens[a:b].astype("<u8"), local.astype("<u4"), places[a:b])
                     yield k, TOKEN, b"".join(x.tobytes() for x in parts)
         self.reset()
 
 
 def _unpacked(data: bytes):
-    """Tokens, nodes and set sizes."""
+    """Tokens, nodes, set sizes and places in the order of rarity."""
     n, m = np.frombuffer(data, "<u4", 2).tolist()
     nodes, sizes = np.frombuffer(data, "<i8", m, 8), np.frombuffer(data, "<u4", m, 8 + 8 * m)
     tokens, local = np.frombuffer(data, "<u8", n, 8 + 12 * m), np.frombuffer(data, "<u4", n, 8 + 12 * m + 8 * n)
-    return tokens, nodes[local], sizes[local].astype(np.int64)
+    places = np.frombuffer(data, "<u2", n, 8 + 12 * m + 12 * n)
+    return tokens, nodes[local], sizes[local].astype(np.int64), places.astype(np.int64)
 
 
 def matrix(rows: DataFrame, width: int, percent: int, weights) -> DataFrame:
     """Rows of two kinds: each document (its id, node, set size, two smallest hashes, text key), and each rare
-    shingle of a node that is a rare shingle of another node too (token, node, set size)."""
+    shingle of a node that is a rare shingle of another node too (token, node, set size, in h1 its place in the node's
+    order of rarity, in h2 whether more than HOT nodes have it)."""
     chars = rows.agg(F.coalesce(F.sum(F.char_length("text")), F.lit(0))).head()[0]
     ranges = max(16, -(-chars // RANGE_CHARS))
     schema = pa.schema([("part", pa.int32()), ("kind", pa.int32()), ("packed", pa.binary())])
@@ -178,19 +187,18 @@ def matrix(rows: DataFrame, width: int, percent: int, weights) -> DataFrame:
             found.append([np.full(len(held), DOCUMENT), pa.array(held[:, 0], pa.int64(), mask=none), *held[:, 1:].T])
         parts = [_unpacked(packs[i].as_py()) for i, k in enumerate(kinds) if k == TOKEN]
         if parts:
-            tokens, nodes, sizes = (np.concatenate(x) for x in zip(*parts, strict=True))
-            order = np.argsort(tokens)
-            tokens, nodes, sizes = tokens[order], nodes[order], sizes[order]
-            starts = np.flatnonzero(np.concatenate(([True], tokens[1:] != tokens[:-1])))
-            several = np.minimum.reduceat(nodes, starts) != np.maximum.reduceat(nodes, starts)
-            keep = np.repeat(several, np.diff(np.append(starts, len(tokens))))
-            tokens, nodes, sizes = tokens[keep].view(np.int64), nodes[keep], sizes[keep]
+            tokens, nodes, sizes, places = (np.concatenate(x) for x in zip(*parts, strict=True))
             order = np.lexsort((nodes, tokens))
-            tokens, nodes, sizes = tokens[order], nodes[order], sizes[order]
-            if len(tokens):
-                first = np.concatenate(([True], (tokens[1:] != tokens[:-1]) | (nodes[1:] != nodes[:-1])))
-                none = np.zeros(int(first.sum()), np.int64)
-                found.append([none + TOKEN, tokens[first], nodes[first], sizes[first], none, none, none])
+            tokens, nodes, sizes, places = tokens[order], nodes[order], sizes[order], places[order]
+            first = np.concatenate(([True], (tokens[1:] != tokens[:-1]) | (nodes[1:] != nodes[:-1])))
+            tokens, nodes, sizes, places = tokens[first], nodes[first], sizes[first], places[first]
+            starts = np.flatnonzero(np.concatenate(([True], tokens[1:] != tokens[:-1])))
+            several = np.diff(np.append(starts, len(tokens)))
+            several = np.repeat(several, several)
+            keep = several > 1
+            if keep.any():
+                none = np.zeros(int(keep.sum()), np.int64)
+                found.append([none + TOKEN, tokens[keep].view(np.int64), nodes[keep], sizes[keep], places[keep], several[keep] > HOT, none])
         tables = [pa.table([pa.array(c, f.type) for c, f in zip(columns, out, strict=True)], schema=out) for columns in found]
         return pa.concat_tables(tables) if tables else out.empty_table()
 
@@ -342,7 +350,9 @@ def rooted_nodes(docs: DataFrame, width: int, percent: int, doc_id: str, text: s
     weights = docs.sparkSession.sparkContext.broadcast(shingle_counts(rows, width))
     found = written(matrix(rows, width, percent, weights), "matrix")
     documents = found.filter(F.col("kind") == DOCUMENT).select(F.col("value").alias("doc_id"), "node", "n", "h1", "h2", "key")
-    index = found.filter(F.col("kind") == TOKEN).select(F.col("value").alias("token"), "node", "n")
+    index = found.filter(F.col("kind") == TOKEN).select(
+        F.col("value").alias("token"), "node", "n", (F.col("n") - F.col("h1")).alias("rest"), (F.col("h2") > 0).alias("hot")
+    )
 
     classes = documents.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("least"), F.min("h1").alias("h1"), F.min("h2").alias("h2"))
     classes = written(classes, "classes")
@@ -381,44 +391,79 @@ def grouped(labels: DataFrame) -> DataFrame:
     return placed.join(totals, "place").select("node", "label", "n", block)
 
 
+def size_class(n: str) -> str:
+    return f"int(CASE WHEN {n} <= {EXACT_SIZES} THEN {n} ELSE {EXACT_SIZES} + floor(50 * ln({n} / {EXACT_SIZES}.0)) END)"
+
+
+def smallest_of(d: str) -> str:
+    """No set of a class has fewer elements."""
+    return f"bigint(CASE WHEN {d} <= {EXACT_SIZES} THEN {d} ELSE floor({EXACT_SIZES} * exp(({d} - {EXACT_SIZES}) / 50.0)) - 1 END)"
+
+
+def asking(index: DataFrame, blocks: DataFrame, stats: DataFrame, percent: int) -> DataFrame:
+    """(block, node): the groups that a set has to ask, of another label than its own, by the matrix.
+
+    Sets that link share COMMON of their first elements in the order of rarity, and the first one they share stands so near to both
+    beginnings that what follows can reach the bound.  An element of few sets pairs them by the first rule.  One of more than
+    HOT sets only pairs by the second, under a key of element and both size classes: texts of one template,
+    which share most elements but too few of them, have no key in common.
+    A set with such an element goes by the second rule alone, as its others may not count up.
+    """
+    strong = index.groupBy("node").agg(F.max("hot").alias("strong"))
+    rows = index.join(blocks.select("node", "block"), "node").join(strong, "node").join(stats.select("block", "size", "only"), "block")
+    rows = written(rows, "tokens")  # the rows of the token-group matrix that can decide
+
+    def overlap(n: str, m: str) -> str:
+        return f"ceil({percent} * ({n} + {m}) / {100 + percent}.0 - 1e-9)"
+
+    # the smaller group's sets ask the larger group
+    may_ask = """block <> own and (size > own_size or (size = own_size and block > own)) and coalesce(only <> own_only, true)"""
+    mine = [F.col("block").alias("own"), F.col("size").alias("own_size"), F.col("only").alias("own_only")]
+    few = rows.filter("not hot")
+    left = few.select("token", "node", F.col("n").alias("x_n"), F.col("rest").alias("x_rest"), F.col("strong").alias("x_strong"), *mine)
+    right = few.groupBy("token", "block").agg(
+        F.min("n").alias("low"), F.max("n").alias("high"), F.max("rest").alias("rest"), F.max("strong").alias("strong"), F.first("size").alias("size"), F.first("only").alias("only")
+    )
+    reach = f"""{may_ask} and 100 * high >= {percent} * x_n and 100 * x_n >= {percent} * low
+        and least(rest, x_rest) + {COMMON - 1} >= {overlap("x_n", "low")}"""
+    weight = F.when(F.col("x_strong") | F.col("strong"), F.lit(COMMON)).otherwise(F.lit(1))
+    met = left.join(right, "token").filter(F.expr(reach)).select("node", "block", F.least("x_n", "low").alias("n"), weight.alias("weight"))
+
+    classes = F.expr(f"""explode(sequence({size_class(f"greatest(1, bigint(ceil(n * {percent} / 100.0)))")}, {size_class(f"bigint(floor(n * 100 / {percent}.0))")}))""")
+    near = rows.filter("hot").withColumn("mine", F.expr(size_class("n"))).withColumn("other", classes)
+    smaller = f"greatest({smallest_of('other')}, bigint(ceil(n * {percent} / 100.0)))"
+    near = near.filter(F.expr(f"rest >= {overlap('n', smaller)}"))
+    pair = [F.least("mine", "other").alias("lo"), F.greatest("mine", "other").alias("hi")]
+    sides = near.select("token", "node", "block", "size", "only", "n", "mine", *pair)
+    # copies of one text are groups of one label, which do not ask each other: what a key's commonest label has only meets the others
+    keys = ["token", "lo", "hi"]
+    labelled = sides.filter("only is not null").groupBy(*keys, "only").agg(F.count(F.lit(1)).alias("rows"))
+    common = labelled.groupBy(*keys).agg(F.max_by("only", F.struct("rows", "only")).alias("common"))
+    sides = sides.join(common, keys, "left").withColumn("usual", F.coalesce(F.col("only") == F.col("common"), F.lit(False)))
+    # a set of the lower class meets groups with sets of the higher one, and the other way about
+    left = sides.select(*keys, (F.col("mine") == F.col("lo")).alias("at_lo"), F.col("usual").alias("for"), "node", "n", *mine)
+    at_lo = F.when(F.col("lo") == F.col("hi"), F.lit(True)).otherwise(F.col("mine") == F.col("hi")).alias("at_lo")
+    askers = F.explode(F.when(F.col("usual"), F.array(F.lit(False))).otherwise(F.array(F.lit(False), F.lit(True)))).alias("for")
+    right = sides.select(*keys, at_lo, "usual", "block", "size", "only").distinct().select(*keys, "at_lo", askers, "block", "size", "only")
+    hot = left.join(right, [*keys, "at_lo", "for"]).filter(F.expr(may_ask)).select("node", "block", "n", F.lit(COMMON).alias("weight"))
+    counted = met.unionByName(hot).groupBy("node", "block").agg(F.sum("weight").alias("shared"), F.min("n").alias("n"))
+    return counted.filter(F.expr(f"shared >= least({COMMON}, ceil(n * {percent} / 100.0))")).select("block", "node")
+
+
 def cross_links(index: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links between labels, from the groups that qualify."""
     blocks = written(grouped(labels), "blocks")
-    stats = blocks.groupBy("block").agg(
-        F.count(F.lit(1)).alias("size"), F.min("n").alias("low"), F.max("n").alias("high"),
-        F.when(F.min("label") == F.max("label"), F.min("label")).alias("only"),
-    )
+    stats = blocks.groupBy("block").agg(F.count(F.lit(1)).alias("size"), F.when(F.min("label") == F.max("label"), F.min("label")).alias("only"))
     stats = written(stats, "stats")
-    tokens = index.select("token", "node").join(blocks.select("node", "block"), "node").select("token", "block").distinct()
-    tokens = written(tokens, "tokens")  # the rows of the token-group matrix that can decide
-    sized = tokens.join(stats.drop("size"), "block")
-    left, right = (sized.select("token", *[F.col(c).alias(f"{x}_{c}") for c in ("block", "low", "high", "only")]) for x in "ab")
-    near = F.expr(
-        f"""a_block < b_block and 100 * a_high >= {percent} * b_low and 100 * b_high >= {percent} * a_low
-            and coalesce(a_only <> b_only, true)"""
-    )
-    shared = left.join(right, "token").filter(near).groupBy(F.col("a_block").alias("a"), F.col("b_block").alias("b"))
-    lowest = F.min(F.ceil(F.least("a_low", "b_low") * percent / F.lit(100)))
-    pairs = shared.agg(F.count(F.lit(1)).alias("tokens"), lowest.alias("lowest"))
-    pairs = pairs.filter(F.col("tokens") >= F.least(F.lit(COMMON), "lowest")).select("a", "b")
-    # a group of several labels asks itself; of two groups the larger is asked, the sets of the smaller ask
-    pairs = pairs.unionByName(stats.filter("size > 1 and only is null").select(F.col("block").alias("a"), F.col("block").alias("b")))
-    sizes = stats.select("block", "size")
-    pairs = pairs.join(sizes.withColumnsRenamed({"block": "a", "size": "a_size"}), "a").join(sizes.withColumnsRenamed({"block": "b", "size": "b_size"}), "b")
-    larger = F.expr("a_size >= b_size")
-    ask = written(
-        pairs.select(
-            F.when(larger, F.col("a")).otherwise(F.col("b")).alias("block"),
-            F.when(larger, F.col("b")).otherwise(F.col("a")).alias("asker"),
-            F.least("a_size", "b_size").alias("asking"),
-        ),
-        "asked",
-    )
-    copies = ask.groupBy("block").agg(F.ceil(F.sum("asking") / F.lit(QUERIES)).cast("long").alias("copies"))
+    asks = asking(index, blocks, stats, percent)
+    # a group of several labels asks itself
+    asks = asks.unionByName(blocks.join(stats.filter("size > 1 and only is null").select("block"), "block").select("block", "node"))
+    ask = written(asks, "asked")
+    copies = ask.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / F.lit(QUERIES)).cast("long").alias("copies"))
     members = blocks.join(copies, "block").select(
         "block", "node", "label", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)).alias("copy"), F.lit(False).alias("asks")
     )
-    askers = ask.join(copies, "block").join(blocks.select("node", "label", F.col("block").alias("asker")), "asker")
+    askers = ask.join(copies, "block").join(blocks.select("node", "label"), "node")
     askers = askers.select("block", "node", "label", F.pmod(F.xxhash64("node", "block"), "copies").alias("copy"), F.lit(True).alias("asks"))
     asked = written(members.unionByName(askers), "members")
     return open_groups(sets_of(sets, asked), percent).distinct()

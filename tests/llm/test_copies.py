@@ -84,6 +84,42 @@ def test_jaccard(spark, monkeypatch):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == components(rows, 3, 70)
 
 
+@pytest.mark.parametrize("percent", [55, 85])
+def test_jaccard_of_frequent_shingles(spark, monkeypatch, percent):
+    """Texts of few templates, some linked and some just not, with nearly every shingle in many of them."""
+    monkeypatch.setattr(jaccard, "GROUP", 5)
+    monkeypatch.setattr(jaccard, "QUERIES", 3)
+    monkeypatch.setattr(jaccard, "HOT", 2)
+    monkeypatch.setattr(jaccard, "EXACT_SIZES", 8)
+    rng = random.Random(percent)
+    rows = []
+    for i in range(160):
+        base = [f"t{rng.randint(0, 2)}w{k}" for k in range(1)] + [f"w{k}" for k in range(rng.choice((6, 9, 20, 40)))]
+        for _ in range(rng.randint(0, 4)):
+            base[rng.randrange(len(base))] = rng.choice(("x", "y", f"u{i}"))
+        rows.append((i, " ".join(base)))
+    found = jaccard.similar_classes(frame(spark, rows), width=3, percent=percent).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == components(rows, 3, percent)
+
+
+def test_jaccard_template_texts_ask_nobody(spark, monkeypatch):
+    """Texts that differ in one word of ten share six of eight shingles: no two link, and none is compared however many there are."""
+    asked = []
+    plain = jaccard.asking
+
+    def counted(*args):
+        found = plain(*args)
+        asked.append(found.count())
+        return found
+
+    monkeypatch.setattr(jaccard, "asking", counted)
+    for n in (300, 600):
+        rows = [(i, f"a b c d e f g h i z{i}") for i in range(n)]
+        found = jaccard.similar_classes(frame(spark, rows), width=4, percent=85).collect()
+        assert all(r.component_id == r.doc_id for r in found) and len(found) == n
+    assert asked == [0, 0]
+
+
 def test_jaccard_chain_of_hot_copies(spark, monkeypatch):
     """A row of texts each like the next: one component that no leader alone connects."""
     monkeypatch.setattr(jaccard, "GROUP", 4)
