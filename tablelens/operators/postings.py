@@ -98,6 +98,39 @@ def field_statistics(rows: DataFrame) -> DataFrame:
     return marked.groupBy("field").agg(F.count("*").alias("documents"), F.avg("length").alias("average"))
 
 
+#: Edit distances that the table of deletions answers, and letters of a term from which on it is looked for in the vocabulary.
+SPELLING_DISTANCE, SPELLING_LENGTH = 2, 40
+
+
+def deletions(term: Column, most: int) -> Column:
+    """The term and all that is left of it after up to ``most`` deleted letters."""
+
+    def once(form: Column) -> Column:
+        places = F.filter(F.sequence(F.lit(1), F.greatest(F.char_length(form), F.lit(1))), lambda i: i <= F.char_length(form))
+        return F.transform(places, lambda i: F.concat(F.substring(form, 1, i - 1), F.substring(form, i + 1, F.char_length(form))))
+
+    found = last = F.array(term)
+    for _ in range(most):
+        last = F.array_distinct(F.flatten(F.transform(last, once)))
+        found = F.concat(found, last)
+    return F.array_distinct(found)
+
+
+def spelling_table(terms: DataFrame) -> DataFrame:
+    """(field, form, term, df): each term under itself and its forms with one and two letters less.
+
+    Two words within an edit distance of d have a form in common that lacks at most d letters of each.
+    Longer terms than SPELLING_LENGTH, of which there are few, are only under their own first letters.
+    """
+    short = F.char_length("term") <= SPELLING_LENGTH
+    forms = F.when(short, deletions(F.col("term"), SPELLING_DISTANCE)).otherwise(F.array(F.lit(LONG_TERM)))
+    return terms.select("field", F.explode(forms).alias("form"), "term", "df")
+
+
+#: Stands for the form of long terms; no analyzer gives such a term.
+LONG_TERM = "\x00long"
+
+
 class TextIndex:
     """Postings sorted by field, term and id, with their statistics.
 
@@ -105,8 +138,11 @@ class TextIndex:
     search for a few terms reads only the row groups whose ranges hold them.
     """
 
-    def __init__(self, postings: DataFrame, terms: DataFrame, fields: DataFrame, analyzers: dict[str, Analyzer]):
+    def __init__(
+        self, postings: DataFrame, terms: DataFrame, fields: DataFrame, analyzers: dict[str, Analyzer], spellings: DataFrame | None = None
+    ):
         self.postings, self.terms, self.fields, self.analyzers = postings, terms, fields, analyzers
+        self.spellings = spellings
 
     @classmethod
     def write(cls, df: DataFrame, row_id: str, fields: dict[str, Analyzer], folder: str, files: int | None = None):
@@ -123,6 +159,13 @@ class TextIndex:
         field_statistics(rows).write.mode("overwrite").parquet(f"{folder}/fields")
         return cls.open(spark, folder, fields)
 
+    def with_spellings(self, folder: str) -> TextIndex:
+        """The index with a stored table of deletions, so that fuzzy words read the terms near them and not the vocabulary."""
+        held = spelling_table(self.terms.select("field", "term", "df"))
+        held.repartitionByRange("field", "form").sortWithinPartitions("field", "form").write.mode("overwrite").parquet(f"{folder}/spellings")
+        spellings = self.terms.sparkSession.read.parquet(f"{folder}/spellings")
+        return TextIndex(self.postings, self.terms, self.fields, self.analyzers, spellings)
+
     @classmethod
     def open(cls, spark: SparkSession, folder: str, fields: dict[str, Analyzer]) -> "TextIndex":
         return cls(*(spark.read.parquet(f"{folder}/{part}") for part in ("postings", "terms", "fields")), fields)
@@ -178,9 +221,25 @@ class TextIndex:
         scored = self._scored(rows, weights, field, [query_id], small)
         return best_per_query(scored, "id", query_id, k, digits)
 
+    def _spelled(self, field: str, word: str, distance: int) -> DataFrame:
+        """Terms among which are all within the distance: (field, term, df)."""
+        if self.spellings is None or distance > SPELLING_DISTANCE or len(word) > 2 * SPELLING_LENGTH:
+            return self.terms.filter(F.col("field") == field).select("field", "term", "df")
+        forms = {word}
+        last = forms
+        for _ in range(distance):
+            last = {w[:i] + w[i + 1 :] for w in last for i in range(len(w))}
+            forms = forms | last
+        if len(word) + distance > SPELLING_LENGTH:
+            forms = forms | {LONG_TERM}
+        asked = self.spellings.sparkSession.createDataFrame([(f,) for f in sorted(forms)], "form string")
+        # the range lets the scan skip row groups; the forms are at most a few thousand
+        held = self.spellings.filter((F.col("field") == field) & F.col("form").between(min(forms), max(forms)))
+        return held.join(F.broadcast(asked), "form", "left_semi").select("field", "term", "df").distinct()
+
     def near_spellings(self, field: str, word: str, distance: int, prefix_length: int = 0, max_expansions: int | None = None):
         """Vocabulary terms within an edit distance, nearest and most frequent first."""
-        terms = self.terms.filter((F.col("field") == field) & F.col("term").startswith(word[:prefix_length]))
+        terms = self._spelled(field, word, distance).filter(F.col("term").startswith(word[:prefix_length]))
         near = terms.withColumn("distance", F.levenshtein("term", F.lit(word), distance)).filter(F.col("distance") >= 0)
         ordered = near.orderBy("distance", F.desc("df"), "term")
         return ordered.limit(max_expansions) if max_expansions else ordered

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tablelens.functions.text import STANDARD
+from tablelens.operators.wildcards import WildcardIndex
+from tablelens.plans.runtime import new_path
 from tablelens.plans.search import Search
-from tablelens.queries import query
+from tablelens.queries import SQL, query
 from tablelens.sources.reader import read_table as read
 from tablelens.sources.reader import spread
 
@@ -221,6 +223,16 @@ def _(spark, d):
     return unscored(Search(read(spark, d, "part"), "p_partkey").wildcard("p_name", "*e* *").wildcard("p_brand", "Brand#1?"))
 
 
+@query("wildcard_indexed", SQL["wildcard"])
+def _(spark, d):
+    """By stored pieces of the values; a pattern without three fixed characters checks the distinct values."""
+    rows = read(spark, d, "part")
+    for field, pattern in (("p_name", "*e* *"), ("p_brand", "Brand#1?")):
+        index = WildcardIndex.write(read(spark, d, "part"), "p_partkey", field, new_path(spark, "wildcards"))
+        rows = rows.join(index.matching_ids(pattern).withColumnRenamed("id", "p_partkey"), "p_partkey", "left_semi")
+    return rows.select(*read(spark, d, "part").columns)
+
+
 LATE_LONG = "line >= 1 AND size > 200"
 
 

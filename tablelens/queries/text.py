@@ -474,6 +474,15 @@ _indexed("boosted_indexed", "boosted_phrase", lambda s: s.match_boosted_phrase("
 _indexed("similar_indexed", "more_like_this", lambda s: s.more_like_this("text", LIKE, max_query_terms=3, minimum_should_match="70%"))
 
 
+@query("fuzzy_spelled", SQL["match_fuzzy_expansions"])
+def _(spark, d):
+    """Near terms come from a table of deletions; the vocabulary is not read for them."""
+    folder = new_path(spark, "index")
+    index = TextIndex.write(documents(spark, d), "doc_id", {"text": T.STANDARD}, folder).with_spellings(folder)
+    found = Search(documents(spark, d), "doc_id", {"text": T.STANDARD}, index=index)
+    return scores(found.match("text", "thing", fuzziness=1, max_expansions=4))
+
+
 @query("expression_indexed", SQL["text_expression"])
 def _(spark, d):
     wanted = prefix("thor") & (word("thing") | phrase("of the") | fuzzy("onlyx", 1)) & ~word("ther")

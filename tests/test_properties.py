@@ -16,6 +16,7 @@ from tablelens.functions.porter import stem
 from tablelens.functions.text import ENGLISH_STOP_WORDS, fold_text
 from tablelens.operators import aggregations as A
 from tablelens.operators import retrieval
+from tablelens.operators.wildcards import WildcardIndex
 from tablelens.operators.postings import TextIndex
 from tablelens.plans.conditions import Range, required
 from tablelens.plans.runtime import join_sized, shared_folder
@@ -213,6 +214,32 @@ def test_fuzzy_expansions(spark, tmp_path):
     assert near[0]["term"] == "thing" and len(near) == 3 and all(r["distance"] <= 1 for r in near)
 
 
+def test_spelling_table(spark, tmp_path):
+    """The table of deletions finds what a look through the vocabulary finds, at every distance, and reads no vocabulary."""
+    rng = random.Random(3)
+    words = {"".join(rng.choices("abc", k=rng.randint(1, 7))) for _ in range(300)} | {"x" * 39, "x" * 41, "x" * 45, "thing", "things", "é", "éa"}
+    docs = spark.createDataFrame([(i, w) for i, w in enumerate(sorted(words))], "doc_id long, text string")
+    index = TextIndex.write(docs, "doc_id", {"text": STANDARD}, str(tmp_path / "index"))
+    spelled = index.with_spellings(str(tmp_path / "index"))
+    for word in ("abc", "a", "thing", "x" * 40, "x" * 43, "é", "cabbac", "zzzz"):
+        for distance in (0, 1, 2, 3):
+            assert rows_of(spelled.near_spellings("text", word, distance)) == rows_of(index.near_spellings("text", word, distance)), (word, distance)
+    text = plan(spelled.near_spellings("text", "thing", 2))
+    assert "/spellings" in text and "/terms" not in text
+
+
+def test_wildcard_index(spark, tmp_path):
+    rng = random.Random(4)
+    values = ["".join(rng.choices("abé%_*", k=rng.randint(0, 8))) for _ in range(300)] + [None, "", "abab", "abab"]
+    rows = spark.createDataFrame(list(enumerate(values)), "id long, v string")
+    index = WildcardIndex.write(rows, "id", "v", str(tmp_path / "w"))
+    for pattern in ("ab*", "*ab", "*bab*", "a?b*", "*", "", "?", "abab", "*a%_*", "ab?*éa*", "???b"):
+        wanted = rows_of(Search(rows, "id").wildcard("v", pattern).hits().select("id"))
+        assert rows_of(index.matching_ids(pattern)) == wanted, pattern
+    text = plan(index.matching_values("*bab*"))
+    assert "/pieces" in text and "/values" not in text and "piece" in text.split("PushedFilters")[1][:200]
+
+
 def test_stored_tokens_give_the_same_scores(spark):
     docs = read(spark, "documents")
     wide, names = with_tokens(docs, {"text": ENGLISH})
