@@ -1,6 +1,7 @@
 """Main text, quality scores and secrets."""
 
 import random
+import time
 import re
 import zlib
 
@@ -176,6 +177,32 @@ def test_patterns():
         assert secrets.base_spans(text) == base(text), repr(text)
 
 
+@pytest.mark.parametrize("part", ["<script ", "<a ", "<a \"", "<a '>", "</script ", "<!-- ", "<", "<p class=ad>x", "<![", "<a b='\">", "<div>", "</div>", "<script>", "&", "<title>"])
+def test_long_broken_pages(part):
+    """A megabyte of any broken markup is one pass."""
+    start = time.time()
+    html.blocks(part * ((1 << 20) // len(part)))
+    html.blocks("<article>" + part * ((1 << 19) // len(part)) + ">")
+    assert time.time() - start < 20
+
+
+def test_left_out_end_tags():
+    def text(page):
+        found = html.blocks(page)
+        return html.main_text([t for t, _ in found], [m for _, m in found], None)
+
+    assert text('<article><p class="ad">Buy<p>Real text one<p>Real text two</article>') == "Real text one\nReal text two"
+    assert text('<article><ul><li class="promo">Buy<ul><li>more<li>of it</ul><li>Kept<li>too</ul>After</article>') == "Kept\ntoo\nAfter"
+    assert text('<article><ul><li class="promo">Buy</ul>After</article>') == "After"
+    assert text('<article><table><tr class="ad"><td>x<td>y<tr><td>1<td class="sponsor">z<td>2</table><p class="ad"><b>Buy</b></p>End</article>') == "1\n2\nEnd"
+    assert text('<article><dl><dt>Term<dd class="ad">x<dt>Next<dd>said</dl></article>') == "Term\nNext\nsaid"
+    assert text('<article><p class="ad">Buy<div>Real</div><p title="a > b">Two</article>') == "Real\nTwo"
+    for name in ("search-engines", "content-alert-levels", "share-of-gdp", "social-history"):
+        assert text(f'<article><div class="{name}">Kept</div>Too</article>') == "Kept\nToo"
+    for name in ("ad-container", "comments-container", "share-buttons", "adBox2", "cookie-wrapper", "newsletter_form", "related-posts ad"):
+        assert text(f'<article><div class="{name}">Gone</div>Kept</article>') == "Kept", name
+
+
 def test_secrets(spark):
     path = tokenizer("byte_bpe_50k.tiktoken")
     random_key = "q7Zx0Lp2Vb9KtR4mYw8Nc1Hs"
