@@ -20,7 +20,7 @@ import os
 import re
 from collections.abc import Iterator
 from functools import cache
-from itertools import chain
+from itertools import islice
 from typing import NamedTuple
 
 import numpy as np
@@ -41,9 +41,9 @@ SALTS = 16
 GATHER = 1 << 20
 #: Frequent pairs that are broadcast, at most.
 FREQUENT = 1 << 18
-#: Aligned segments of a generation held by a worker, characters of one that is worth holding, of texts cut at a time,
+#: Aligned segments held by a worker, characters of one that is worth holding, of texts cut at a time,
 #: and characters up to which a segment is aligned together with others.
-HELD, HELD_CHARS, TOGETHER, SHORT = 250_000, 64, 1 << 20, 256
+HELD, HELD_CHARS, TOGETHER, SHORT = 600_000, 64, 1 << 20, 256
 
 # ---------------------------------------------------------------- tokenizers
 
@@ -120,28 +120,42 @@ def ids_of_b(path: str, stretches: list[str]) -> list[list[int]]:
     return [x if s[0] == " " else x[1:] if s != " " else x for s, x in zip(stretches, found, strict=True)]
 
 
+@cache
+def ranks(path: str):
+    """Tokenizer A as ranks of byte strings, for many words at once; tests hold it against the library.
+
+    Its ids are in the order of its merges, so the lowest id of a joined pair is the next merge.
+    """
+    import public_tokenizers
+    import tiktoken
+
+    spelled = byte_level(path)[1]
+    special = set(byte_level(path)[0].get_added_tokens_decoder())
+    held = {x: i for i, x in enumerate(spelled) if i not in special}
+    return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=held, special_tokens={})
+
+
+#: Segments that can stand side by side in one text: each token ends where its segment does.
+_SIDE_BY_SIDE = re.compile(rf"[ \n][^▁]*[^{_WHITE}▁]").fullmatch
+
+
 def align_stretches(path_a: str, path_b: str, stretches: list[str]) -> list[Aligned | None]:
     """None where the tokens' bytes are not the text's."""
     (a, bytes_a), (b, bytes_b) = byte_level(path_a), pieces(path_b)
-    found_a = [x.ids for x in a.encode_batch_fast(stretches, add_special_tokens=False)]
-    found_b = ids_of_b(path_b, stretches)
-    blank = [b.piece_to_id("▁")]
-    found_b = [y if s != " " else blank for s, y in zip(stretches, found_b, strict=True)]
-    data = [s.encode() for s in stretches]
     out: list[Aligned | None] = [None] * len(stretches)
-    short = [i for i, s in enumerate(stretches) if len(s) <= SHORT]
-    # bytes are compared all at once, and one by one only where that fails
-    for found, spelled in ((found_a, bytes_a), (found_b, bytes_b)):
-        if b"".join([spelled[k] for i in short for k in found[i]]) != b"".join([data[i] for i in short]):
-            short = [i for i in short if b"".join([spelled[k] for k in found[i]]) == data[i]]
-    if short:
-        for i, x in zip(short, _short([found_a[i] for i in short], [found_b[i] for i in short], [len(data[i]) for i in short], path_a, path_b), strict=True):
-            out[i] = x
-    for i, s in enumerate(stretches):
-        if len(s) > SHORT:
-            spelled_a, spelled_b = [bytes_a[k] for k in found_a[i]], [bytes_b[k] for k in found_b[i]]
-            if b"".join(spelled_a) == data[i] == b"".join(spelled_b):
-                out[i] = _long(found_a[i], found_b[i], spelled_a, spelled_b)
+    short = [i for i, s in enumerate(stretches) if len(s) <= SHORT and _SIDE_BY_SIDE(s)] if splits(path_a, path_b) else []
+    found = _short(path_a, path_b, [stretches[i] for i in short]) if short else []
+    for i, x in zip(short, found, strict=False):
+        out[i] = x
+    done = set(short) if found else set()
+    rest = [i for i in range(len(stretches)) if i not in done]
+    blank = [b.piece_to_id("▁")]
+    all_a = a.encode_batch_fast([stretches[i] for i in rest], add_special_tokens=False)
+    for i, x, y in zip(rest, all_a, ids_of_b(path_b, [stretches[i] for i in rest]), strict=True):
+        x, y = x.ids, blank if stretches[i] == " " else y
+        spelled_a, spelled_b = [bytes_a[k] for k in x], [bytes_b[k] for k in y]
+        if b"".join(spelled_a) == stretches[i].encode() == b"".join(spelled_b):
+            out[i] = _long(x, y, spelled_a, spelled_b)
     return out
 
 
@@ -155,10 +169,22 @@ def names(path: str, of) -> list[str]:
     return [str(i) for i in range(len(of(path)[1]))]
 
 
-def _short(found_a: list[list[int]], found_b: list[list[int]], sizes: list[int], path_a: str, path_b: str) -> Iterator[Aligned]:
-    """Many stretches as one: where one ends, tokens of both sides end, so no group spans two."""
-    a, b = (np.fromiter(chain.from_iterable(x), np.int64) for x in (found_a, found_b))
+def _short(path_a: str, path_b: str, stretches: list[str]) -> list[Aligned]:
+    """Many stretches as one text: where one ends, tokens of both sides end, so no group spans two.
+
+    Nothing, if the tokens do not spell this text or a stretch does not end with a token.
+    """
+    text = "".join(stretches)
+    data, ends = text.encode(), np.cumsum([len(s.encode()) for s in stretches])
+    list_a, list_b = ranks(path_a).encode_ordinary(text), ids_of_b(path_b, [text])[0]
+    bytes_a, bytes_b = byte_level(path_a)[1], pieces(path_b)[1]
+    if not b"".join([bytes_a[k] for k in list_a]) == data == b"".join([bytes_b[k] for k in list_b]):
+        return []
+    a, b = np.array(list_a, np.int64), np.array(list_b, np.int64)
     ends_a, ends_b = np.cumsum(lengths(path_a, byte_level)[a]), np.cumsum(lengths(path_b, pieces)[b])
+    at_a, at_b = np.searchsorted(ends_a, ends), np.searchsorted(ends_b, ends)
+    if (ends_a[at_a] != ends).any() or (ends_b[at_b] != ends).any():
+        return []
     common = ends_a[ends_b[np.searchsorted(ends_b, ends_a)] == ends_a]
     group_a = np.searchsorted(common, ends_a)
     cuts_a, cuts_b = np.searchsorted(ends_a, common, "right"), np.searchsorted(ends_b, common, "right")
@@ -166,21 +192,23 @@ def _short(found_a: list[list[int]], found_b: list[list[int]], sizes: list[int],
     n = size_b[group_a]
     at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat((cuts_b - size_b)[group_a], n)
     keys = ((np.repeat(a, n) << 32) | b[at]).tobytes()
-    last = np.searchsorted(common, np.cumsum(sizes))  # each stretch's last group
+    last = np.searchsorted(common, ends)  # each stretch's last group
     groups = (last + 1).tolist()
     linked = np.cumsum(size_a * size_b)[last].tolist()
     written: list[str] = []
     name_a, name_b, i, j = names(path_a, byte_level), names(path_b, pieces), 0, 0
-    x, y = [name_a[k] for k in a.tolist()], [name_b[k] for k in b.tolist()]
+    x, y = [name_a[k] for k in list_a], [name_b[k] for k in list_b]
     for to_a, to_b in zip(cuts_a.tolist(), cuts_b.tolist(), strict=True):
         left = x[i] if to_a - i == 1 else ",".join(x[i:to_a])
         right = y[j] if to_b - j == 1 else ",".join(y[j:to_b])
         written.append(f"{left}|{right}")
         i, j = to_a, to_b
-    g = k = 0
-    for x, y, to_g, to_k in zip(found_a, found_b, groups, linked, strict=True):
-        yield Aligned(len(x), len(y), to_g - g, to_k - k, ";".join(written[g:to_g]), keys[8 * k : 8 * to_k], None)
+    n_a, n_b = np.diff(at_a, prepend=-1).tolist(), np.diff(at_b, prepend=-1).tolist()
+    out, g, k = [], 0, 0
+    for size_x, size_y, to_g, to_k in zip(n_a, n_b, groups, linked, strict=True):
+        out.append(Aligned(size_x, size_y, to_g - g, to_k - k, ";".join(written[g:to_g]), keys[8 * k : 8 * to_k], None))
         g, k = to_g, to_k
+    return out
 
 
 def _long(a: list[int], b: list[int], spelled_a: list[bytes], spelled_b: list[bytes]) -> Aligned:
@@ -274,12 +302,11 @@ class Document:
 
 
 class Aligner:
-    """Aligns texts; distinct segments are encoded once, and the lately met ones are held in two generations."""
+    """Aligns texts; distinct segments are encoded once and held, the oldest half is given up when there are too many."""
 
     def __init__(self, path_a: str, path_b: str):
         self.paths, self.splits = (path_a, path_b), splits(path_a, path_b)
-        self.young: dict[str, Aligned | None] = {}
-        self.old: dict[str, Aligned | None] = {}
+        self.held: dict[str, Aligned | None] = {}
 
     def documents(self, texts: list[str | None]) -> Iterator[Document]:
         """In order; some texts are cut at a time, and what is new in them is encoded together."""
@@ -290,35 +317,23 @@ class Aligner:
                 size += len(texts[to] or "")
                 to += 1
             cut = [([s for s in _SEGMENT.findall(" " + t) if s] if self.splits else [" " + t]) if t else [] for t in texts[at:to]]
-            known = self.known({s for x in cut for s in x})
+            if len(self.held) > HELD:
+                for s in list(islice(self.held, len(self.held) // 2)):
+                    del self.held[s]
+            new = list(set().union(*cut).difference(self.held))
+            long = [s for s in new if len(s) > HELD_CHARS]
+            for k in range(0, len(new), 4096):
+                self.held.update(zip(new[k : k + 4096], align_stretches(*self.paths, new[k : k + 4096]), strict=True))
             for text, x in zip(texts[at:to], cut, strict=True):
-                parts = [known[s] for s in x]
+                parts = [*map(self.held.__getitem__, x)]
                 if None in parts:
                     whole = align_stretches(*self.paths, [" " + text])[0] if len(x) > 1 else None
                     parts = [whole] if whole else []
                 yield Document(parts)
+            for s in long:  # met once, as a rule
+                del self.held[s]
             at = to
 
-    def known(self, segments: set[str]) -> dict[str, Aligned | None]:
-        if len(self.young) > HELD:
-            self.young, self.old = {}, self.young
-        found, new = {}, []
-        young, old = self.young, self.old
-        for s in segments:
-            if s in young:
-                found[s] = young[s]
-            elif s in old:
-                found[s] = young[s] = old[s]
-            else:
-                new.append(s)
-        for k in range(0, len(new), 4096):
-            some = new[k : k + 4096]
-            for s, x in zip(some, align_stretches(*self.paths, some), strict=True):
-                found[s] = x
-                if len(s) <= HELD_CHARS:
-                    young[s] = x
-        return found
-
 
 # ---------------------------------------------------------------- minimal perfect hash
 
@@ -611,44 +626,43 @@ def alignment(docs: DataFrame, path_a: str, path_b: str, doc_id: str = "doc_id",
     ])
     shape = f"row long, doc_id long, {', '.join(f'{n} long' for n in NUMBERS)}, groups_sha256 string, shard int, keys binary, times binary"
 
-    def look(found, pairs) -> pa.RecordBatch:
-        """Counts of the pairs of some documents, looked up together."""
-        table, most = held.value
-        keys, times = (np.concatenate(c) for c in zip(*pairs, strict=True))
-        ends = np.cumsum([len(k) for k, _ in pairs])
-        at = table.find(keys)
-        n = np.where(at >= 0, table.counts[at], 0) if len(table.counts) else np.zeros(len(keys), np.int64)
-        best = np.where((at >= 0) & (n == most[keys >> 32]), times, 0)
-        for place, values in ((6, best), (7, times * n)):
-            sums = np.concatenate(([0], np.cumsum(values)))
-            for row, x in zip(found, (sums[ends] - sums[np.concatenate(([0], ends[:-1]))]).tolist(), strict=True):
-                row[place] = x
-        rows = found
-        if not is_all:
-            unknown = np.flatnonzero(at < 0)
-            owner = np.searchsorted(ends, unknown, "right")
-            rows = list(found)
-            for mine in np.split(unknown, np.flatnonzero(np.diff(owner)) + 1) if len(unknown) else []:
-                i = int(np.searchsorted(ends, mine[0], "right"))
-                rows += [(found[i][0], *[None] * 8, s, k.tobytes(), x.tobytes()) for s, k, x in by_shard(keys[mine], times[mine])]
-        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
-
     def look_up(batches):
-        align = aligner(path_a, path_b)
+        align, (table, most) = aligner(path_a, path_b), held.value
+        answers: dict[int, tuple] = {}  # of the alignments met: links at their highest count, sum of counts, pairs not in the table
+
+        def answer(parts: list[Aligned]) -> None:
+            keys = _longs(b"".join([p.keys for p in parts]))
+            times = np.concatenate([np.ones(len(p.keys) // 8, np.int64) if p.times is None else _longs(p.times) for p in parts])
+            ends = np.cumsum([len(p.keys) // 8 for p in parts])
+            at = table.find(keys)
+            n = np.where(at >= 0, table.counts[at], 0) if len(table.counts) else np.zeros(len(keys), np.int64)
+            sums = [np.concatenate(([0], np.cumsum(v)))[ends].tolist() for v in (np.where((at >= 0) & (n == most[keys >> 32]), times, 0), times * n)]
+            unknown, i, best, total = at < 0, 0, 0, 0
+            for p, to, to_best, to_total in zip(parts, ends.tolist(), *sums, strict=True):
+                mine = unknown[i:to]
+                lost = (keys[i:to][mine], times[i:to][mine]) if not is_all and mine.any() else None
+                answers[id(p)] = (p, to_best - best, to_total - total, lost)  # p is kept, so its id is no other's
+                i, best, total = to, to_best, to_total
+
         number = TaskContext.get().partitionId() << 40
         for batch in batches:
-            found, pairs, size = [], [], 0
+            found = []
             for i, aligned in zip(batch.column(0).to_pylist(), align.documents(batch.column(1).to_pylist()), strict=True):
                 number += 1
-                groups = hashlib.sha256(";".join([p.text for p in aligned.parts]).encode()).hexdigest() if aligned.parts else ""
-                found.append([number, i, *[sum([p[k] for p in aligned.parts]) for k in range(4)], 0, 0, groups, None, None, None])
-                pairs.append(aligned.pairs())
-                size += len(pairs[-1][0])
-                if size > GATHER:
-                    yield look(found, pairs)
-                    found, pairs, size = [], [], 0
-            if found:
-                yield look(found, pairs)
+                new = [p for p in aligned.parts if id(p) not in answers]
+                if new:
+                    answer(new)
+                mine = [answers[id(p)] for p in aligned.parts]
+                groups = hashlib.sha256(";".join([p.text for p in aligned.parts]).encode()).hexdigest() if mine else ""
+                found.append((number, i, *[sum([p[k] for p in aligned.parts]) for k in range(4)], sum([x[1] for x in mine]), sum([x[2] for x in mine]), groups, None, None, None))
+                lost = [x[3] for x in mine if x[3]]
+                if lost:
+                    keys, times = (np.concatenate(c) for c in zip(*lost, strict=True))
+                    found += [(number, *[None] * 8, s, k.tobytes(), x.tobytes()) for s, k, x in by_shard(keys, times)]
+                if len(answers) > HELD or len(aligned.parts) > GATHER:
+                    answers.clear()
+            columns = list(zip(*found, strict=True)) or [()] * len(schema)
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
     columns = ["doc_id", *NUMBERS, "groups_sha256"]
     found = prepared(rows).mapInArrow(look_up, shape)

@@ -100,6 +100,18 @@ def test_held_segments(monkeypatch):
         assert k.tolist() == m.tolist() and n.tolist() == t.tolist()
 
 
+def test_ranks_are_the_tokenizer():
+    """Ranks of byte strings encode as the library does: random letters, syllables, bytes, and the given texts."""
+    import duckdb
+
+    rng = random.Random(13)
+    tokenizer_a = align.byte_level(A)[0]
+    sample = [" " + "".join(rng.choices(alphabet, k=rng.randint(1, 12))) for alphabet in ("abcdefghijklmnopqrstuvwxyz", "aeinrst", "ab", "éüßaeñ日本ひ", "0123456789.,-", "aA'st ") for _ in range(4000)]
+    sample += [" " + (r[0] or "") for r in duckdb.sql("SELECT text FROM '/root/testdata/sf0.001/documents.parquet'").fetchall()]
+    wanted = [x.ids for x in tokenizer_a.encode_batch_fast(sample, add_special_tokens=False)]
+    assert [align.ranks(A).encode_ordinary(t) for t in sample] == wanted
+
+
 @pytest.mark.parametrize("frequent", [align.FREQUENT, 40, 0.5])
 def test_alignment(spark, monkeypatch, frequent):
     """With all, some and no pairs broadcast; a task gathers few pairs at once."""
