@@ -66,7 +66,8 @@ def test_common_lines():
 
 def test_neighbouring_pages(spark, monkeypatch):
     """Without an article element, what a page shares with the nearest page of its host is deleted."""
-    monkeypatch.setattr(html, "GROUP", 4)
+    monkeypatch.setattr(html, "CHUNK", 4)
+    monkeypatch.setattr(html, "EDGE", 1)
 
     def page(own):
         return f"<p>Template top</p><p>{own}</p><p>Template end</p>"
@@ -83,9 +84,8 @@ def test_neighbouring_pages(spark, monkeypatch):
     assert html.extract(df.limit(0)).count() == 0
 
 
-def test_neighbouring_copies(spark, monkeypatch):
+def test_neighbouring_copies(spark):
     """A copy or near copy next to a page tells nothing about the template; a page that differs does."""
-    monkeypatch.setattr(html, "RUN", 3)
     article = "<p>" + "</p><p>".join(f"A long line {k} of the article on this page" for k in range(12)) + "</p>"
 
     def page(own):
@@ -101,10 +101,6 @@ def test_neighbouring_copies(spark, monkeypatch):
     assert found[1] == found[2] == f"Template top\n{lines}\nTemplate end"
     assert all(found[k] == lines for k in range(10, 16)) and found[20] == found[40] == found[50] == "own"
     assert all(found[k] == f"{lines}\nRead {k} times" for k in [*range(30, 33), *range(51, 58)])
-    waiting = html.Waiting(3)
-    for k in range(8):
-        waiting.append((k,))
-    assert list(waiting) == [(k,) for k in range(8)]
 
 
 def sample(rng, good):
@@ -186,6 +182,16 @@ def test_long_broken_pages(part):
     assert time.time() - start < 20
 
 
+@pytest.mark.parametrize("n", [3, 250, 257, 300])
+def test_every_page_of_a_host_has_a_neighbour(spark, n, monkeypatch):
+    """However many one-page folders a host has, and wherever chunks are cut, the template goes and the page's own line stays."""
+    monkeypatch.setattr(html, "CHUNK", 16)
+    monkeypatch.setattr(html, "EDGE", 4)
+    rows = [(i, f"http://h.example/f{i:03d}/p", f"<div>Home</div><div>Own text of number {i} {'abc' * (i % 7)}</div><div>Imprint</div>") for i in range(n)]
+    found = {r.page_id: r.text for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert found == {i: f"Own text of number {i} {'abc' * (i % 7)}".strip() for i in range(n)}
+
+
 def test_left_out_end_tags():
     def text(page):
         found = html.blocks(page)
