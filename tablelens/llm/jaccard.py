@@ -410,7 +410,8 @@ def asking(index: DataFrame, blocks: DataFrame, stats: DataFrame, percent: int)
     A set with such an element goes by the second rule alone, as its others may not count up.
     """
     strong = index.groupBy("node").agg(F.max("hot").alias("strong"))
-    rows = index.join(blocks.select("node", "block"), "node").join(strong, "node").join(stats.select("block", "size", "only"), "block")
+    nodes = blocks.select("node", "block").join(stats.select("block", "size", "only"), "block").join(strong, "node")
+    rows = index.select("token", "node", F.col("n").cast("int").alias("n"), F.col("rest").cast("int").alias("rest"), "hot").join(nodes, "node")
     rows = written(rows, "tokens")  # the rows of the token-group matrix that can decide
 
     def overlap(n: str, m: str) -> str:
@@ -419,15 +420,13 @@ def asking(index: DataFrame, blocks: DataFrame, stats: DataFrame, percent: int)
     # the smaller group's sets ask the larger group
     may_ask = """block <> own and (size > own_size or (size = own_size and block > own)) and coalesce(only <> own_only, true)"""
     mine = [F.col("block").alias("own"), F.col("size").alias("own_size"), F.col("only").alias("own_only")]
-    few = rows.filter("not hot")
-    left = few.select("token", "node", F.col("n").alias("x_n"), F.col("rest").alias("x_rest"), F.col("strong").alias("x_strong"), *mine)
-    right = few.groupBy("token", "block").agg(
-        F.min("n").alias("low"), F.max("n").alias("high"), F.max("rest").alias("rest"), F.max("strong").alias("strong"), F.first("size").alias("size"), F.first("only").alias("only")
-    )
-    reach = f"""{may_ask} and 100 * high >= {percent} * x_n and 100 * x_n >= {percent} * low
-        and least(rest, x_rest) + {COMMON - 1} >= {overlap("x_n", "low")}"""
-    weight = F.when(F.col("x_strong") | F.col("strong"), F.lit(COMMON)).otherwise(F.lit(1))
-    met = left.join(right, "token").filter(F.expr(reach)).select("node", "block", F.least("x_n", "low").alias("n"), weight.alias("weight"))
+    # an element of few sets brings its sets together, HOT at most
+    few = rows.filter("not hot").groupBy("token").agg(F.collect_list(F.struct("node", "n", "rest", "strong", "block", "size", "only")).alias("held"))
+    meets = f"""y -> y.block <> x.block and (y.size > x.size or (y.size = x.size and y.block > x.block)) and coalesce(y.only <> x.only, true)
+        and 100 * y.n >= {percent} * x.n and 100 * x.n >= {percent} * y.n and least(x.rest, y.rest) + {COMMON - 1} >= {overlap("x.n", "y.n")}"""
+    asked = f"""array_distinct(transform(filter(held, {meets}), y -> struct(y.block as block, if(x.strong or y.strong, {COMMON}, 1) as weight,
+        least({COMMON}, ceil(least(x.n, y.n) * {percent} / 100.0)) as need)))"""
+    met = few.select("held", F.explode("held").alias("x")).select(F.col("x.node").alias("node"), F.explode(F.expr(asked)).alias("y")).select("node", "y.*")
 
     classes = F.expr(f"""explode(sequence({size_class(f"greatest(1, bigint(ceil(n * {percent} / 100.0)))")}, {size_class(f"bigint(floor(n * 100 / {percent}.0))")}))""")
     near = rows.filter("hot").withColumn("mine", F.expr(size_class("n"))).withColumn("other", classes)
@@ -445,9 +444,10 @@ def asking(index: DataFrame, blocks: DataFrame, stats: DataFrame, percent: int)
     at_lo = F.when(F.col("lo") == F.col("hi"), F.lit(True)).otherwise(F.col("mine") == F.col("hi")).alias("at_lo")
     askers = F.explode(F.when(F.col("usual"), F.array(F.lit(False))).otherwise(F.array(F.lit(False), F.lit(True)))).alias("for")
     right = sides.select(*keys, at_lo, "usual", "block", "size", "only").distinct().select(*keys, "at_lo", askers, "block", "size", "only")
-    hot = left.join(right, [*keys, "at_lo", "for"]).filter(F.expr(may_ask)).select("node", "block", "n", F.lit(COMMON).alias("weight"))
-    counted = met.unionByName(hot).groupBy("node", "block").agg(F.sum("weight").alias("shared"), F.min("n").alias("n"))
-    return counted.filter(F.expr(f"shared >= least({COMMON}, ceil(n * {percent} / 100.0))")).select("block", "node")
+    hot = left.join(right, [*keys, "at_lo", "for"]).filter(F.expr(may_ask)).select("node", "block", F.lit(COMMON).alias("weight"), F.lit(COMMON).alias("need"))
+    counted = met.select("node", "block", "weight", F.col("need").cast("int").alias("need")).unionByName(hot)
+    counted = counted.groupBy("node", "block").agg(F.sum("weight").alias("shared"), F.min("need").alias("need"))
+    return counted.filter("shared >= need").select("block", "node")
 
 
 def cross_links(index: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
