@@ -22,6 +22,8 @@ from tablelens.sources.schema import Declaration, drift, load_records, struct_ty
 BUCKET = "__bucket"
 #: Properties that say which batches of a stream the table holds.
 MARK = "batch."
+#: Size of a bucket's files above which a migration doubles the number of buckets.
+BUCKET_BYTES = 256 << 20
 #: How often a write is made again because another one was published first.
 ATTEMPTS = 10
 NAME = re.compile(r"[a-z0-9][a-z0-9_]*")
@@ -60,12 +62,17 @@ class Snapshot:
 
 
 class VersionedTable:
-    """One alias: its declared schema, id column and current snapshot."""
+    """One alias: its declared schema, id column and current snapshot.
+
+    ``buckets`` is the number a new table starts with.  A migration doubles it until a bucket's files
+    hold at most ``bucket_bytes``, so that a write to a few ids rewrites about as much however large the
+    table is: bucket b of n then splits into b and b + n.
+    """
 
     def __init__(self, spark: SparkSession, alias: str, declared: Declaration, row_id: str = "id", buckets: int = 64,
-                 folder: str | None = None, sort_by: tuple[str, ...] = ()):
+                 folder: str | None = None, sort_by: tuple[str, ...] = (), bucket_bytes: int = BUCKET_BYTES):
         self.spark, self.alias, self.declared, self.row_id = spark, alias, declared, row_id
-        self.buckets, self.sort_by = buckets, sort_by
+        self.buckets, self.sort_by, self.bucket_bytes = buckets, sort_by, bucket_bytes
         self.folder = folder or f"{shared_folder(spark)}/tables"
 
     # Catalog --------------------------------------------------------------------
@@ -201,6 +208,18 @@ class VersionedTable:
         path, files = hadoop_path(self.spark, folder)
         return [f.getPath().toString() for f in files.listStatus(path) if f.isDirectory()] if files.exists(path) else []
 
+    def stored_bytes(self, snapshot: Snapshot) -> int:
+        """Size of a snapshot's files."""
+        places = [hadoop_path(self.spark, p) for p in snapshot.locations.values()]
+        return sum(files.getContentSummary(path).getLength() for path, files in places)
+
+    def _grown(self, snapshot: Snapshot) -> int:
+        """Buckets for a copy of the snapshot, as many times doubled as its size asks for."""
+        size, buckets = self.stored_bytes(snapshot), self.buckets
+        while size > buckets * self.bucket_bytes:
+            buckets *= 2
+        return buckets
+
     def upsert(self, batch: DataFrame, sequence: str | None = None, source: str = "", batch_id: int | None = None) -> bool:
         """Write a batch by id; a repeated ``batch_id`` of a source is skipped and returns False.
 
@@ -254,8 +273,8 @@ class VersionedTable:
         if now.version >= version:
             rows = self.read().count()
             return {**report, "code": "NO_CHANGE", "rows_old": rows, "rows_new": rows}
-        schema = self.read().schema
-        places = self._write(self._loaded(now, schema), self.buckets)
+        schema, buckets = self.read().schema, self._grown(now)
+        places = self._write(self._loaded(now, schema), buckets)
         for _ in range(ATTEMPTS):
             target = self._loaded(now, schema)
             stored = self.spark.read.schema(target.schema).parquet(*places.values()) if places else target.limit(0)
@@ -265,7 +284,7 @@ class VersionedTable:
             if before["n"] != after["n"] or before["h"] != after["h"]:
                 return {**report, "code": "ERROR_COPY"}
             try:
-                self._publish(target.schema, version, self.buckets, places, {}, after=now)
+                self._publish(target.schema, version, buckets, places, {}, after=now)
                 self.spark.sql(f"DROP TABLE IF EXISTS {now.table}")
                 return {**report, "code": "MIGRATED"}
             except SnapshotMoved:
@@ -273,8 +292,9 @@ class VersionedTable:
                 if latest.version >= version:
                     rows = self.read().count()
                     return {**report, "code": "NO_CHANGE", "rows_old": rows, "rows_new": rows}
-                before, schema = self._loaded(now, schema), self.read().schema
-                places = self._caught_up(places, before, self._loaded(latest, schema))
+                late, schema = self._rewritten(now, latest), self.read().schema
+                before, after = self._loaded(now, schema, late), self._loaded(latest, schema, late)
+                places = self._caught_up(places, buckets, before, after)
                 now = latest
         raise SnapshotMoved(f"{self.alias} was written by others {ATTEMPTS} times")
 
@@ -287,24 +307,35 @@ class VersionedTable:
         self._publish(loaded.schema, version, self.buckets, places, {}, after=self.snapshot() if self.exists() else None)
         return {**report, "rows_new": self.read().count()}
 
-    def _loaded(self, snapshot: Snapshot, schema: T.StructType) -> DataFrame:
-        """A snapshot's rows by the declared schema, from its files: its catalog entry may be gone meanwhile."""
-        held = snapshot.locations.values()
+    @staticmethod
+    def _rewritten(before: Snapshot, after: Snapshot) -> set[int] | None:
+        """Buckets whose folder differs between two snapshots; None (any) when their numbers do not compare.
+
+        An id is in the bucket of the same number in both, so the rows of all other buckets are the same.
+        """
+        if before.buckets != after.buckets or before.version != after.version:
+            return None
+        numbers = before.locations.keys() | after.locations.keys()
+        return {b for b in numbers if before.locations.get(b) != after.locations.get(b)}
+
+    def _loaded(self, snapshot: Snapshot, schema: T.StructType, only: set[int] | None = None) -> DataFrame:
+        """A snapshot's rows (of some buckets) by the declared schema, from its files: its catalog entry may be gone meanwhile."""
+        held = [p for b, p in snapshot.locations.items() if only is None or b in only]
         reader = self.spark.read.schema(schema)
         return load_records(reader.parquet(*held) if held else self.spark.createDataFrame([], schema), self.declared)
 
-    def _caught_up(self, places: dict[int, str], before: DataFrame, after: DataFrame) -> dict[int, str]:
+    def _caught_up(self, places: dict[int, str], buckets: int, before: DataFrame, after: DataFrame) -> dict[int, str]:
         """Bucket folders of the copy after the writes between two snapshots, found by comparing rows."""
         same = F.xxhash64(*[F.col(f"`{c}`") for c in before.columns if c != self.row_id]).alias("__hash")
         known = before.select(self.row_id, same)
         changed = written(after.select("*", same).join(known, [self.row_id, "__hash"], "left_anti").drop("__hash"), "late")
         gone = written(before.select(self.row_id).join(after.select(self.row_id), self.row_id, "left_anti"), "gone")
         touched = changed.select(self.row_id).unionByName(gone)
-        numbers = [r[0] for r in self._bucketed(touched, self.buckets).select(BUCKET).distinct().collect()]
+        numbers = [r[0] for r in self._bucketed(touched, buckets).select(BUCKET).distinct().collect()]
         held = [places[b] for b in numbers if b in places]
         old = self.spark.read.schema(after.schema).parquet(*held) if held else after.limit(0)
         new = changes.upsert(changes.delete(old, gone, self.row_id), changed, self.row_id)
-        return {**{b: p for b, p in places.items() if b not in numbers}, **self._write(new, self.buckets)}
+        return {**{b: p for b, p in places.items() if b not in numbers}, **self._write(new, buckets)}
 
 
 def migrate_all(tables: list[tuple[VersionedTable, int]], rebuild: dict[str, DataFrame] | None = None) -> DataFrame:

@@ -106,6 +106,45 @@ def test_writes_during_a_migration_are_kept(spark):
     assert not t.upsert(spark.createDataFrame([("z", 9)], "id string, seq long"), source="s", batch_id=3)
 
 
+def test_catching_up_reads_only_rewritten_buckets(spark):
+    declared = {"id": "keyword", "seq": "long"}
+    t = VersionedTable(spark, "t_late_buckets", declared, buckets=8)
+    t.create(spark.createDataFrame([(str(i), i) for i in range(100)], "id string, seq long"))
+    first = t.snapshot()
+    read = []
+
+    class Busy(VersionedTable):
+        def _write(self, df, buckets):
+            places = super()._write(df, buckets)
+            if not hasattr(self, "wrote"):
+                self.wrote = True
+                t.upsert(spark.createDataFrame([("7", 700)], "id string, seq long"))
+                t.delete(spark.createDataFrame([("7",), ("9",)], "id string").limit(1))
+                t.upsert(spark.createDataFrame([("7", 701)], "id string, seq long"))
+            return places
+
+        def _caught_up(self, places, buckets, before, after):
+            read.append((len({f.rsplit("/", 1)[0] for f in before.inputFiles()}), len({f.rsplit("/", 1)[0] for f in after.inputFiles()})))
+            return super()._caught_up(places, buckets, before, after)
+
+    assert Busy(spark, "t_late_buckets", declared, buckets=8).migrate(2)["code"] == "MIGRATED"
+    assert read == [(1, 1)] and len(first.locations) == 8
+    assert sorted(tuple(r) for r in t.read().collect()) == sorted((str(i), 701 if i == 7 else i) for i in range(100))
+
+
+def test_buckets_grow_with_a_migration(spark, table):
+    before = content(table.read())
+    most = table.stored_bytes(table.snapshot()) // 20
+    grown = VersionedTable(spark, table.alias, DECLARED, buckets=4, bucket_bytes=most)
+    assert grown.migrate(2)["code"] == "MIGRATED" and grown.snapshot().buckets == 32
+    assert content(grown.read()) == before
+    table.upsert(make(spark, [("3", 33, "later"), ("new", 1, "later")]))
+    table.delete(make(spark, [("5", 0, "")]).select("id"))
+    rows = {r["id"]: r["n"] for r in table.read().collect()}
+    assert table.snapshot().buckets == 32 and rows["3"] == 33 and rows["new"] == 1 and "5" not in rows and len(rows) == 20
+    assert [r["n"] for r in table.find_by_ids(["3"]).collect()] == [33]
+
+
 def test_a_write_that_came_first_is_not_lost(spark, table):
     class Slow(VersionedTable):
         def _write(self, df, buckets):
