@@ -6,7 +6,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -131,6 +131,22 @@ def spelling_table(terms: DataFrame) -> DataFrame:
 LONG_TERM = "\x00long"
 
 
+#: Share of a field's documents from which on a term is frequent; there are at most (distinct terms of a document) / share of those.
+FREQUENT = 0.05
+
+
+def neighbours(rows: DataFrame) -> DataFrame:
+    """(field, first, second, id, length, tf, positions) of terms that stand side by side; ``positions`` are the first one's."""
+    at = rows.select("field", "id", "length", "term", F.explode("positions").alias("at"))
+    document = Window.partitionBy("field", "id").orderBy("at")
+    after = at.withColumn("next", F.lead(F.struct("at", "term")).over(document))
+    beside = after.filter(F.col("next.at") == F.col("at") + 1)
+    # rows of a document lie together already
+    found = beside.groupBy("field", "id", F.col("term").alias("first"), F.col("next.term").alias("second"))
+    lists = found.agg(F.max("length").alias("length"), F.array_sort(F.collect_list("at")).alias("positions"))
+    return lists.select("field", "first", "second", "id", "length", F.size("positions").alias("tf"), "positions")
+
+
 class TextIndex:
     """Postings sorted by field, term and id, with their statistics.
 
@@ -139,10 +155,11 @@ class TextIndex:
     """
 
     def __init__(
-        self, postings: DataFrame, terms: DataFrame, fields: DataFrame, analyzers: dict[str, Analyzer], spellings: DataFrame | None = None
-    ):
+        self, postings: DataFrame, terms: DataFrame, fields: DataFrame, analyzers: dict[str, Analyzer], spellings: DataFrame | None = None,
+        pairs: DataFrame | None = None, frequent: DataFrame | None = None,
+    ):
         self.postings, self.terms, self.fields, self.analyzers = postings, terms, fields, analyzers
-        self.spellings = spellings
+        self.spellings, self.pairs, self.frequent = spellings, pairs, frequent
 
     @classmethod
     def write(cls, df: DataFrame, row_id: str, fields: dict[str, Analyzer], folder: str, files: int | None = None):
@@ -164,7 +181,30 @@ class TextIndex:
         held = spelling_table(self.terms.select("field", "term", "df"))
         held.repartitionByRange("field", "form").sortWithinPartitions("field", "form").write.mode("overwrite").parquet(f"{folder}/spellings")
         spellings = self.terms.sparkSession.read.parquet(f"{folder}/spellings")
-        return TextIndex(self.postings, self.terms, self.fields, self.analyzers, spellings)
+        return TextIndex(self.postings, self.terms, self.fields, self.analyzers, spellings, self.pairs, self.frequent)
+
+    def with_pairs(self, folder: str, share: float = FREQUENT) -> TextIndex:
+        """The index with stored lists of neighbouring frequent terms, so that a phrase of them reads no list of a single one.
+
+        A term is frequent in a field when at least ``share`` of its documents have it.
+        """
+        spark = self.terms.sparkSession
+        sizes = self.fields.select("field", "documents")
+        often = self.terms.join(F.broadcast(sizes), "field").filter(F.col("df") >= share * F.col("documents")).select("field", "term")
+        often.coalesce(1).write.mode("overwrite").parquet(f"{folder}/frequent")
+        frequent = spark.read.parquet(f"{folder}/frequent")
+        rows = join_sized(self.postings, frequent, ["field", "term"], fits_broadcast(frequent))
+        found = written(neighbours(rows), "pairs")
+        keys = ["field", "first", "second", "id"]
+        found.repartitionByRange(*keys).sortWithinPartitions(*keys).write.mode("overwrite").parquet(f"{folder}/pairs")
+        pairs = spark.read.parquet(f"{folder}/pairs")
+        return TextIndex(self.postings, self.terms, self.fields, self.analyzers, self.spellings, pairs, frequent)
+
+    def frequent_of(self, field: str, words: list[str]) -> set[str]:
+        """Which of the words the lists of pairs know."""
+        if self.frequent is None or not words:
+            return set()
+        return {r["term"] for r in self.frequent.filter((F.col("field") == field) & F.col("term").isin(words)).collect()}
 
     @classmethod
     def open(cls, spark: SparkSession, folder: str, fields: dict[str, Analyzer]) -> "TextIndex":

@@ -107,13 +107,54 @@ class IndexScope(Scope):
         return [] if self._held(field) else super().prefilter(field, words)
 
 
-def with_found(rows: DataFrame, row_id: str, index, field: str, parts: list, required: bool) -> DataFrame:
-    """The rows with the field's asked terms and its length; only rows with such a term when ``required``."""
+def covered(conditions, scope: Scope, index, field: str) -> tuple[list, list[tuple[str, str]]] | None:
+    """Single words and pairs of frequent neighbours that hold all a field's phrases; None when more than exact phrases is asked."""
+    leaves, rest = [], list(conditions)
+    while rest:
+        condition = rest.pop()
+        if isinstance(condition, C.Group):
+            rest.extend(condition.children)
+        elif getattr(condition, "field", None) == field:
+            leaves.append(condition)
+    if index.pairs is None or any(not isinstance(c, C.Phrase) or c.slop or c.prefix for c in leaves):
+        return None
+    phrases = [c.parts(scope) for c in leaves]
+    frequent = index.frequent_of(field, sorted({w.text for parts in phrases for _, w in parts}))
+    single, pairs = {}, {}
+    for parts in phrases:
+        beside = [
+            later == at + 1 and {word.text, following.text} <= frequent for (at, word), (later, following) in zip(parts, parts[1:])
+        ]
+        pairs |= {(parts[i][1].text, parts[i + 1][1].text): None for i, held in enumerate(beside) if held}
+        single |= {w.text: w for i, (_, w) in enumerate(parts) if not any(beside[max(i - 1, 0) : i + 1])}
+    return (list(single.values()), list(pairs)) if pairs else None
+
+
+def with_found(rows: DataFrame, row_id: str, index, field: str, parts: list, required: bool, pairs: list[tuple[str, str]] = ()) -> DataFrame:
+    """The rows with the field's asked terms and its length; only rows with such a term when ``required``.
+
+    Terms of the ``pairs`` come from the lists of neighbours, those of ``parts`` from their own.
+    """
     name = safe_name(field)
-    wanted = reduce(lambda a, b: a | b, [p.accepts(F.col("term")) for p in parts], F.lit(False))
-    held = index.postings.filter((F.col("field") == field) & wanted)
-    at = F.transform("positions", lambda p: F.struct(p.alias("at"), F.col("term").alias("term")))
-    found = held.groupBy("id").agg(F.array_sort(F.flatten(F.collect_list(at))).alias("__at"), F.max("length").alias(f"__words_{name}"))
+
+    def place(at: Column, term: str) -> Column:
+        return F.struct(at.alias("at"), F.col(term).alias("term"))
+
+    sources = []
+    if parts or not pairs:
+        wanted = reduce(lambda a, b: a | b, [p.accepts(F.col("term")) for p in parts], F.lit(False))
+        held = index.postings.filter((F.col("field") == field) & wanted)
+        sources.append(held.select("id", "length", F.transform("positions", lambda p: place(p, "term")).alias("at")))
+    if pairs:
+        wanted = reduce(lambda a, b: a | b, [(F.col("first") == a) & (F.col("second") == b) for a, b in pairs])
+        held = index.pairs.filter((F.col("field") == field) & wanted)
+        both = F.flatten(F.transform("positions", lambda p: F.array(place(p, "first"), place(p + 1, "second"))))
+        sources.append(held.select("id", "length", both.alias("at")))
+    held = reduce(DataFrame.unionByName, sources)
+    places = F.flatten(F.collect_list("at"))
+    # neighbouring pairs name their common term twice
+    places = F.array_sort(F.array_distinct(places) if pairs else places)
+    found = held.groupBy("id").agg(places.alias("__at"), F.max("length").alias(f"__words_{name}"))
     places = F.col("__at")
 
     def spaced(place, i):

@@ -74,6 +74,19 @@ def written(df: DataFrame, name: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def staged() -> list[str]:
+    """Paths of the tables written on the way and not deleted yet."""
+    return list(_stages)
+
+
+def release(spark: SparkSession, paths: list[str]) -> None:
+    """Delete some of the tables written on the way."""
+    for place in [p for p in paths if p in _stages]:
+        _stages.remove(place)
+        path, files = hadoop_path(spark, place)
+        files.delete(path, True)
+
+
 def clear_stages(spark: SparkSession) -> None:
     """Delete the tables written on the way; frames built on them must be finished."""
     while _stages:

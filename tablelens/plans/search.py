@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field as attr
 
 from pyspark.sql import Column, DataFrame
@@ -18,18 +18,34 @@ from tablelens.operators import highlight as H
 from tablelens.operators.projection import select_fields
 from tablelens.plans import conditions as C
 from tablelens.plans.criteria import Criteria, collect
-from tablelens.plans.indexed import IndexScope, held_fields, with_found
+from tablelens.plans.indexed import IndexScope, covered, held_fields, with_found
+from tablelens.plans.runtime import release, staged, written
 from tablelens.plans.scope import Scope, Statistics
 
 
 @dataclass
 class Result:
-    """Lazy frames: the page of hits and one frame per aggregation."""
+    """Lazy frames: the page of hits and one frame per aggregation.
+
+    One of ``find_many(once=True)`` is to be closed (or used in a ``with`` statement) when its frames
+    are done with: that deletes the matches written for it.
+    """
 
     hits: DataFrame
     aggs: dict[str, DataFrame]
     _matched: Callable[[], DataFrame]
     _track: bool | int = True
+    _written: list[str] = attr(default_factory=list)
+
+    def close(self) -> None:
+        release(self.hits.sparkSession, self._written)
+        self._written = []
+
+    def __enter__(self) -> Result:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.close()
 
     def total(self, track: bool | int | None = None) -> int | None:
         """All matches, or at most ``track`` of them, or None when tracking is off."""
@@ -85,6 +101,10 @@ class Search(Criteria):
         self._phases: list[tuple[int, list[C.Condition]]] = []
         self._highlight = Highlight()
         self._aggs: dict[str, Callable[[DataFrame], DataFrame]] = {}
+        #: Fields that the aggregations read, None when any may be.
+        self._aggregated: set[str] | None = set()
+        #: The written matches while the frames of one result are made from them.
+        self._held: DataFrame | None = None
 
     # Result shape -------------------------------------------------------------
 
@@ -226,6 +246,7 @@ class Search(Criteria):
 
     def include_facets(self, fields, limit: int = 25):
         """Add facets; further calls add to the same ``facets`` frame."""
+        self._reads(fields.values() if isinstance(fields, Mapping) else fields)
         before = self._aggs.get("facets")
         if before is None:
             self._aggs["facets"] = lambda df: A.facets(df, fields, limit)
@@ -234,18 +255,25 @@ class Search(Criteria):
         return self
 
     def aggregate_term(self, field: str, limit: int = 10, exclude=(), order=None):
+        self._reads([field])
         self._aggs[field] = lambda df: A.term_counts(df, field, limit, exclude, order)
         return self.limit(0)
 
     def date_histogram(self, field: str, interval: str, offset: int | str = 0):
         A.bucket_start(F.lit(None), interval, offset)
+        self._reads([field])
         self._aggs[field] = lambda df: A.date_histogram(df, field, interval, offset)
         return self.limit(0)
 
     def aggregate(self, name: str, by: Sequence, **aggregates: Column):
+        self._aggregated = None
         self._aggs[name] = lambda df: A.grouped(df, by, **aggregates)
         return self
 
+    def _reads(self, fields) -> None:
+        if self._aggregated is not None:
+            self._aggregated.update(fields)
+
     # Plan -------------------------------------------------------------------------
 
     def _inner(self) -> Search:
@@ -275,9 +303,11 @@ class Search(Criteria):
             rows = rows.filter(condition.hit(scope))
         if isinstance(scope, IndexScope):
             for field in [f for f in scope.fields if any(f in c.text_fields() for c in [*textual, *self._phase_conditions()])]:
-                parts = self._accepting(scope, field, [*self.conditions, *self._phase_conditions()], negated=True)
+                asked = [*self.conditions, *self._phase_conditions()]
+                paired = covered(asked, scope, self.index, field)
+                parts, pairs = paired or (self._accepting(scope, field, asked, negated=True), [])
                 required = any(not isinstance(c, C.Group) and c.field == field for c in textual)
-                rows = with_found(rows, self.id, self.index, field, parts, required)
+                rows = with_found(rows, self.id, self.index, field, parts, required, pairs)
         documents = self.df.withColumns(scope.prepared) if scope.prepared else self.df
         expansions = scope.statistics.expansion_columns(documents)
         if expansions:
@@ -318,6 +348,8 @@ class Search(Criteria):
 
     def matched(self) -> DataFrame:
         """Every matching row, unscored and unsorted."""
+        if self._held is not None:
+            return self._held.select(*[F.col(f"`{c}`") for c in self._held.columns if c in self.df.columns])
         if not self._retrievers:
             rows, _ = self._filtered(self._scope(), False)
             return rows.select(*[F.col(f"`{c}`") for c in self.df.columns])
@@ -361,9 +393,27 @@ class Search(Criteria):
             or bool(self._phases)
         )
 
+    def _base_rows(self) -> DataFrame:
+        """Every match with its score and what rescoring needs."""
+        if self._held is not None:
+            return self._held
+        return self._retrieved() if self._retrievers else self._scored_rows(self._wants_score())
+
+    def _needed(self, rows: DataFrame) -> DataFrame:
+        """The matches with the fields that their page and the aggregations read."""
+        shown = set()
+        if self._limit != 0:
+            shown = set(self._include) or set(self.df.columns) - set(self._exclude)
+            shown |= {k.field for k in self._sorts} | set(self._highlight.fields)
+        names = {self.id, *shown, *(self._aggregated or ())}
+        if self._aggregated is None or any("*" in n for n in names):
+            return rows
+        names |= {n.split(".")[0] for n in names}
+        return rows.select(*[F.col(f"`{c}`") for c in rows.columns if c in names or c not in self.df.columns])
+
     def _all_hits(self) -> tuple[DataFrame, list[paging.SortKey]]:
+        rows = self._base_rows()
         if self._retrievers:
-            rows = self._retrieved()
             if self._phases and self._rescoring_allowed():
                 if self._limit is not None and not self._sorts and not self._after:
                     # rows below the largest window and the page are neither rescored nor shown
@@ -371,8 +421,6 @@ class Search(Criteria):
                     rows = self._phase_columns(fusion.top_of(rows, self.id, most).drop("rank"), True)
                 else:
                     rows = self._phase_columns(rows, False)
-        else:
-            rows = self._scored_rows(self._wants_score())
         keys = list(self._sorts)
         tier = False
         if self._phases and self._rescoring_allowed():
@@ -418,7 +466,7 @@ class Search(Criteria):
         if self._highlight.fields:
             rows, marked = self._highlighted(rows)
             extras += marked
-        rows = rows.select(*[F.col(f"`{c}`") for c in [*self.df.columns, *extras]])
+        rows = rows.select(*[F.col(f"`{c}`") for c in [*[c for c in self.df.columns if c in rows.columns], *extras]])
         return select_fields(rows, self._include, self._exclude, always=tuple(extras))
 
     def _highlighted(self, rows: DataFrame) -> tuple[DataFrame, list[str]]:
@@ -482,10 +530,24 @@ class Search(Criteria):
             walk(condition)
         return out
 
-    def find_many(self) -> Result:
-        matched = self.matched
-        aggs = {name: make(matched()) for name, make in self._aggs.items()}
-        return Result(self.hits(), aggs, matched, self._track)
+    def find_many(self, once: bool = False) -> Result:
+        """The page of hits, every aggregation and the total.
+
+        Each is a plan of its own, which lets a filter reach the scan and a top-k keep few rows, but the
+        search runs once for each that is used.  With ``once`` it runs a single time, now: the matches
+        are written to the shared folder with the fields that are needed, and everything reads those until the result is closed.
+        """
+        if not once:
+            aggs = {name: make(self.matched()) for name, make in self._aggs.items()}
+            return Result(self.hits(), aggs, self.matched, self._track)
+        before = set(staged())
+        held = self._held = written(self._needed(self._base_rows()), "matched")
+        try:
+            aggs = {name: make(self.matched()) for name, make in self._aggs.items()}
+            hits = self.hits()
+        finally:
+            self._held = None
+        return Result(hits, aggs, lambda: held, self._track, [p for p in staged() if p not in before])
 
     def find_first(self):
         limit, self._limit = self._limit, 1

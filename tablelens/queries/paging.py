@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tablelens.plans.search import Search
-from tablelens.queries import query
+from tablelens.queries import SQL, query
 from tablelens.queries.filters import LABELLED, labelled, unscored
 from tablelens.sources.reader import read_table as read
 
@@ -91,6 +91,19 @@ def _(spark, d):
     return hits.unionByName(facets).unionByName(total.select(F.lit("total").alias("part"), F.lit("all").alias("key"), "value"))
 
 
+@query("hits_with_aggregations_once", SQL["hits_with_aggregations"])
+def _(spark, d):
+    """The search runs a single time for all three."""
+    search = orders(spark, d).term("o_orderstatus", "O").sort("-o_totalprice").fields(["o_orderkey", "o_totalprice"]).limit(10)
+    result = search.include_facets(["o_orderpriority"]).find_many(once=True)
+    hits = result.hits.select(
+        F.lit("hit").alias("part"), F.col("o_orderkey").cast("string").alias("key"), F.col("o_totalprice").alias("value")
+    )
+    facets = result.aggs["facets"].select(F.lit("facet").alias("part"), "key", F.col("count").cast("double").alias("value"))
+    total = spark.createDataFrame([("total", "all", float(result.total()))], "part string, key string, value double")
+    return hits.unionByName(facets).unionByName(total)
+
+
 @query("random_order", "SELECT o_orderkey FROM orders WHERE o_orderstatus = 'P'")
 def _(spark, d):
     return unscored(orders(spark, d).term("o_orderstatus", "P").sort_by_random(seed=11).fields(["o_orderkey"]))

@@ -474,6 +474,33 @@ _indexed("boosted_indexed", "boosted_phrase", lambda s: s.match_boosted_phrase("
 _indexed("similar_indexed", "more_like_this", lambda s: s.more_like_this("text", LIKE, max_query_terms=3, minimum_should_match="70%"))
 
 
+def _paired(spark, d):
+    folder = new_path(spark, "index")
+    index = TextIndex.write(documents(spark, d), "doc_id", {"text": T.STANDARD}, folder).with_pairs(folder)
+    return Search(documents(spark, d), "doc_id", {"text": T.STANDARD}, index=index)
+
+
+@query("phrase_frequent_indexed", SQL["phrase"])
+def _(spark, d):
+    """Both words are frequent: one list of the pair is read, and no list of a word."""
+    return scores(_paired(spark, d).match_phrase("text", "of the"))
+
+
+@query(
+    "phrase_mixed_indexed",
+    f"""WITH {CORPUS}, {POSITIONS},
+      g AS (SELECT a1.doc_id, count(*) AS tf FROM p a1 JOIN p a2 ON a1.doc_id = a2.doc_id AND a2.pos = a1.pos + 1
+              JOIN p a3 ON a1.doc_id = a3.doc_id AND a3.pos = a1.pos + 2
+            WHERE a1.term = 'of' AND a2.term = 'the' AND a3.term = 'of' GROUP BY a1.doc_id),
+      w AS (SELECT sum({idf_sql('df')} * CASE term WHEN 'of' THEN 2 ELSE 1 END) AS weight FROM v, c WHERE term IN ('of', 'the'))
+      SELECT doc_id, round({bm25_sql('tf', 'weight')}, 6) AS _score
+      FROM (SELECT g.doc_id, tf, len(t) AS dl FROM g JOIN d USING (doc_id)), w, c""",
+)
+def _(spark, d):
+    """Two pairs that overlap in a word."""
+    return scores(_paired(spark, d).match_phrase("text", "of the of"))
+
+
 @query("fuzzy_spelled", SQL["match_fuzzy_expansions"])
 def _(spark, d):
     """Near terms come from a table of deletions; the vocabulary is not read for them."""

@@ -19,7 +19,7 @@ from tablelens.operators import retrieval
 from tablelens.operators.wildcards import WildcardIndex
 from tablelens.operators.postings import TextIndex
 from tablelens.plans.conditions import Range, required
-from tablelens.plans.runtime import join_sized, shared_folder
+from tablelens.plans.runtime import join_sized, shared_folder, staged
 from tablelens.queries.vectors import DIM, probe
 
 FOLDER = "/root/testdata/sf0.001"
@@ -423,6 +423,63 @@ def test_negations_similar_texts_and_fusion_do_not_read_the_text(spark, tmp_path
         assert {(r[0], round(r[-1], 9)) for r in search.fields(["doc_id"]).hits().select("doc_id", "_score").collect()} == scan
 
 
+def test_phrases_of_frequent_words_read_pairs(spark, tmp_path):
+    docs = read(spark, "documents").unionByName(
+        spark.createDataFrame([(-1, "of of of the the of the"), (-2, ""), (-3, None)], "doc_id long, text string"), allowMissingColumns=True
+    )
+    plain = TextIndex.write(docs, "doc_id", {"text": STANDARD}, str(tmp_path / "index"))
+    index = plain.with_pairs(str(tmp_path / "index"))
+
+    def made(held):
+        return Search(docs, "doc_id", {"text": STANDARD}, index=held)
+
+    def found(search):
+        return {(r[0], round(r[1], 9)) for r in search.hits().select("doc_id", "_score").collect()}
+
+    assert index.frequent_of("text", ["of", "the", "nowhere"]) == {"of", "the"}
+    text = plan(made(index).match_phrase("text", "of the").fields(["doc_id"]).hits())
+    assert "second:string" in text and "term:string,id" not in text and "text:string" not in text
+    for phrase in ("of the", "of of the", "of the of", "of nowhere the", "of of", "of"):
+        assert found(made(index).match_phrase("text", phrase)) == found(made(None).match_phrase("text", phrase)), phrase
+    assert (-1, ) in {r[:1] for r in found(made(index).match_phrase("text", "of of the"))}
+    mixed = [
+        lambda s: s.match_phrase("text", "of the").must_not(lambda q: q.match_phrase("text", "the of")),
+        lambda s: s.should([lambda q: q.match_phrase("text", "of the"), lambda q: q.match_phrase("text", "only thing")]),
+        lambda s: s.match_phrase("text", "of the").match("text", "thing"),
+        lambda s: s.match_phrase("text", "of the").rescore(20, lambda q: q.match("text", "only")),
+        lambda s: s.match_phrase("text", "of the", slop=2),
+    ]
+    for make in mixed:
+        assert found(make(made(index))) == found(make(made(None)))
+
+
+def test_a_result_made_once_reads_its_source_once(spark):
+    docs = read(spark, "documents")
+
+    def made():
+        search = Search(docs, "doc_id", {"text": STANDARD}).match("text", "thing only").highlight_field("text").limit(5)
+        return search.include_facets(["lang", "source"]).aggregate("by_lang", ["lang"], longest=F.max(F.length("text")))
+
+    lazy = made().find_many()
+    with made().find_many(once=True) as result:
+        for df in [result.hits, *result.aggs.values()]:
+            assert df.inputFiles() and all("/matched-" in f for f in df.inputFiles())
+        assert result.hits.columns == lazy.hits.columns
+        for one, other in [(result.hits, lazy.hits), *zip(result.aggs.values(), lazy.aggs.values())]:
+            assert sorted(map(repr, one.collect())) == sorted(map(repr, other.collect()))
+        assert result.total() == lazy.total()
+        held = list(result._written)
+    assert held and not set(held) & set(staged())
+    narrow = Search(docs, "doc_id").exists("lang").include_facets(["lang"]).limit(0).find_many(once=True)
+    assert set(narrow._matched().columns) == {"doc_id", "lang", "_score"} and narrow.hits.count() == 0
+    narrow.close()
+    fused = Search(docs, "doc_id", {"text": STANDARD}).match("text", "thing").semantic("text", "only there")
+    fused.rescore(30, lambda q: q.match("text", "there")).fields(["doc_id"]).limit(10)
+    wanted = sorted(map(repr, fused.find_many().hits.collect()))
+    with fused.find_many(once=True) as result:
+        assert sorted(map(repr, result.hits.collect())) == wanted
+
+
 def test_a_field_without_an_index_form_leaves_the_others_indexed(spark, tmp_path):
     docs = read(spark, "documents").withColumn("title", F.col("lang"))
     analyzers = {"text": STANDARD, "title": STANDARD}
