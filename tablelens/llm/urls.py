@@ -133,7 +133,8 @@ def judge(pages: DataFrame, rules: Sequence[Rule], listed: DataFrame, listed_key
     universe = hosts.select(F.explode(suffixes(F.col("host"))).alias("key"))
     filters = cascade(universe, "key", listed, listed_key)
     named, said = F.lit(None).cast("string"), F.when(F.exists(suffixes(F.col("host")), lambda k: is_listed(filters, k)), "block").otherwise("allow") if filters else F.lit("allow")
-    for rule in sorted(rules, key=lambda r: len(r[1]) + len(r[2])):
+    # the last one that fits decides, so of equally long rules the first comes last
+    for rule in sorted(reversed(rules), key=lambda r: len(r[1]) + len(r[2])):
         fits = rule_fits(rule, F.col("host"), F.col("path"))
         named = F.when(fits, rule[1] + rule[2]).otherwise(named)
         said = F.when(fits, rule[0]).otherwise(said)

@@ -163,3 +163,11 @@ def test_null_id_is_no_other_id(spark, other):
     bench = spark.createDataFrame([(7, "w1 w2 w3 w4 w5 w6 w7 w8 w9 w10")], "item_id long, text string")
     found = decontaminate.contamination(docs, bench, 10).collect()
     assert sorted((str(r.doc_id), r.n_hit) for r in found) == sorted([("None", 0), (str(other), 0), ("2", 10)])
+
+
+@pytest.mark.parametrize("first, then", [("allow", "block"), ("block", "allow")])
+def test_of_equally_long_rules_the_first_decides(spark, first, then):
+    pages = spark.createDataFrame([(1, "http://a.com/x/y"), (2, "http://a.com/z")], "page_id long, url string")
+    nothing = spark.createDataFrame([], "host string")
+    found = urls.judge(pages, [(first, "com", "/x"), (then, "com", "/x"), (then, "com", "/")], nothing)
+    assert {r["page_id"]: r["verdict"] for r in found.collect()} == {1: first, 2: then}
