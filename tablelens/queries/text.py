@@ -82,6 +82,20 @@ def _(spark, d):
     )
 
 
+_STOP_LIST = ", ".join(f"'{w}'" for w in sorted(T.ENGLISH_STOP_WORDS))
+
+
+@query(
+    "tokens_english_kept",
+    f"""SELECT doc_id, len(t) AS positions, len(list_filter(t, lambda x: x NOT IN ({_STOP_LIST}))) AS tokens
+        FROM (SELECT doc_id, {DOC_WORDS} AS t FROM documents)""",
+)
+def _(spark, d):
+    """What stemming does not change: every word keeps its position, stop words hold no token."""
+    rows = documents(spark, d).select("doc_id", T.ENGLISH.tokens(F.col("text")).alias("t"))
+    return rows.select("doc_id", F.size("t").cast("long").alias("positions"), T.token_count(F.col("t")).cast("long").alias("tokens"))
+
+
 FOLDED_SQL = f"translate(lower({{0}}), '{''.join(T.FOLD_TABLE)}', '{''.join(T.FOLD_TABLE.values())}')"
 for _ligature, _plain in T.LIGATURES.items():
     FOLDED_SQL = f"replace({FOLDED_SQL}, '{_ligature}', '{_plain}')"
