@@ -103,6 +103,20 @@ def test_neighbouring_copies(spark):
     assert all(found[k] == f"{lines}\nRead {k} times" for k in [*range(30, 33), *range(51, 58)])
 
 
+def test_pages_with_an_article_are_compared(spark):
+    """Outside of the article the neighbour decides: the template goes, a page's own headline stays; lines of the article stay, shared or not."""
+
+    def page(k, body="<p>Shared paragraph</p>"):
+        return f"<div>Home</div><h1>Headline {k}</h1><div class='ad'>Buy {k}</div><article>{body}<p>Own {k}</p></article><div>Imprint</div>"
+
+    rows = [(k, f"http://h.org/a/{k}", page(k)) for k in range(6)] + [(3, "http://h.org/a/3", page(3)), (None, "http://h.org/a/3", page(9))]
+    rows += [(20, "http://alone.org/", page(20)), (21, None, page(21)), (22, "http://h.org/b", ""), (23, "http://h.org/b", None)]
+    found = html.extract(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect()
+    named = [(k, f"Headline {k}\nShared paragraph\nOwn {k}") for k in (*range(6), 3)] + [(None, "Headline 9\nShared paragraph\nOwn 9")]
+    named += [(k, f"Shared paragraph\nOwn {k}") for k in (20, 21)] + [(22, ""), (23, "")]
+    assert sorted(((r.page_id, r.text) for r in found), key=str) == sorted(named, key=str)
+
+
 def sample(rng, good):
     words = [rng.choice(["the", "and", "under", "table", "river", "stone", "walks", "slowly", "house", "garden"]) for _ in range(rng.randint(20, 80))]
     if good:
