@@ -5,10 +5,10 @@ of one side is linked with every token of the other in its group.  Neither token
 that goes on with a space or a line feed after other signs, so a text falls into segments at such places, no group
 spans two of them, and a worker aligns every distinct segment once.
 
-Counting pairs (documents that hold a pair linked): a first pass writes each task's distinct pairs with its own counts.  Over
-the distinct pairs of a hash range a minimal perfect hash is built, so that counts are dense vectors
+Texts are aligned once: a task writes each document's numbers, digest and distinct pairs, and next to them its own counts of
+pairs (documents that hold a pair linked).  Over the distinct pairs of a hash range a minimal perfect hash is built, so that counts are dense vectors
 without keys; vectors of many tasks are summed as a tree.  Next to the vector lie the keys in the order of the hash: a pair is
-only answered after its key was compared.  A second pass aligns the documents again and looks up the counts.  Pairs of at least a fixed part of
+only answered after its key was compared.  Then the counts of the written documents' pairs are looked up.  Pairs of at least a fixed part of
 all counts, a bounded number, are broadcast; all others are looked up where their hash range lies.
 """
 
@@ -300,6 +300,13 @@ class Document:
         sums.add(*np.unique(_longs(b"".join(held)), return_counts=True))
         return sums.finish()
 
+    def numbers(self) -> list[int]:
+        """Tokens of both sides, groups and links."""
+        return [sum([p[k] for p in self.parts]) for k in range(4)]
+
+    def digest(self) -> str:
+        return hashlib.sha256(";".join([p.text for p in self.parts]).encode()).hexdigest() if self.parts else ""
+
 
 class Aligner:
     """Aligns texts; distinct segments are encoded once and held, the oldest half is given up when there are too many."""
@@ -417,7 +424,7 @@ class Table:
 
 @cache
 def aligner(path_a: str, path_b: str) -> Aligner:
-    """A worker's own, for all its tasks of both passes."""
+    """A worker's own, for all its tasks."""
     return Aligner(path_a, path_b)
 
 
@@ -447,31 +454,66 @@ def _one(schema: pa.Schema, *values) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(values, schema, strict=True)], schema=schema)
 
 
-_LOCAL = pa.schema([("shard", pa.int32()), ("salt", pa.int32()), ("keys", pa.binary()), ("numbers", pa.binary())])
-_LOCAL_SQL = "shard int, salt int, keys binary, numbers binary"
+def pair_type(size_a: int, size_b: int) -> str:
+    """Type of a pair's place in the product of both vocabularies."""
+    return "<u4" if size_a * size_b <= 1 << 32 else "<u8"
+
+
+def packed_pairs(keys: np.ndarray, times: np.ndarray, size_b: int, kind: str) -> tuple[bytes, bytes]:
+    """A document's pairs as places in the product of both vocabularies, and their links in a byte or eight each."""
+    return ((keys >> 32) * size_b + (keys & 0xFFFFFFFF)).astype(kind).tobytes(), times.astype("<u1" if times.max(initial=0) < 256 else "<i8").tobytes()
+
+
+def unpacked_pairs(pairs: list[bytes], times: list[bytes], size_b: int, kind: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys and links of some documents' pairs, and where each document ends."""
+    at = np.frombuffer(b"".join(pairs), kind).astype(np.int64)
+    sizes = [len(p) // int(kind[2:]) for p in pairs]
+    numbers = [np.frombuffer(t, "<u1" if len(t) == n else "<i8") for t, n in zip(times, sizes, strict=True)]
+    return (at // size_b << 32) | at % size_b, np.concatenate([np.empty(0, np.int64), *numbers]), np.cumsum(sizes, dtype=np.int64)
 
 
-def local_pairs(rows: DataFrame, path_a: str, path_b: str) -> DataFrame:
-    """(shard, salt, keys, numbers): each task's distinct pairs with the number of its documents that hold them."""
+NUMBERS = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
+#: Rows of two kinds: a document, or with a hash range, some pairs that a task counted.
+_WRITTEN = pa.schema([
+    ("doc_id", pa.int64()), *[(n, pa.int64()) for n in NUMBERS[:4]], ("groups_sha256", pa.string()), ("pairs", pa.binary()), ("times", pa.binary()),
+    ("shard", pa.int32()), ("salt", pa.int32()), ("keys", pa.binary()), ("numbers", pa.binary()),
+])
+_WRITTEN_SQL = (
+    f"doc_id long, {', '.join(f'{n} long' for n in NUMBERS[:4])}, groups_sha256 string, pairs binary, times binary, shard int, salt int, keys binary, numbers binary"
+)
+
+
+def aligned(rows: DataFrame, path_a: str, path_b: str) -> DataFrame:
+    """Every document's numbers, digest and pairs; and each task's distinct pairs with the number of its documents that hold them."""
 
     def gather(batches):
         found, sums = aligner(path_a, path_b), Sums()
+        size_a, size_b = len(byte_level(path_a)[1]), len(pieces(path_b)[1])
+        kind = pair_type(size_a, size_b)
         salt = TaskContext.get().partitionId() % SALTS
 
         def flush():
             for shard, keys, numbers in by_shard(*sums.finish()):
-                yield _one(_LOCAL, shard, salt, keys.tobytes(), numbers.tobytes())
+                yield _one(_WRITTEN, *[None] * 8, shard, salt, keys.tobytes(), numbers.tobytes())
             sums.__init__()
 
+        def batch_of(documents):
+            columns = [*zip(*documents, strict=True), *[[None] * len(documents)] * 4]
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _WRITTEN, strict=True)], schema=_WRITTEN)
+
         for batch in batches:
-            for document in found.documents(batch.column(0).to_pylist()):
-                keys, _ = document.pairs()
+            held = []
+            for i, document in zip(batch.column(0).to_pylist(), found.documents(batch.column(1).to_pylist()), strict=True):
+                keys, times = document.pairs()
+                held.append((i, *document.numbers(), document.digest(), *packed_pairs(keys, times, size_b, kind)))
                 sums.add(keys, np.ones(len(keys), np.int64))
                 if sums.size > 2 * GATHER:
                     yield from flush()
+            if held:
+                yield batch_of(held)
         yield from flush()
 
-    return written(prepared(rows).select("text").mapInArrow(gather, _LOCAL_SQL), "pairs")
+    return written(prepared(rows).select("doc_id", "text").mapInArrow(gather, _WRITTEN_SQL), "aligned")
 
 
 def _grouped(batches, key):
@@ -486,7 +528,12 @@ def _grouped(batches, key):
 
 def pair_counts(rows: DataFrame, path_a: str, path_b: str) -> DataFrame:
     """(shard, mph, keys, counts, total): a row per hash range with the documents of each of its pairs."""
-    local = local_pairs(rows, path_a, path_b)
+    return summed_pairs(aligned(rows, path_a, path_b))
+
+
+def summed_pairs(found: DataFrame) -> DataFrame:
+    """``pair_counts`` of the rows of ``aligned``."""
+    local = found.filter("shard is not null").select("shard", "salt", "keys", "numbers")
     keys_schema = pa.schema([("shard", pa.int32()), ("keys", pa.binary())])
     table_schema = pa.schema([("shard", pa.int32()), ("mph", pa.binary()), ("keys", pa.binary())])
     sum_schema = pa.schema([("shard", pa.int32()), ("counts", pa.binary())])
@@ -604,9 +651,7 @@ def highest(counts: DataFrame, size: int) -> np.ndarray:
     return out
 
 
-# ---------------------------------------------------------------- second pass
-
-NUMBERS = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
+# ---------------------------------------------------------------- answers
 
 
 def alignment(docs: DataFrame, path_a: str, path_b: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -617,9 +662,12 @@ def alignment(docs: DataFrame, path_a: str, path_b: str, doc_id: str = "doc_id",
     rows.  Texts of any length are aligned whole.
     """
     rows = texts(docs, doc_id, text)
-    counts = pair_counts(rows, path_a, path_b)
+    read = aligned(rows, path_a, path_b)
+    counts = summed_pairs(read)
     table, is_all = frequent_table(counts)
-    held = docs.sparkSession.sparkContext.broadcast((table, highest(counts, len(byte_level(path_a)[1]))))
+    size_a, size_b = len(byte_level(path_a)[1]), len(pieces(path_b)[1])
+    kind = pair_type(size_a, size_b)
+    held = docs.sparkSession.sparkContext.broadcast((table, highest(counts, size_a)))
     schema = pa.schema([
         ("row", pa.int64()), ("doc_id", pa.int64()), *[(n, pa.int64()) for n in NUMBERS], ("groups_sha256", pa.string()),
         ("shard", pa.int32()), ("keys", pa.binary()), ("times", pa.binary()),
@@ -627,48 +675,31 @@ def alignment(docs: DataFrame, path_a: str, path_b: str, doc_id: str = "doc_id",
     shape = f"row long, doc_id long, {', '.join(f'{n} long' for n in NUMBERS)}, groups_sha256 string, shard int, keys binary, times binary"
 
     def look_up(batches):
-        align, (table, most) = aligner(path_a, path_b), held.value
-        answers: dict[int, tuple] = {}  # of the alignments met: links at their highest count, sum of counts, pairs not in the table
-
-        def answer(parts: list[Aligned]) -> None:
-            keys = _longs(b"".join([p.keys for p in parts]))
-            times = np.concatenate([np.ones(len(p.keys) // 8, np.int64) if p.times is None else _longs(p.times) for p in parts])
-            ends = np.cumsum([len(p.keys) // 8 for p in parts])
-            at = table.find(keys)
-            n = np.where(at >= 0, table.counts[at], 0) if len(table.counts) else np.zeros(len(keys), np.int64)
-            sums = [np.concatenate(([0], np.cumsum(v)))[ends].tolist() for v in (np.where((at >= 0) & (n == most[keys >> 32]), times, 0), times * n)]
-            unknown, i, best, total = at < 0, 0, 0, 0
-            for p, to, to_best, to_total in zip(parts, ends.tolist(), *sums, strict=True):
-                mine = unknown[i:to]
-                lost = (keys[i:to][mine], times[i:to][mine]) if not is_all and mine.any() else None
-                answers[id(p)] = (p, to_best - best, to_total - total, lost)  # p is kept, so its id is no other's
-                i, best, total = to, to_best, to_total
-
+        table, most = held.value
         number = TaskContext.get().partitionId() << 40
         for batch in batches:
-            found = []
-            for i, aligned in zip(batch.column(0).to_pylist(), align.documents(batch.column(1).to_pylist()), strict=True):
+            column = batch.to_pydict()
+            keys, times, ends = unpacked_pairs(column["pairs"], column["times"], size_b, kind)
+            at = table.find(keys)
+            n = np.where(at >= 0, table.counts[at], 0) if len(table.counts) else np.zeros(len(keys), np.int64)
+            sums = [np.concatenate(([0], np.cumsum(v)))[[0, *ends]] for v in (np.where((at >= 0) & (n == most[keys >> 32]), times, 0), times * n)]
+            best, total = (np.diff(v).tolist() for v in sums)
+            found, unknown, i = [], at < 0, 0
+            for k, to in enumerate(ends.tolist()):
                 number += 1
-                new = [p for p in aligned.parts if id(p) not in answers]
-                if new:
-                    answer(new)
-                mine = [answers[id(p)] for p in aligned.parts]
-                groups = hashlib.sha256(";".join([p.text for p in aligned.parts]).encode()).hexdigest() if mine else ""
-                found.append((number, i, *[sum([p[k] for p in aligned.parts]) for k in range(4)], sum([x[1] for x in mine]), sum([x[2] for x in mine]), groups, None, None, None))
-                lost = [x[3] for x in mine if x[3]]
-                if lost:
-                    keys, times = (np.concatenate(c) for c in zip(*lost, strict=True))
-                    found += [(number, *[None] * 8, s, k.tobytes(), x.tobytes()) for s, k, x in by_shard(keys, times)]
-                if len(answers) > HELD or len(aligned.parts) > GATHER:
-                    answers.clear()
+                found.append((number, column["doc_id"][k], *[column[c][k] for c in NUMBERS[:4]], best[k], total[k], column["groups_sha256"][k], None, None, None))
+                mine = unknown[i:to]
+                if not is_all and mine.any():
+                    found += [(number, *[None] * 8, s, k.tobytes(), x.tobytes()) for s, k, x in by_shard(keys[i:to][mine], times[i:to][mine])]
+                i = to
             columns = list(zip(*found, strict=True)) or [()] * len(schema)
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
     columns = ["doc_id", *NUMBERS, "groups_sha256"]
-    found = prepared(rows).mapInArrow(look_up, shape)
+    found = prepared(read.filter("shard is null").drop("shard", "salt", "keys", "numbers")).mapInArrow(look_up, shape)
     if is_all:
         return found.select(*columns)
-    found = written(found, "aligned")
+    found = written(found, "answers")
     rest = found.filter("shard is not null").select("shard", F.pmod(F.col("row"), F.lit(SALTS)).cast("int").alias("salt"), F.lit(1).alias("place"), "row", "keys", "times")
     nothing = F.lit(None).cast("binary")
     ask = rest.withColumn("mph", nothing).withColumn("counts", nothing)

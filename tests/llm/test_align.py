@@ -127,6 +127,25 @@ def test_alignment(spark, monkeypatch, frequent):
         assert len(pairs) == len(counts) and {(r.a, r.b): r.documents for r in pairs} == counts
 
 
+def test_texts_are_aligned_once(spark, tmp_path):
+    """The answers are looked up from what the only alignment wrote, not from the texts."""
+    spark.createDataFrame(rows(), "doc_id long, text string").write.parquet(str(tmp_path / "docs"))
+    found = align.alignment(spark.read.parquet(str(tmp_path / "docs")), A, B)
+    assert str(tmp_path) not in found._jdf.queryExecution().toString()
+    assert sorted(map(tuple, found.collect()), key=repr) == brute(rows())[0]
+
+
+@pytest.mark.parametrize("sizes", [(50_000, 32_000), (1 << 17, 1 << 16)])
+def test_packed_pairs(sizes):
+    """Pairs of vocabularies of any size, links of any number, documents without pairs."""
+    kind = align.pair_type(*sizes)
+    last = ((sizes[0] - 1) << 32) | (sizes[1] - 1)
+    docs = [([0, 5, last], [1, 255, 2]), ([], []), ([1 << 32], [1 << 40]), ([last], [256])]
+    made = [align.packed_pairs(np.array(k, np.int64), np.array(n, np.int64), sizes[1], kind) for k, n in docs]
+    keys, times, ends = align.unpacked_pairs(*map(list, zip(*made, strict=True)), sizes[1], kind)
+    assert keys.tolist() == [x for k, _ in docs for x in k] and times.tolist() == [x for _, n in docs for x in n] and ends.tolist() == [3, 3, 4, 5]
+
+
 def test_groups_and_empty(spark):
     docs = spark.createDataFrame([(1, "ab cd"), (2, None)], "doc_id long, text string")
     found = {r.doc_id: [(g.a, g.b) for g in r.groups] for r in align.token_groups(docs, A, B).collect()}
