@@ -225,9 +225,13 @@ def wanted_sets(rows: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     return prepared(rows).select("text", bit.alias("bit")).mapInArrow(sets, "node long, set binary")
 
 
-def sets_of(sets: DataFrame, members: DataFrame) -> DataFrame:
-    """``members`` with their sets; other nodes' sets are dropped by a fixed-size filter before the shuffle."""
-    bitmap = sets.sparkSession.sparkContext.broadcast(filter_bitmap(members, "node"))
+def sets_of(rows: DataFrame, nodes: DataFrame, members: DataFrame, width: int) -> DataFrame:
+    """``members`` with their sets, which are taken from the texts each time: kept, they would need more room than the texts.
+
+    Other nodes' texts and sets are dropped by fixed-size filters before the shuffle.
+    """
+    wanted = nodes.join(members.select("node"), "node", "left_semi")
+    bitmap = rows.sparkSession.sparkContext.broadcast(filter_bitmap(wanted, "node"))
     bit = F.pmod(F.xxhash64("node"), F.lit(FILTER_BITS)).cast("int")
 
     def near(batches):
@@ -235,7 +239,7 @@ def sets_of(sets: DataFrame, members: DataFrame) -> DataFrame:
             if batch.num_rows:
                 yield batch.filter(pa.array(has_bit(bitmap.value, batch.column(2).to_numpy())))
 
-    held = prepared(sets).select("node", "set", bit.alias("bit")).mapInArrow(near, "node long, set binary, bit int")
+    held = wanted_sets(rows, wanted, width).select("node", "set", bit.alias("bit")).mapInArrow(near, "node long, set binary, bit int")
     return members.join(held.select("node", "set"), "node")
 
 
@@ -253,7 +257,7 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return int((large[at] == small).sum()) >= least
 
 
-def follow_leaders(nodes: DataFrame, sets: DataFrame, keys: list[str], percent: int) -> DataFrame:
+def follow_leaders(nodes: DataFrame, rows: DataFrame, keys: list[str], width: int, percent: int) -> DataFrame:
     """(node, leader): members of a group that link to an earlier member without a leader of its own.
 
     Groups are the nodes with equal ``keys``; a group of more than GROUP is cut by a hash of the node.
@@ -277,7 +281,7 @@ def follow_leaders(nodes: DataFrame, sets: DataFrame, keys: list[str], percent:
                 leaders.append((node, mine))
         return pa.table([pa.array([p[i] for p in pairs], pa.int64()) for i in (0, 1)], schema=schema)
 
-    return sets_of(sets, cut).groupBy("key", "part").applyInArrow(follow, "node long, leader long")
+    return sets_of(rows, nodes, cut, width).groupBy("key", "part").applyInArrow(follow, "node long, leader long")
 
 
 def open_groups(asked: DataFrame, percent: int) -> DataFrame:
@@ -360,17 +364,16 @@ def rooted_nodes(docs: DataFrame, width: int, percent: int, doc_id: str, text: s
     needed = F.least(F.lit(COMMON), F.ceil(F.col("n") * percent / F.lit(100)))
     nodes = index.groupBy("node").agg(F.count(F.lit(1)).alias("shared"), F.min("n").alias("n")).filter(F.col("shared") >= needed)
     nodes = written(nodes.join(classes, "node").select("node", "n", "h1", "h2", F.coalesce("least", F.lit(int(NO_ID))).alias("least")), "nodes")
-    sets = written(wanted_sets(rows, nodes, width), "sets")
 
-    labels, leaders = nodes.select("node", F.col("node").alias("label")), nodes.select("node", "h1", "h2")
+    labels, leaders = nodes.select("node", F.col("node").alias("label")), nodes.select("node", "h1", "h2", "least")
     for keys in (["h1", "h2"], ["h1"], ["h2"]):
-        pairs = written(follow_leaders(leaders, sets, keys, percent), "leaders")
+        pairs = written(follow_leaders(leaders, rows, keys, width, percent), "leaders")
         follows = pairs.withColumnsRenamed({"node": "label", "leader": "to"})
         labels = labels.join(follows, "label", "left").select("node", F.coalesce("to", "label").alias("label"))
         leaders = written(leaders.join(pairs, "node", "left_anti"), "leaders")
     labels = written(labels.join(nodes.select("node", "n", "h1"), "node"), "labels")
 
-    links = cross_links(index, labels, sets, percent)
+    links = cross_links(index, labels, rows, nodes, width, percent)
     roots = components(links).withColumnsRenamed({"node": "label"})
     rooted = labels.join(roots, "label", "left").select("node", F.coalesce("component", "label").alias("root"))
     rooted = written(rooted.join(classes.select("node", "least"), "node"), "roots")
@@ -450,7 +453,7 @@ def asking(index: DataFrame, blocks: DataFrame, stats: DataFrame, percent: int)
     return counted.filter("shared >= need").select("block", "node")
 
 
-def cross_links(index: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def cross_links(index: DataFrame, labels: DataFrame, rows: DataFrame, nodes: DataFrame, width: int, percent: int) -> DataFrame:
     """Links between labels, from the groups that qualify."""
     blocks = written(grouped(labels), "blocks")
     stats = blocks.groupBy("block").agg(F.count(F.lit(1)).alias("size"), F.when(F.min("label") == F.max("label"), F.min("label")).alias("only"))
@@ -466,7 +469,7 @@ def cross_links(index: DataFrame, labels: DataFrame, sets: DataFrame, percent: i
     askers = ask.join(copies, "block").join(blocks.select("node", "label"), "node")
     askers = askers.select("block", "node", "label", F.pmod(F.xxhash64("node", "block"), "copies").alias("copy"), F.lit(True).alias("asks"))
     asked = written(members.unionByName(askers), "members")
-    return open_groups(sets_of(sets, asked), percent).distinct()
+    return open_groups(sets_of(rows, nodes, asked, width), percent).distinct()
 
 
 def near_duplicates_removed(docs: DataFrame, width: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -2,6 +2,7 @@
 
 import random
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -9,6 +10,7 @@ from brute import components, exact, kept, sha, words
 
 from tablelens.llm import common, exact_dedup, jaccard, substrings
 from tablelens.llm.components import components as spark_components
+from tablelens.plans.runtime import staged
 
 SHAPE = "doc_id long, text string, digest string, row int, node string, group_size int"
 
@@ -131,6 +133,20 @@ def test_jaccard_chain_of_hot_copies(spark, monkeypatch):
     assert [r.doc_id for r in stays.collect()] == [41]
 
 
+def test_jaccard_sets_are_not_kept(spark):
+    """What is written on the way is smaller than the sets of texts that all have near copies."""
+    rng = random.Random(4)
+    rows = []
+    for i in range(40):
+        base = [f"v{rng.randrange(10**6)}" for _ in range(1500)]
+        rows += [(3 * i + k, " ".join([*base, f"end{k}"])) for k in range(3)]
+    before = set(staged())
+    found = jaccard.similar_classes(frame(spark, rows), width=5, percent=80).collect()
+    assert all(r.component_id == r.doc_id // 3 * 3 for r in found) and len(found) == len(rows)
+    files = [f for p in set(staged()) - before for f in Path(p.removeprefix("file:")).rglob("*.parquet")]
+    assert files and sum(f.stat().st_size for f in files) < sum(8 * r.n_shingles for r in found) / 2
+
+
 def test_jaccard_edges(spark):
     rows = [(4, "a b c d e f"), (4, "a b c d e f"), (None, "a b c d e f"), (2, None), (7, ""), (9, "x")]
     found = sorted(((str(r.doc_id), r.n_shingles, r.component_id) for r in jaccard.similar_classes(frame(spark, rows)).collect()))
