@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablelens.llm.common import (
-    FILTER_BITS, filter_bitmap, has_bit, prepared, rolling_hashes, text_key, texts, word_hashes,
+    FILTER_BITS, filter_bitmap, has_bit, hash_bits, prepared, rolling_hashes, text_key, texts, word_hashes,
 )
 from tablelens.llm.components import components
 from tablelens.plans.runtime import written
@@ -207,19 +207,25 @@ def matrix(rows: DataFrame, width: int, percent: int, weights) -> DataFrame:
 
 
 def wanted_sets(rows: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """(node, set) for the documents whose ids are wanted (and a few more); a set as its sorted hashes."""
+    """(node, set) of the wanted nodes (and a few more); a set as its sorted hashes.
+
+    Texts are dropped by a fixed-size filter of ids, sets by one of nodes, both in one Python operator:
+    two in a row would be two Python workers in each task, and all sets would pass between them.
+    """
     import xxhash
 
-    bitmap = rows.sparkSession.sparkContext.broadcast(filter_bitmap(wanted, "least"))
+    context = rows.sparkSession.sparkContext
+    ids, hashes = context.broadcast(filter_bitmap(wanted, "least")), context.broadcast(filter_bitmap(wanted, "node", hashed=True))
     schema = pa.schema([("node", pa.int64()), ("set", pa.binary())])
 
     def sets(batches):
         for batch in batches:
             if batch.num_rows:
-                mine = batch.filter(pa.array(has_bit(bitmap.value, batch.column(1).to_numpy())))
+                mine = batch.filter(pa.array(has_bit(ids.value, batch.column(1).to_numpy())))
                 found = [shingles(t, width).tobytes() for t in mine.column(0).to_pylist()]
-                nodes = [xxhash.xxh3_64_intdigest(x) - (1 << 63) for x in found]
-                yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(found, pa.binary())], schema=schema)
+                nodes = np.array([xxhash.xxh3_64_intdigest(x) - (1 << 63) for x in found], np.int64)
+                near = np.flatnonzero(has_bit(hashes.value, hash_bits(nodes)))
+                yield pa.RecordBatch.from_arrays([pa.array(nodes[near]), pa.array([found[i] for i in near], pa.binary())], schema=schema)
 
     bit = F.pmod(F.xxhash64(F.coalesce("doc_id", F.lit(int(NO_ID)))), F.lit(FILTER_BITS)).cast("int")
     return prepared(rows).select("text", bit.alias("bit")).mapInArrow(sets, "node long, set binary")
@@ -231,16 +237,7 @@ def sets_of(rows: DataFrame, nodes: DataFrame, members: DataFrame, width: int) -
     Other nodes' texts and sets are dropped by fixed-size filters before the shuffle.
     """
     wanted = nodes.join(members.select("node"), "node", "left_semi")
-    bitmap = rows.sparkSession.sparkContext.broadcast(filter_bitmap(wanted, "node"))
-    bit = F.pmod(F.xxhash64("node"), F.lit(FILTER_BITS)).cast("int")
-
-    def near(batches):
-        for batch in batches:
-            if batch.num_rows:
-                yield batch.filter(pa.array(has_bit(bitmap.value, batch.column(2).to_numpy())))
-
-    held = wanted_sets(rows, wanted, width).select("node", "set", bit.alias("bit")).mapInArrow(near, "node long, set binary, bit int")
-    return members.join(held.select("node", "set"), "node")
+    return members.join(wanted_sets(rows, wanted, width), "node")
 
 
 def as_set(data: bytes) -> np.ndarray:

@@ -7,6 +7,7 @@ from pathlib import Path
 import numpy as np
 import pytest
 from brute import components, exact, kept, sha, words
+from pyspark.sql import functions as F
 
 from tablelens.llm import common, exact_dedup, jaccard, substrings
 from tablelens.llm.components import components as spark_components
@@ -147,6 +148,19 @@ def test_jaccard_sets_are_not_kept(spark):
     assert files and sum(f.stat().st_size for f in files) < sum(8 * r.n_shingles for r in found) / 2
 
 
+def test_jaccard_sets_take_one_worker_a_task(spark):
+    """One Python operator makes the sets and drops those of other nodes; of the wanted ones, those with an id or not, none is lost."""
+    rows = spark.createDataFrame([(i if i % 7 else None, f"a{i % 50} b c d e{i % 50}") for i in range(100)], "doc_id long, text string")
+    documents, classes, _ = jaccard.rooted_nodes(rows, 3, 80, "doc_id", "text")
+    nodes = classes.select("node", F.coalesce("least", F.lit(int(jaccard.NO_ID))).alias("least"))
+    members = nodes.filter("node % 3 = 0").select("node")
+    found = jaccard.sets_of(rows, nodes, members, 3)
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+    sets = {(r.node, bytes(r.set)) for r in found.collect()}
+    assert {n for n, _ in sets} == {r.node for r in members.collect()} and any(n < 0 for n, _ in sets)
+    assert {s for _, s in sets} <= {jaccard.shingles(r.text, 3).tobytes() for r in rows.collect()}
+
+
 def test_jaccard_edges(spark):
     rows = [(4, "a b c d e f"), (4, "a b c d e f"), (None, "a b c d e f"), (2, None), (7, ""), (9, "x")]
     found = sorted(((str(r.doc_id), r.n_shingles, r.component_id) for r in jaccard.similar_classes(frame(spark, rows)).collect()))
@@ -224,6 +238,11 @@ def test_filter_bitmap(spark):
     bits = np.array([r.b for r in keys.select("k", common.filter_bit("k").alias("b")).orderBy("k").collect()])
     has = common.has_bit(bitmap, bits)
     assert has[::3].all() and has.sum() < 1010
+    hashes = keys.select(F.xxhash64("k").alias("h"))
+    bitmap = common.filter_bitmap(hashes.filter("h % 3 = 0"), "h", hashed=True)
+    found = np.array([r.h for r in hashes.collect()], np.int64)
+    has = common.has_bit(bitmap, common.hash_bits(found))
+    assert has[found % 3 == 0].all() and has.sum() < (found % 3 == 0).sum() + 10
 
 
 def test_components(spark):
