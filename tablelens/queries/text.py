@@ -66,8 +66,8 @@ def _(spark, d):
         "doc_id",
         F.size("t").cast("long").alias("tokens"),
         F.size(F.array_distinct("t")).cast("long").alias("distinct_tokens"),
-        F.element_at("t", 1).alias("first_token"),
-        F.element_at("t", -1).alias("last_token"),
+        F.get("t", F.lit(0)).alias("first_token"),
+        F.try_element_at("t", F.lit(-1)).alias("last_token"),  # a text without words has neither
     )
 
 

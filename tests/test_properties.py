@@ -3,6 +3,7 @@
 import itertools
 import random
 
+import __spark_entry__ as entry
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -73,6 +74,13 @@ def test_missing_text_has_no_tokens(spark):
     assert [tuple(r) for r in rows] == [(1, None, None), (2, [], []), (3, ["", "cat"], ["the", "cats"])]
 
 
+def test_texts_without_words_have_no_first_token(spark, tmp_path):
+    rows = [(1, None), (2, ""), (3, "... !"), (4, "The cats, the CATS"), (5, "one")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    found = entry.queries()["tokens_standard"](spark, str(tmp_path)).select("doc_id", "tokens", "distinct_tokens", "first_token", "last_token")
+    assert rows_of(found) == [(1, None, None, None, None), (2, 0, 0, None, None), (3, 0, 0, None, None), (4, 4, 2, "the", "cats"), (5, 1, 1, "one", "one")]
+
+
 # Phrases -------------------------------------------------------------------------------
 
 
