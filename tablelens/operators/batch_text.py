@@ -3,7 +3,8 @@
 Search and similar documents read the texts once.  The term counts they need are written to the shared folder and
 everything after that (document frequencies, collection statistics, scores) reads those rows.
 Scores are summed with the rows of a document in one task, so the many (query, document) pairs are
-never shuffled; only the k best per query and task are.
+never shuffled; only the k best per query and task are.  Seeds can be as many as documents, so their pairs
+are not made as rows at all (``operators/tiles.py``).
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 from tablelens.functions.scoring import bm25, idf
 from tablelens.functions.text import STANDARD, Analyzer
 from tablelens.operators.grouping import TokenGroups, term_counts
+from tablelens.operators.tiles import best_documents, document_vectors
 from tablelens.plans.runtime import fits_broadcast, join_sized, ship_package, written
 
 MARKER = ""
@@ -134,31 +136,29 @@ def similar_documents(
         .select(seed_id, "term", F.col("tf").alias("seed_tf")),
         "seeds",
     )
-    small = fits_broadcast(seed_terms)
+    small = fits_broadcast(seed_terms.select("term").distinct())
     counts, corpus = relevant_counts(documents, row_id, field, analyzer, seed_terms, small)
+    frequencies = document_frequencies(counts).filter(F.col("df") >= min_doc_freq)
     telling = F.col("seed_tf") * (F.log((F.col("corpus.documents") + 1) / (F.col("df") + 1)) + 1)
     place = F.row_number().over(Window.partitionBy(seed_id).orderBy(F.desc("telling"), F.asc("term")))
     chosen = (
-        join_sized(seed_terms, document_frequencies(counts).filter(F.col("df") >= min_doc_freq), "term", small)
+        join_sized(seed_terms, frequencies, "term", small)
         .withColumn("corpus", corpus)
         .withColumn("telling", F.round(telling, 9))
         .withColumn("place", place)
         .filter(F.col("place") <= max_query_terms)
     )
-    weights = chosen.select(
-        seed_id,
-        "term",
-        F.count("*").over(Window.partitionBy(seed_id)).alias("terms"),
-        idf(F.col("corpus.documents"), F.col("df")).alias("weight"),
-    )
-    pairs = pairs_by_document(counts, weights, "term", row_id, small).withColumn("corpus", corpus)
-    scored = (
-        pairs.groupBy(seed_id, row_id)
-        .agg(F.sum(bm25_part()).alias("_score"), F.count("*").alias("matched"), F.max("terms").alias("terms"))
-        .filter(F.col("matched") >= F.greatest(F.floor(F.col("terms") * minimum_match), F.lit(1)))
-    )
-    if stored:
-        scored = scored.filter(F.col(seed_id) != F.col(row_id))
+    need = F.greatest(F.floor(F.count("*").over(Window.partitionBy(seed_id)) * minimum_match), F.lit(1))
+    weights = written(chosen.select(seed_id, "term", idf(F.col("corpus.documents"), F.col("df")).alias("weight"), need.alias("need")), "weights")
+    terms = written(weights.select("term").distinct().withColumn("code", F.monotonically_increasing_id()), "terms")
+    average = counts.sparkSession.range(1).select(corpus["average"]).head()[0]
+    vectors = document_vectors(join_sized(counts, terms, "term", small), row_id, average)
+    weights = written(join_sized(weights, terms, "term", small), "weights")
+    if stored:  # a seed may be among its own best
+        vectors = vectors.filter(F.col(row_id).isNotNull())
+        scored = best_documents(vectors, row_id, weights, seed_id, k + 1, digits).filter(F.col(seed_id) != F.col(row_id))
+    else:
+        scored = best_documents(vectors, row_id, weights, seed_id, k, digits)
     return best_per_query(scored, row_id, seed_id, k, digits)
 
 

@@ -8,7 +8,6 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tablelens.plans.runtime import ship_package
 
@@ -64,11 +63,13 @@ def term_counts(
     """
     ship_package()
     name, kind = term.split()
-    rows = tokens.select(row_id, "tokens").filter(F.col("tokens").isNotNull())
+    rows = tokens.select(row_id, "tokens")
     id_type = rows.schema[row_id].dataType.simpleString()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            # a filter in the plan would have all texts analyzed twice, and before any join
+            batch = batch.filter(batch.column("tokens").is_valid())
             groups = TokenGroups(batch.column("tokens"), rename)
             which = pa.array(groups.rows)
             lengths = groups.lengths.astype(np.int32)

@@ -1,7 +1,9 @@
 """Properties that hold whatever the data, brute force on small inputs, and plan shapes."""
 
 import itertools
+import math
 import random
+from collections import Counter
 
 import __spark_entry__ as entry
 import numpy as np
@@ -16,7 +18,7 @@ from tablelens.functions.atoms import Word, sloppy_phrase
 from tablelens.functions.porter import stem
 from tablelens.functions.text import ENGLISH_STOP_WORDS, fold_text
 from tablelens.operators import aggregations as A
-from tablelens.operators import retrieval
+from tablelens.operators import retrieval, tiles
 from tablelens.operators.wildcards import WildcardIndex
 from tablelens.operators.postings import TextIndex
 from tablelens.plans.conditions import Range, required
@@ -208,6 +210,59 @@ def test_large_sides_give_the_same_rows(spark, monkeypatch, tmp_path):
     assert run() == broadcast
 
 
+def brute_similar(docs, seeds, k, min_freq, min_docs, most, minimum, stored):
+    """Rows of one id are one document whose scores are added; a seed's repeated terms count as often as they stand."""
+    split = lambda t: (t or "").replace(".", " ").split()
+    tokens = [(i, split(t)) for i, t in docs]
+    n, average = sum(bool(t) for _, t in tokens), sum(len(t) for _, t in tokens) / max(sum(bool(t) for _, t in tokens), 1)
+    df = Counter(w for _, t in tokens for w in set(t))
+    asked = {}
+    for i, t in seeds:
+        telling = lambda w, f: round(f * (math.log((n + 1) / (df[w] + 1)) + 1), 9)
+        asked.setdefault(i, []).extend((-telling(w, f), w) for w, f in Counter(split(t)).items() if f >= min_freq and df[w] >= min_docs)
+    found = []
+    for seed, terms in asked.items():
+        terms = Counter(w for _, w in sorted(terms)[:most])
+        score, matched = Counter(), Counter()
+        for i, t in tokens:
+            for w, tf in Counter(t).items():
+                if w in terms:
+                    weight = math.log(1 + (n - df[w] + 0.5) / (df[w] + 0.5))
+                    score[i] += terms[w] * weight * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len(t) / average))
+                    matched[i] += terms[w]
+        need = max(math.floor(sum(terms.values()) * minimum), 1)
+        good = [(-round(s, 6), i is not None, i or 0) for i, s in score.items() if matched[i] >= need and not (stored and (i is None or i == seed))]
+        found += [(seed, i if known else None, -s, r + 1) for r, (s, known, i) in enumerate(sorted(good)[:k])]
+    return sorted(found, key=repr)
+
+
+@pytest.mark.parametrize("stored", [True, False])
+def test_similar_documents_by_brute_force(spark, monkeypatch, stored):
+    """Several parts and tiles; repeated and null ids, equal texts, frequent and rare words, texts without words."""
+    rng = random.Random(7)
+    words = [f"w{i}" for i in range(60)]
+    text = lambda: " ".join(rng.choices(words, [1 / (i + 1) for i in range(60)], k=rng.randint(4, 40)))
+    docs = [(i, text()) for i in range(300)]
+    docs += [(i + 1000, docs[i % 5][1]) for i in range(40)] + docs[:9] + [(7, text()), (7, ""), (None, text()), (None, text()), (400, None), (401, "...")]
+    rng.shuffle(docs)
+    ids = [*range(0, 300, 7), 7, 1001, 400, 999999]
+    seeds = [(i, t) for i, t in docs if i in ids] if stored else [(i, text()) for i in range(50)] + [(3, text()), (None, text()), (60, None)]
+    for name, size in (("QUERIES", 8), ("PART_QUERIES", 20), ("DOCUMENTS", 16), ("CELLS", 64), ("COLUMNS", 6)):
+        monkeypatch.setattr(tiles, name, size)
+    held = spark.createDataFrame(docs, "id long, t string").repartition(5)
+    asked = spark.createDataFrame([(i,) for i in ids], "seed long") if stored else spark.createDataFrame(seeds, "seed long, t string")
+    for k, minimum in ((3, 0.3), (400, 0.9)):
+        found = batch_text.similar_documents(held, "id", "t", asked, "seed", None if stored else "t", k, min_term_freq=2, min_doc_freq=3, max_query_terms=6, minimum_match=minimum, digits=6)
+        assert sorted([tuple(r) for r in found.collect()], key=repr) == brute_similar(docs, seeds, k, 2, 3, 6, minimum, stored)
+
+
+def test_pairs_of_seeds_and_documents_are_not_shuffled(spark):
+    """What is shuffled is each task's best documents, ranked by seed; no row for each pair."""
+    seeds = read(spark, "documents").select(F.col("doc_id").alias("seed_id"))
+    text = plan(batch_text.similar_documents(read(spark, "documents"), "doc_id", "text", seeds, "seed_id", k=2))
+    assert "Aggregate" not in text and text.count("Exchange") == 1
+
+
 def test_salted_join_of_a_hot_key(spark):
     big = spark.range(9000).select("id", F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"))
     small = spark.range(9000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
