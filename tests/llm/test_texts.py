@@ -206,6 +206,63 @@ def test_every_page_of_a_host_has_a_neighbour(spark, n, monkeypatch):
     assert found == {i: f"Own text of number {i} {'abc' * (i % 7)}".strip() for i in range(n)}
 
 
+@pytest.mark.parametrize("chunk", [2, 16])
+def test_runs_of_near_copies_over_many_chunks(spark, chunk, monkeypatch):
+    """However long a run is and wherever chunks are cut, its pages are compared with the page before or after it."""
+    monkeypatch.setattr(html, "CHUNK", chunk)
+    monkeypatch.setattr(html, "EDGE", 4)
+    article = [f"A long line {k} of the article on this page" for k in range(12)]
+
+    def page(*own):
+        return "".join(f"<div>{x}</div>" for x in ("Home", *own, "Imprint"))
+
+    rows = [(i, f"http://a.example/p/{i:04d}", page(*article, f"Read {i} times")) for i in range(300)] + [(900, "http://a.example/q", page("own"))]
+    rows += [(i, f"http://b.example/p/{i:04d}", page(*article, f"Read {i} times")) for i in range(1000, 1200)] + [(901, "http://b.example/a", page("own"))]
+    rows += [(i, f"http://c.example/{i}", page(*article, f"Read {i % 3} times")) for i in range(2000, 2100)]
+    found = {r.page_id: r.text for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect()}
+    wanted = {i: "\n".join((*article, f"Read {i} times")) for i in (*range(300), *range(1000, 1200))} | {900: "own", 901: "own"}
+    assert found == wanted | {i: f"Read {i % 3} times" for i in range(2000, 2100)}  # a host of one run: its own pages
+
+
+def test_chunks_do_not_change_the_texts(spark, monkeypatch):
+    """Runs that drift, copies, hosts of one run, pages of one path: as in a single chunk, which is checked page by page."""
+    rng = random.Random(5)
+    rows = []
+    for host in range(12):
+        lines = [f"Line {k} of host {host}" for k in range(20)]
+        for i in range(rng.choice([1, 2, 9, 60])):
+            if rng.random() < (0.1 if host % 3 else 0):
+                lines = [f"Line {k} of host {host} from page {i}" for k in range(20)]
+            if rng.random() < 0.6:
+                lines = [*lines]
+                lines[rng.randrange(20)] = f"Line changed by page {i}, {rng.randrange(3)}"
+            rows.append((len(rows), f"http://h{host}.example/{i // 4:02d}/{rng.choice('abc')}", "".join(f"<p>{x}</p>" for x in lines)))
+    rows += rows[5:9]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+
+    def texts(chunk):
+        monkeypatch.setattr(html, "CHUNK", chunk)
+        return sorted((r.page_id, r.text) for r in html.extract(df).collect())
+
+    whole = texts(1 << 20)
+    assert texts(7) == whole and texts(40) == whole
+
+    order = sorted({(u.split("/")[2], u.split("//")[1].partition("/")[2], i, h) for i, u, h in rows})
+    runs = []  # (host, its first page, pages)
+    for host, _, i, h in order:
+        lines = [t for t, _ in html.blocks(h)]
+        mine = [(t, len(t)) for t in lines]
+        if runs and runs[-1][0] == host and html.shared_part(runs[-1][1], mine) >= html.SAME:
+            runs[-1][2].append((i, lines))
+        else:
+            runs.append((host, mine, [(i, lines)]))
+    got = dict(whole)
+    for k, (host, _, pages) in enumerate(runs):
+        near = [r[2][at][1] for r, at in ((runs[k - 1] if k else None, -1), (runs[k + 1] if k + 1 < len(runs) else None, 0)) if r and r[0] == host]
+        for i, lines in pages if near else ():
+            assert got[i] in {"\n".join(t for j, t in enumerate(lines) if j not in html.common_lines(lines, other)) for other in near}, i
+
+
 def test_left_out_end_tags():
     def text(page):
         found = html.blocks(page)
